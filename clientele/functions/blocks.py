@@ -41,6 +41,8 @@ def meet_in_blocks(
     Without keys every left row meets every right row.
     """
     keys = list(keys)
+    # Both sides often come from one table; own column identities keep them apart.
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
     if keys:
         # Stored, so that its true size decides how it is joined; a frequent key then costs at
         # most a split join.
