@@ -80,18 +80,32 @@ def labeled_points(spark: SparkSession, folder: str) -> DataFrame:
     return materialize(scaled(spark, folder).join(given, "CustomerID"), "labeled")
 
 
+def leveled_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Scaled points with nested labels made from how often a customer bought."""
+    customers = stored_features(spark, folder)
+    level = customers.select(
+        "CustomerID", F.floor(F.col("Frequency") / 3).cast("int").alias("level")
+    )
+    points = robust_scale(customers, CLUSTER_FEATURES).join(level, "CustomerID")
+    of_level = F.col("level")
+    return materialize(points.select(
+        "CustomerID",
+        *CLUSTER_FEATURES,
+        F.lit(0).alias("k1"),
+        *[F.least(of_level, F.lit(int(c[1:]) - 1)).alias(c) for c in K_LABELS],
+        of_level.alias("KMeans"),
+        F.least(of_level, F.lit(3)).alias("Agglomerative"),
+        (of_level - 1).alias("DBSCAN"),
+    ), "leveled")
+
+
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
-    """Embeddings as columns with their label and coarser and noisier versions of it."""
-    label = F.col("label")
+    """Embeddings as columns with their label, and a version of it that has noise."""
     return materialize(table(spark, folder, "embeddings").select(
         "vec_id",
         *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(VECTOR)],
         "label",
-        F.lit(0).alias("k1"),
-        *[F.least(label, F.lit(int(c[1:]) - 1)).alias(c) for c in K_LABELS],
-        label.alias("KMeans"),
-        F.floor(label / 2).cast("int").alias("Agglomerative"),
-        (label - 1).alias("DBSCAN"),
+        (F.col("label") - 1).alias("noisy"),
     ), "vectors")
 
 
@@ -212,31 +226,46 @@ def with_(*parts: str) -> str:
 TO_FEATURES = (LINES, VALID, FEATURES)
 TO_LABELED = (*TO_FEATURES, GIVEN, KNOWN)
 
-# Embeddings in long form: one row per labeling, vector and dimension.
-VECTOR_LABELS = {
-    "label": "label", "k1": "0", **{c: f"least(label, {int(c[1:]) - 1})" for c in K_LABELS},
-    "KMeans": "label", "Agglomerative": "label // 2", "DBSCAN": "label - 1",
+# Labeled rows in long form: (labeling, cluster, id, v) and one cell per dimension.
+VECTOR_LABELS = {"label": "label", "noisy": "label - 1"}
+LEVEL_LABELS = {
+    "k1": "0", **{c: f"least(level, {int(c[1:]) - 1})" for c in K_LABELS},
+    "KMeans": "level", "Agglomerative": "least(level, 3)", "DBSCAN": "level - 1",
 }
 
 
-def vector_rows(names: list[str]) -> str:
-    """Rows (labeling, cluster, vec_id, v) without noise, and sums per cluster and dimension."""
+def labeled_rows(names: list[str], labels: dict[str, str], id_col: str, source: str) -> str:
     union = " UNION ALL ".join(
-        f"SELECT '{n}' AS labeling, CAST({VECTOR_LABELS[n]} AS INTEGER) AS cluster, vec_id, "
-        f"CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE {VECTOR_LABELS[n]} <> -1"
+        f"SELECT '{n}' AS labeling, CAST({labels[n]} AS INTEGER) AS cluster, {id_col}, v "
+        f"FROM {source} WHERE {labels[n]} <> -1"
         for n in names
     )
     return f"""
 members AS ({union}),
 cells AS (
-  SELECT labeling, cluster, vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM members),
+  SELECT labeling, cluster, {id_col}, unnest(v) AS x, generate_subscripts(v, 1) AS d
+  FROM members),
 centers AS (
   SELECT labeling, cluster, d, avg(x) AS m, count(*) AS n FROM cells GROUP BY ALL),
 apart AS (
-  SELECT labeling, cluster, vec_id, sum((x - m) * (x - m)) AS square
+  SELECT labeling, cluster, {id_col}, sum((x - m) * (x - m)) AS square
   FROM cells JOIN centers USING (labeling, cluster, d) GROUP BY ALL)"""
 
 
+def vector_rows(names: list[str]) -> str:
+    source = "(SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+    return labeled_rows(names, VECTOR_LABELS, "vec_id", source)
+
+
+LEVELED = "leveled AS (SELECT scaled.\"CustomerID\", CAST(floor(features.\"Frequency\" / 3) AS " \
+    "INTEGER) AS level, [" + ", ".join(f'scaled."{c}"' for c in CLUSTER_FEATURES) + "] AS v " \
+    "FROM scaled JOIN features USING (\"CustomerID\"))"
+
+
+def level_rows(names: list[str]) -> str:
+    return LEVELED + ",\n" + labeled_rows(names, LEVEL_LABELS, '"CustomerID"', "leveled").strip()
+
+
 CLUSTER_QUALITY = """
 inner_sums AS (SELECT labeling, sum(square) AS wcss FROM apart GROUP BY 1),
 shape AS (

@@ -551,11 +551,13 @@ def _(spark, folder):
 
 # ---- Metrics and the choice of k ------------------------------------------------------------
 
-EMBEDDED = [*i.K_LABELS, "label"]
-QUALITY = W(i.vector_rows(EMBEDDED), i.CLUSTER_QUALITY)
+EMBEDDED = ["label", "noisy"]
+QUALITY = W(*i.TO_FEATURES, i.SCALED, i.level_rows(i.K_LABELS), i.CLUSTER_QUALITY)
 
 
-@check("wcss", QUALITY + " SELECT labeling, wcss FROM inner_sums", ["wcss"])
+@check(
+    "wcss", W(i.vector_rows(EMBEDDED), i.CLUSTER_QUALITY) + " SELECT * FROM inner_sums", ["wcss"]
+)
 def _(spark, folder):
     return metrics.wcss(i.vectors(spark, folder), i.VECTOR, EMBEDDED)
 
@@ -565,14 +567,16 @@ def _(spark, folder):
     ["calinski_harabasz"],
 )
 def _(spark, folder):
-    return metrics.calinski_harabasz(i.vectors(spark, folder), i.VECTOR, EMBEDDED)
+    return metrics.calinski_harabasz(
+        i.leveled_points(spark, folder), CLUSTER_FEATURES, i.K_LABELS
+    )
 
 
 @check(
     "davies_bouldin", QUALITY + " SELECT labeling, davies_bouldin FROM db", ["davies_bouldin"]
 )
 def _(spark, folder):
-    return metrics.davies_bouldin(i.vectors(spark, folder), i.VECTOR, EMBEDDED)
+    return metrics.davies_bouldin(i.leveled_points(spark, folder), CLUSTER_FEATURES, i.K_LABELS)
 
 
 VECTOR_GAP = "list_distance(a.v, b.v)"
@@ -611,14 +615,14 @@ def _(spark, folder):
 @check(
     "silhouette_samples_squared",
     W(
-        i.vector_rows(["label", "DBSCAN"]),
+        i.vector_rows(EMBEDDED),
         i.silhouettes("vec_id", f"{VECTOR_GAP} * {VECTOR_GAP}"),
     ) + " SELECT vec_id, labeling, cluster, silhouette, 'squared' AS distance FROM silhouettes",
     ["silhouette"],
 )
 def _(spark, folder):
     return metrics.silhouette_samples(
-        i.vectors(spark, folder), i.VECTOR, ["label", "DBSCAN"], "vec_id", "squared"
+        i.vectors(spark, folder), i.VECTOR, EMBEDDED, "vec_id", "squared"
     )
 
 
@@ -634,9 +638,9 @@ def _(spark, folder):
 
 def given_k_metrics(spark, folder) -> DataFrame:
     """The metrics of nested labels; the gap is taken against a single cluster."""
-    points = i.vectors(spark, folder)
-    measured = metrics.all_metrics(points, i.VECTOR, i.K_LABELS, "vec_id")
-    single = metrics.wcss(points, i.VECTOR, ["k1"]).select(F.col("wcss")).scalar()
+    points = i.leveled_points(spark, folder)
+    measured = metrics.all_metrics(points, CLUSTER_FEATURES, i.K_LABELS)
+    single = metrics.wcss(points, CLUSTER_FEATURES, ["k1"]).select(F.col("wcss")).scalar()
     return materialize(measured.select(
         F.substring("labeling", 2, 1).cast("int").alias("k"), "silhouette", "calinski_harabasz",
         "davies_bouldin", "wcss", F.log(single / F.col("wcss")).alias("gap_statistic"),
@@ -644,7 +648,8 @@ def given_k_metrics(spark, folder) -> DataFrame:
 
 
 K_METRICS = W(
-    i.vector_rows(["k1", *i.K_LABELS]), i.CLUSTER_QUALITY, i.silhouettes("vec_id", VECTOR_GAP)
+    *i.TO_FEATURES, i.SCALED, i.level_rows(["k1", *i.K_LABELS]), i.CLUSTER_QUALITY,
+    i.silhouettes("CustomerID", VECTOR_GAP),
 ) + """,
 sil AS (SELECT labeling, avg(silhouette) AS silhouette FROM silhouettes GROUP BY 1),
 k_metrics AS (
@@ -727,20 +732,22 @@ def _(spark, folder):
 
 GIVEN_METHODS = ["KMeans", "Agglomerative", "DBSCAN"]
 COMPARISON = W(
-    i.vector_rows(GIVEN_METHODS), i.CLUSTER_QUALITY, i.silhouettes("vec_id", VECTOR_GAP)
+    *i.TO_FEATURES, i.SCALED, i.level_rows(GIVEN_METHODS), i.CLUSTER_QUALITY,
+    i.silhouettes("CustomerID", VECTOR_GAP),
 ) + """,
 sil AS (SELECT labeling, avg(silhouette) AS silhouette FROM silhouettes GROUP BY 1),
 comparison AS (
   SELECT labeling AS algorithm, CAST(k AS INTEGER) AS n_clusters, silhouette, calinski_harabasz,
-         davies_bouldin, (SELECT count(*) FROM embeddings) - n AS n_noise,
+         davies_bouldin, (SELECT count(*) FROM features) - n AS n_noise,
          CAST(list_position(['KMeans', 'Agglomerative', 'GaussianMixture', 'DBSCAN'], labeling) - 1
            AS INTEGER) AS place
   FROM shape JOIN sil USING (labeling) JOIN ch USING (labeling) JOIN db USING (labeling))"""
 
 
 def given_comparison(spark, folder) -> DataFrame:
-    points = i.vectors(spark, folder).withColumnRenamed("vec_id", "CustomerID")
-    return analysis.algorithm_comparison(points, i.VECTOR, GIVEN_METHODS)
+    return analysis.algorithm_comparison(
+        i.leveled_points(spark, folder), CLUSTER_FEATURES, GIVEN_METHODS
+    )
 
 
 @check("algorithm_comparison", COMPARISON + " SELECT * FROM comparison",
@@ -863,7 +870,7 @@ check(
         'USING ("CustomerID") WHERE cluster <> -1)',
         i.silhouettes("CustomerID", i.point_gap(CLUSTER_FEATURES)),
     ) + """,
-rated AS (
+graded AS (
   SELECT CASE WHEN grouping(cluster) = 1 THEN 'Overall' ELSE 'Cluster ' || cluster END AS cluster,
          count(*) AS size, avg(silhouette) AS avg_silhouette, min(silhouette) AS min_silhouette,
          max(silhouette) AS max_silhouette
@@ -872,7 +879,7 @@ SELECT *, CASE WHEN cluster = 'Overall' THEN
                  CASE WHEN avg_silhouette >= 0.3 THEN 'Average' ELSE 'Poor' END
                WHEN avg_silhouette >= 0.5 THEN 'Good' WHEN avg_silhouette >= 0.3 THEN 'Fair'
                ELSE 'Poor' END AS quality
-FROM rated""",
+FROM graded""",
     ["avg_silhouette", "min_silhouette", "max_silhouette"],
 )
 def _(spark, folder):

@@ -27,15 +27,15 @@ def exact_quantiles(
 
     ``df`` is scanned several times, so it should be a stored table.
     """
-    bounds = df.agg(*[
-        F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
-        for c in columns
-    ]).first()
-    if max(bounds[c].n for c in columns) <= small_rows:
+    if df.count() <= small_rows:
         wanted = F.array(*[F.lit(float(p)) for p in probs])
         row = df.agg(*[F.percentile(F.col(c), wanted).alias(c) for c in columns]).first()
         return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in columns}
 
+    bounds = df.agg(*[
+        F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
+        for c in columns
+    ]).first()
     places = {c: [(bounds[c].n - 1) * p for p in probs] for c in columns}
     ranks = {
         c: sorted({r for h in places[c] for r in (math.floor(h), math.ceil(h))})
