@@ -19,6 +19,7 @@ from clientele.storage import materialize
 
 LEFT_ROWS = 2_000
 RIGHT_ROWS = 20_000
+FEWEST_ROWS = 100
 TILE_CELLS = 1_000_000
 
 
@@ -53,8 +54,12 @@ def meet_in_blocks(
         def sized(side: DataFrame) -> DataFrame:
             return side.join(sizes, keys)
     else:
+        # A small left side is cut finer, so that every core has a block.
+        rows = left.count()
+        cores = left.sparkSession.sparkContext.defaultParallelism
+        left_rows = max(FEWEST_ROWS, min(left_rows, -(-rows // cores)))
         counts = {
-            "_lefts": F.lit(max(1, -(-left.count() // left_rows))),
+            "_lefts": F.lit(max(1, -(-rows // left_rows))),
             "_rights": F.lit(max(1, -(-right.count() // right_rows))),
         }
 

@@ -38,6 +38,15 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every vertex points to one centre and no centre points anywhere."""
+    sizes = edges.agg(F.count("*").alias("edges"), F.count_distinct("u").alias("points")).first()
+    if sizes.edges != sizes.points:
+        return False
+    ends = edges.select(F.col("v").alias("u"))
+    return edges.join(ends, "u", "left_semi").isEmpty()
+
+
 def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     """(vertex, component) of every vertex with an edge; the component is its least vertex."""
     current = materialize(
@@ -45,14 +54,7 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
         .where(F.col("u") != F.col("v")).distinct(),
         "edges",
     )
-    before = None
-    while True:
+    while not _all_stars(current):
         current = materialize(_small_star(_large_star(current)).distinct(), "edges")
-        mark = current.agg(
-            F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-        ).first()
-        if mark == before:
-            break
-        before = mark
     roots = current.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("vertex"), F.col("v").alias("component")).union(roots)

@@ -15,16 +15,16 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.constants import DBSCAN_EPS, DBSCAN_MIN_SAMPLES
-from clientele.functions.blocks import distance_tiles, meet_in_blocks
+from clientele.functions.blocks import RIGHT_ROWS, distance_tiles, meet_in_blocks
 from clientele.functions.components import connected_components
 from clientele.functions.labels import renumber
 from clientele.storage import materialize
 
-GRID_COLUMNS = 3
+MAX_GRID_COLUMNS = 4
 
 
 def merged_points(points: DataFrame, columns: Sequence[str], id_col: str) -> DataFrame:
@@ -38,15 +38,28 @@ def merged_points(points: DataFrame, columns: Sequence[str], id_col: str) -> Dat
 
 
 def in_cells(points: DataFrame, columns: Sequence[str], eps: float) -> tuple[DataFrame, list[str]]:
-    """``points`` with the cell of each on the columns that spread it best."""
-    widths = points.agg(*[(F.max(c) - F.min(c)).alias(c) for c in columns]).first()
-    widest = sorted(columns, key=lambda c: -(widths[c] or 0.0))[:GRID_COLUMNS]
-    cells = {f"_cell{i}": F.floor(F.col(c) / eps).cast("bigint") for i, c in enumerate(widest)}
+    """``points`` with the cell of each, on the columns that spread the points best.
+
+    Every further column divides the candidates of a point but triples the copies made of it, so
+    columns are added only until a point has few enough candidates to look at.
+    """
+    stats = points.agg(
+        F.count("*").alias("_rows"), *[(F.max(c) - F.min(c)).alias(c) for c in columns]
+    ).first()
+    cells: dict[str, Column] = {}
+    candidates = stats["_rows"]
+    for c in sorted(columns, key=lambda c: -(stats[c] or 0.0))[:MAX_GRID_COLUMNS]:
+        if candidates <= RIGHT_ROWS or not stats[c] or stats[c] <= 3 * eps:
+            break
+        cells[f"_cell{len(cells)}"] = F.floor(F.col(c) / eps).cast("bigint")
+        candidates *= 3 * eps / stats[c]
     return points.withColumns(cells), list(cells)
 
 
 def to_adjacent(points: DataFrame, cells: Sequence[str]) -> DataFrame:
     """A copy of each point for its own and every adjacent cell."""
+    if not cells:
+        return points
     steps = F.array(*[
         F.struct(*[F.lit(s).cast("bigint").alias(f"s{i}") for i, s in enumerate(step)])
         for step in product((-1, 0, 1), repeat=len(cells))

@@ -193,10 +193,9 @@ def _euclidean_means(points, columns, labels, id_col) -> DataFrame:
 
     kind = points.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, labeling string, cluster int, other int, total double"
-    # Small inputs are cut finer, so that every core has a block.
-    cores = points.sparkSession.sparkContext.defaultParallelism
-    left_rows = max(100, min(2_000, -(-points.count() // cores)))
-    partial = meet_in_blocks(sides, sides, [], id_col, distances, schema, left_rows, RIGHT_ROWS)
+    partial = meet_in_blocks(
+        sides, sides, [], id_col, distances, schema, right_rows=RIGHT_ROWS
+    )
     totals = partial.groupBy(id_col, "labeling", "cluster", "other").agg(
         F.sum("total").alias("total")
     )
