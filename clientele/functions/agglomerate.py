@@ -1,34 +1,53 @@
-"""Agglomeration of a bounded number of weighted units.
+"""Agglomerative clustering of weighted units.
 
 Both linkages used here depend only on each cluster's weight and mean vector, so no matrix of
 pairs is kept: Ward's on the mean position, average linkage of co-association on the mean
 indicator vector (the average over all pairs of two clusters of "same label in run r" is the
 product of the shares of each label).
+
+Both are also reducible: merging two clusters brings neither closer to a third than the nearer of
+them was. So all pairs that are each other's nearest can merge at once without changing the
+tree. ``agglomerate_table`` does that in rounds on Spark while there are many clusters and leaves
+the last few thousand to ``merge_tree``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from clientele.functions.blocks import TILE_CELLS, meet_in_blocks
+from clientele.functions.components import connected_components
+from clientele.storage import materialize
+
+DRIVER_UNITS = 5_000
 
-Gap = Callable[[float, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+# (weights, means) of some clusters and of others -> matrix of their distances.
+Gap = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
-def ward_gap(weight, mean, weights, means):
-    gap = means - mean
-    return weight * weights / (weight + weights) * np.einsum("ij,ij->i", gap, gap)
+def ward_gap(weights, means, other_weights, other_means):
+    squares = sum(
+        (means[:, j, None] - other_means[None, :, j]) ** 2 for j in range(means.shape[1])
+    )
+    return squares / (1.0 / weights[:, None] + 1.0 / other_weights[None, :])
 
 
 def coassociation_gap(runs: int) -> Gap:
-    def gap(weight, mean, weights, means):
-        return 1.0 - means @ mean / runs
+    def gap(weights, means, other_weights, other_means):
+        return 1.0 - means @ other_means.T / runs
 
     return gap
 
 
-def agglomerate(means: np.ndarray, weights: np.ndarray, k: int, gap: Gap) -> np.ndarray:
-    """Labels 0..k-1 of the units, by nearest-neighbour chains and a cut below k - 1 merges."""
+def merge_tree(
+    means: np.ndarray, weights: np.ndarray, gap: Gap
+) -> list[tuple[float, int, int]]:
+    """All merges as (height, unit, unit), found by nearest-neighbour chains."""
     means, weights = means.astype(float).copy(), weights.astype(float).copy()
     alive = np.ones(len(means), dtype=bool)
     merges: list[tuple[float, int, int]] = []
@@ -37,7 +56,7 @@ def agglomerate(means: np.ndarray, weights: np.ndarray, k: int, gap: Gap) -> np.
         if not chain:
             chain.append(int(np.flatnonzero(alive)[0]))
         top = chain[-1]
-        gaps = gap(weights[top], means[top], weights, means)
+        gaps = gap(weights[[top]], means[[top]], weights, means)[0]
         gaps[~alive] = np.inf
         gaps[top] = np.inf
         near = int(gaps.argmin())
@@ -51,7 +70,12 @@ def agglomerate(means: np.ndarray, weights: np.ndarray, k: int, gap: Gap) -> np.
         means[back] = (weights[top] * means[top] + weights[back] * means[back]) / total
         weights[back] = total
         alive[top] = False
-    root = np.arange(len(means))
+    return merges
+
+
+def cut_tree(units: int, merges: Sequence[tuple[float, int, int]], k: int) -> np.ndarray:
+    """Labels 0..k-1 after all but the k - 1 highest merges."""
+    root = np.arange(units)
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -59,6 +83,116 @@ def agglomerate(means: np.ndarray, weights: np.ndarray, k: int, gap: Gap) -> np.
             i = root[i]
         return i
 
-    for _, one, other in sorted(merges, key=lambda m: m[0])[: max(len(means) - k, 0)]:
+    for _, one, other in sorted(merges, key=lambda m: m[0])[: max(units - k, 0)]:
         root[find(one)] = find(other)
-    return np.unique([find(i) for i in range(len(means))], return_inverse=True)[1]
+    return np.unique([find(i) for i in range(units)], return_inverse=True)[1]
+
+
+def agglomerate(means: np.ndarray, weights: np.ndarray, k: int, gap: Gap) -> np.ndarray:
+    return cut_tree(len(means), merge_tree(means, weights, gap), k)
+
+
+def _nearest(units: DataFrame, columns: list[str], gap: Gap) -> DataFrame:
+    """(unit, gap, tie, near): each cluster's nearest one.
+
+    Equal distances are common between label signatures. They are told apart by a number that
+    both sides of a pair agree on, so that many pairs find each other in one round.
+    """
+    def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        right_names = right["unit"].to_numpy()
+        marks = right["mark"].to_numpy()
+        weights, means = right["weight"].to_numpy(), right[columns].to_numpy()
+        out = []
+        step = max(1, TILE_CELLS // len(right))
+        for start in range(0, len(left), step):
+            part = left.iloc[start:start + step]
+            gaps = gap(part["weight"].to_numpy(), part[columns].to_numpy(), weights, means)
+            gaps = np.round(gaps, 12)
+            gaps[part["unit"].to_numpy()[:, None] == right_names] = np.inf
+            ties = np.bitwise_xor.outer(part["mark"].to_numpy(), marks).astype(np.uint64)
+            ties = (ties * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(1)).astype(np.int64)
+            least = gaps.min(axis=1)
+            ties[gaps > least[:, None]] = np.iinfo(np.int64).max
+            at = ties.argmin(axis=1)
+            out.append(pd.DataFrame({
+                "unit": part["unit"].to_numpy(), "gap": least,
+                "tie": ties[np.arange(len(part)), at], "near": right_names[at],
+            }))
+        return pd.concat(out)
+
+    marked = units.withColumn("mark", F.xxhash64("unit"))
+    kind = units.schema["unit"].dataType.simpleString()
+    found = meet_in_blocks(
+        marked, marked, [], "unit", nearest, f"unit {kind}, gap double, tie long, near {kind}"
+    )
+    best = found.where(F.col("gap") < float("inf")).groupBy("unit").agg(
+        F.min(F.struct("gap", "tie", "near")).alias("best")
+    )
+    return materialize(best.select("unit", "best.*"), "nearest")
+
+
+def _mutual(nearest: DataFrame) -> DataFrame:
+    """The pairs that are each other's nearest; the closest pair if rounding hides them all."""
+    back = nearest.select(F.col("unit").alias("near"), F.col("near").alias("unit"))
+    pairs = nearest.join(back, ["unit", "near"]).where(F.col("unit") < F.col("near"))
+    if pairs.isEmpty():
+        pairs = nearest.orderBy("gap", "tie", "unit").limit(1)
+    return pairs.select(
+        F.least("unit", "near").alias("one"), F.greatest("unit", "near").alias("other"), "gap"
+    )
+
+
+def agglomerate_table(
+    units: DataFrame, columns: Sequence[str], k: int, gap: Gap, driver_units: int = DRIVER_UNITS
+) -> DataFrame:
+    """(unit, label) for a table (unit, weight, *columns) of distinct units."""
+    columns = list(columns)
+    spark = units.sparkSession
+    units = materialize(units, "units")
+    current, rounds = units, []
+    while current.count() > driver_units:
+        pairs = materialize(_mutual(_nearest(current, columns, gap)), "pairs")
+        rounds.append(pairs)
+        joined = current.join(
+            pairs.select(F.col("other").alias("unit"), "one"), "unit", "left"
+        ).withColumn("unit", F.coalesce("one", "unit"))
+        total = F.sum("weight")
+        current = materialize(
+            joined.groupBy("unit").agg(
+                total.alias("weight"),
+                *[(F.sum(F.col("weight") * F.col(c)) / total).alias(c) for c in columns],
+            ),
+            "units",
+        )
+
+    last = current.toPandas().sort_values("unit", ignore_index=True)
+    names = last["unit"].to_numpy()
+    tree = merge_tree(last[columns].to_numpy(), last["weight"].to_numpy(), gap)
+    kind = units.schema["unit"].dataType.simpleString()
+    if not rounds:
+        label = cut_tree(len(names), tree, k)
+        rows = [(u, int(c)) for u, c in zip(names.tolist(), label)]
+        return spark.createDataFrame(rows, f"unit {kind}, label int")
+
+    # All but the k - 1 highest merges of the whole tree hold.
+    merged = rounds[0]
+    for pairs in rounds[1:]:
+        merged = merged.union(pairs)
+    early = merged.orderBy(F.desc("gap")).limit(k - 1).collect()
+    heights = [(r.gap, 0, r.other) for r in early] + [
+        (height, 1, i) for i, (height, _, _) in enumerate(tree)
+    ]
+    dropped = sorted(heights, key=lambda h: h[:2], reverse=True)[: k - 1]
+    undone = [name for _, late, name in dropped if not late]
+    late_undone = {i for _, late, i in dropped if late}
+    names = names.tolist()
+    late = [
+        (names[one], names[other])
+        for i, (_, one, other) in enumerate(tree) if i not in late_undone
+    ]
+    edges = merged.where(~F.col("other").isin(undone)).select("one", "other").union(
+        spark.createDataFrame(late, f"one {kind}, other {kind}")
+    )
+    found = connected_components(edges, "one", "other")
+    labels = units.select("unit").join(found.withColumnRenamed("vertex", "unit"), "unit", "left")
+    return labels.select("unit", F.coalesce("component", "unit").alias("label"))

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.constants import CONSENSUS_RUNS, SEED, STARTS
-from clientele.functions.agglomerate import agglomerate, coassociation_gap, ward_gap
+from clientele.functions.agglomerate import (
+    DRIVER_UNITS,
+    agglomerate_table,
+    coassociation_gap,
+    ward_gap,
+)
 from clientele.functions.labels import renumber
 from clientele.operators.kmeans import (
     assign,
@@ -24,7 +27,7 @@ from clientele.operators.kmeans import (
 )
 from clientele.storage import materialize
 
-EXACT_UNITS = 5_000
+ROUND_ROWS = 200_000
 SMALL_CLUSTERS = 1_000
 
 
@@ -41,38 +44,35 @@ def hierarchical(
     columns: Sequence[str],
     k: int,
     seed: int = SEED,
-    exact_units: int = EXACT_UNITS,
+    exact_rows: int = ROUND_ROWS,
     small_clusters: int = SMALL_CLUSTERS,
+    driver_units: int = DRIVER_UNITS,
 ) -> DataFrame:
     """Ward linkage.
 
-    Up to ``exact_units`` rows every row is a unit of its own and the result is exact. Beyond
-    that, k-means first forms ``small_clusters`` clusters, whose sizes and centres are the
-    weighted units; every row follows its small cluster.
+    Up to ``exact_rows`` rows every row is a unit of its own and the result is exact. Beyond
+    that the quadratic search is out of reach: k-means first forms ``small_clusters`` clusters,
+    whose sizes and centres are the weighted units; every row follows its small cluster.
     """
     columns = list(columns)
-    if points.limit(exact_units + 1).count() <= exact_units:
-        key = "CustomerID"
-        units = points.select(key, *columns).withColumn("_n", F.lit(1.0))
-        members = points.select(key)
+    if points.count() <= exact_rows:
+        members = points.select("CustomerID", F.col("CustomerID").alias("unit"))
+        units = points.select(
+            F.col("CustomerID").alias("unit"), F.lit(1.0).alias("weight"), *columns
+        )
     else:
         vectors = VectorAssembler(inputCols=columns, outputCol="_vector").transform(points)
         fitted = KMeans(
-            k=small_clusters, featuresCol="_vector", predictionCol="_unit", seed=seed
+            k=small_clusters, featuresCol="_vector", predictionCol="unit", seed=seed
         ).fit(vectors)
         members = materialize(
-            fitted.transform(vectors).select("CustomerID", "_unit", *columns), "units"
+            fitted.transform(vectors).select("CustomerID", "unit", *columns), "members"
         )
-        key = "_unit"
-        units = members.groupBy(key).agg(
-            F.count("*").cast("double").alias("_n"), *[F.avg(c).alias(c) for c in columns]
+        units = members.groupBy("unit").agg(
+            F.count("*").cast("double").alias("weight"), *[F.avg(c).alias(c) for c in columns]
         )
-    table = units.toPandas().sort_values(key, ignore_index=True)
-    table["_label"] = agglomerate(
-        table[columns].to_numpy(), table["_n"].to_numpy(), k, ward_gap
-    )
-    labels = points.sparkSession.createDataFrame(table[[key, "_label"]])
-    return renumber(members.join(labels, key), "_label")
+    labels = agglomerate_table(units, columns, k, ward_gap, driver_units)
+    return renumber(members.select("CustomerID", "unit").join(labels, "unit"), "label")
 
 
 def gaussian_mixture(
@@ -120,34 +120,25 @@ def consensus_clustering(
     k: int,
     runs: int = CONSENSUS_RUNS,
     seed: int = SEED,
-    max_units: int = EXACT_UNITS,
+    driver_units: int = DRIVER_UNITS,
 ) -> DataFrame:
     """Average linkage on how seldom two rows share a label over repeated k-means runs.
 
     Rows with equal labels in every run are at distance 0, so only the distinct label
-    signatures are linked, weighted by their rows. If the runs disagree so much that there are
-    more than ``max_units`` signatures, the rarer ones join the commoner one they agree with in
-    most runs before the linkage.
+    signatures are linked, weighted by their rows.
     """
     signed = materialize(kmeans_runs(points, columns, k, runs, seed), "signatures")
-    counts = signed.groupBy("signature").agg(F.count("*").alias("_n"))
-    common = (
-        counts.orderBy(F.desc("_n"), "signature").limit(max_units).toPandas()
+    indicators = {
+        f"r{run}_{c}": (F.col("signature")[run] == c).cast("double")
+        for run in range(runs) for c in range(k)
+    }
+    # The signature as text orders and hashes like any other unit name.
+    unit = F.array_join(F.col("signature").cast("array<string>"), "-")
+    named = signed.withColumn("unit", unit)
+    units = named.groupBy("unit").agg(
+        F.count("*").cast("double").alias("weight"), F.first("signature").alias("signature")
+    ).select("unit", "weight", *[v.alias(n) for n, v in indicators.items()])
+    labels = agglomerate_table(
+        units, list(indicators), k, coassociation_gap(runs), driver_units
     )
-    signatures = np.array(common["signature"].tolist()).reshape(len(common), runs)
-    one_hot = (signatures[:, :, None] == np.arange(k)).reshape(len(common), runs * k)
-    labels = agglomerate(
-        one_hot, common["_n"].to_numpy(), k, coassociation_gap(runs)
-    ).astype("int32")
-    sent = points.sparkSession.sparkContext.broadcast((one_hot.astype("float32"), labels))
-
-    @F.pandas_udf("int")
-    def label_of(signature: pd.Series) -> pd.Series:
-        known, names = sent.value
-        rows = np.array(signature.tolist()).reshape(len(signature), runs)
-        marks = (rows[:, :, None] == np.arange(k)).reshape(len(rows), runs * k)
-        # A known signature agrees fully with itself and with no other.
-        return pd.Series(names[(marks.astype("float32") @ known.T).argmax(axis=1)])
-
-    named = counts.select("signature", label_of("signature").alias("_label"))
-    return renumber(signed.join(named, "signature"), "_label")
+    return renumber(named.select("CustomerID", "unit").join(labels, "unit"), "label")

@@ -171,24 +171,30 @@ def _euclidean_means(points, columns, labels, id_col) -> DataFrame:
         members = {}
         for name in labels:
             cluster = right[name].to_numpy()
-            found = np.unique(cluster[cluster != -1])
-            members[name] = (found, (cluster[:, None] == found).astype(float))
+            order = np.argsort(cluster, kind="stable")
+            order = order[cluster[order] != -1]
+            members[name] = (order, *np.unique(cluster[order], return_index=True))
         ids = left[id_col].to_numpy()
         out = []
         tiles = distance_tiles(
             left[columns].to_numpy(dtype=float), right[columns].to_numpy(dtype=float)
         )
         for rows, gaps in tiles:
-            for name, (found, one_hot) in members.items():
+            for name, (order, found, starts) in members.items():
                 own = left[name].to_numpy()[rows]
                 counted = own != -1
+                if not len(found) or not counted.any():
+                    continue
+                sums = np.add.reduceat(gaps[counted][:, order], starts, axis=1)
                 out.append(pd.DataFrame({
                     id_col: np.repeat(ids[rows][counted], len(found)),
                     "labeling": name,
                     "cluster": np.repeat(own[counted], len(found)),
                     "other": np.tile(found, counted.sum()),
-                    "total": (gaps @ one_hot)[counted].ravel(),
+                    "total": sums.ravel(),
                 }))
+        if not out:
+            return pd.DataFrame(columns=[id_col, "labeling", "cluster", "other", "total"])
         return pd.concat(out, ignore_index=True)
 
     kind = points.schema[id_col].dataType.simpleString()

@@ -53,7 +53,8 @@ def brute_silhouette(gaps, label):
 @pytest.mark.parametrize("method", [
     lambda p: clustering.kmeans(p, COLUMNS, 3),
     lambda p: clustering.hierarchical(p, COLUMNS, 3),
-    lambda p: clustering.hierarchical(p, COLUMNS, 3, exact_units=10, small_clusters=20),
+    lambda p: clustering.hierarchical(p, COLUMNS, 3, exact_rows=10, small_clusters=20),
+    lambda p: clustering.hierarchical(p, COLUMNS, 3, driver_units=20),
     lambda p: clustering.gaussian_mixture(p, COLUMNS, 3),
     lambda p: clustering.consensus_clustering(p, COLUMNS, 3, runs=4),
     lambda p: density.dbscan(p, COLUMNS, 1.5),
@@ -133,12 +134,25 @@ def test_average_linkage_of_signatures_by_force():
     assert math.isclose(*cost, rel_tol=0.05)
 
 
-def test_consensus_with_more_signatures_than_units(spark):
-    data, _ = blobs(gap=1.0)
-    found = labels_of(
-        clustering.consensus_clustering(points_of(spark, data), COLUMNS, 3, runs=3, max_units=4)
+@pytest.mark.parametrize("k", [2, 5, 9])
+def test_rounds_give_the_same_tree(spark, k):
+    data, _ = blobs(rows=40, gap=1.5, seed=7)
+    data = np.vstack([data, [[40.0, 40.0], [40.5, 40.5]]])
+    whole = agglomerate(data, np.ones(len(data)), k, ward_gap)
+    points = points_of(spark, data)
+    assert same_partition(
+        labels_of(clustering.hierarchical(points, COLUMNS, k, driver_units=4)), whole
+    )
+
+
+def test_consensus_in_rounds(spark):
+    data, true = blobs(gap=4.0)
+    points = points_of(spark, data)
+    one, other = (
+        labels_of(clustering.consensus_clustering(points, COLUMNS, 3, runs=3, driver_units=n))
+        for n in (3, 1000)
     )
-    assert set(found) == {1, 2, 3} and len(found) == len(data)
+    assert same_partition(one, other)
 
 
 def test_coassociation(spark):
