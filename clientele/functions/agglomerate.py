@@ -98,25 +98,32 @@ def _nearest(units: DataFrame, columns: list[str], gap: Gap) -> DataFrame:
     Equal distances are common between label signatures. They are told apart by a number that
     both sides of a pair agree on, so that many pairs find each other in one round.
     """
+    def tie_number(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+        mixed = np.bitwise_xor(one, other).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(1)).astype(np.int64)
+
     def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        right_names = right["unit"].to_numpy()
-        marks = right["mark"].to_numpy()
+        names, marks = right["unit"].to_numpy(), right["mark"].to_numpy()
         weights, means = right["weight"].to_numpy(), right[columns].to_numpy()
+        itself = pd.Index(names).get_indexer(left["unit"])
         out = []
         step = max(1, TILE_CELLS // len(right))
         for start in range(0, len(left), step):
-            part = left.iloc[start:start + step]
+            part, own = left.iloc[start:start + step], itself[start:start + step]
+            part_marks = part["mark"].to_numpy()
             gaps = gap(part["weight"].to_numpy(), part[columns].to_numpy(), weights, means)
             gaps = np.round(gaps, 12)
-            gaps[part["unit"].to_numpy()[:, None] == right_names] = np.inf
-            ties = np.bitwise_xor.outer(part["mark"].to_numpy(), marks).astype(np.uint64)
-            ties = (ties * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(1)).astype(np.int64)
-            least = gaps.min(axis=1)
-            ties[gaps > least[:, None]] = np.iinfo(np.int64).max
-            at = ties.argmin(axis=1)
+            here = np.flatnonzero(own >= 0)
+            gaps[here, own[here]] = np.inf
+            at = gaps.argmin(axis=1)
+            least = gaps[np.arange(len(part)), at]
+            ties = (gaps == least[:, None])
+            for i in np.flatnonzero(ties.sum(axis=1) > 1):
+                equal = np.flatnonzero(ties[i])
+                at[i] = equal[tie_number(part_marks[i], marks[equal]).argmin()]
             out.append(pd.DataFrame({
                 "unit": part["unit"].to_numpy(), "gap": least,
-                "tie": ties[np.arange(len(part)), at], "near": right_names[at],
+                "tie": tie_number(part_marks, marks[at]), "near": names[at],
             }))
         return pd.concat(out)
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from clientele.constants import SEED, STARTS
 
-SEEDING_ROWS = 4_096
+SEEDING_ROWS = 16_384
 MAX_PASSES = 300
 SAMPLE_PASSES = 100
 TOLERANCE = 1e-4

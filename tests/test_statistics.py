@@ -81,6 +81,12 @@ def test_forest_finds_the_far_points(spark):
     assert anomaly.inliers(scored).count() == 950
 
 
+def test_forest_on_fewer_rows_than_a_sample(spark):
+    df = frame(spark, {"CustomerID": [str(i) for i in range(40)], "x": [0.0] * 38 + [50.0, -50.0]})
+    scored = anomaly.isolation_forest(df, ["x"])
+    assert {r.CustomerID for r in scored.where("is_outlier").collect()} == {"38", "39"}
+
+
 def test_samples_have_the_wanted_size(spark):
     df = spark.range(5000).select(F.col("id").cast("string").alias("CustomerID"), F.lit(1.0).alias("x"))
     per_tree = anomaly.draw_samples(df, ["x"], 5000, 20, 256, 42).groupBy("tree").count().collect()
