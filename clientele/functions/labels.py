@@ -15,12 +15,13 @@ def renumber(
     """(id, cluster): numbered by falling size, then by least id; a null label becomes -1."""
     stored = materialize(labeled.select(id_col, label), "labels")
     order = Window.orderBy(F.desc("rows"), F.asc("least"))
-    # One row per cluster reaches the window.
-    numbers = (
+    # One row per cluster reaches the window; stored, so that the join knows how small it is.
+    numbers = materialize(
         stored.where(F.col(label).isNotNull())
         .groupBy(label)
         .agg(F.count("*").alias("rows"), F.min(id_col).alias("least"))
-        .select(label, (F.row_number().over(order) - 1 + first).cast("int").alias("cluster"))
+        .select(label, (F.row_number().over(order) - 1 + first).cast("int").alias("cluster")),
+        "numbers",
     )
     return stored.join(numbers, label, "left").select(
         id_col, F.coalesce("cluster", F.lit(-1)).alias("cluster")

@@ -1,7 +1,7 @@
 """Exact quantiles that stay distributed.
 
 The built-in ``percentile`` keeps every distinct value in one task, so it is used only after the
-row count is known to be small. Above that, each wanted rank is closed in on by counting rows in
+number of values is known to be small. Above that, each wanted rank is closed in on by counting rows in
 bins: a pass counts the bins of an interval, the bin that holds the rank becomes the next
 interval, and its own minimum and maximum tighten it. A pass returns at most ``BINS`` rows per
 open interval, whatever the size or skew of the data; ties end a search at once, because a bin
@@ -16,18 +16,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 1_000_000
+SMALL_VALUES = 1_000_000
 BINS = 256
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], small_rows: int = SMALL_ROWS
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], small_values: int = SMALL_VALUES
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each column, nulls left out.
 
     ``df`` is scanned several times, so it should be a stored table.
     """
-    if df.count() <= small_rows:
+    if df.count() * len(columns) <= small_values:
         wanted = F.array(*[F.lit(float(p)) for p in probs])
         row = df.agg(*[F.percentile(F.col(c), wanted).alias(c) for c in columns]).first()
         return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in columns}

@@ -78,12 +78,16 @@ def hierarchical(
 def gaussian_mixture(
     points: DataFrame, columns: Sequence[str], k: int, seed: int = SEED
 ) -> DataFrame:
-    """Full covariances; stops when the mean log-likelihood of a row gains less than 1e-3."""
+    """Full covariances; stops when the mean log-likelihood of a row gains less than 1e-6.
+
+    The fit starts from random means, whose first steps gain little, so a looser rule would
+    stop there.
+    """
     vectors = VectorAssembler(inputCols=list(columns), outputCol="_vector").transform(points)
     # MLlib compares the sum over all rows with its tolerance.
     model = GaussianMixture(
         k=k, featuresCol="_vector", predictionCol="_label", seed=seed,
-        tol=1e-3 * points.count(), maxIter=100,
+        tol=1e-6 * points.count(), maxIter=100,
     ).fit(vectors)
     return renumber(model.transform(vectors), "_label")
 

@@ -205,9 +205,13 @@ def _euclidean_means(points, columns, labels, id_col) -> DataFrame:
     totals = partial.groupBy(id_col, "labeling", "cluster", "other").agg(
         F.sum("total").alias("total")
     )
-    sizes = long_labels(points, columns, labels).groupBy(
-        "labeling", F.col("cluster").alias("other")
-    ).agg(F.count("*").alias("n"))
+    # Few clusters, many rows each: stored, so that the join need not shuffle by cluster.
+    sizes = materialize(
+        long_labels(points, columns, labels)
+        .groupBy("labeling", F.col("cluster").alias("other"))
+        .agg(F.count("*").alias("n")),
+        "sizes",
+    )
     return totals.join(sizes, ["labeling", "other"])
 
 
