@@ -18,6 +18,7 @@ from clientele.functions.agglomerate import (
 )
 from clientele.functions.labels import renumber
 from clientele.operators.kmeans import (
+    Model,
     assign,
     best_of,
     fit_kmeans,
@@ -32,10 +33,15 @@ SMALL_CLUSTERS = 1_000
 
 
 def kmeans(
-    points: DataFrame, columns: Sequence[str], k: int, seed: int = SEED, starts: int = STARTS
+    points: DataFrame,
+    columns: Sequence[str],
+    k: int,
+    seed: int = SEED,
+    starts: int = STARTS,
+    model: Model | None = None,
 ) -> DataFrame:
-    """The best of several starts."""
-    model = fit_kmeans(points, columns, k, seed, starts)
+    """The best of several starts, or the labels of a model that is already fitted."""
+    model = model or fit_kmeans(points, columns, k, seed, starts)
     return renumber(assign(points, columns, {"label": model}), "label")
 
 

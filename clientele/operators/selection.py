@@ -136,17 +136,22 @@ def kmeans_sweep(
     return _quality(points, columns, fit_every_k(points, columns, max_k, seed, gap_sets=0))
 
 
-def k_metrics(
-    points: DataFrame, columns: Sequence[str], max_k: int = MAX_CLUSTERS, seed: int = SEED
+def metrics_of_fits(
+    points: DataFrame, columns: Sequence[str], best: dict[tuple[int, int], Model]
 ) -> DataFrame:
-    """The sweep and the gap statistic from one set of fits, stored: one row per k."""
-    best = fit_every_k(points, columns, max_k, seed)
+    """The sweep and the gap statistic of fitted models, stored: one row per k."""
     gaps = points.sparkSession.createDataFrame(
         sorted(_gaps(best).items()), "k int, gap_statistic double"
     )
     return materialize(_quality(points, columns, best).join(gaps, "k"), "k")
 
 
+def k_metrics(
+    points: DataFrame, columns: Sequence[str], max_k: int = MAX_CLUSTERS, seed: int = SEED
+) -> DataFrame:
+    return metrics_of_fits(points, columns, fit_every_k(points, columns, max_k, seed))
+
+
 def k_scores(metrics: DataFrame) -> DataFrame:
     """Each metric scaled to 0..1 over all k (Davies-Bouldin turned round) and weighted."""
     every = Window.partitionBy()

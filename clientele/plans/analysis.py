@@ -21,10 +21,15 @@ from clientele.operators import cleaning, clustering, explore, profiles, segment
 from clientele.operators.anomaly import inliers, isolation_forest
 from clientele.operators.density import dbscan
 from clientele.operators.features import engineer_features, feature_columns
-from clientele.operators.kmeans import spread
+from clientele.operators.kmeans import Model, spread
 from clientele.operators.metrics import all_metrics, silhouette_samples
 from clientele.operators.scaling import robust_scale
-from clientele.operators.selection import k_metrics, optimal_k_table, selected_k
+from clientele.operators.selection import (
+    fit_every_k,
+    metrics_of_fits,
+    optimal_k_table,
+    selected_k,
+)
 from clientele.storage import materialize
 
 
@@ -95,13 +100,14 @@ def fit_all(
     k: int,
     seed: int = SEED,
     dbscan_rows: int = DBSCAN_ROW_LIMIT,
+    model: Model | None = None,
 ) -> dict[str, DataFrame]:
     """(id, cluster) from each method; one that fails is left out with a warning.
 
-    DBSCAN takes part below ``dbscan_rows`` rows.
+    DBSCAN takes part below ``dbscan_rows`` rows. ``model`` saves fitting k-means again.
     """
     methods = {
-        "KMeans": lambda: clustering.kmeans(points, columns, k, seed),
+        "KMeans": lambda: clustering.kmeans(points, columns, k, seed, model=model),
         "Agglomerative": lambda: clustering.hierarchical(points, columns, k, seed),
         "GaussianMixture": lambda: clustering.gaussian_mixture(points, columns, k, seed),
         "DBSCAN": lambda: dbscan(points, columns),
@@ -217,10 +223,11 @@ def run_analysis(
     kept = inliers(scored)
     points = robust_points(kept, columns)
 
-    k_table = k_metrics(points, columns, max_clusters, seed)
+    fitted = fit_every_k(points, columns, max_clusters, seed)
+    k_table = metrics_of_fits(points, columns, fitted)
     k = selected_k(k_table)
 
-    labeled = fit_all(points, columns, k, seed, dbscan_rows)
+    labeled = fit_all(points, columns, k, seed, dbscan_rows, fitted.get((0, k)))
     wide = with_labels(points, labeled)
     comparison = materialize(algorithm_comparison(wide, columns, list(labeled)), "comparison")
     best = best_algorithm(comparison).first().algorithm
