@@ -5,14 +5,19 @@ from __future__ import annotations
 from clientele.llm.mixing import op1_mixing
 from clientele.llm.packing import op4_packing
 from clientele.llm.passages import op9_passages
+from clientele.llm.quality import SQL as QUALITY_SQL
+from clientele.llm.quality import op7_quality
 from clientele.llm.simhash import op5_simhash
+from clientele.llm.token_counts import op6_token_counts
 from clientele.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op4_packing": op4_packing,
     "op5_simhash": op5_simhash,
+    "op6_token_counts": op6_token_counts,
+    "op7_quality": op7_quality,
     "op9_passages": op9_passages,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op7_quality": QUALITY_SQL}
