@@ -218,7 +218,8 @@ def repeated_passages(
     base = store(
         rows.mapInArrow(_measure, "ord bigint, uid bigint, n_words bigint, sha256 string"), "words"
     )
-    first = base.groupBy("sha256").agg(F.min("ord").alias("least"))
+    first = base.groupBy("sha256").agg(F.min("ord").alias("least"), F.count("*").alias("n"))
+    first = store(first.where(F.col("n") > 1), "repeated")
     copies = store(
         base.join(first, "sha256").where((F.col("ord") > F.col("least")))
         .select("ord", "uid", F.lit(True).alias("copy")).distinct(), "copies",

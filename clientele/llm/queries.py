@@ -8,6 +8,7 @@ from clientele.llm.passages import op9_passages
 from clientele.llm.quality import SQL as QUALITY_SQL
 from clientele.llm.quality import op7_quality
 from clientele.llm.simhash import op5_simhash
+from clientele.llm.suffixes import op8_suffixes
 from clientele.llm.token_counts import op6_token_counts
 from clientele.llm.toxicity import op10_toxicity
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
     "op7_quality": op7_quality,
+    "op8_suffixes": op8_suffixes,
     "op9_passages": op9_passages,
     "op10_toxicity": op10_toxicity,
 }

@@ -222,11 +222,12 @@ def _batch(k1, k2, ids, uids, start, sizes, known, texts) -> pa.RecordBatch:
 def _sort_directly(keys: np.ndarray, suffixes: np.ndarray, depth: int) -> np.ndarray:
     """The suffixes by their first ``depth`` bytes; only ties are looked at further."""
     order = suffixes[np.argsort(keys[suffixes], kind="stable")]
-    group = run_of_row(run_starts(keys[order]), len(order))
+    first = run_starts(keys[order])
+    group = first[run_of_row(first, len(order))]
     at = 8
     open_ = np.arange(len(order))
     while at < depth and len(open_):
-        sizes = np.bincount(group[open_])
+        sizes = np.bincount(group[open_], minlength=1)
         open_ = open_[sizes[group[open_]] > 1]
         if not len(open_):
             break
@@ -247,7 +248,7 @@ def two_stage_suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     if not n:
         return np.zeros(0, dtype=np.int64)
     wide = np.concatenate([text, np.zeros(8, dtype=np.uint8)])
-    keys = _words(wide).byteswap()[:n]
+    keys = np.append(_words(wide).byteswap()[:n], np.uint64(0))
     rises = np.zeros(n, dtype=bool)
     rises[:-1] = text[:-1] < text[1:]
     differs = np.ones(n, dtype=bool)
@@ -302,8 +303,9 @@ def common_prefixes(keys: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -
         x = keys[np.minimum(a[open_] + at, len(keys) - 1)] ^ keys[
             np.minimum(b[open_] + at, len(keys) - 1)]
         equal = x == 0
-        bits = np.frexp((x[~equal] >> np.uint64(11)).astype(float) + 0.5)[1] + 10
-        length[open_[~equal]] = at + np.clip((64 - bits) // 8, 0, 7)
+        apart = x[~equal]
+        zeros = sum((apart >> np.uint64(shift) == 0).astype(np.int64) for shift in range(56, 0, -8))
+        length[open_[~equal]] = at + zeros
         open_ = open_[equal]
         length[open_] = at + 8
     return np.minimum(length, most)
@@ -432,7 +434,8 @@ def without_repeated_bytes(
         rows.select("ord", "uid", F.length("text").cast("bigint").alias("n_bytes"),
                     F.sha2("text", 256).alias("sha256")), "bytes",
     )
-    first = base.groupBy("sha256").agg(F.min("ord").alias("least"))
+    first = base.groupBy("sha256").agg(F.min("ord").alias("least"), F.count("*").alias("n"))
+    first = store(first.where(F.col("n") > 1), "repeated")
     copies = store(
         base.join(first, "sha256").where(F.col("ord") > F.col("least"))
         .select("ord", "uid", F.lit(True).alias("copy")).distinct(), "copies",
