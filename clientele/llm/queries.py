@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from clientele.llm.embeddings import op2_embeddings
+from clientele.llm.language import op3_language
 from clientele.llm.mixing import op1_mixing
 from clientele.llm.packing import op4_packing
 from clientele.llm.passages import op9_passages
@@ -14,6 +16,8 @@ from clientele.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_embeddings": op2_embeddings,
+    "op3_language": op3_language,
     "op4_packing": op4_packing,
     "op5_simhash": op5_simhash,
     "op6_token_counts": op6_token_counts,
