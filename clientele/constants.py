@@ -63,7 +63,6 @@ PLOT_SAMPLE = 5000
 REPORT_SAMPLE = 20
 DBSCAN_EPS = 0.5
 DBSCAN_MIN_SAMPLES = 5
-DBSCAN_ROW_LIMIT = 10000
 GAP_SETS = 3
 K_WEIGHTS = {
     "silhouette": 0.3, "calinski_harabasz": 0.2, "davies_bouldin": 0.2, "gap_statistic": 0.3,

@@ -1,73 +1,77 @@
 """Exact quantiles that stay distributed.
 
-The built-in ``percentile`` keeps every distinct value in one task, so it is used only after the
-number of values is known to be small. Above that, each wanted rank is closed in on by counting rows in
-bins: a pass counts the bins of an interval, the bin that holds the rank becomes the next
-interval, and its own minimum and maximum tighten it. A pass returns at most ``BINS`` rows per
-open interval, whatever the size or skew of the data; ties end a search at once, because a bin
-with one value has equal minimum and maximum.
+The built-in ``percentile`` keeps every distinct value in one task. Here each wanted rank is
+closed in on by counting: doubles are mapped to 64-bit integers that order alike, a pass counts
+256 bins of an interval of integers, the bin that holds the rank becomes the next interval, and
+its own minimum and maximum tighten it. Every pass divides the interval by 256, so eight passes
+end any search, whatever the range or skew and with infinite values too. A pass returns at most
+``BINS`` rows per open interval; ties end a search at once.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_VALUES = 1_000_000
 BINS = 256
+_SIGN = np.int64(0x7FFFFFFFFFFFFFFF)
+
+
+def ordered_integers(values: np.ndarray) -> np.ndarray:
+    """64-bit integers in the order of the doubles; both zeros are one, NaN comes last."""
+    bits = (np.where(np.isnan(values), np.nan, values) + 0.0).view(np.int64)
+    return np.where(bits < 0, bits ^ _SIGN, bits)
+
+
+def _double(image: int) -> float:
+    bits = np.array([image], dtype=np.int64)
+    return float(np.where(bits < 0, bits ^ _SIGN, bits).view(np.float64)[0])
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], small_values: int = SMALL_VALUES
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of each column, nulls left out.
 
     ``df`` is scanned several times, so it should be a stored table.
     """
-    if df.count() * len(columns) <= small_values:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        row = df.agg(*[F.percentile(F.col(c), wanted).alias(c) for c in columns]).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(probs) for c in columns}
-
-    bounds = df.agg(*[
-        F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
-        for c in columns
-    ]).first()
-    places = {c: [(bounds[c].n - 1) * p for p in probs] for c in columns}
+    columns = list(columns)
+    whole = (-(2**63), 2**63 - 1)
+    first = _count_bins(df, [(c, *whole) for c in columns])
+    sizes = {c: sum(n for _, n, _, _ in first.get(i, [])) for i, c in enumerate(columns)}
+    places = {c: [(sizes[c] - 1) * p for p in probs] for c in columns}
     ranks = {
         c: sorted({r for h in places[c] for r in (math.floor(h), math.ceil(h))})
-        for c in columns if bounds[c].n
+        for c in columns if sizes[c]
     }
-    found = _values_at_ranks(df, ranks, {c: (bounds[c].lo, bounds[c].hi) for c in ranks})
+    found = _values_at_ranks(df, columns, ranks, first)
     result: dict[str, list[float | None]] = {}
     for c in columns:
         if c not in ranks:
             result[c] = [None] * len(probs)
             continue
         values = found[c]
-        result[c] = [
-            values[math.floor(h)] + (values[math.ceil(h)] - values[math.floor(h)]) * (h % 1)
-            for h in places[c]
-        ]
+        result[c] = [_between(values[math.floor(h)], values[math.ceil(h)], h % 1) for h in places[c]]
     return result
 
 
-def _values_at_ranks(df, ranks, bounds) -> dict[str, dict[int, float]]:
+def _between(low: float, high: float, share: float) -> float:
+    if low == high or not share:
+        return low
+    return low + (high - low) * share
+
+
+def _values_at_ranks(df, columns, ranks, first) -> dict[str, dict[int, float]]:
     found: dict[str, dict[int, float]] = {c: {} for c in ranks}
-    open_ = []
-    for c, wanted in ranks.items():
-        lo, hi = (float(x) for x in bounds[c])
-        if lo == hi:
-            found[c] = dict.fromkeys(wanted, lo)
-        else:
-            open_.append((c, lo, hi, 0, wanted))
+    bins, open_ = first, [(c, 0, ranks.get(c, [])) for c in columns]
     while open_:
-        bins = _count_bins(df, open_)
         following = []
-        for slot, (c, _, _, below, wanted) in enumerate(open_):
+        for slot, (c, below, wanted) in enumerate(open_):
             pending = list(wanted)
             for _, n, lo, hi in sorted(bins.get(slot, [])):
                 inside = [r for r in pending if r < below + n]
@@ -75,34 +79,57 @@ def _values_at_ranks(df, ranks, bounds) -> dict[str, dict[int, float]]:
                 searched = []
                 for r in inside:
                     if lo == hi or r == below:
-                        found[c][r] = lo
+                        found[c][r] = _double(lo)
                     elif r == below + n - 1:
-                        found[c][r] = hi
+                        found[c][r] = _double(hi)
                     else:
                         searched.append(r)
                 if searched:
                     following.append((c, lo, hi, below, searched))
                 below += n
-        open_ = following
+        open_ = [(c, below, wanted) for c, _, _, below, wanted in following]
+        bins = _count_bins(df, [(c, lo, hi) for c, lo, hi, _, _ in following]) if open_ else {}
     return found
 
 
 def _count_bins(df, intervals) -> dict[int, list[tuple]]:
-    marks = []
-    for slot, (c, lo, hi, _, _) in enumerate(intervals):
-        value = F.col(c).cast("double")
-        place = F.least(F.floor((value - lo) / F.lit(hi - lo) * BINS), F.lit(BINS - 1))
-        marks.append(F.when(
-            value.between(lo, hi),
-            F.struct(F.lit(slot).alias("slot"), place.cast("int").alias("bin"), value.alias("v")),
-        ))
-    rows = (
-        df.select(F.explode(F.filter(F.array(*marks), lambda m: m.isNotNull())).alias("m"))
-        .groupBy("m.slot", "m.bin")
-        .agg(F.count("*").alias("n"), F.min("m.v").alias("lo"), F.max("m.v").alias("hi"))
-        .collect()
+    """For each interval (column, least, largest integer) its bins: number, rows, least, largest."""
+    names = sorted({c for c, _, _ in intervals})
+    place = {c: f"c{i}" for i, c in enumerate(names)}
+    plan = [
+        (place[c], lo, hi, max(0, (hi - lo).bit_length() - 8)) for c, lo, hi in intervals
+    ]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[list[np.ndarray]] = [[] for _ in range(5)]
+            images = {}
+            for slot, (name, lo, hi, shift) in enumerate(plan):
+                if name not in images:
+                    values = batch.column(name).drop_null().to_numpy()
+                    images[name] = np.sort(ordered_integers(values))
+                held = images[name]
+                held = held[np.searchsorted(held, lo):np.searchsorted(held, hi, side="right")]
+                # The distance from the least one fits an unsigned number.
+                number = (held.view(np.uint64) - np.uint64(lo % 2**64)) >> np.uint64(shift)
+                starts = np.flatnonzero(np.diff(number, prepend=number[:1] + np.uint64(1)))
+                ends = np.append(starts[1:], len(held))[: len(starts)]
+                for part, values in zip(rows, (
+                    np.full(len(starts), slot), number[starts].astype(np.int64), ends - starts,
+                    held[starts], held[ends - 1],
+                )):
+                    part.append(values.astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(part)) for part in rows], ["slot", "bin", "n", "lo", "hi"]
+            )
+
+    counted = (
+        df.select(*[F.col(c).cast("double").alias(place[c]) for c in names])
+        .mapInArrow(count, "slot bigint, bin bigint, n bigint, lo bigint, hi bigint")
+        .groupBy("slot", "bin")
+        .agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     )
     bins: dict[int, list[tuple]] = {}
-    for r in rows:
+    for r in counted.collect():
         bins.setdefault(r.slot, []).append((r.bin, r.n, r.lo, r.hi))
     return bins

@@ -79,8 +79,13 @@ def drop_duplicates(df: DataFrame, order_col: str | None = None) -> DataFrame:
     """
     if order_col is None:
         return df.dropDuplicates()
-    others = [c for c in df.columns if c != order_col]
-    return df.groupBy(*others).agg(F.min(order_col).alias(order_col))
+    # Readers clean column names, so the order column is found as Spark would find it, or clean.
+    same = [c for c in df.columns if c.lower() == order_col.lower()]
+    same = same or [c for c in df.columns if c.lower() == cols.clean_name(order_col)]
+    if len(same) != 1:
+        raise ValueError(f"no column {order_col!r}")
+    others = [c for c in df.columns if c != same[0]]
+    return df.groupBy(*others).agg(F.min(same[0]).alias(same[0]))
 
 
 def trim_quantiles(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import GaussianMixture, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +26,9 @@ from clientele.operators.kmeans import (
     seed_rows,
     starting_models,
 )
+from clientele.operators.mixture import assign_mixture, fit_mixture
 from clientele.storage import materialize
 
-ROUND_ROWS = 200_000
-SMALL_CLUSTERS = 1_000
-
 
 def kmeans(
     points: DataFrame,
@@ -50,18 +48,17 @@ def hierarchical(
     columns: Sequence[str],
     k: int,
     seed: int = SEED,
-    exact_rows: int = ROUND_ROWS,
-    small_clusters: int = SMALL_CLUSTERS,
+    small_clusters: int | None = None,
     driver_units: int = DRIVER_UNITS,
 ) -> DataFrame:
     """Ward linkage.
 
-    Up to ``exact_rows`` rows every row is a unit of its own and the result is exact. Beyond
-    that the quadratic search is out of reach: k-means first forms ``small_clusters`` clusters,
-    whose sizes and centres are the weighted units; every row follows its small cluster.
+    Every row is a unit of its own, whatever their number. With ``small_clusters``, k-means first
+    forms so many clusters, whose sizes and centres are the weighted units; every row follows its
+    small cluster. That is another, linear method, and only the caller chooses it.
     """
     columns = list(columns)
-    if points.count() <= exact_rows:
+    if small_clusters is None:
         members = points.select("CustomerID", F.col("CustomerID").alias("unit"))
         units = points.select(
             F.col("CustomerID").alias("unit"), F.lit(1.0).alias("weight"), *columns
@@ -82,20 +79,12 @@ def hierarchical(
 
 
 def gaussian_mixture(
-    points: DataFrame, columns: Sequence[str], k: int, seed: int = SEED
+    points: DataFrame, columns: Sequence[str], k: int, seed: int = SEED, starts: int = STARTS,
+    model: Model | None = None,
 ) -> DataFrame:
-    """Full covariances; stops when the mean log-likelihood of a row gains less than 1e-6.
-
-    The fit starts from random means, whose first steps gain little, so a looser rule would
-    stop there.
-    """
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="_vector").transform(points)
-    # MLlib compares the sum over all rows with its tolerance.
-    model = GaussianMixture(
-        k=k, featuresCol="_vector", predictionCol="_label", seed=seed,
-        tol=1e-6 * points.count(), maxIter=100,
-    ).fit(vectors)
-    return renumber(model.transform(vectors), "_label")
+    """Full covariances, started from the clusters of k-means; see ``fit_mixture``."""
+    model = model or fit_kmeans(points, columns, k, seed, starts)
+    return renumber(assign_mixture(points, columns, fit_mixture(points, columns, model)), "label")
 
 
 def kmeans_runs(

@@ -6,8 +6,8 @@ noise, which no metric counts. All label columns are measured in the same passes
 The silhouette needs the mean distance of each row to each cluster. For squared distances that
 is a closed form of the cluster's size, mean and mean square, so the work is linear and every
 row gets its exact value. For plain Euclidean distances, the default, no such form exists: the
-work is quadratic by definition. It runs in blocks of bounded size up to ``EXACT_ROWS`` rows;
-beyond that ``auto`` takes the squared form. The ``distance`` column says which one was used.
+work is quadratic by definition and runs in blocks of bounded size. The caller chooses by
+``distance``, whatever the number of rows; the ``distance`` column says which one was used.
 """
 
 from __future__ import annotations
@@ -23,8 +23,9 @@ from pyspark.sql.window import Window
 from clientele.functions.blocks import distance_tiles, meet_in_blocks
 from clientele.storage import materialize
 
-EXACT_ROWS = 500_000
 RIGHT_ROWS = 50_000
+#: Rows that meet all clusters of a labeling at once.
+SQUARED_ROWS = 1_000
 
 
 def long_labels(points: DataFrame, columns: Sequence[str], labels: Sequence[str]) -> DataFrame:
@@ -127,22 +128,18 @@ def silhouette_samples(
     columns: Sequence[str],
     labels: Sequence[str],
     id_col: str = "CustomerID",
-    distance: str = "auto",
-    exact_rows: int = EXACT_ROWS,
+    distance: str = "euclidean",
 ) -> DataFrame:
     """(b - a) / max(a, b) of every row that is no noise; 0 in a cluster of one.
 
-    Columns: the id, labeling, cluster, silhouette, distance. ``distance`` is ``euclidean``,
-    ``squared`` or ``auto``.
+    Columns: the id, labeling, cluster, silhouette, distance. ``distance`` is ``euclidean`` or
+    ``squared``.
     """
-    if distance == "auto":
-        distance = "euclidean" if points.count() <= exact_rows else "squared"
-    if distance == "euclidean":
-        means = _euclidean_means(points, list(columns), list(labels), id_col)
-    elif distance == "squared":
-        means = _squared_means(points, columns, labels, id_col)
-    else:
-        raise ValueError(f"distance must be euclidean, squared or auto, not {distance!r}")
+    if distance == "squared":
+        return _squared_samples(points, list(columns), list(labels), id_col)
+    if distance != "euclidean":
+        raise ValueError(f"distance must be euclidean or squared, not {distance!r}")
+    means = _euclidean_means(points, list(columns), list(labels), id_col)
     scored = means.groupBy(id_col, "labeling").agg(
         F.max(F.when(F.col("other") == F.col("cluster"), F.col("cluster"))).alias("cluster"),
         F.max(F.when(F.col("other") == F.col("cluster"), F.col("n"))).alias("own_rows"),
@@ -215,19 +212,53 @@ def _euclidean_means(points, columns, labels, id_col) -> DataFrame:
     return totals.join(sizes, ["labeling", "other"])
 
 
-def _squared_means(points, columns, labels, id_col) -> DataFrame:
-    """The same sums for squared distances: n * |x - mean|^2 + inner sum of squares."""
-    centers = materialize(cluster_centers(points, columns, labels), "centers")
-    centers = centers.withColumnRenamed("cluster", "other")
-    gap = _square_gap([F.col(c) for c in columns], [F.col(f"m_{c}") for c in columns])
-    return (
-        long_labels(points, columns, labels)
-        .join(centers, "labeling")
-        .select(
-            id_col, "labeling", "cluster", "other", "n",
-            (gap * F.col("n") + F.col("within")).alias("total"),
+def _squared_samples(points, columns, labels, id_col) -> DataFrame:
+    """The same for squared distances: the mean to a cluster is |x - mean|^2 + inner variance.
+
+    The labels lie on the row and the clusters of one labeling fit into a task, so each row is
+    finished in the scan: nothing is shuffled and no row is copied per cluster.
+    """
+    centers = cluster_centers(points, columns, labels).toPandas()
+    plan = {
+        name: (
+            own["cluster"].to_numpy(), own["n"].to_numpy(dtype=float),
+            own[[f"m_{c}" for c in columns]].to_numpy(dtype=float),
+            own["within"].to_numpy(dtype=float),
         )
-    )
+        for name, own in centers.sort_values("cluster").groupby("labeling")
+    }
+    sent = points.sparkSession.sparkContext.broadcast(plan)
+
+    def finish(batches):
+        for batch in batches:
+            data = batch[columns].to_numpy(dtype=float)
+            for name in labels:
+                label = batch[name].to_numpy()
+                counted = np.flatnonzero(label != -1)
+                if name not in sent.value or not len(counted):
+                    continue
+                clusters, n, means, within = sent.value[name]
+                value = np.zeros(len(counted))
+                for at in range(0, len(counted), SQUARED_ROWS):
+                    rows = counted[at:at + SQUARED_ROWS]
+                    own = np.searchsorted(clusters, label[rows])
+                    total = ((data[rows][:, None, :] - means) ** 2).sum(axis=2) * n + within
+                    here = np.arange(len(rows))
+                    a = total[here, own] / np.maximum(n[own] - 1, 1)
+                    total[here, own] = np.inf
+                    b = (total / n).min(axis=1)
+                    top = np.maximum(a, b)
+                    fit = (n[own] > 1) & np.isfinite(b) & (top > 0)
+                    value[at:at + SQUARED_ROWS][fit] = (b - a)[fit] / top[fit]
+                yield pd.DataFrame({
+                    id_col: batch[id_col].to_numpy()[counted], "labeling": name,
+                    "cluster": label[counted].astype("int32"), "silhouette": value,
+                    "distance": "squared",
+                })
+
+    kind = points.schema[id_col].dataType.simpleString()
+    schema = f"`{id_col}` {kind}, labeling string, cluster int, silhouette double, distance string"
+    return points.select(id_col, *columns, *labels).mapInPandas(finish, schema)
 
 
 def silhouette_score(samples: DataFrame) -> DataFrame:
@@ -235,14 +266,17 @@ def silhouette_score(samples: DataFrame) -> DataFrame:
 
 
 def all_metrics(
-    points: DataFrame, columns: Sequence[str], labels: Sequence[str], id_col: str = "CustomerID"
+    points: DataFrame, columns: Sequence[str], labels: Sequence[str], id_col: str = "CustomerID",
+    distance: str = "euclidean",
 ) -> DataFrame:
     """One row per label column: clusters, silhouette, CH, DB and inner sum of squares."""
     centers = materialize(cluster_centers(points, columns, labels), "centers")
     sums = centers.groupBy("labeling").agg(
         F.count("*").cast("int").alias("n_clusters"), F.sum("within").alias("wcss")
     )
-    silhouettes = silhouette_score(silhouette_samples(points, columns, labels, id_col))
+    silhouettes = silhouette_score(
+        silhouette_samples(points, columns, labels, id_col, distance)
+    )
     return (
         sums.join(silhouettes, "labeling", "left")
         .join(_variance_ratio(centers, columns), "labeling", "left")

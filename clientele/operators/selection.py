@@ -119,31 +119,36 @@ def gap_statistic(
     )
 
 
-def _quality(points, columns, best) -> DataFrame:
+def _quality(points, columns, best, distance: str = "euclidean") -> DataFrame:
     named = {f"k{k}": model for (part, k), model in best.items() if part == 0}
     labeled = materialize(spread(assign(points, columns, named)), "sweep")
-    return all_metrics(labeled, columns, list(named)).select(
+    return all_metrics(labeled, columns, list(named), distance=distance).select(
         F.substring("labeling", 2, 9).cast("int").alias("k"),
-        F.coalesce("silhouette", F.lit(-1.0)).alias("silhouette"),
+        # One label left, or none, cannot be told apart from another.
+        F.when(F.col("n_clusters") > 1, F.col("silhouette")).otherwise(F.lit(-1.0))
+        .alias("silhouette"),
         *METRICS[1:],
     )
 
 
 def kmeans_sweep(
-    points: DataFrame, columns: Sequence[str], max_k: int = MAX_CLUSTERS, seed: int = SEED
+    points: DataFrame, columns: Sequence[str], max_k: int = MAX_CLUSTERS, seed: int = SEED,
+    distance: str = "euclidean",
 ) -> DataFrame:
     """Silhouette, CH, DB and WCSS of the best k-means model for each k."""
-    return _quality(points, columns, fit_every_k(points, columns, max_k, seed, gap_sets=0))
+    best = fit_every_k(points, columns, max_k, seed, gap_sets=0)
+    return _quality(points, columns, best, distance)
 
 
 def metrics_of_fits(
-    points: DataFrame, columns: Sequence[str], best: dict[tuple[int, int], Model]
+    points: DataFrame, columns: Sequence[str], best: dict[tuple[int, int], Model],
+    distance: str = "euclidean",
 ) -> DataFrame:
     """The sweep and the gap statistic of fitted models, stored: one row per k."""
     gaps = points.sparkSession.createDataFrame(
         sorted(_gaps(best).items()), "k int, gap_statistic double"
     )
-    return materialize(_quality(points, columns, best).join(gaps, "k"), "k")
+    return materialize(_quality(points, columns, best, distance).join(gaps, "k"), "k")
 
 
 def k_metrics(

@@ -59,13 +59,22 @@ def anova(
             (F.sum("n") - F.count("*")).alias("d2"),
         )
     )
-    ratio = F.try_divide(F.col("between") * F.col("d2"), F.col("within") * F.col("d1"))
+    # A split without any inner variance is beyond every bound.
+    perfect = (F.col("within") == 0) & (F.col("between") > 0) & (F.col("d2") > 0)
+    ratio = F.when(perfect, F.lit(float("inf"))).otherwise(
+        F.try_divide(F.col("between") * F.col("d2"), F.col("within") * F.col("d1"))
+    )
     explained = F.coalesce(
         F.try_divide(F.col("between"), F.col("between") + F.col("within")), F.lit(0.0)
     )
     tested = sums.select(
         "feature", ratio.alias("f_statistic"), explained.alias("eta_squared"), "d1", "d2"
-    ).withColumn("p_value", f_tail(F.col("f_statistic"), F.col("d1"), F.col("d2")))
+    ).withColumn(
+        "p_value",
+        F.when(F.col("f_statistic") == float("inf"), F.lit(0.0)).otherwise(
+            f_tail(F.col("f_statistic"), F.col("d1"), F.col("d2"))
+        ),
+    )
     return tested.select(
         "feature",
         "f_statistic",

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from clientele.constants import (
     ALGORITHM_ORDER,
     CONTAMINATION,
-    DBSCAN_ROW_LIMIT,
     MAX_CLUSTERS,
     SEED,
 )
@@ -51,6 +50,7 @@ class Analysis:
     customers: DataFrame
     segments: DataFrame
     assigned: DataFrame
+    distance: str
 
     def exploration(self) -> dict[str, DataFrame]:
         return {
@@ -67,7 +67,9 @@ class Analysis:
         labeled = self.points.join(
             self.customers.select("CustomerID", "cluster"), "CustomerID"
         )
-        samples = silhouette_samples(labeled, self.columns, ["cluster"])
+        samples = silhouette_samples(
+            labeled, self.columns, ["cluster"], distance=self.distance
+        )
         return {
             "anova": validation.anova(self.customers),
             "pca_projection": profiles.pca_projection(self.points, self.columns),
@@ -99,24 +101,29 @@ def fit_all(
     columns: Sequence[str],
     k: int,
     seed: int = SEED,
-    dbscan_rows: int = DBSCAN_ROW_LIMIT,
+    methods: Sequence[str] = ALGORITHM_ORDER,
     model: Model | None = None,
 ) -> dict[str, DataFrame]:
     """(id, cluster) from each method; one that fails is left out with a warning.
 
-    DBSCAN takes part below ``dbscan_rows`` rows. ``model`` saves fitting k-means again.
+    ``methods`` names those to try; ``model`` saves fitting k-means again.
     """
-    methods = {
+    known = {
         "KMeans": lambda: clustering.kmeans(points, columns, k, seed, model=model),
         "Agglomerative": lambda: clustering.hierarchical(points, columns, k, seed),
-        "GaussianMixture": lambda: clustering.gaussian_mixture(points, columns, k, seed),
+        "GaussianMixture": lambda: clustering.gaussian_mixture(
+            points, columns, k, seed, model=model
+        ),
         "DBSCAN": lambda: dbscan(points, columns),
         "Consensus": lambda: clustering.consensus_clustering(points, columns, k, seed=seed),
     }
-    if points.count() >= dbscan_rows:
-        del methods["DBSCAN"]
+    unknown = set(methods) - set(known)
+    if unknown:
+        raise ValueError(f"no such methods: {sorted(unknown)}")
     labeled = {}
-    for name, method in methods.items():
+    for name, method in known.items():
+        if name not in methods:
+            continue
         try:
             labeled[name] = method()
         except Exception as error:
@@ -140,7 +147,8 @@ def with_labels(points: DataFrame, labeled: dict[str, DataFrame]) -> DataFrame:
 
 
 def algorithm_comparison(
-    labeled: DataFrame, columns: Sequence[str], names: Sequence[str]
+    labeled: DataFrame, columns: Sequence[str], names: Sequence[str],
+    distance: str = "euclidean",
 ) -> DataFrame:
     """Clusters, silhouette, CH, DB and noise of each method, in the order they are tried.
 
@@ -153,7 +161,7 @@ def algorithm_comparison(
         ).alias(n)
         for n in names
     ]).select(F.inline(F.array(*names)))
-    measured = noise.join(all_metrics(labeled, columns, names), "labeling", "left")
+    measured = noise.join(all_metrics(labeled, columns, names, distance=distance), "labeling", "left")
     enough = F.coalesce(F.col("n_clusters"), F.lit(0)) > 1
 
     def or_else(name: str, value: float):
@@ -209,12 +217,15 @@ def run_analysis(
     log_mode: str = "auto",
     contamination: float = CONTAMINATION,
     seed: int = SEED,
-    dbscan_rows: int = DBSCAN_ROW_LIMIT,
+    methods: Sequence[str] = ALGORITHM_ORDER,
+    distance: str = "euclidean",
     order_col: str | None = None,
 ) -> Analysis:
     """Clean, engineer, drop anomalies, scale, choose k, cluster, name the segments.
 
-    ``lines`` are standard lines, as ``read_lines`` gives them.
+    ``lines`` are standard lines, as ``read_lines`` gives them. ``methods`` names the clustering
+    methods to try, ``distance`` the silhouette that chooses among k and methods: exact
+    ``euclidean`` ones are quadratic in the customers, ``squared`` ones linear.
     """
     clean = cleaning.clean_lines(lines, order_col=order_col)
     features = materialize(engineer_features(clean, log_mode, order_col), "features")
@@ -224,12 +235,12 @@ def run_analysis(
     points = robust_points(kept, columns)
 
     fitted = fit_every_k(points, columns, max_clusters, seed)
-    k_table = metrics_of_fits(points, columns, fitted)
+    k_table = metrics_of_fits(points, columns, fitted, distance)
     k = selected_k(k_table)
 
-    labeled = fit_all(points, columns, k, seed, dbscan_rows, fitted.get((0, k)))
+    labeled = fit_all(points, columns, k, seed, methods, fitted.get((0, k)))
     wide = with_labels(points, labeled)
-    comparison = materialize(algorithm_comparison(wide, columns, list(labeled)), "comparison")
+    comparison = materialize(algorithm_comparison(wide, columns, list(labeled), distance), "comparison")
     best = best_algorithm(comparison).first().algorithm
 
     labels = wide.select("CustomerID", *labeled)
@@ -241,6 +252,6 @@ def run_analysis(
     return Analysis(
         raw=lines, clean=clean, features=features, scored=scored, points=points, columns=columns,
         k_table=optimal_k_table(k_table), k=k, labels=labels, comparison=comparison, best=best,
-        customers=customers, segments=named,
+        customers=customers, segments=named, distance=distance,
         assigned=segments.assign_segments(customers, named),
     )

@@ -188,3 +188,11 @@ def test_log_gate(spark):
     assert logged.where(F.col("Log_Monetary") < 0).isEmpty()
     with pytest.raises(ValueError):
         features.log_features(df, "sometimes")
+
+
+def test_duplicates_go_whatever_the_name_of_the_order_column(spark):
+    rows = [("1", 5.0, 2), ("1", 5.0, 1), ("2", 5.0, 3)]
+    for stored, asked in (("rowpos", "RowPos"), ("RowPos", "rowpos"), ("row_pos", "Row Pos!")):
+        df = spark.createDataFrame(rows, f"CustomerID string, TotalPrice double, `{stored}` int")
+        left = cleaning.drop_duplicates(df, asked).collect()
+        assert sorted((r.CustomerID, r[stored]) for r in left) == [("1", 1), ("2", 3)]

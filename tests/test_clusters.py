@@ -8,7 +8,15 @@ from pyspark.sql import functions as F
 from clientele.functions.agglomerate import agglomerate, coassociation_gap, ward_gap
 from clientele.functions.components import connected_components
 from clientele.functions.labels import renumber
-from clientele.operators import clustering, density, kmeans, metrics, profiles, selection
+from clientele.operators import (
+    clustering,
+    density,
+    kmeans,
+    metrics,
+    mixture,
+    profiles,
+    selection,
+)
 
 COLUMNS = ["x", "y"]
 
@@ -53,7 +61,7 @@ def brute_silhouette(gaps, label):
 @pytest.mark.parametrize("method", [
     lambda p: clustering.kmeans(p, COLUMNS, 3),
     lambda p: clustering.hierarchical(p, COLUMNS, 3),
-    lambda p: clustering.hierarchical(p, COLUMNS, 3, exact_rows=10, small_clusters=20),
+    lambda p: clustering.hierarchical(p, COLUMNS, 3, small_clusters=20),
     lambda p: clustering.hierarchical(p, COLUMNS, 3, driver_units=20),
     lambda p: clustering.gaussian_mixture(p, COLUMNS, 3),
     lambda p: clustering.consensus_clustering(p, COLUMNS, 3, runs=4),
@@ -232,12 +240,34 @@ def test_silhouettes_by_force(spark, monkeypatch):
             found = table[table["labeling"] == name]["silhouette"].to_numpy()
             wanted = brute_silhouette(gaps[np.ix_(at, at)], lab[at])
             assert np.allclose(found, wanted, atol=1e-9)
-    auto = metrics.silhouette_samples(points, COLUMNS, ["two"], exact_rows=10)
-    assert auto.first().distance == "squared"
+        assert {r.distance for r in rows.select("distance").distinct().collect()} == {distance}
     with pytest.raises(ValueError):
         metrics.silhouette_samples(points, COLUMNS, ["two"], distance="city")
 
 
+def test_one_label_has_no_silhouette(spark):
+    data, _ = blobs()
+    points = points_of(spark, data)
+    model = kmeans.Model(np.array([data.mean(axis=0)] * 2))
+    row = selection._quality(points, COLUMNS, {(0, 2): model}).first()
+    assert row.silhouette == -1.0
+
+
+def test_the_mixture_gains_likelihood_and_takes_the_likeliest(spark):
+    data, _ = blobs(gap=3.0)
+    points = points_of(spark, data)
+    start = kmeans.fit_kmeans(points, COLUMNS, 3)
+    fitted = mixture.fit_mixture(points, COLUMNS, start)
+    steps = np.diff(fitted.likelihoods)
+    assert (steps > -1e-9).all() and steps[-1] < mixture.GAIN
+    assert math.isclose(fitted.weights.sum(), 1.0)
+    logs = fitted.log_densities(data)
+    total = np.log(np.exp(logs).sum(axis=1)).mean()
+    assert math.isclose(total, fitted.likelihoods[-1], rel_tol=1e-9)
+    found = mixture.assign_mixture(points, COLUMNS, fitted).orderBy("CustomerID").toPandas()
+    assert found["label"].tolist() == logs.argmax(axis=1).tolist()
+
+
 def test_sweep_and_gap(spark):
     data, _ = blobs(gap=12.0, k=4)
     points = points_of(spark, data)
