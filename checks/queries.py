@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,9 @@ from clientele.operators import (
     density,
     explore,
     features as feat,
+    kmeans,
     metrics,
+    mixture,
     profiles,
     scaling,
     segments,
@@ -716,7 +719,27 @@ def _clustered(method):
 check("kmeans")(_clustered(lambda p, c: clustering.kmeans(p, c, 5)))
 check("hierarchical")(_clustered(lambda p, c: clustering.hierarchical(p, c, 5)))
 check("gaussian_mixture")(_clustered(lambda p, c: clustering.gaussian_mixture(p, c, 5)))
-check("dbscan")(_clustered(density.dbscan))
+
+DBSCAN = W(*i.TO_FEATURES, i.SCALED).replace("WITH", "WITH RECURSIVE", 1) + f""",
+pairs AS MATERIALIZED (
+  SELECT a."CustomerID" AS a, b."CustomerID" AS b
+  FROM scaled AS a JOIN scaled AS b ON {i.point_gap(CLUSTER_FEATURES)} <= 0.5),
+core AS MATERIALIZED (SELECT a AS id FROM pairs GROUP BY 1 HAVING count(*) >= 5),
+links AS MATERIALIZED (
+  SELECT a, b FROM pairs JOIN core AS x ON a = x.id JOIN core AS y ON b = y.id),
+reach(id, root) AS (
+  SELECT id, id FROM core UNION SELECT b, root FROM reach JOIN links ON a = id),
+components AS (SELECT id, min(root) AS component FROM reach GROUP BY 1),
+labeled_points AS (
+  SELECT id, component FROM components
+  UNION ALL SELECT a, min(component) FROM pairs JOIN components ON b = id
+  WHERE a NOT IN (SELECT id FROM core) GROUP BY 1),
+numbers AS (
+  SELECT component, row_number() OVER (ORDER BY count(*) DESC, min(id)) - 1 AS cluster
+  FROM labeled_points GROUP BY 1)
+SELECT "CustomerID", CAST(coalesce(cluster, -1) AS INTEGER) AS cluster
+FROM scaled LEFT JOIN labeled_points ON "CustomerID" = id LEFT JOIN numbers USING (component)"""
+check("dbscan", DBSCAN)(_clustered(density.dbscan))
 check("consensus_clustering")(_clustered(lambda p, c: clustering.consensus_clustering(p, c, 5)))
 
 
@@ -811,12 +834,73 @@ def _(spark, folder):
 
 # ---- Cluster description --------------------------------------------------------------------
 
-@check("pca_projection")
+N_FEATURES = len(CLUSTER_FEATURES)
+
+
+def _largest_positive(v: str) -> str:
+    """``v`` or its opposite, so that its largest component is positive."""
+    sizes = f"list_transform({v}, lambda x: abs(x))"
+    sign = f"sign(list_extract({v}, list_position({sizes}, list_max({sizes}))))"
+    return f"list_transform({v}, lambda x: x * {sign})"
+
+
+def _power(name: str, matrix: str, steps: int = 600) -> str:
+    """The leading eigenvector (v) of a one-row table's matrix (m) and its eigenvalue (l)."""
+    start = ", ".join(f"{1 + n / 10}" for n in range(N_FEATURES))
+    return f"""
+{name}_steps(i, v) AS (
+  SELECT 0, [{start}]::DOUBLE[] UNION ALL
+  SELECT i + 1, list_transform(w, lambda x: x / sqrt(list_dot_product(w, w)))
+  FROM (SELECT i, list_transform(m, lambda r: list_dot_product(r, v)) AS w
+        FROM {name}_steps, {matrix} WHERE i < {steps})),
+{name} AS (
+  SELECT v, list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v))) AS l
+  FROM (SELECT {_largest_positive("v")} AS v FROM {name}_steps WHERE i = {steps}), {matrix})"""
+
+
+PCA = W(*i.TO_FEATURES, i.SCALED).replace("WITH", "WITH RECURSIVE", 1) + """,
+covariance AS MATERIALIZED (SELECT [%s]::DOUBLE[][] AS m FROM scaled),%s,
+rest AS MATERIALIZED (
+  SELECT list_transform(range(1, %d), lambda r: list_transform(range(1, %d), lambda c:
+           m[r][c] - l * v[r] * v[c])) AS m FROM covariance, first_axis),%s""" % (
+    ", ".join(
+        "[" + ", ".join(f'covar_samp("{a}", "{b}")' for b in CLUSTER_FEATURES) + "]"
+        for a in CLUSTER_FEATURES
+    ),
+    _power("first_axis", "covariance"), N_FEATURES + 1, N_FEATURES + 1,
+    _power("second_axis", "rest"),
+)
+
+
+def _pca_axis(axis: str, n: int) -> str:
+    terms = " + ".join(
+        f'("{c}" - "mean_{c}") * {axis}.v[{k}]' for k, c in enumerate(CLUSTER_FEATURES, 1)
+    )
+    return f"{terms} AS pc{n}"
+
+
+@check(
+    "pca_projection",
+    PCA + f"""
+SELECT "CustomerID", {_pca_axis("first_axis", 1)}, {_pca_axis("second_axis", 2)}
+FROM scaled, first_axis, second_axis,
+     (SELECT {", ".join(f'avg("{c}") AS "mean_{c}"' for c in CLUSTER_FEATURES)} FROM scaled)""",
+    ["pc1", "pc2"],
+)
 def _(spark, folder):
     return profiles.pca_projection(i.scaled(spark, folder), CLUSTER_FEATURES)
 
 
-@check("pca_variance")
+TRACE = " + ".join(f"m[{k}][{k}]" for k in range(1, N_FEATURES + 1))
+
+
+@check(
+    "pca_variance",
+    PCA + f"""
+SELECT 'pc1' AS component, l / ({TRACE}) AS explained_variance FROM first_axis, covariance
+UNION ALL SELECT 'pc2', l / ({TRACE}) FROM second_axis, covariance""",
+    ["explained_variance"],
+)
 def _(spark, folder):
     return profiles.pca_variance(i.scaled(spark, folder), CLUSTER_FEATURES)
 
@@ -888,6 +972,155 @@ def _(spark, folder):
     ))
 
 
+# ---- Fitted models: what must hold, counted apart from the code that fits --------------------
+
+def breaches(df: DataFrame, **rules) -> DataFrame:
+    """One row per rule: rows examined, rows that break it."""
+    rows = F.array(*[
+        F.struct(
+            F.lit(name).alias("rule"), F.count("*").alias("examined"),
+            F.count_if(~F.coalesce(rule, F.lit(False))).alias("breaches"),
+        ) for name, rule in rules.items()
+    ])
+    return df.agg(rows.alias("rows")).select(F.inline("rows"))
+
+
+def none_broken(*rules: str) -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{rule}' AS rule, count(*) AS examined, 0 AS breaches FROM features"
+        for rule in rules
+    )
+    return W(*i.TO_FEATURES) + rows
+
+
+def with_gaps(points: DataFrame, labeled: DataFrame) -> DataFrame:
+    """Each row's distance to the mean of its cluster (own) and to the nearest mean (least)."""
+    rows = materialize(points.join(labeled, "CustomerID"), "labeled")
+    means = rows.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in CLUSTER_FEATURES])
+    gaps = []
+    for mean in means.collect():
+        square = sum(
+            ((F.col(c) - F.lit(mean[c])) * (F.col(c) - F.lit(mean[c])) for c in CLUSTER_FEATURES),
+            F.lit(0.0),
+        )
+        gaps.append((mean.cluster, F.sqrt(square)))
+    own = F.coalesce(*[F.when(F.col("cluster") == k, gap) for k, gap in gaps])
+    return rows.select(
+        "CustomerID", "cluster", own.alias("own"), F.least(*[gap for _, gap in gaps]).alias("least")
+    )
+
+
+@check("kmeans_checks", none_broken("labels", "nearest"))
+def _(spark, folder):
+    points = analysis.robust_points(i.features(spark, folder), CLUSTER_FEATURES)
+    rows = with_gaps(points, clustering.kmeans(points, CLUSTER_FEATURES, 5))
+    # The last step may still move a centre by the tolerance.
+    return breaches(
+        rows, labels=F.col("cluster").between(1, 5), nearest=F.col("own") <= F.col("least") + 0.05
+    )
+
+
+@check("gaussian_mixture_checks", none_broken("labels", "likeliest", "gains", "weights"))
+def _(spark, folder):
+    points = analysis.robust_points(i.features(spark, folder), CLUSTER_FEATURES)
+    start = kmeans.fit_kmeans(points, CLUSTER_FEATURES, 5)
+    fitted = mixture.fit_mixture(points, CLUSTER_FEATURES, start)
+    logs = []
+    for weight, mean, cov in zip(fitted.weights, fitted.means, fitted.covariances, strict=True):
+        inverse, size = np.linalg.inv(cov), np.linalg.slogdet(cov)[1]
+        off = [F.col(c) - F.lit(float(m)) for c, m in zip(CLUSTER_FEATURES, mean, strict=True)]
+        form = sum(
+            (F.lit(float(inverse[a, b])) * off[a] * off[b]
+             for a in range(N_FEATURES) for b in range(N_FEATURES)), F.lit(0.0),
+        )
+        logs.append(F.lit(float(np.log(weight)) - size / 2) - form / 2)
+    labeled = mixture.assign_mixture(points, CLUSTER_FEATURES, fitted)
+    rows = points.join(labeled, "CustomerID")
+    own = F.element_at(F.array(*logs), F.col("label") + 1)
+    gains = all(b > a - 1e-9 for a, b in zip(fitted.likelihoods, fitted.likelihoods[1:]))
+    return breaches(
+        rows, labels=F.col("label").between(0, 4), likeliest=own >= F.greatest(*logs) - 1e-6,
+        gains=F.lit(gains), weights=F.lit(abs(float(fitted.weights.sum()) - 1) < 1e-9),
+    )
+
+
+@check("hierarchical_checks", none_broken("labels", "one_each"))
+def _(spark, folder):
+    points = analysis.robust_points(i.features(spark, folder), CLUSTER_FEATURES)
+    labeled = clustering.hierarchical(points, CLUSTER_FEATURES, 5)
+    rows = points.select("CustomerID").join(
+        labeled.groupBy("CustomerID").agg(F.max("cluster").alias("cluster"), F.count("*").alias("n")),
+        "CustomerID", "left",
+    )
+    return breaches(rows, labels=F.col("cluster").between(1, 5), one_each=F.col("n") == 1)
+
+
+@check("isolation_forest_checks", none_broken("scores", "cut"))
+def _(spark, folder):
+    customers = i.stored_features(spark, folder)
+    scored = materialize(anomaly.isolation_forest(customers, CLUSTER_FEATURES), "scored")
+    cut = scored.agg(F.percentile("anomaly_score", F.lit(0.95))).first()[0]
+    score = F.col("anomaly_score")
+    return breaches(
+        scored, scores=(score > 0) & (score < 1), cut=F.col("is_outlier") == (score > cut)
+    )
+
+
+# ---- Edges ----------------------------------------------------------------------------------
+
+@check(
+    "anova_perfect_split",
+    """SELECT 'split' AS feature, 'Infinity'::DOUBLE AS f_statistic, 0.0::DOUBLE AS p_value,
+       1.0::DOUBLE AS eta_squared, true AS significant, 'Large' AS effect_size
+FROM customer HAVING count(DISTINCT c_nationkey % 3) = 3""",
+    ["p_value", "eta_squared"],
+)
+def _(spark, folder):
+    group = (F.col("c_nationkey") % 3).cast("int")
+    rows = table(spark, folder, "customer").select(
+        group.alias("cluster"), group.cast("double").alias("split")
+    )
+    return validation.anova(rows, "cluster", ["split"])
+
+
+@check(
+    "quantiles_with_infinities",
+    """WITH prices AS (
+  SELECT CASE WHEN o_orderkey % 50 = 0 THEN 'Infinity'::DOUBLE
+              WHEN o_orderkey % 50 = 1 THEN '-Infinity'::DOUBLE ELSE o_totalprice END AS x
+  FROM orders) """ + " UNION ALL ".join(
+        f"SELECT {p}::DOUBLE AS p, quantile_cont(x, {p}) AS value FROM prices"
+        for p in (0.05, 0.25, 0.5, 0.9)
+    ),
+    ["value"], 4,
+)
+def _(spark, folder):
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    rows = materialize(table(spark, folder, "orders").select(
+        F.when(key % 50 == 0, F.lit(float("inf"))).when(key % 50 == 1, F.lit(float("-inf")))
+        .otherwise(price).alias("x")
+    ), "prices")
+    probs = [0.05, 0.25, 0.5, 0.9]
+    found = explore.exact_quantiles(rows, ["x"], probs)["x"]
+    return spark.createDataFrame(list(zip(probs, found, strict=True)), "p double, value double")
+
+
+@check(
+    "duplicates_by_position",
+    """SELECT "CustomerID", "TotalPrice", min(o_orderkey) AS row_pos FROM (
+  SELECT CAST(o_custkey AS VARCHAR) AS "CustomerID", floor(o_totalprice / 50000) AS "TotalPrice",
+         o_orderkey FROM orders) GROUP BY 1, 2""",
+    ["TotalPrice"],
+)
+def _(spark, folder):
+    rows = table(spark, folder, "orders").select(
+        F.col("o_custkey").cast("string").alias("CustomerID"),
+        F.floor(F.col("o_totalprice") / 50000).cast("double").alias("TotalPrice"),
+        F.col("o_orderkey").alias("row_pos"),
+    )
+    return cleaning.drop_duplicates(rows, "Row Pos")
+
+
 # ---- Business interpretation ----------------------------------------------------------------
 
 MEANS = KNOWN + """,

@@ -12,7 +12,8 @@ entry_point = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry_point)
 
 TABLES = ["customer", "orders", "lineitem", "events", "embeddings"]
-CHECKED = entry_point.oracle_sql()
+# The queries of the training-data package are tested beside it.
+CHECKED = {k: v for k, v in entry_point.oracle_sql().items() if k in entry_point.CHECKS}
 
 
 @pytest.fixture(scope="module")
