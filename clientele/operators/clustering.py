@@ -23,7 +23,7 @@ from clientele.operators.kmeans import (
     best_of,
     fit_kmeans,
     fit_models,
-    seed_rows,
+    seed_pools,
     starting_models,
 )
 from clientele.operators.mixture import assign_mixture, fit_mixture
@@ -96,11 +96,13 @@ def kmeans_runs(
     starts: int = STARTS,
 ) -> DataFrame:
     """(id, signature): each row's labels in ``runs`` fits with successive seeds."""
-    samples = {0: seed_rows(points, columns, seed)}
-    wanted = [(0, k, seed + run) for run in range(runs)]
-    models = fit_models(
-        points, columns, starting_models(points.sparkSession, samples, wanted, starts)
-    )
+    # Each run draws its own candidates, so the runs are independent.
+    pools = dict(enumerate(seed_pools(points, columns, [seed + run for run in range(runs)])))
+    wanted = [(run, k, seed + run) for run in range(runs)]
+    begun = starting_models(points.sparkSession, pools, wanted, starts)
+    for model in begun:
+        model.part = 0
+    models = fit_models(points, columns, begun)
     best = {
         f"run{run}": best_of(models[run * starts:(run + 1) * starts]) for run in range(runs)
     }

@@ -20,9 +20,12 @@ from pyspark.sql import functions as F
 
 from clientele.constants import SEED, STARTS
 
-SEEDING_ROWS = 16_384
+#: Candidates of a pool: a uniform draw first, then expected draws in each round.
+FIRST_DRAW = 256
+DRAWS = 1_024
+ROUNDS = 4
 MAX_PASSES = 300
-SAMPLE_PASSES = 100
+POOL_PASSES = 100
 TOLERANCE = 1e-4
 
 
@@ -43,27 +46,113 @@ def spread(points: DataFrame, key: str = "CustomerID") -> DataFrame:
     return points.repartition(points.sparkSession.sparkContext.defaultParallelism, key)
 
 
-def seed_rows(
-    points: DataFrame, columns: Sequence[str], seed: int, id_col: str = "CustomerID"
-) -> np.ndarray:
-    """A seeded sample of bounded size, from which starting centres are drawn."""
-    ticket = F.xxhash64(F.lit(seed), F.col(id_col).cast("string"))
-    rows = points.orderBy(ticket).limit(SEEDING_ROWS).select(*columns).toPandas()
-    return rows.to_numpy(dtype=float)
+#: Candidate rows and how many rows of the table each one is the nearest of.
+Pool = tuple[np.ndarray, np.ndarray]
+
+
+def seed_pools(
+    points: DataFrame, columns: Sequence[str], seeds: Sequence[int], id_col: str = "CustomerID"
+) -> list[Pool]:
+    """Candidates for starting centres for each seed, drawn from all rows in a few passes.
+
+    The rounds of k-means|| (Bahmani et al., 2012): after a small uniform draw, each round takes
+    rows in proportion to their squared distance from the candidates so far, so rare far groups
+    are found whatever the size of the table. A last pass counts the rows of each candidate.
+    Draws are hashes of the id, so they do not depend on the layout. One pass serves all seeds.
+    """
+    columns, places = list(columns), range(len(seeds))
+    rows = points.count()
+    if not rows:
+        return [(np.zeros((0, len(columns))), np.zeros(0)) for _ in seeds]
+    even = [f"_draw{i}" for i in places]
+    schema = "pool int, " + ", ".join(f"`{c}` double" for c in columns)
+
+    def draw(round_: int, chances) -> list[np.ndarray]:
+        """The rows of each pool whose draw falls below their chance."""
+        def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                data = batch[columns].to_numpy(dtype=float)
+                for i in places:
+                    taken = batch[columns][batch[even[i]].to_numpy() < chances(i, data)]
+                    yield taken.assign(pool=i)[["pool", *columns]]
+
+        ids = F.col(id_col).cast("string")
+        draws = [
+            (F.pmod(F.xxhash64(F.lit(seed), F.lit(round_), ids), F.lit(1 << 30)) / float(1 << 30))
+            .alias(name) for name, seed in zip(even, seeds)
+        ]
+        found = points.select(*columns, *draws).mapInPandas(pick, schema).toPandas()
+        return [found[found["pool"] == i][columns].to_numpy(dtype=float) for i in places]
+
+    def summed(per_batch) -> pd.DataFrame:
+        """Sums of (pool, candidate, n, cost) over all batches, as ``per_batch`` gives them."""
+        def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                data = batch[columns].to_numpy(dtype=float)
+                for i in places:
+                    yield per_batch(i, *_nearest(data, sent.value[i]))
+
+        added = points.select(*columns).mapInPandas(
+            add_up, "pool int, candidate long, n double, cost double"
+        )
+        return added.groupBy("pool", "candidate").agg(
+            F.sum("n").alias("n"), F.sum("cost").alias("cost")
+        ).toPandas()
+
+    def costs(i: int, label: np.ndarray, gap: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"pool": [i], "candidate": [0], "n": [0.0], "cost": [gap.sum()]})
+
+    def counts(i: int, label: np.ndarray, gap: np.ndarray) -> pd.DataFrame:
+        found, n = np.unique(label, return_counts=True)
+        return pd.DataFrame({"pool": i, "candidate": found, "n": n.astype(float), "cost": 0.0})
+
+    context = points.sparkSession.sparkContext
+    drawn = draw(-1, lambda i, data: np.full(len(data), FIRST_DRAW / rows))
+    one = points.select(*columns).first()
+    pools = [np.unique(d if len(d) else np.array([one], dtype=float), axis=0) for d in drawn]
+    for round_ in range(ROUNDS):
+        sent = context.broadcast(pools)
+        table = summed(costs)
+        total = table.set_index("pool")["cost"].reindex(places, fill_value=0.0).to_numpy()
+        if not total.any():
+            sent.destroy()
+            break
+        drawn = draw(round_, lambda i, data, sent=sent, total=total: _nearest(
+            data, sent.value[i])[1] * DRAWS / max(total[i], np.finfo(float).tiny))
+        sent.destroy()
+        pools = [np.unique(np.vstack([p, d]), axis=0) for p, d in zip(pools, drawn)]
+    sent = context.broadcast(pools)
+    table = summed(counts)
+    sent.destroy()
+    weights = [np.zeros(len(p)) for p in pools]
+    for i, own in table.groupby("pool"):
+        weights[i][own["candidate"].to_numpy()] = own["n"].to_numpy()
+    return list(zip(pools, weights))
+
 
+def _nearest(data: np.ndarray, pool: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest candidate of each row and the squared distance, in parts of bounded size."""
+    label, gap = np.empty(len(data), dtype=np.int64), np.empty(len(data))
+    for at in range(0, len(data), 2_048):
+        part = slice(at, at + 2_048)
+        (label[part], gap[part]), = nearest_centers(data[part], pool, [slice(0, len(pool))])
+    return label, gap
 
-def spread_out_centers(rows: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+
+def spread_out_centers(
+    rows: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Generator
+) -> np.ndarray:
     """k-means++ (Arthur and Vassilvitskii, 2007), the best of a few candidates at each step."""
     tries = 2 + int(np.log(k))
-    centers = [rows[rng.integers(len(rows))]]
+    centers = [rows[rng.choice(len(rows), p=weights / weights.sum())]]
     nearest = ((rows - centers[0]) ** 2).sum(axis=1)
     while len(centers) < k:
-        weights = nearest.cumsum()
-        picks = np.searchsorted(weights, rng.random(tries) * weights[-1])
+        chances = (nearest * weights).cumsum()
+        picks = np.searchsorted(chances, rng.random(tries) * chances[-1])
         picks = np.minimum(picks, len(rows) - 1)
         gaps = ((rows[picks][:, None, :] - rows[None, :, :]) ** 2).sum(axis=2)
         lowered = np.minimum(gaps, nearest)
-        best = lowered.sum(axis=1).argmin()
+        best = (lowered * weights).sum(axis=1).argmin()
         centers.append(rows[picks[best]])
         nearest = lowered[best]
     return np.array(centers)
@@ -85,13 +174,14 @@ def stacked(models: Sequence[Model]) -> tuple[np.ndarray, list[slice]]:
     return np.vstack([m.centers for m in models]), groups
 
 
-def refined_on_sample(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
-    """Lloyd's iteration on the seeding sample alone."""
+def refined_on_pool(rows: np.ndarray, weights: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Lloyd's iteration on the weighted candidates alone."""
     k = len(centers)
-    limit = TOLERANCE * rows.var(axis=0).mean()
-    for _ in range(SAMPLE_PASSES):
+    mean = np.average(rows, axis=0, weights=weights)
+    limit = TOLERANCE * np.average((rows - mean) ** 2, axis=0, weights=weights).mean()
+    for _ in range(POOL_PASSES):
         (label, _), = nearest_centers(rows, centers, [slice(0, k)])
-        own = (label == np.arange(k)[:, None]).astype(float)
+        own = (label == np.arange(k)[:, None]) * weights
         sizes = own.sum(axis=1, keepdims=True)
         moved = np.where(sizes > 0, own @ rows / np.maximum(sizes, 1), centers)
         step = ((moved - centers) ** 2).sum()
@@ -102,26 +192,28 @@ def refined_on_sample(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
 
 
 def starting_models(
-    spark: SparkSession, samples: dict[int, np.ndarray], wanted: Sequence[tuple[int, int, int]],
+    spark: SparkSession, pools: dict[int, Pool], wanted: Sequence[tuple[int, int, int]],
     starts: int = STARTS,
 ) -> list[Model]:
-    """``starts`` models for each wanted (part, k, seed), begun on the part's seeding sample.
+    """``starts`` models for each wanted (part, k, seed), begun on the part's pool.
 
-    Starting points refined on a bounded sample (Bradley and Fayyad, 1998) save most of the
+    Starting points refined on a bounded pool (Bradley and Fayyad, 1998) save most of the
     passes over the whole table. The starts are independent and run as tasks of their own.
     """
     for part, k, _ in wanted:
-        if len(samples[part]) < k:
-            raise ValueError(f"{len(samples[part])} rows cannot form {k} clusters")
-    sent = spark.sparkContext.broadcast(samples)
-    width = next(iter(samples.values())).shape[1]
+        if len(pools[part][0]) < k:
+            raise ValueError(f"{len(pools[part][0])} distinct rows cannot form {k} clusters")
+    sent = spark.sparkContext.broadcast(pools)
+    width = next(iter(pools.values()))[0].shape[1]
 
     def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
-                rows = sent.value[r.part]
+                rows, weights = sent.value[r.part]
                 rng = np.random.default_rng([r.seed, r.k, r.start])
-                centers = refined_on_sample(rows, spread_out_centers(rows, r.k, rng))
+                centers = refined_on_pool(
+                    rows, weights, spread_out_centers(rows, weights, r.k, rng)
+                )
                 out = pd.DataFrame(centers, columns=[f"c{j}" for j in range(width)])
                 out.insert(0, "model", r.model)
                 out.insert(1, "cluster", np.arange(r.k))
@@ -260,6 +352,6 @@ def assign(
 def fit_kmeans(
     points: DataFrame, columns: Sequence[str], k: int, seed: int = SEED, starts: int = STARTS
 ) -> Model:
-    samples = {0: seed_rows(points, columns, seed)}
-    models = starting_models(points.sparkSession, samples, [(0, k, seed)], starts)
+    pools = {0: seed_pools(points, columns, [seed])[0]}
+    models = starting_models(points.sparkSession, pools, [(0, k, seed)], starts)
     return best_of(fit_models(points, columns, models))

@@ -11,18 +11,19 @@ from pyspark.sql.window import Window
 
 from clientele.constants import GAP_SETS, K_DEFAULT, K_RANGE_OK, K_WEIGHTS, MAX_CLUSTERS, SEED
 from clientele.operators.kmeans import (
-    SEEDING_ROWS,
     Model,
     assign,
     best_of,
     fit_models,
-    seed_rows,
+    seed_pools,
     spread,
     starting_models,
 )
 from clientele.operators.metrics import all_metrics
 from clientele.storage import materialize
 
+#: Rows of a uniform set that its starting centres are drawn from.
+UNIFORM_ROWS = 16_384
 METRICS = ["silhouette", "calinski_harabasz", "davies_bouldin", "wcss"]
 
 
@@ -72,22 +73,23 @@ def fit_every_k(
     """
     columns = list(columns)
     data = points.select(F.lit(0).alias("part"), *columns)
-    samples = {0: seed_rows(points, columns, seed)}
+    pools = {0: seed_pools(points, columns, [seed])[0]}
     if gap_sets:
         uniform = materialize(
             reference_sets(points, columns, gap_sets, seed, per_column), "uniform"
         )
         data = data.union(uniform.select("part", *columns))
-        # The rows of a uniform set are independent, so its first ones are a random sample.
-        first = uniform.where(F.col("row") < SEEDING_ROWS).toPandas()
-        samples |= {
-            int(part): rows.sort_values("row")[columns].to_numpy()
+        # The rows of a uniform set are independent and have no rare groups, so its first ones
+        # are as good a pool as any.
+        first = uniform.where(F.col("row") < UNIFORM_ROWS).toPandas()
+        pools |= {
+            int(part): (rows.sort_values("row")[columns].to_numpy(), np.ones(len(rows)))
             for part, rows in first.groupby("part")
         }
     wanted = [
-        (part, k, seed + max(part - 1, 0)) for part in samples for k in range(2, max_k + 1)
+        (part, k, seed + max(part - 1, 0)) for part in pools for k in range(2, max_k + 1)
     ]
-    models = starting_models(points.sparkSession, samples, wanted)
+    models = starting_models(points.sparkSession, pools, wanted)
     fitted = fit_models(data, columns, models, "part")
     best: dict[tuple[int, int], Model] = {}
     for part, k, _ in wanted:

@@ -87,10 +87,20 @@ def test_kmeans_is_repeatable_and_no_worse_than_one_start(spark):
     assert first == second and set(first) == {1, 2, 3, 4, 5}
 
 
-def test_kmeans_beyond_the_seeding_sample(spark, monkeypatch):
-    monkeypatch.setattr(kmeans, "SEEDING_ROWS", 40)
-    data, true = blobs()
-    assert same_partition(labels_of(clustering.kmeans(points_of(spark, data), COLUMNS, 3)), true)
+def test_kmeans_finds_a_rare_far_cluster(spark):
+    rng = np.random.default_rng(5)
+    data = np.vstack([rng.normal(size=(40_000, 2)), rng.normal(size=(4, 2)) + 500.0])
+    found = labels_of(clustering.kmeans(points_of(spark, data), COLUMNS, 2))
+    assert found[:40_000] == [1] * 40_000 and found[40_000:] == [2] * 4
+
+
+def test_pools_cover_all_rows_and_do_not_depend_on_the_layout(spark):
+    data, _ = blobs()
+    points = points_of(spark, data)
+    first, other = kmeans.seed_pools(points, COLUMNS, [1, 2])
+    again = kmeans.seed_pools(points.repartition(7), COLUMNS, [1])[0]
+    assert first[1].sum() == other[1].sum() == len(data)
+    assert np.array_equal(first[0], again[0]) and np.array_equal(first[1], again[1])
 
 
 def merge_by_force(data, k, linkage):
