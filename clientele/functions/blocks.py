@@ -21,6 +21,7 @@ LEFT_ROWS = 2_000
 RIGHT_ROWS = 20_000
 FEWEST_ROWS = 100
 TILE_CELLS = 1_000_000
+MOST_PARTITIONS = 4_000
 
 
 def block_count(rows: Column, size: int) -> Column:
@@ -58,22 +59,26 @@ def meet_in_blocks(
         rows = left.count()
         cores = left.sparkSession.sparkContext.defaultParallelism
         left_rows = max(FEWEST_ROWS, min(left_rows, -(-rows // cores)))
+        sides = max(1, -(-rows // left_rows)), max(1, -(-right.count() // right_rows))
         counts = {
-            "_lefts": F.lit(max(1, -(-rows // left_rows))),
-            "_rights": F.lit(max(1, -(-right.count() // right_rows))),
+            "_lefts": F.lit(sides[0]), "_rights": F.lit(sides[1]),
         }
 
         def sized(side: DataFrame) -> DataFrame:
             return side.withColumns(counts)
 
     def spread(side: DataFrame, own: str, other: str):
-        return (
+        dealt = (
             sized(side)
             .withColumn(own, F.pmod(F.xxhash64(id_col), F.col(f"{own}s")).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)))
             .drop("_lefts", "_rights")
-            .groupBy(*keys, "_left", "_right")
         )
+        if not keys:
+            # Blocks are few and heavy: a number of partitions of their own keeps small ones,
+            # as they look to adaptive execution, from being merged into one task.
+            dealt = dealt.repartition(min(2 * sides[0] * sides[1], MOST_PARTITIONS), "_left", "_right")
+        return dealt.groupBy(*keys, "_left", "_right")
 
     blocks = spread(left, "_left", "_right").cogroup(spread(right, "_right", "_left"))
     return blocks.applyInPandas(lambda one, other: work(one, other), schema)

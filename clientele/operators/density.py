@@ -19,12 +19,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.constants import DBSCAN_EPS, DBSCAN_MIN_SAMPLES
-from clientele.functions.blocks import RIGHT_ROWS, distance_tiles, meet_in_blocks
+from clientele.functions.blocks import distance_tiles, meet_in_blocks
 from clientele.functions.components import connected_components
 from clientele.functions.labels import renumber
+from clientele.functions.unions import unite
 from clientele.storage import materialize
 
 MAX_GRID_COLUMNS = 4
+#: Expected candidates of a point below which no further column is added to the grid.
+CANDIDATES = 500
 
 
 def merged_points(points: DataFrame, columns: Sequence[str], id_col: str) -> DataFrame:
@@ -49,7 +52,7 @@ def in_cells(points: DataFrame, columns: Sequence[str], eps: float) -> tuple[Dat
     cells: dict[str, Column] = {}
     candidates = stats["_rows"]
     for c in sorted(columns, key=lambda c: -(stats[c] or 0.0))[:MAX_GRID_COLUMNS]:
-        if candidates <= RIGHT_ROWS or not stats[c] or stats[c] <= 3 * eps:
+        if candidates <= CANDIDATES or not stats[c] or stats[c] <= 3 * eps:
             break
         cells[f"_cell{len(cells)}"] = F.floor(F.col(c) / eps).cast("bigint")
         candidates *= 3 * eps / stats[c]
@@ -122,24 +125,32 @@ def _links(merged, columns, eps, id_type) -> DataFrame:
         order = np.argsort(reps)
         right, reps = right.iloc[order], reps[order]
         group = np.arange(len(right))
-        left = left.sort_values("is_core", ascending=False)
-        names, is_core = left["_rep"].to_numpy(), left["is_core"].to_numpy()
-        out = []
-        tiles = distance_tiles(left[columns].to_numpy(), right[columns].to_numpy())
-        for rows, gaps in tiles:
-            for name, core_row, near in zip(names[rows], is_core[rows], gaps <= eps):
-                groups = np.unique(group[near])
-                if not len(groups):
-                    continue
-                if core_row:
-                    # A core point joins all the groups it reaches.
-                    group[np.isin(group, groups)] = groups[0]
-                    out.append((name, reps[groups[0]], True))
-                else:
-                    out.extend((name, reps[g], False) for g in groups)
+        others = right[columns].to_numpy()
+
+        def tiles(side: pd.DataFrame):
+            names = side["_rep"].to_numpy()
+            for rows, gaps in distance_tiles(side[columns].to_numpy(), others):
+                yield names[rows], gaps <= eps
+
+        heads = []
+        for names, near in tiles(left[left["is_core"]]):
+            # A core point joins all the core points it reaches.
+            i, j = np.nonzero(near)
+            first = near.argmax(axis=1)
+            unite(group, first[i], j)
+            some = near.any(axis=1)
+            heads.append((names[some], first[some]))
+        parts = [(names, reps[group[first]], True) for names, first in heads]
+        for names, near in tiles(left[~left["is_core"]]):
+            i, j = np.nonzero(near)
+            met = np.unique(np.column_stack([i, group[j]]), axis=0)
+            parts.append((names[met[:, 0]], reps[met[:, 1]], False))
         joined = np.flatnonzero(group != np.arange(len(right)))
-        out.extend((reps[i], reps[group[i]], True) for i in joined)
-        return pd.DataFrame(out, columns=["_rep", "_core", "_linked"])
+        parts.append((reps[joined], reps[group[joined]], True))
+        return pd.concat([
+            pd.DataFrame({"_rep": one, "_core": other, "_linked": linked})
+            for one, other, linked in parts
+        ])
 
     kind = id_type.simpleString()
     return meet_in_blocks(

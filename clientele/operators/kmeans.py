@@ -41,9 +41,15 @@ class Model:
     passes: int = 0
 
 
+#: Rows of a partition, at most about so many.
+PARTITION_ROWS = 100_000
+
+
 def spread(points: DataFrame, key: str = "CustomerID") -> DataFrame:
-    """One partition per core: the passes are bound by arithmetic, not by reading."""
-    return points.repartition(points.sparkSession.sparkContext.defaultParallelism, key)
+    """Partitions by the number of rows, and one per core at least: the passes are bound by
+    arithmetic, not by reading."""
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    return points.repartition(max(cores, -(-points.count() // PARTITION_ROWS)), key)
 
 
 #: Candidate rows and how many rows of the table each one is the nearest of.

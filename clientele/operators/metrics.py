@@ -23,7 +23,8 @@ from pyspark.sql.window import Window
 from clientele.functions.blocks import distance_tiles, meet_in_blocks
 from clientele.storage import materialize
 
-RIGHT_ROWS = 50_000
+#: Square blocks: each side is copied once for every block of the other.
+LEFT_ROWS = RIGHT_ROWS = 20_000
 #: Rows that meet all clusters of a labeling at once.
 SQUARED_ROWS = 1_000
 
@@ -197,7 +198,7 @@ def _euclidean_means(points, columns, labels, id_col) -> DataFrame:
     kind = points.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kind}, labeling string, cluster int, other int, total double"
     partial = meet_in_blocks(
-        sides, sides, [], id_col, distances, schema, right_rows=RIGHT_ROWS
+        sides, sides, [], id_col, distances, schema, left_rows=LEFT_ROWS, right_rows=RIGHT_ROWS
     )
     totals = partial.groupBy(id_col, "labeling", "cluster", "other").agg(
         F.sum("total").alias("total")

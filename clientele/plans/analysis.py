@@ -32,6 +32,10 @@ from clientele.operators.selection import (
 from clientele.storage import materialize
 
 
+#: Files that the summary names.
+DATASET_FILES = 5
+
+
 @dataclass
 class Analysis:
     """Every table of a finished analysis. All are lazy; the larger ones read stored data."""
@@ -191,11 +195,13 @@ def executive_summary(result: Analysis) -> DataFrame:
     top = best_algorithm(result.comparison).first()
     tested = result.comparison.count()
     removed = result.scored.where("is_outlier").count()
-    # ---- Fixed values: bounds and names of the grades ----
+    # ---- Fixed values: bounds and names of the grades, names of the items ----
     quality = (
         "Good" if top.silhouette > 0.5 else "Moderate" if top.silhouette > 0.3 else "Poor"
     )
+    files = sorted({path.rstrip("/").rsplit("/", 1)[-1] for path in result.raw.inputFiles()})
     rows = [
+        ("Dataset", ", ".join(files[:DATASET_FILES]) or "none"),
         ("Total Customers", f"{stats.clean_customers:,}"),
         ("Total Transactions", f"{stats.clean_rows:,}"),
         ("Transaction Retention", f"{stats.transaction_retention_rate or 0:.1f}%"),

@@ -203,7 +203,7 @@ def test_dbscan_by_force(spark, monkeypatch, block):
     data[100:180] = data[100]  # a heap of copies
     if block < 100:
         # Tiny blocks force the grid, split cells and components across tasks.
-        monkeypatch.setattr(density, "RIGHT_ROWS", block)
+        monkeypatch.setattr(density, "CANDIDATES", block)
         monkeypatch.setattr(density.meet_in_blocks, "__defaults__", (block, block))
     points = points_of(spark, data)
     label, core = brute_dbscan(data, 0.5, 5)
