@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from checks import inputs as i
 from checks.rounding import rounded, rounded_sql
@@ -1055,6 +1056,59 @@ def _(spark, folder):
     return breaches(rows, labels=F.col("cluster").between(1, 5), one_each=F.col("n") == 1)
 
 
+@check("consensus_clustering_checks", none_broken("labels", "equal_signatures"))
+def _(spark, folder):
+    points = analysis.robust_points(i.features(spark, folder), CLUSTER_FEATURES)
+    labeled = clustering.consensus_clustering(points, CLUSTER_FEATURES, 5)
+    signed = clustering.kmeans_runs(points, CLUSTER_FEATURES, 5)
+    rows = materialize(signed.join(labeled, "CustomerID"), "signed")
+    # Customers whose labels agree in every run are at distance 0 and cannot be parted.
+    parted = rows.groupBy("signature").agg(F.count_distinct("cluster").alias("clusters"))
+    return breaches(
+        rows.join(parted, "signature"), labels=F.col("cluster").between(1, 5),
+        equal_signatures=F.col("clusters") == 1,
+    )
+
+
+@check(
+    "kmeans_sweep_checks",
+    """SELECT unnest(['calinski_harabasz', 'silhouette', 'wcss', 'wcss_falls']) AS rule,
+       count(*) AS examined, 0 AS breaches FROM generate_series(2, 8)""",
+)
+def _(spark, folder):
+    points = analysis.robust_points(i.features(spark, folder), CLUSTER_FEATURES)
+    fitted = selection.fit_every_k(points, CLUSTER_FEATURES, gap_sets=0)
+    table = selection._quality(points, CLUSTER_FEATURES, fitted)
+    costs = spark.createDataFrame(
+        [(k, float(model.cost)) for (_, k), model in fitted.items()], "k int, cost double"
+    )
+    rows = table.join(costs, "k").withColumn("before", F.lag("wcss").over(Window.orderBy("k")))
+    return breaches(
+        rows, calinski_harabasz=F.col("calinski_harabasz") > 0,
+        silhouette=F.col("silhouette").between(-1, 1),
+        wcss=F.abs(F.col("wcss") - F.col("cost")) <= 1e-6 * F.col("cost"),
+        wcss_falls=F.coalesce(F.col("wcss") < F.col("before"), F.col("k") == 2),
+    )
+
+
+@check("run_analysis_checks", none_broken("kept_or_outlier", "one_segment_each"))
+def _(spark, folder):
+    done = analysis.run_analysis(order_lines(spark, folder))
+    outliers = done.scored.where("is_outlier").select("CustomerID", F.lit(1).alias("out"))
+    named = done.assigned.groupBy("CustomerID").agg(
+        F.count("*").alias("times"), F.max("cluster").alias("cluster"), F.max("segment").alias("segment")
+    )
+    rows = done.features.select("CustomerID").join(outliers, "CustomerID", "left").join(
+        named, "CustomerID", "left"
+    )
+    out, times = F.coalesce("out", F.lit(0)), F.coalesce("times", F.lit(0))
+    noise = F.coalesce("cluster", F.lit(-1)) == -1
+    return breaches(
+        rows, kept_or_outlier=out + times == 1,
+        one_segment_each=(times == 0) | (noise == F.col("segment").isNull()),
+    )
+
+
 @check("isolation_forest_checks", none_broken("scores", "cut"))
 def _(spark, folder):
     customers = i.stored_features(spark, folder)

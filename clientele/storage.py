@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +30,33 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Paths handed out inside each open ``dropping_tables`` block, the innermost last.
+_handed_out: list[list[str]] = []
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for paths in _handed_out:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def dropping_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end, every table that was stored inside the block.
+
+    Results are lazy and read stored tables, so write or collect them before the block ends.
+    """
+    paths: list[str] = []
+    _handed_out.append(paths)
+    try:
+        yield
+    finally:
+        _handed_out.remove(paths)
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

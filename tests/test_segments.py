@@ -64,3 +64,18 @@ def test_every_rule(spark):
     ]
     named = segments.segment_rules(spark.createDataFrame(rows)).orderBy("case").collect()
     assert [r.segment_name for r in named] == [c[-1] for c in cases]
+
+
+def test_stored_tables_can_be_dropped(spark):
+    from pathlib import Path
+
+    from clientele.storage import dropping_tables, materialize, shared_folder
+
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    kept = materialize(spark.range(3), "kept")
+    with dropping_tables(spark):
+        assert materialize(spark.range(5), "dropped").count() == 5
+        assert len(set(folder.iterdir()) - before) == 2
+    assert len(set(folder.iterdir()) - before) == 1
+    assert kept.count() == 3
