@@ -18,7 +18,7 @@ HEADLINE = [
     "clean_lines", "engineer_features", "summary_statistics", "correlation_matrix",
     "iqr_outliers", "robust_scale", "isolation_forest", "kmeans", "hierarchical",
     "gaussian_mixture", "consensus_clustering", "kmeans_sweep", "silhouette_samples",
-    "dbscan_core_points", "anova", "segment_report", "run_analysis",
+    "dbscan_core_points", "dbscan", "gap_statistic", "anova", "segment_report", "run_analysis",
 ]
 
 
