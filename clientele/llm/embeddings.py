@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.functions.components import connected_components
+from clientele.functions.unions import unite
 from clientele.llm.common import run_starts, sorted_runs, store
 
 THRESHOLD = 0.93
@@ -239,7 +240,7 @@ def _leaf_links(units, n, leaves, node: int, part, threshold: float):
                 first = _first_common(table[x], table[y]) == node
                 np.add.at(links, x[first], n[y[first]])
                 np.add.at(links, y[first], n[x[first]])
-                _unite(root, x, y)
+                unite(root, x, y)
     return links, root
 
 
@@ -252,18 +253,6 @@ def _first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return least
 
 
-def _unite(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-    while len(i):
-        a, b = label[i], label[j]
-        differ = a != b
-        if not differ.any():
-            return
-        i, j, a, b = i[differ], j[differ], a[differ], b[differ]
-        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
-        while (label[label] != label).any():
-            label[:] = label[label]
-
-
 def near_links(leaves: DataFrame, threshold: float) -> DataFrame:
     """(cid, links, root): parts of each vector's links, and edges to its class in a leaf."""
     held = leaves.groupBy("cid").agg(F.collect_set("node").alias("leaves"))

@@ -25,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clientele.functions.ranks import with_position
 from clientele.llm.common import NO_ID, WORD, documents, fresh, own_columns, store
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -43,29 +44,13 @@ _EDGE = 1e-9
 def source_sizes(sized: DataFrame) -> DataFrame:
     """(source, src, rows, source_size): src numbers the sources by code point, null last.
 
-    The numbers come from a range-partitioned sort and the counts of its partitions, so no task
-    holds all sources.
+    No task holds all sources, however many there are.
     """
     sums = sized.groupBy("source").agg(
         F.count("*").alias("rows"), F.sum("size").alias("source_size")
     )
-    ordered = store(
-        sums.orderBy(F.col("source").isNull(), "source")
-        .withColumn("part", F.spark_partition_id())
-        .withColumn("place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
-        "sources",
-    )
-    parts = ordered.groupBy("part").agg(F.count("*").alias("n")).orderBy("part").collect()
-    before, offsets = 0, {}
-    for row in parts:
-        offsets[row.part] = before
-        before += row.n
-    first = ordered.sparkSession.createDataFrame(
-        list(offsets.items()) or [(0, 0)], "part int, first bigint"
-    )
-    return ordered.join(first, "part").select(
-        "source", (F.col("first") + F.col("place")).alias("src"), "rows", "source_size"
-    )
+    placed = with_position(sums, [F.col("source").isNull(), F.col("source")], "src")
+    return placed.select("source", "src", "rows", "source_size")
 
 
 def target_sizes(

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.functions.components import connected_components
+from clientele.functions.unions import unite
 from clientele.llm.common import documents, run_starts, sorted_runs, store, text_blocks, text_bytes
 
 SHINGLE_WORDS = 3
@@ -125,27 +126,11 @@ def _linked(prints: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
             keep = i < j
             i, j = i[keep], j[keep]
             near = np.bitwise_count(bits[i] ^ bits[j]) <= max_bits
-            _unite(label, i[near], j[near])
+            unite(label, i[near], j[near])
     others = np.flatnonzero(label != np.arange(n))
     return prints[others], prints[label[others]]
 
 
-def _unite(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
-    """Merge the classes of the linked items in place; each item points to its class's least."""
-    while len(i):
-        a, b = label[i], label[j]
-        differ = a != b
-        if not differ.any():
-            return
-        i, j, a, b = i[differ], j[differ], a[differ], b[differ]
-        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
-        while True:
-            above = label[label]
-            if (above == label).all():
-                break
-            label[:] = above
-
-
 def _near_pairs(batches, max_bits):
     for chunk in sorted_runs(batches, ["list", "lo", "hi"]):
         starts = run_starts(chunk["list"], chunk["lo"], chunk["hi"])
