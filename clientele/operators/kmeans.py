@@ -301,6 +301,13 @@ def fit_models(
     keep = points.select(*columns, *([part_col] if part_col else [])).persist(
         StorageLevel.MEMORY_AND_DISK
     )
+    try:
+        return _lloyd(keep, columns, list(models), part_col, max_passes)
+    finally:
+        keep.unpersist()
+
+
+def _lloyd(keep, columns, models, part_col, max_passes) -> list[Model]:
     part = F.col(part_col) if part_col else F.lit(0)
     spreads = keep.groupBy(part.alias("part")).agg(
         *[F.var_pop(c).alias(c) for c in columns]
@@ -309,7 +316,6 @@ def fit_models(
         int(r["part"]): TOLERANCE * float(np.mean([r[c] for c in columns]))
         for _, r in spreads.iterrows()
     }
-    models = list(models)
     while not all(m.finished for m in models):
         active = {i: m for i, m in enumerate(models) if not m.finished}
         totals = one_pass(keep, columns, active, part_col)
@@ -326,7 +332,6 @@ def fit_models(
             moved[at] = filled.filter(regex=r"^s\d+$").to_numpy() / filled[["n"]].to_numpy()
             model.settled = float(((moved - model.centers) ** 2).sum()) <= limits[model.part]
             model.centers = moved
-    keep.unpersist()
     return models
 
 

@@ -198,3 +198,10 @@ def test_duplicates_go_whatever_the_name_of_the_order_column(spark):
         df = spark.createDataFrame(rows, f"CustomerID string, TotalPrice double, `{stored}` int")
         left = cleaning.drop_duplicates(df, asked).collect()
         assert sorted((r.CustomerID, r[stored]) for r in left) == [("1", 1), ("2", 3)]
+
+
+def test_the_audit_skips_steps_without_their_column(spark):
+    df = spark.createDataFrame([("1", 2.0), (None, 1.0), ("1", 2.0)], "CustomerID string, Quantity double")
+    removed = {r.step: r.rows_removed for r in cleaning.cleaning_audit(df).collect()}
+    assert removed == {"missing_customer": 1, "cancelled": 0, "non_positive_quantity": 0,
+                       "non_positive_price": 0, "duplicates": 1, "extreme_totals": 0}
