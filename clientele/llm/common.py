@@ -6,7 +6,6 @@ Words are the runs of bytes other than the six ASCII white-space bytes, which is
 
 from __future__ import annotations
 
-import gc
 import sys
 import types
 from collections.abc import Iterator
@@ -70,14 +69,23 @@ def row_key(id_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(id_col), F.col(text_col))
 
 
+#: Whether Spark deletes the shuffle files of a query when it ends, not when they are collected.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read from there; its shuffle files may go."""
-    done = materialize(df, label)
-    spark = df.sparkSession
-    del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return done
+    """``df`` written to the shared folder and read from there.
+
+    Nothing reads the shuffle files of the write again, so they go at its end and do not lie
+    beside those of the next step.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEAN)
+    conf.set(_CLEAN, "true")
+    try:
+        return materialize(df, label)
+    finally:
+        conf.set(_CLEAN, before)
 
 
 def text_blocks(batches: Iterator[pa.RecordBatch], size_of: str, limit: int = BLOCK_BYTES):

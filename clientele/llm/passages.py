@@ -286,3 +286,31 @@ def op9_passages(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("ord") != NO_ID, F.col("ord")).alias("doc_id"),
         "n_words", "n_removed", "kept_sha256",
     )
+
+
+SQL = rf"""
+WITH split AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(doc_id, {NO_ID}) AS ord,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT row, ord, i, md5(array_to_string(words[i:i + {WINDOW - 1}], ' ')) AS w
+  FROM (SELECT row, ord, words, unnest(generate_series(1, len(words) - {WINDOW - 1})) AS i
+        FROM split)),
+later AS (
+  SELECT row, i FROM (SELECT row, ord, i, min(ord) OVER (PARTITION BY w) AS least FROM windows)
+  WHERE least < ord),
+numbered AS (
+  SELECT row, i, sum(new) OVER (PARTITION BY row ORDER BY i) AS run
+  FROM (SELECT row, i, CASE WHEN i - lag(i) OVER (PARTITION BY row ORDER BY i) <= {WINDOW} THEN 0
+                       ELSE 1 END AS new FROM later)),
+runs AS (SELECT row, min(i) AS a, max(i) + {WINDOW} AS b FROM numbered GROUP BY row, run),
+words_left AS (
+  SELECT row, i, word FROM (
+    SELECT row, unnest(words) AS word, unnest(generate_series(1, len(words))) AS i FROM split) w
+  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.row = w.row AND w.i >= a AND w.i < b)),
+kept AS (SELECT row, string_agg(word, ' ' ORDER BY i) AS t FROM words_left GROUP BY row),
+removed AS (SELECT row, sum(b - a) AS n FROM runs GROUP BY row)
+SELECT doc_id, len(words) AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM split LEFT JOIN removed USING (row) LEFT JOIN kept USING (row)
+"""

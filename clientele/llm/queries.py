@@ -6,10 +6,12 @@ from clientele.llm.embeddings import op2_embeddings
 from clientele.llm.language import op3_language
 from clientele.llm.mixing import op1_mixing
 from clientele.llm.packing import op4_packing
+from clientele.llm.passages import SQL as PASSAGES_SQL
 from clientele.llm.passages import op9_passages
 from clientele.llm.quality import SQL as QUALITY_SQL
 from clientele.llm.quality import op7_quality
 from clientele.llm.simhash import op5_simhash
+from clientele.llm.suffixes import SQL as SUFFIXES_SQL
 from clientele.llm.suffixes import op8_suffixes
 from clientele.llm.token_counts import op6_token_counts
 from clientele.llm.toxicity import op10_toxicity
@@ -26,4 +28,8 @@ QUERIES = {
     "op9_passages": op9_passages,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE_SQL = {"op7_quality": QUALITY_SQL}
+ORACLE_SQL = {
+    "op7_quality": QUALITY_SQL,
+    "op8_suffixes": SUFFIXES_SQL,
+    "op9_passages": PASSAGES_SQL,
+}

@@ -164,7 +164,7 @@ def _settled_contexts(rows, ids, uids, length):
     later = _later(same, ids[owner], start)
     keep = np.flatnonzero(~later)
     keys = np.array([rows[k][0] for k in keep], dtype=np.int64)
-    yield _batch(keys, keys, ids[owner[keep]], uids[owner[keep]], start[keep],
+    yield _batch(keys, np.zeros_like(keys), ids[owner[keep]], uids[owner[keep]], start[keep],
                  np.zeros(len(keep)), False, [rows[k][3] for k in keep])
     if later.any():
         sizes = np.array([len(text) - length + 1 for *_, text in rows])
@@ -197,17 +197,20 @@ def _run_rows(owner, start, ids, uids):
 
 def _later(group: np.ndarray, ids: np.ndarray, start: np.ndarray) -> np.ndarray:
     """Whether another member of the row's group lies strictly earlier."""
-    order = np.lexsort((start, ids, group))
-    first = run_starts(group[order])
-    head = order[first][run_of_row(first, len(order))]
-    later = np.empty(len(order), dtype=bool)
-    later[order] = (ids[order] != ids[head]) | (start[order] != start[head])
+    later = np.zeros(len(group), dtype=bool)
+    several = np.flatnonzero(np.bincount(group, minlength=1)[group] > 1)
+    if len(several):
+        group, ids, start = group[several], ids[several], start[several]
+        order = np.lexsort((start, ids, group))
+        first = run_starts(group[order])
+        head = order[first][run_of_row(first, len(order))]
+        later[several[order]] = (ids[order] != ids[head]) | (start[order] != start[head])
     return later
 
 
 def _known(ids, uids, start, sizes) -> pa.RecordBatch:
     spread = np.random.default_rng(len(ids)).integers(-(2**63), 2**63, len(ids))
-    return _batch(spread, spread, ids, uids, start, sizes, True, [None] * len(ids))
+    return _batch(spread, np.zeros_like(spread), ids, uids, start, sizes, True, [None] * len(ids))
 
 
 def _batch(k1, k2, ids, uids, start, sizes, known, texts) -> pa.RecordBatch:
@@ -221,7 +224,7 @@ def _batch(k1, k2, ids, uids, start, sizes, known, texts) -> pa.RecordBatch:
 
 def _sort_directly(keys: np.ndarray, suffixes: np.ndarray, depth: int) -> np.ndarray:
     """The suffixes by their first ``depth`` bytes; only ties are looked at further."""
-    order = suffixes[np.argsort(keys[suffixes], kind="stable")]
+    order = suffixes[np.argsort(keys[suffixes])]
     first = run_starts(keys[order])
     group = first[run_of_row(first, len(order))]
     at = 8
@@ -242,8 +245,14 @@ def _sort_directly(keys: np.ndarray, suffixes: np.ndarray, depth: int) -> np.nda
     return order
 
 
-def two_stage_suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of ``text`` (bytes) in the order of their first ``depth`` bytes at least."""
+def two_stage_suffix_array(
+    text: np.ndarray, depth: int, wanted: np.ndarray | None = None
+) -> np.ndarray:
+    """Suffixes of ``text`` (bytes) in the order of their first ``depth`` bytes at least.
+
+    With ``wanted`` positions, those are among the result, and of the others only what their
+    order is induced from: the suffixes from each one to the next directly sorted one.
+    """
     n = len(text)
     if not n:
         return np.zeros(0, dtype=np.int64)
@@ -256,7 +265,14 @@ def two_stage_suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     # Inside a run of one byte every suffix compares as the last one of the run does.
     last = np.flatnonzero(differs)
     smaller = rises[last[np.searchsorted(last, np.arange(n))]]
-    direct = _sort_directly(keys, np.flatnonzero(smaller), depth)
+    direct = np.flatnonzero(smaller)
+    kept = np.ones(n, dtype=bool)
+    if wanted is not None:
+        until = np.append(direct, n - 1)[np.searchsorted(direct, wanted)]
+        change = np.bincount(wanted, minlength=n + 1) - np.bincount(until + 1, minlength=n + 1)
+        kept = np.cumsum(change[:n]) > 0
+        direct = direct[kept[direct]]
+    direct = _sort_directly(keys, direct, depth)
     bounds = np.searchsorted(text[direct], np.arange(257))
     queues: list[list[np.ndarray]] = [[] for _ in range(256)]
     found = []
@@ -264,7 +280,7 @@ def two_stage_suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     def induce(entries: np.ndarray, byte: int) -> np.ndarray:
         """Append the larger suffixes one byte before to their buckets; return this bucket's."""
         before = entries[entries > 0] - 1
-        before = before[~smaller[before]]
+        before = before[~smaller[before] & kept[before]]
         if not len(before):
             return before
         first = text[before]
@@ -280,7 +296,8 @@ def two_stage_suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         return own
 
     # The empty suffix is the least of all; it comes before the last byte.
-    queues[int(text[-1])].append(np.array([n - 1]))
+    if kept[-1]:
+        queues[int(text[-1])].append(np.array([n - 1]))
     for byte in range(256):
         if queues[byte]:
             entries = np.concatenate(queues[byte])
@@ -292,7 +309,7 @@ def two_stage_suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         if len(own):
             found.append(own)
             induce(own, byte)
-    return np.concatenate(found)
+    return np.concatenate(found) if found else np.zeros(0, dtype=np.int64)
 
 
 def common_prefixes(keys: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
@@ -319,9 +336,9 @@ def repeated_strings(texts: list[bytes], ids: np.ndarray, start: np.ndarray, len
     sizes = np.array([len(t) + 1 for t in texts])
     joined = np.frombuffer(b"".join(t + bytes([_GAP]) for t in texts), dtype=np.uint8)
     origin = np.cumsum(sizes) - sizes
-    order = two_stage_suffix_array(joined, length)
     owner = np.repeat(np.arange(len(texts)), sizes)
     left = (origin + sizes - 1)[owner] - np.arange(len(joined))
+    order = two_stage_suffix_array(joined, length, np.flatnonzero(left >= length))
     order = order[left[order] >= length]
     if not len(order):
         return order, order
@@ -484,3 +501,34 @@ def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
         F.when(F.col("ord") != NO_ID, F.col("ord")).alias("doc_id"),
         "n_bytes", "n_removed", "n_spans", "kept_sha256",
     )
+
+
+SQL = f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(doc_id, {NO_ID}) AS ord,
+         hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (
+  SELECT row, ord, i, md5(substr(h, 2 * i + 1, {2 * LENGTH})) AS s
+  FROM (SELECT row, ord, h, unnest(generate_series(0, length(h) // 2 - {LENGTH})) AS i FROM texts)),
+firsts AS (
+  SELECT row, ord, i, min(ord) OVER (PARTITION BY s) AS least_ord,
+         min(i) OVER (PARTITION BY s, ord) AS least_i FROM strings),
+later AS (SELECT row, i FROM firsts WHERE ord > least_ord OR i > least_i),
+numbered AS (
+  SELECT row, i, sum(new) OVER (PARTITION BY row ORDER BY i) AS run
+  FROM (SELECT row, i, CASE WHEN i - lag(i) OVER (PARTITION BY row ORDER BY i) <= {LENGTH} THEN 0
+                       ELSE 1 END AS new FROM later)),
+runs AS (SELECT row, min(i) AS a, max(i) + {LENGTH} AS b FROM numbered GROUP BY row, run),
+gaps AS (
+  SELECT row, a, coalesce(lag(b) OVER (PARTITION BY row ORDER BY a), 0) AS from_ FROM runs
+  UNION ALL
+  SELECT t.row, length(h) // 2, coalesce(max(b), 0) FROM texts t LEFT JOIN runs r ON r.row = t.row
+  GROUP BY t.row, h),
+kept AS (
+  SELECT row, string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a) AS h
+  FROM gaps JOIN texts USING (row) GROUP BY row),
+removed AS (SELECT row, sum(b - a) AS n, count(*) AS spans FROM runs GROUP BY row)
+SELECT doc_id, length(t.h) // 2 AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed,
+       coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(k.h, ''))) AS kept_sha256
+FROM texts t LEFT JOIN removed USING (row) LEFT JOIN kept k USING (row)
+"""

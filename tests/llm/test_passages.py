@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import duckdb
 import pytest
 
 from clientele.llm import passages
@@ -65,3 +66,12 @@ def test_an_empty_table(make_docs):
 def test_a_cover_must_be_complete(make_docs):
     with pytest.raises(ValueError):
         passages.repeated_passages(make_docs([]), period=7, cover=(0, 1, 2))
+
+
+def test_the_sql_agrees(spark, small):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+    want = con.execute(passages.SQL)
+    names = [c[0] for c in want.description]
+    got = passages.op9_passages(spark, small).select(names).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())

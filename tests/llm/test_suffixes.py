@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -41,6 +42,10 @@ def test_two_stage_sorting_gives_the_suffix_array():
             want = sorted(range(n), key=lambda i: data[i:])
             got = suffixes.two_stage_suffix_array(np.frombuffer(data, dtype=np.uint8), n + 8)
             assert got.tolist() == want
+            some = np.array(sorted(rng.sample(range(n), n // 2)), dtype=np.int64)
+            part = suffixes.two_stage_suffix_array(np.frombuffer(data, dtype=np.uint8), n + 8, some)
+            chosen = set(some.tolist())
+            assert [i for i in part.tolist() if i in chosen] == [i for i in want if i in chosen]
 
 
 def test_common_prefixes():
@@ -85,3 +90,12 @@ def test_texts_and_an_empty_table(make_docs):
     kept = {r.ord: r.kept for r in suffixes.without_repeated_bytes(docs, length=40, texts=True).collect()}
     assert kept == {1: None, 2: b" b"}
     assert found(make_docs([])) == []
+
+
+def test_the_sql_agrees(spark, small):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+    want = con.execute(suffixes.SQL)
+    names = [c[0] for c in want.description]
+    got = suffixes.op8_suffixes(spark, small).select(names).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())
