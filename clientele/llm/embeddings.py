@@ -2,7 +2,7 @@
 
 Vectors are compared within one label and one dimension. Each tree splits a node at the median
 of a random projection; vectors within a margin of the median go to both sides (spill), the
-margin being half the spread that the projections of a pair at the threshold differ by. Nodes of
+margin being a quarter of the spread that the projections of a pair at the threshold differ by. Nodes of
 more than LEAF_ROWS vectors are split again in the next round, by medians of a bounded sample of
 the node, until all are leaves; a node that the margin does not let split is a leaf of any size.
 All pairs of a leaf are compared exactly. A pair that shares several leaves counts in the first
@@ -122,7 +122,7 @@ def _fit(threshold: float):
     def node(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("cid")
         units = _units(rows["vec"])
-        margin = np.sqrt(2 - 2 * threshold) / np.sqrt(units.shape[1]) / 2
+        margin = np.sqrt(2 - 2 * threshold) / np.sqrt(units.shape[1]) / 4
         own, size = int(rows["node"].iloc[0]), int(rows["size"].iloc[0])
         plan = _plan(units, size, own, margin)
         return pd.DataFrame({"node": [own], "plan": [pickle.dumps((plan, margin))]})
