@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from clientele.llm import embeddings
@@ -80,3 +81,32 @@ def test_nulls_zeros_copies_and_other_dimensions(spark):
     rows[15] = (14, v, 1)
     assert got == slow(rows)
     assert found(spark.createDataFrame([], SCHEMA)) == []
+
+
+def group(centre, size, cosine, rng):
+    """Vectors around ``centre`` whose pairs have about the given cosine."""
+    noise = rng.standard_normal((size, len(centre)))
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    noise -= (noise @ centre)[:, None] * centre
+    return np.sqrt(cosine) * centre + np.sqrt(1 - cosine) * noise
+
+
+def test_recall_does_not_fall_in_large_groups_of_near_copies(spark):
+    size = 5000
+    rng = np.random.default_rng(size)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    groups = [unit(group(unit(rng.standard_normal(64)), size, c, rng)) for c in (0.93, 0.95, 0.97)]
+    alone = unit(rng.standard_normal((10_000, 64)))
+    rows = np.concatenate([*groups, alone])
+    place = rng.permutation(len(rows))
+    df = spark.createDataFrame(pd.DataFrame({
+        "vec_id": np.arange(len(rows)), "embedding": rows[place].tolist(), "label": 1,
+    }), SCHEMA)
+    got = embeddings.near_duplicates(df).toPandas().set_index("vec_id")["n_links"]
+    found = np.empty(len(rows), dtype=np.int64)
+    found[place] = got.loc[np.arange(len(rows))].to_numpy()
+    for k, own in enumerate(groups):
+        true = np.concatenate([(own[i:i + 1000] @ own.T >= 0.93).sum(axis=1) for i in range(0, size, 1000)]) - 1
+        part = found[k * size:(k + 1) * size]
+        assert (part <= true).all()
+        assert part.sum() >= 0.9 * true.sum()
