@@ -7,8 +7,10 @@ rows; a declared language multiplies by how often texts of each language declare
 declarations are grouped sums of the text-only posteriors, without the row's own share, so a
 row is not its own witness.
 
-Trigram counts come from all labelled texts, hashed into BINS bins; the table of languages by
-bins is bounded by MAX_LANGUAGES (more raise an error) and is broadcast.
+Trigram counts come from all labelled texts, hashed into BINS bins. The table of bins by languages
+is broadcast in blocks of BLOCK_LANGUAGES columns, 128 KB a language; more languages take a further
+pass over the texts for each block, so there may be any number of them. A task counts the trigrams
+of at most HELD_LANGUAGES languages at once and passes them on before it starts others.
 
 Nulls and ties: a null or empty text has a flat likelihood and takes its language from the other
 evidence; a null host, suffix or declaration is a group of its own or no evidence; without any
@@ -18,7 +20,7 @@ Repeated rows count as often as they come.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 from clientele.llm.common import documents, store, text_blocks
 
 BINS = 1 << 14
-MAX_LANGUAGES = 64
+BLOCK_LANGUAGES = 256
+HELD_LANGUAGES = 64
 EVIDENCE = 60.0
 #: Rows that the level above counts for, in a prior and in a declaration.
 PRIOR_ROWS = 5.0
@@ -44,22 +47,45 @@ def _trigrams(text: str) -> np.ndarray:
 
 
 def _label_counts(batches):
+    def sums(counts):
+        for lang, row in counts.items():
+            bins = np.flatnonzero(row)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(bins), pa.string()), pa.array(bins, pa.int32()),
+                 pa.array(row[bins])],
+                ["lang", "bin", "n"],
+            )
+
     counts: dict[str, np.ndarray] = {}
     for block in text_blocks(batches, "text"):
         for lang, text in zip(block["lang"], block["text"], strict=True):
             if lang not in counts:
-                if len(counts) >= MAX_LANGUAGES:
-                    raise ValueError(f"more than {MAX_LANGUAGES} languages")
+                if len(counts) >= HELD_LANGUAGES:
+                    yield from sums(counts)
+                    counts = {}
                 counts[lang] = np.zeros(BINS, dtype=np.int64)
             if text:
                 counts[lang] += np.bincount(_trigrams(text), minlength=BINS)
-    for lang, row in counts.items():
-        bins = np.flatnonzero(row)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(bins), pa.string()), pa.array(bins, pa.int32()),
-             pa.array(row[bins])],
-            ["lang", "bin", "n"],
-        )
+    yield from sums(counts)
+
+
+def trigram_counts(labelled: DataFrame) -> tuple[list[str], DataFrame]:
+    """Languages in order, and (lang, bin, n) of all rows of ``labelled`` that have a language."""
+    known = labelled.where(F.col("lang").isNotNull()).select("lang", "text")
+    counted = known.mapInArrow(_label_counts, "lang string, bin int, n bigint")
+    sums = store(counted.groupBy("lang", "bin").agg(F.sum("n").alias("n")), "trigrams")
+    langs = [r.lang for r in sums.select("lang").distinct().collect()]
+    return sorted(langs, key=str.encode), sums
+
+
+def _log_table(langs: list[str], sums: DataFrame) -> np.ndarray:
+    """Log probability of each bin (rows) in each of the languages (columns)."""
+    table = np.full((BINS, len(langs)), 0.5)
+    place = sums.sparkSession.createDataFrame(list(enumerate(langs)), "place int, lang string")
+    rows = sums.join(F.broadcast(place), "lang").select("bin", "place", "n").toArrow()
+    bins, places, n = (rows.column(c).to_numpy() for c in ("bin", "place", "n"))
+    table[bins, places] += n
+    return np.log(table / table.sum(axis=0))
 
 
 def trigram_model(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
@@ -67,54 +93,59 @@ def trigram_model(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
 
     ``labelled`` has lang and text; rows without a language are left out.
     """
-    known = labelled.where(F.col("lang").isNotNull()).select("lang", "text")
-    counted = known.mapInArrow(_label_counts, "lang string, bin int, n bigint")
-    rows = counted.groupBy("lang", "bin").agg(F.sum("n").alias("n")).collect()
-    langs = sorted({r.lang for r in rows}, key=str.encode)
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    table = np.full((BINS, len(langs)), 0.5)
-    place = {lang: i for i, lang in enumerate(langs)}
-    for r in rows:
-        table[r.bin, place[r.lang]] += r.n
-    return langs, np.log(table / table.sum(axis=0)) if langs else table
+    langs, sums = trigram_counts(labelled)
+    return langs, _log_table(langs, sums) if langs else np.zeros((BINS, 0))
 
 
-def _posteriors(batches, model, keys):
+def _likelihoods(batches, model, kept, first: bool, last: bool):
+    """Adds the model's languages to ``p``: log likelihoods, after the last ones posteriors."""
     for block in text_blocks(batches, "text"):
         rows = []
-        for text in block["text"]:
+        for i, text in enumerate(block["text"]):
             grams = _trigrams(text or "")
             total = np.bincount(grams, minlength=BINS) @ model.value
             total *= EVIDENCE / (len(grams) + EVIDENCE)
-            p = np.exp(total - total.max())
-            rows.append(p / p.sum())
+            if not first:
+                total = np.concatenate([block["p"][i], total])
+            if last:
+                total = np.exp(total - total.max())
+                total /= total.sum()
+            rows.append(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(block[k], pa.int64() if k == "number" else pa.string()) for k in keys]
+            [pa.array(block[k], pa.int64() if k == "number" else pa.string()) for k in kept]
             + [pa.array(rows, pa.list_(pa.float64()))],
-            [*keys, "p"],
+            [*kept, "p"],
         )
 
 
+def _posteriors(evidence: DataFrame, langs: list[str], sums: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of every row and ``p``, the text's posterior of each language."""
+    rows = evidence.select(*keys, "text")
+    for at in range(0, len(langs), BLOCK_LANGUAGES):
+        first, last = at == 0, at + BLOCK_LANGUAGES >= len(langs)
+        table = _log_table(langs[at:at + BLOCK_LANGUAGES], sums)
+        model = evidence.sparkSession.sparkContext.broadcast(table)
+        kept = keys if last else [*keys, "text"]
+        schema = ", ".join(f"{k} {'bigint' if k == 'number' else 'string'}" for k in kept)
+        add = partial(_likelihoods, model=model, kept=kept, first=first, last=last)
+        rows = store(rows.mapInArrow(add, f"{schema}, p array<double>"), "posteriors")
+    return rows
+
+
 def fuse_languages(evidence: DataFrame, labelled: DataFrame) -> DataFrame:
     """number, kind, lang, score, text_lang, declared of every row of ``evidence``.
 
     ``evidence``: number (bigint), kind, host, suffix, declared (text), text.
     """
     keys = ["number", "kind", "host", "suffix", "declared"]
-    langs, table = trigram_model(labelled)
+    langs, counts = trigram_counts(labelled)
     if not langs:
         empty = F.lit(None).cast("string")
         return evidence.select(
             "number", "kind", empty.alias("lang"), F.lit(None).cast("double").alias("score"),
             empty.alias("text_lang"), "declared",
         )
-    model = evidence.sparkSession.sparkContext.broadcast(table)
-    schema = "number bigint, kind string, host string, suffix string, declared string, p array<double>"
-    rows = store(
-        evidence.select(*keys, "text").mapInArrow(lambda b: _posteriors(b, model, keys), schema),
-        "posteriors",
-    )
+    rows = _posteriors(evidence, langs, counts, keys)
     n = range(len(langs))
     p = [F.col("p")[i] for i in n]
 
@@ -138,24 +169,30 @@ def fuse_languages(evidence: DataFrame, labelled: DataFrame) -> DataFrame:
               & F.col("suffix").eqNullSafe(F.col("of_host_suffix")), "left")
         .join(by_declared, F.col("declared") == F.col("of_declared_declared"), "left")
     )
-    total = lambda name: reduce(lambda a, b: a + b, [F.col(name)[i] for i in n])
+    total = lambda name: F.aggregate(name, F.lit(0.0), lambda a, x: a + x)
+    of_all, of_declaring = (F.array(*map(F.lit, x)) for x in (share, declaring))
     k = PRIOR_ROWS
-    posts = []
-    for i in n:
-        of_suffix = (F.col("of_suffix")[i] - p[i] + k * share[i]) / (total("of_suffix") - 1 + k)
+    sums_of = {f"all_{x}": total(f"of_{x}") for x in ("suffix", "host", "declared")}
+
+    def post(i):
+        own = F.get("p", i)
+        of_suffix = (F.get("of_suffix", i) - own + k * F.get(of_all, i)) / (F.col("all_suffix") - 1 + k)
         of_host = F.when(F.col("host").isNull(), of_suffix).otherwise(
-            (F.col("of_host")[i] - p[i] + k * of_suffix) / (total("of_host") - 1 + k)
+            (F.get("of_host", i) - own + k * of_suffix) / (F.col("all_host") - 1 + k)
         )
-        rate = total("of_declared") / F.lit(max(sum(declaring), 1e-9))
-        says = (F.col("of_declared")[i] - p[i] + k * rate) / (F.lit(declaring[i] + k) - p[i])
-        posts.append(p[i] * of_host * F.when(F.col("declared").isNull(), 1.0).otherwise(says))
-    fused = joined.withColumn("post", F.array(*[F.greatest(x, F.lit(0.0)) for x in posts]))
+        rate = F.col("all_declared") / F.lit(max(sum(declaring), 1e-9))
+        says = (F.get("of_declared", i) - own + k * rate) / (F.get(of_declaring, i) + k - own)
+        fused = own * of_host * F.when(F.col("declared").isNull(), 1.0).otherwise(says)
+        return F.greatest(fused, F.lit(0.0))
+
+    fused = joined.withColumns(sums_of).withColumn(
+        "post", F.transform(F.sequence(F.lit(0), F.lit(len(langs) - 1)), post)
+    )
     names = F.array(*map(F.lit, langs))
     place = lambda c: F.array_position(c, F.array_max(c)).cast("int")
-    weight = reduce(lambda a, b: a + b, [F.col("post")[i] for i in n])
     return fused.select(
         "number", "kind", F.element_at(names, place(F.col("post"))).alias("lang"),
-        (F.array_max("post") / weight).alias("score"),
+        (F.array_max("post") / total("post")).alias("score"),
         F.element_at(names, place(F.col("p"))).alias("text_lang"), "declared",
     )
 

@@ -82,3 +82,27 @@ def test_empty_tables_and_missing_labels(spark, make_docs):
     seen = {r.number: r for r in language.page_evidence(pages).collect()}
     assert seen[2].declared == "en" and seen[1].host is None and seen[None].suffix == "org"
     assert language.fuse_languages(language.page_evidence(pages), labelled).count() == 3
+
+
+def test_more_languages_than_one_block_or_task_holds(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    words = {f"l{i:03}": ["".join(rng.choice(list("abcdefghijklmnop"), 6)) for _ in range(4)]
+             for i in range(90)}
+    labelled = spark.createDataFrame(
+        [(lang, " ".join(own * 5)) for lang, own in words.items() for _ in range(3)],
+        "lang string, text string").repartition(2)
+    rows = spark.createDataFrame(
+        [(i, "x", None, None, None, " ".join(own * 3)) for i, own in enumerate(words.values())],
+        EVIDENCE)
+    want = dict(enumerate(words))
+
+    def found():
+        return {r.number: (r.lang, r.text_lang, round(r.score, 9))
+                for r in language.fuse_languages(rows, labelled).collect()}
+
+    whole = found()
+    assert {i: r[0] for i, r in whole.items()} == want
+    monkeypatch.setattr(language, "BLOCK_LANGUAGES", 32)
+    assert found() == whole
