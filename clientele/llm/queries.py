@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from clientele.llm.chat import SQL as CHAT_SQL
+from clientele.llm.chat import op11_chat
 from clientele.llm.embeddings import op2_embeddings
+from clientele.llm.importance import op12_importance
 from clientele.llm.language import op3_language
+from clientele.llm.lloyd import SQL as LLOYD_SQL
+from clientele.llm.lloyd import op13_lloyd
 from clientele.llm.mixing import op1_mixing
 from clientele.llm.packing import op4_packing
 from clientele.llm.passages import SQL as PASSAGES_SQL
@@ -27,9 +32,14 @@ QUERIES = {
     "op8_suffixes": op8_suffixes,
     "op9_passages": op9_passages,
     "op10_toxicity": op10_toxicity,
+    "op11_chat": op11_chat,
+    "op12_importance": op12_importance,
+    "op13_lloyd": op13_lloyd,
 }
 ORACLE_SQL = {
     "op7_quality": QUALITY_SQL,
     "op8_suffixes": SUFFIXES_SQL,
     "op9_passages": PASSAGES_SQL,
+    "op11_chat": CHAT_SQL,
+    "op13_lloyd": LLOYD_SQL,
 }
