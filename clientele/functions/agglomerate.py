@@ -1,205 +1,515 @@
-"""Agglomerative clustering of weighted units.
+"""Agglomerative clustering of weighted units, in blocks, with the tree of the whole table.
 
-Both linkages used here depend only on each cluster's weight and mean vector, so no matrix of
-pairs is kept: Ward's on the mean position, average linkage of co-association on the mean
-indicator vector (the average over all pairs of two clusters of "same label in run r" is the
-product of the shares of each label).
+A linkage here depends only on each cluster's weight and state (mean position or label counts), so
+no matrix of pairs is kept. It is reducible: merging two clusters brings neither closer to a third
+than the nearer of them was. Merges of pairs that are each other's nearest may therefore happen in
+any order, and units that are safe from outside may merge many times inside one block.
 
-Both are also reducible: merging two clusters brings neither closer to a third than the nearer of
-them was. So all pairs that are each other's nearest can merge at once without changing the
-tree. ``agglomerate_table`` does that in rounds on Spark while there are many clusters and leaves
-the last few thousand to ``merge_tree``.
+Each round cuts the clusters into blocks by a tree of splits and does two things.
+
+* Search: a cluster visits every other block that could hold one as near as its nearest one in
+  its own block, and finds its nearest one there. Blocks whose box is too far are not visited;
+  their bound stands for them.
+* Merge: a block merges pairs that are each other's nearest, again and again, as long as nothing
+  outside is nearer. What lies outside may merge at the same time, which cannot bring it nearer.
+  A merged cluster's distance to the outside is bounded by the linkage's update formula.
+
+Clusters left over go to the next round, which cuts them differently, until one block is left.
+
+Ties: a cluster is named by its greatest member, and of equally near clusters the one with the
+least name counts as nearer. Pairs so ordered by (gap, greater name, lesser name) keep the property
+above, hence the tree does not depend on blocks, rounds or rows on the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.functions.blocks import TILE_CELLS, meet_in_blocks
-from clientele.functions.components import connected_components
+from clientele.functions.blocks import TILE_CELLS
 from clientele.storage import materialize
 
-DRIVER_UNITS = 5_000
+#: Clusters of a block, and sampled ones for each block that the splits are taken from.
+BLOCK_UNITS = 1_000
+SPLIT_SAMPLES = 8
+#: Visitors of a block that one task compares.
+MOST_VISITORS = 50_000
+#: Bounds are taken down by more than their rounding.
+_SLACK = 1 - 1e-9
 
-# (weights, means) of some clusters and of others -> matrix of their distances.
-Gap = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
+def _steady(gaps: np.ndarray) -> np.ndarray:
+    """Gaps rounded to 40 bits, so that equal ones are equal however they came about."""
+    bits = np.ascontiguousarray(gaps).view(np.int64)
+    bits += 1 << 11
+    bits &= ~0xFFF
+    return bits.view(np.float64)
 
-def ward_gap(weights, means, other_weights, other_means):
-    squares = sum(
-        (means[:, j, None] - other_means[None, :, j]) ** 2 for j in range(means.shape[1])
-    )
-    return squares / (1.0 / weights[:, None] + 1.0 / other_weights[None, :])
-
-
-def coassociation_gap(runs: int) -> Gap:
-    def gap(weights, means, other_weights, other_means):
-        return 1.0 - means @ other_means.T / runs
-
-    return gap
-
-
-def merge_tree(
-    means: np.ndarray, weights: np.ndarray, gap: Gap
-) -> list[tuple[float, int, int]]:
-    """All merges as (height, unit, unit), found by nearest-neighbour chains."""
-    means, weights = means.astype(float).copy(), weights.astype(float).copy()
-    alive = np.ones(len(means), dtype=bool)
-    merges: list[tuple[float, int, int]] = []
-    chain: list[int] = []
-    while len(merges) < len(means) - 1:
-        if not chain:
-            chain.append(int(np.flatnonzero(alive)[0]))
-        top = chain[-1]
-        gaps = gap(weights[[top]], means[[top]], weights, means)[0]
-        gaps[~alive] = np.inf
-        gaps[top] = np.inf
-        near = int(gaps.argmin())
-        back = chain[-2] if len(chain) > 1 else None
-        if back is None or gaps[near] < gaps[back]:
-            chain.append(near)
-            continue
-        del chain[-2:]
-        merges.append((float(gaps[back]), top, back))
-        total = weights[top] + weights[back]
-        means[back] = (weights[top] * means[top] + weights[back] * means[back]) / total
-        weights[back] = total
-        alive[top] = False
-    return merges
-
-
-def cut_tree(units: int, merges: Sequence[tuple[float, int, int]], k: int) -> np.ndarray:
-    """Labels 0..k-1 after all but the k - 1 highest merges."""
-    root = np.arange(units)
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for _, one, other in sorted(merges, key=lambda m: m[0])[: max(units - k, 0)]:
-        root[find(one)] = find(other)
-    return np.unique([find(i) for i in range(units)], return_inverse=True)[1]
-
-
-def agglomerate(means: np.ndarray, weights: np.ndarray, k: int, gap: Gap) -> np.ndarray:
-    return cut_tree(len(means), merge_tree(means, weights, gap), k)
-
-
-def _nearest(units: DataFrame, columns: list[str], gap: Gap) -> DataFrame:
-    """(unit, gap, tie, near): each cluster's nearest one.
-
-    Equal distances are common between label signatures. They are told apart by a number that
-    both sides of a pair agree on, so that many pairs find each other in one round.
+
+@dataclass(frozen=True)
+class Ward:
+    """Growth of the inner sum of squares; a state is the mean position."""
+
+    def first(self, weight, values):
+        return list(values)
+
+    def place(self, weights, states):
+        return states
+
+    def gap(self, weights, states, other_weights, other_states):
+        squares = np.zeros((len(states), len(other_states)))
+        for j in range(states.shape[1]):
+            apart = states[:, j, None] - other_states[None, :, j]
+            apart *= apart
+            squares += apart
+        squares /= 1.0 / weights[:, None] + 1.0 / other_weights[None, :]
+        return _steady(squares)
+
+    def join(self, weights, states, other_weights, other_states):
+        both = weights[:, None] * states + other_weights[:, None] * other_states
+        return both / (weights + other_weights)[:, None]
+
+    def box_gap(self, weights, places, low, high, least):
+        apart = np.maximum(np.maximum(low - places, places - high), 0.0)
+        return (apart * apart).sum(axis=1) / (1.0 / weights + 1.0 / least)
+
+    def outside(self, weights, outs, other_weights, other_outs, gap, least):
+        total = (least + weights) * outs + (least + other_weights) * other_outs - least * gap
+        return total / (least + weights + other_weights)
+
+
+@dataclass(frozen=True)
+class CoAssociation:
+    """Mean share of runs in which members differ; a state counts the members of each label.
+
+    Counts are whole numbers, so equal gaps are equal to the last bit.
     """
-    def tie_number(one: np.ndarray, other: np.ndarray) -> np.ndarray:
-        mixed = np.bitwise_xor(one, other).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return (mixed >> np.uint64(1)).astype(np.int64)
-
-    def nearest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        names, marks = right["unit"].to_numpy(), right["mark"].to_numpy()
-        weights, means = right["weight"].to_numpy(), right[columns].to_numpy()
-        itself = pd.Index(names).get_indexer(left["unit"])
-        out = []
-        step = max(1, TILE_CELLS // len(right))
-        for start in range(0, len(left), step):
-            part, own = left.iloc[start:start + step], itself[start:start + step]
-            part_marks = part["mark"].to_numpy()
-            gaps = gap(part["weight"].to_numpy(), part[columns].to_numpy(), weights, means)
-            gaps = np.round(gaps, 12)
-            here = np.flatnonzero(own >= 0)
-            gaps[here, own[here]] = np.inf
-            at = gaps.argmin(axis=1)
-            least = gaps[np.arange(len(part)), at]
-            ties = (gaps == least[:, None])
-            for i in np.flatnonzero(ties.sum(axis=1) > 1):
-                equal = np.flatnonzero(ties[i])
-                at[i] = equal[tie_number(part_marks[i], marks[equal]).argmin()]
-            out.append(pd.DataFrame({
-                "unit": part["unit"].to_numpy(), "gap": least,
-                "tie": tie_number(part_marks, marks[at]), "near": names[at],
-            }))
-        return pd.concat(out)
-
-    marked = units.withColumn("mark", F.xxhash64("unit"))
-    kind = units.schema["unit"].dataType.simpleString()
-    found = meet_in_blocks(
-        marked, marked, [], "unit", nearest, f"unit {kind}, gap double, tie long, near {kind}"
-    )
-    best = found.where(F.col("gap") < float("inf")).groupBy("unit").agg(
-        F.min(F.struct("gap", "tie", "near")).alias("best")
-    )
-    return materialize(best.select("unit", "best.*"), "nearest")
 
+    runs: int
 
-def _mutual(nearest: DataFrame) -> DataFrame:
-    """The pairs that are each other's nearest; the closest pair if rounding hides them all."""
-    back = nearest.select(F.col("unit").alias("near"), F.col("near").alias("unit"))
-    pairs = nearest.join(back, ["unit", "near"]).where(F.col("unit") < F.col("near"))
-    if pairs.isEmpty():
-        pairs = nearest.orderBy("gap", "tie", "unit").limit(1)
-    return pairs.select(
-        F.least("unit", "near").alias("one"), F.greatest("unit", "near").alias("other"), "gap"
-    )
+    def first(self, weight, values):
+        return [weight * v for v in values]
 
+    def place(self, weights, states):
+        return states / weights[:, None]
 
-def agglomerate_table(
-    units: DataFrame, columns: Sequence[str], k: int, gap: Gap, driver_units: int = DRIVER_UNITS
+    def gap(self, weights, states, other_weights, other_states):
+        pairs = self.runs * weights[:, None] * other_weights[None, :]
+        return _steady((pairs - states @ other_states.T) / pairs)
+
+    def join(self, weights, states, other_weights, other_states):
+        return states + other_states
+
+    def box_gap(self, weights, places, low, high, least):
+        """Fill each run's shares, label by label from the cluster's largest, up to the box."""
+        own = places.reshape(len(places), self.runs, -1)
+        low = np.maximum(low, 0.0).reshape(self.runs, -1)
+        high = np.minimum(high, 1.0).reshape(self.runs, -1)
+        order = np.argsort(-own, axis=2, kind="stable")
+        sorted_own = np.take_along_axis(own, order, axis=2)
+        room = np.take_along_axis(np.broadcast_to(high - low, own.shape), order, axis=2)
+        left = np.maximum(1.0 - low.sum(axis=1), 0.0)[None, :, None]
+        before = np.cumsum(room, axis=2) - room
+        filled = np.clip(left - before, 0.0, room)
+        agree = (own * low).sum(axis=(1, 2)) + (sorted_own * filled).sum(axis=(1, 2))
+        return np.maximum(1.0 - agree / self.runs, 0.0)
+
+    def outside(self, weights, outs, other_weights, other_outs, gap, least):
+        return (weights * outs + other_weights * other_outs) / (weights + other_weights)
+
+
+Linkage = Ward | CoAssociation
+
+
+def merge_block(
+    weights: np.ndarray, states: np.ndarray, linkage: Linkage,
+    outs: np.ndarray | None = None, out_names: np.ndarray | None = None, least: float = 1.0,
+):
+    """Merge what is safe: (alive, weights, states, reach, merges) of clusters sorted by name.
+
+    ``outs`` bounds each one's gap to the outside; of outside clusters at that very gap none
+    comes, in the order of names, before place ``out_names`` of the block. ``merges`` has
+    (lesser, greater, gap) by place, in an order in which children come first.
+    """
+    n = len(weights)
+    weights, states = weights.astype(float).copy(), states.astype(float).copy()
+    outs = np.full(n, np.inf) if outs is None else outs.astype(float).copy()
+    out_names = np.zeros(n, dtype=np.int64) if out_names is None else out_names.copy()
+    alive = np.ones(n, dtype=bool)
+    merges: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    gaps = linkage.gap(weights, states, weights, states)
+    np.fill_diagonal(gaps, np.inf)
+    near = gaps.argmin(axis=1) if n else np.zeros(0, dtype=np.int64)
+    reach = gaps[np.arange(n), near]
+    while True:
+        safe = (reach < outs) | ((reach == outs) & (near < out_names))
+        ok = alive & safe & (reach < np.inf)
+        one = np.flatnonzero(ok & ok[near] & (near[near] == np.arange(n)) & (np.arange(n) < near))
+        if not len(one):
+            return alive, weights, states, reach, merges
+        two = near[one]
+        heights = reach[one]
+        merges.append((one, two, heights))
+        bound = linkage.outside(weights[one], outs[one], weights[two], outs[two], heights, least)
+        bound = np.where(np.isfinite(bound), bound * _SLACK, np.inf)
+        lower = np.minimum(outs[one], outs[two])
+        first = np.where(
+            outs[one] < outs[two], out_names[one],
+            np.where(outs[one] > outs[two], out_names[two], np.minimum(out_names[one], out_names[two])),
+        )
+        outs[two] = np.maximum(bound, lower)
+        out_names[two] = np.where(bound > lower, 0, first)
+        states[two] = linkage.join(weights[one], states[one], weights[two], states[two])
+        weights[two] += weights[one]
+        alive[one] = False
+        gaps[one, :] = gaps[:, one] = np.inf
+        kept = np.flatnonzero(alive)
+        fresh = linkage.gap(weights[two], states[two], weights[kept], states[kept])
+        gaps[np.ix_(two, kept)] = fresh
+        gaps[np.ix_(kept, two)] = fresh.T
+        gaps[two, two] = np.inf
+        touched = np.zeros(n, dtype=bool)
+        touched[one] = touched[two] = True
+        again = np.flatnonzero(alive & (touched | touched[near]))
+        near[again] = gaps[again].argmin(axis=1)
+        reach[again] = gaps[again, near[again]]
+
+
+@dataclass
+class Splits:
+    """A binary tree of splits: nodes with boxes, leaves numbered as blocks."""
+
+    column: list[int] = field(default_factory=list)
+    value: list[float] = field(default_factory=list)
+    children: list[tuple[int, int]] = field(default_factory=list)
+    block: list[int] = field(default_factory=list)
+    low: list[np.ndarray] = field(default_factory=list)
+    high: list[np.ndarray] = field(default_factory=list)
+    blocks: int = 0
+
+    def grow(self, sample: np.ndarray, blocks: int, low, high, rng) -> int:
+        """Halve the blocks at a middle value of one of the columns with the widest spread."""
+        node = len(self.column)
+        for name, empty in (("column", -1), ("value", 0.0), ("children", (-1, -1)), ("block", -1)):
+            getattr(self, name).append(empty)
+        self.low.append(low)
+        self.high.append(high)
+        spread = sample.std(axis=0) if len(sample) else np.zeros(len(low))
+        wide = [c for c in np.argsort(-spread, kind="stable")[:3] if spread[c] > 0]
+        if blocks < 2 or not wide:
+            self.block[node] = self.blocks
+            self.blocks += 1
+            return node
+        column = int(rng.choice(wide))
+        values = np.sort(sample[:, column])
+        # The last value of the lower half; not the greatest one, so that both sides hold some.
+        value = float(values[(len(values) - 1) // 2])
+        if value == values[-1]:
+            value = float(values[np.searchsorted(values, value) - 1])
+        under = sample[:, column] <= value
+        half = blocks // 2
+        below, above = high.copy(), low.copy()
+        below[column] = above[column] = value
+        left = self.grow(sample[under], half, low, below, rng)
+        right = self.grow(sample[~under], blocks - half, above, high, rng)
+        self.column[node], self.value[node], self.children[node] = column, value, (left, right)
+        return node
+
+    def locate(self, places: np.ndarray) -> np.ndarray:
+        found = np.empty(len(places), dtype=np.int64)
+        stack = [(0, np.arange(len(places)))]
+        while stack:
+            node, rows = stack.pop()
+            if self.block[node] >= 0:
+                found[rows] = self.block[node]
+                continue
+            under = places[rows, self.column[node]] <= self.value[node]
+            left, right = self.children[node]
+            stack += [(left, rows[under]), (right, rows[~under])]
+        return found
+
+    def visits(self, places, weights, reach, own, linkage: Linkage, least: float):
+        """(rows, blocks) that each row has to visit, and the least bound of all others."""
+        bound = np.full(len(places), np.inf)
+        rows_out, blocks_out = [], []
+        stack = [(0, np.arange(len(places)))]
+        while stack:
+            node, rows = stack.pop()
+            if not len(rows):
+                continue
+            if node:
+                gap = _SLACK * linkage.box_gap(
+                    weights[rows], places[rows], self.low[node], self.high[node], least
+                )
+                far = gap > reach[rows]
+                bound[rows[far]] = np.minimum(bound[rows[far]], gap[far])
+                rows = rows[~far]
+            if self.block[node] >= 0:
+                rows = rows[own[rows] != self.block[node]]
+                rows_out.append(rows)
+                blocks_out.append(np.full(len(rows), self.block[node]))
+            else:
+                stack += [(child, rows) for child in self.children[node]]
+        return np.concatenate(rows_out), np.concatenate(blocks_out), bound
+
+
+def _names(column) -> np.ndarray:
+    return column.to_numpy(dtype=object)
+
+
+def _arrays(rows: pd.DataFrame, columns: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    return rows["weight"].to_numpy(dtype=float), rows[list(columns)].to_numpy(dtype=float)
+
+
+@dataclass
+class _Placing:
+    """What a task needs to put clusters into blocks; ``sent`` is the broadcast tree."""
+
+    sent: object
+    columns: list[str]
+    linkage: Linkage
+    least: float = 1.0
+
+    def places(self, rows: pd.DataFrame):
+        weights, states = _arrays(rows, self.columns)
+        return weights, self.linkage.place(weights, states)
+
+    def own(self, rows: pd.DataFrame) -> np.ndarray:
+        return self.sent.value.locate(self.places(rows)[1])
+
+    def visits(self, rows: pd.DataFrame):
+        """(own block of each row, visiting rows, visited blocks, bound of all others)."""
+        weights, places = self.places(rows)
+        own = self.sent.value.locate(places)
+        reach = rows["reach"].to_numpy(dtype=float)
+        return own, *self.sent.value.visits(
+            places, weights, reach, own, self.linkage, self.least
+        )
+
+
+class _Round:
+    """One round over the stored clusters (unit, weight, reach, *columns)."""
+
+    def __init__(self, current: DataFrame, units: int, blocks: int, number: int,
+                 columns: Sequence[str], linkage: Linkage):
+        self.current, self.number, self.linkage = current, number, linkage
+        self.units = units
+        self.columns = list(columns)
+        tree = Splits()
+        sample = np.zeros((0, len(self.columns)))
+        if blocks > 1:
+            share = min(1.0, blocks * SPLIT_SAMPLES / units)
+            drawn = F.pmod(F.xxhash64("unit", F.lit(number)), F.lit(1 << 30)) < share * (1 << 30)
+            rows = current.where(drawn).select("unit", "weight", *self.columns).toPandas()
+            sample = linkage.place(*_arrays(rows.sort_values("unit"), self.columns))
+        wide = np.full(len(self.columns), np.inf)
+        tree.grow(sample, blocks, -wide, wide, np.random.default_rng(number))
+        self.blocks = tree.blocks
+        self.placing = _Placing(
+            current.sparkSession.sparkContext.broadcast(tree), self.columns, linkage
+        )
+        self.fields = "unit string, weight double, reach double, " + ", ".join(
+            f"`{c}` double" for c in self.columns
+        )
+
+    def visitors(self) -> DataFrame:
+        """Each cluster once for each block it visits, with its own block as ``home``."""
+        placing = self.placing
+
+        def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for rows in filter(len, batches):
+                own, who, where, _ = placing.visits(rows)
+                yield rows.iloc[who].assign(
+                    unit=_names(rows["unit"])[who], home=own[who], block=where
+                )
+
+        return self.current.mapInPandas(visit, self.fields + ", home bigint, block bigint")
+
+    def search(self) -> DataFrame:
+        """(block, unit, out, out_unit): nearest clusters of visited blocks, by home block."""
+        columns, linkage, placing = self.columns, self.linkage, self.placing
+        parts = F.lit(1)
+        if self.units > MOST_VISITORS:
+            counts = {
+                r.block: -(-r["count"] // MOST_VISITORS)
+                for r in self.visitors().select("block").groupBy("block").count().collect()
+            }
+            crowded = {b: n for b, n in counts.items() if n > 1}
+            if crowded:
+                table = F.create_map(*[
+                    F.lit(x).cast(t) for pair in crowded.items() for x, t in zip(pair, ("long", "int"))
+                ])
+                parts = F.coalesce(table[F.col("block")], F.lit(1))
+
+        def at_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for rows in filter(len, batches):
+                yield rows.assign(home=-1, block=placing.own(rows))
+
+        homes = self.current.mapInPandas(at_home, self.fields + ", home bigint, block bigint")
+        homes = homes.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        guests = self.visitors().withColumn("part", F.pmod(F.xxhash64("unit"), parts).cast("int"))
+
+        def nearest(rows: pd.DataFrame) -> pd.DataFrame:
+            here = rows[rows["home"] < 0].sort_values("unit")
+            guests = rows[rows["home"] >= 0]
+            out = np.empty(len(guests))
+            at = np.zeros(len(guests), dtype=np.int64)
+            if not len(here):
+                guests = guests.iloc[:0]
+            weights, states = _arrays(here, columns)
+            own_weights, own_states = _arrays(guests, columns)
+            step = max(1, TILE_CELLS // max(len(here), 1))
+            for start in range(0, len(guests), step):
+                part = slice(start, start + step)
+                gaps = linkage.gap(own_weights[part], own_states[part], weights, states)
+                at[part] = gaps.argmin(axis=1)
+                out[part] = gaps.min(axis=1)
+            return pd.DataFrame({
+                "block": guests["home"].to_numpy(), "unit": _names(guests["unit"]),
+                "out": out[:len(guests)],
+                "out_unit": _names(here["unit"])[at[:len(guests)]],
+            })
+
+        return homes.unionByName(guests).groupBy("block", "part").applyInPandas(
+            nearest, "block bigint, unit string, out double, out_unit string"
+        )
+
+    def merge(self) -> DataFrame:
+        """Clusters that are left (reach set) and merges (near set), stored.
+
+        Without any reach yet, nothing is known of the outside, and only the reach is found.
+        """
+        columns, linkage, placing = self.columns, self.linkage, self.placing
+        opening = self.number == 0 and self.blocks > 1
+
+        def at_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for rows in filter(len, batches):
+                if opening:
+                    yield rows.assign(block=placing.own(rows), out=-1.0, out_unit="")
+                else:
+                    own, _, _, bound = placing.visits(rows)
+                    yield rows.assign(block=own, out=bound, out_unit="")
+
+        fields = self.fields + ", block bigint, out double, out_unit string"
+        rows = self.current.mapInPandas(at_home, fields)
+        if self.blocks > 1 and not opening:
+            rows = rows.unionByName(self.search(), allowMissingColumns=True)
+
+        def work(rows: pd.DataFrame) -> pd.DataFrame:
+            best = rows.sort_values(["unit", "out", "out_unit"]).drop_duplicates("unit")
+            here = rows[rows["weight"].notna()].sort_values("unit")
+            names = _names(here["unit"])
+            outs = best["out"].to_numpy(dtype=float)
+            places = np.searchsorted(names, _names(best["out_unit"]))
+            alive, weights, states, reach, merges = merge_block(
+                *_arrays(here, columns), linkage, outs, places, placing.least
+            )
+            block = int(here["block"].iloc[0])
+            one, two, gap = (np.concatenate(m) for m in zip(*merges)) if merges else ([], [], [])
+            left, done = int(alive.sum()), len(one)
+            none = np.full(done, np.nan)
+            return pd.DataFrame({
+                "unit": np.concatenate([names[alive], names[one]]) if done else names[alive],
+                "weight": np.concatenate([weights[alive], none]),
+                "reach": np.concatenate([reach[alive], none]),
+                **{c: np.concatenate([v, none]) for c, v in zip(columns, states[alive].T)},
+                "near": [None] * left + list(names[two] if done else []),
+                "gap": np.concatenate([np.full(left, np.nan), gap]),
+                "block": block,
+            })
+
+        schema = self.fields + ", near string, gap double, block bigint"
+        return materialize(rows.groupBy("block").applyInPandas(work, schema), "merged")
+
+
+def merges_of(
+    units: DataFrame, columns: Sequence[str], linkage: Linkage, block_units: int = BLOCK_UNITS
 ) -> DataFrame:
-    """(unit, label) for a table (unit, weight, *columns) of distinct units."""
+    """(unit, near, gap, round, block): ``near`` takes ``unit`` over, for every cluster but one.
+
+    ``units`` has (unit, weight, *columns), no two with the same values.
+    """
     columns = list(columns)
-    spark = units.sparkSession
-    units = materialize(units, "units")
-    current, rounds = units, []
-    while current.count() > driver_units:
-        pairs = materialize(_mutual(_nearest(current, columns, gap)), "pairs")
-        rounds.append(pairs)
-        joined = current.join(
-            pairs.select(F.col("other").alias("unit"), "one"), "unit", "left"
-        ).withColumn("unit", F.coalesce("one", "unit"))
-        total = F.sum("weight")
-        current = materialize(
-            joined.groupBy("unit").agg(
-                total.alias("weight"),
-                *[(F.sum(F.col("weight") * F.col(c)) / total).alias(c) for c in columns],
-            ),
-            "units",
+    values = linkage.first(F.col("weight"), [F.col(c) for c in columns])
+    current = materialize(units.select(
+        F.col("unit").cast("string").alias("unit"), F.col("weight").cast("double").alias("weight"),
+        F.lit(float("inf")).alias("reach"),
+        *[v.cast("double").alias(c) for v, c in zip(values, columns)],
+    ), "units")
+    done, number, size = [], 0, block_units
+    left = current.count()
+    while left > 1:
+        blocks = max(1, -(-left // size))
+        step = _Round(current, left, blocks, number, columns, linkage).merge()
+        merges = step.where(F.col("near").isNotNull())
+        current = step.where(F.col("near").isNull()).select("unit", "weight", "reach", *columns)
+        now = current.count()
+        if now < left:
+            done.append(merges.select("unit", "near", "gap", F.lit(number).alias("round"), "block"))
+            size = block_units
+        elif number:
+            # Nothing was safe in any block: the next ones are larger.
+            size *= 2
+        left, number = now, number + 1
+    if not done:
+        return units.sparkSession.createDataFrame(
+            [], "unit string, near string, gap double, round int, block bigint"
         )
+    every = done[0]
+    for merges in done[1:]:
+        every = every.union(merges)
+    return every
+
+
+def cut(merges: DataFrame, k: int) -> DataFrame:
+    """``merges`` without the k - 1 last ones of the tree."""
+    order = [F.col("gap"), F.col("near"), F.col("unit")]
+    dropped = merges.orderBy(*[c.desc() for c in order]).limit(max(k - 1, 0)).collect()
+    if not dropped:
+        return merges
+    last = dropped[-1]
+    gap = F.lit(last.gap)
+    return merges.where(
+        (F.col("gap") < gap) | ((F.col("gap") == gap) & (
+            (F.col("near") < last.near)
+            | ((F.col("near") == last.near) & (F.col("unit") < last.unit))
+        ))
+    )
+
 
-    last = current.toPandas().sort_values("unit", ignore_index=True)
-    names = last["unit"].to_numpy()
-    tree = merge_tree(last[columns].to_numpy(), last["weight"].to_numpy(), gap)
-    kind = units.schema["unit"].dataType.simpleString()
-    if not rounds:
-        label = cut_tree(len(names), tree, k)
-        rows = [(u, int(c)) for u, c in zip(names.tolist(), label)]
-        return spark.createDataFrame(rows, f"unit {kind}, label int")
-
-    # All but the k - 1 highest merges of the whole tree hold.
-    merged = rounds[0]
-    for pairs in rounds[1:]:
-        merged = merged.union(pairs)
-    early = merged.orderBy(F.desc("gap")).limit(k - 1).collect()
-    heights = [(r.gap, 0, r.other) for r in early] + [
-        (height, 1, i) for i, (height, _, _) in enumerate(tree)
-    ]
-    dropped = sorted(heights, key=lambda h: h[:2], reverse=True)[: k - 1]
-    undone = [name for _, late, name in dropped if not late]
-    late_undone = {i for _, late, i in dropped if late}
-    names = names.tolist()
-    late = [
-        (names[one], names[other])
-        for i, (_, one, other) in enumerate(tree) if i not in late_undone
-    ]
-    edges = merged.where(~F.col("other").isin(undone)).select("one", "other").union(
-        spark.createDataFrame(late, f"one {kind}, other {kind}")
+def _followed(rows: pd.DataFrame) -> pd.DataFrame:
+    """Each taken-over cluster of a block with the last one that took it over there."""
+    one, two = _names(rows["unit"]), _names(rows["near"])
+    names, at = np.unique(np.concatenate([one, two]), return_inverse=True)
+    to = np.arange(len(names))
+    to[at[:len(one)]] = at[len(one):]
+    while (to[to] != to).any():
+        to = to[to]
+    return pd.DataFrame({
+        "round": rows["round"].to_numpy(), "unit": one, "root": names[to[at[:len(one)]]],
+    })
+
+
+def agglomerate_table(
+    units: DataFrame, columns: Sequence[str], k: int, linkage: Linkage,
+    block_units: int = BLOCK_UNITS,
+) -> DataFrame:
+    """(unit, label) for a table (unit, weight, *columns); labels are names of units."""
+    merges = merges_of(units, columns, linkage, block_units)
+    moves = materialize(
+        cut(merges, k).groupBy("round", "block").applyInPandas(
+            _followed, "round int, unit string, root string"
+        ), "moves",
     )
-    found = connected_components(edges, "one", "other")
-    labels = units.select("unit").join(found.withColumnRenamed("vertex", "unit"), "unit", "left")
-    return labels.select("unit", F.coalesce("component", "unit").alias("label"))
+    labels = units.select("unit", F.col("unit").cast("string").alias("label"))
+    for number in sorted(r["round"] for r in moves.select("round").distinct().collect()):
+        step = moves.where(F.col("round") == number).select(F.col("unit").alias("label"), "root")
+        labels = labels.join(step, "label", "left").select(
+            "unit", F.coalesce("root", "label").alias("label")
+        )
+    return labels

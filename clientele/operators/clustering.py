@@ -10,17 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.constants import CONSENSUS_RUNS, SEED, STARTS
-from clientele.functions.agglomerate import (
-    DRIVER_UNITS,
-    agglomerate_table,
-    coassociation_gap,
-    ward_gap,
-)
+from clientele.functions.agglomerate import BLOCK_UNITS, CoAssociation, Ward, agglomerate_table
 from clientele.functions.labels import renumber
 from clientele.operators.kmeans import (
     Model,
     assign,
-    best_of,
     fit_kmeans,
     fit_models,
     seed_pools,
@@ -49,19 +43,23 @@ def hierarchical(
     k: int,
     seed: int = SEED,
     small_clusters: int | None = None,
-    driver_units: int = DRIVER_UNITS,
+    block_units: int = BLOCK_UNITS,
 ) -> DataFrame:
     """Ward linkage.
 
-    Every row is a unit of its own, whatever their number. With ``small_clusters``, k-means first
-    forms so many clusters, whose sizes and centres are the weighted units; every row follows its
-    small cluster. That is another, linear method, and only the caller chooses it.
+    Every distinct row is a unit, whatever their number, and equal rows are one unit with their
+    number as weight, since they merge first anyway. With ``small_clusters``, k-means first forms
+    so many clusters, whose sizes and centres are the weighted units; every row follows its small
+    cluster. That is another, linear method, and only the caller chooses it.
     """
     columns = list(columns)
     if small_clusters is None:
-        members = points.select("CustomerID", F.col("CustomerID").alias("unit"))
-        units = points.select(
-            F.col("CustomerID").alias("unit"), F.lit(1.0).alias("weight"), *columns
+        units = materialize(points.groupBy(*columns).agg(
+            F.max(F.col("CustomerID").cast("string")).alias("unit"),
+            F.count("*").cast("double").alias("weight"),
+        ), "units")
+        members = points.select("CustomerID", *columns).join(
+            units.select("unit", *columns), columns
         )
     else:
         vectors = VectorAssembler(inputCols=columns, outputCol="_vector").transform(points)
@@ -69,12 +67,13 @@ def hierarchical(
             k=small_clusters, featuresCol="_vector", predictionCol="unit", seed=seed
         ).fit(vectors)
         members = materialize(
-            fitted.transform(vectors).select("CustomerID", "unit", *columns), "members"
+            fitted.transform(vectors).select("CustomerID", F.col("unit").cast("string"), *columns),
+            "members",
         )
         units = members.groupBy("unit").agg(
             F.count("*").cast("double").alias("weight"), *[F.avg(c).alias(c) for c in columns]
         )
-    labels = agglomerate_table(units, columns, k, ward_gap, driver_units)
+    labels = agglomerate_table(units, columns, k, Ward(), block_units)
     return renumber(members.select("CustomerID", "unit").join(labels, "unit"), "label")
 
 
@@ -102,10 +101,7 @@ def kmeans_runs(
     begun = starting_models(points.sparkSession, pools, wanted, starts)
     for model in begun:
         model.part = 0
-    models = fit_models(points, columns, begun)
-    best = {
-        f"run{run}": best_of(models[run * starts:(run + 1) * starts]) for run in range(runs)
-    }
+    best = {f"run{run}": model for run, model in enumerate(fit_models(points, columns, begun))}
     labeled = assign(points, columns, best)
     return labeled.select("CustomerID", F.array(*best).alias("signature"))
 
@@ -118,31 +114,37 @@ def coassociation(one: str, other: str):
     return F.try_divide(agree, F.size(one))
 
 
+def link_signatures(
+    signed: DataFrame, k: int, runs: int, labels: int, id_col: str = "CustomerID",
+    block_units: int = BLOCK_UNITS,
+) -> DataFrame:
+    """Average linkage of rows (id, signature) on the share of runs in which they differ.
+
+    A signature holds ``runs`` labels from 0 to ``labels`` - 1. Rows with equal ones are at
+    distance 0, so only the distinct signatures are linked, weighted by their rows.
+    """
+    # The signature as text orders and hashes like any other unit name.
+    unit = F.array_join(F.col("signature").cast("array<string>"), "-")
+    named = signed.withColumn("unit", unit)
+    shares = {
+        f"r{run}_{c}": (F.col("signature")[run] == c).cast("double")
+        for run in range(runs) for c in range(labels)
+    }
+    units = materialize(named.groupBy("unit").agg(
+        F.count("*").cast("double").alias("weight"), F.first("signature").alias("signature")
+    ).select("unit", "weight", *[v.alias(n) for n, v in shares.items()]), "signed")
+    linked = agglomerate_table(units, list(shares), k, CoAssociation(runs), block_units)
+    return renumber(named.select(id_col, "unit").join(linked, "unit"), "label", id_col)
+
+
 def consensus_clustering(
     points: DataFrame,
     columns: Sequence[str],
     k: int,
     runs: int = CONSENSUS_RUNS,
     seed: int = SEED,
-    driver_units: int = DRIVER_UNITS,
+    block_units: int = BLOCK_UNITS,
 ) -> DataFrame:
-    """Average linkage on how seldom two rows share a label over repeated k-means runs.
-
-    Rows with equal labels in every run are at distance 0, so only the distinct label
-    signatures are linked, weighted by their rows.
-    """
+    """Average linkage on how seldom two rows share a label over repeated k-means runs."""
     signed = materialize(kmeans_runs(points, columns, k, runs, seed), "signatures")
-    indicators = {
-        f"r{run}_{c}": (F.col("signature")[run] == c).cast("double")
-        for run in range(runs) for c in range(k)
-    }
-    # The signature as text orders and hashes like any other unit name.
-    unit = F.array_join(F.col("signature").cast("array<string>"), "-")
-    named = signed.withColumn("unit", unit)
-    units = named.groupBy("unit").agg(
-        F.count("*").cast("double").alias("weight"), F.first("signature").alias("signature")
-    ).select("unit", "weight", *[v.alias(n) for n, v in indicators.items()])
-    labels = agglomerate_table(
-        units, list(indicators), k, coassociation_gap(runs), driver_units
-    )
-    return renumber(named.select("CustomerID", "unit").join(labels, "unit"), "label")
+    return link_signatures(signed, k, runs, k, block_units=block_units)

@@ -3,14 +3,19 @@
 Choosing k, the gap statistic and consensus clustering all need dozens of fits of the same rows:
 several k, several starts, several seeds. Fitting them one after another would scan the table
 once per model and iteration. Here one scan per iteration serves every model: a batch meets all
-centres in one matrix product and passes on one row of sums per model and cluster, which Spark
-adds up. Centres (models x k x columns) are all that reaches the driver.
+centres in one matrix product, and a partition passes on one row of sums per model and cluster,
+which Spark adds up. Centres (models x k x columns) are all that reaches the driver.
+
+Starts of one model that come to the same centres on the pool count once. All starts run until
+their centres move no more than the tolerance; the best of each model then runs on until they do
+not move at all, which is when no row changes its cluster any more.
 """
 
 from __future__ import annotations
 
-from collections.abc import Hashable, Iterator, Sequence
+from collections.abc import Callable, Hashable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -25,8 +30,10 @@ FIRST_DRAW = 256
 DRAWS = 1_024
 ROUNDS = 4
 MAX_PASSES = 300
-POOL_PASSES = 100
+POOL_PASSES = 50
 TOLERANCE = 1e-4
+#: Share of the variance below which centres stand still but for rounding.
+STILL = 1e-18
 
 
 @dataclass
@@ -35,9 +42,10 @@ class Model:
 
     centers: np.ndarray
     part: int = 0
+    #: Starts of one wanted model share its number.
+    wanted: int = 0
     cost: float = float("inf")
     settled: bool = False
-    finished: bool = False
     passes: int = 0
 
 
@@ -63,24 +71,37 @@ def seed_pools(
 
     The rounds of k-means|| (Bahmani et al., 2012): after a small uniform draw, each round takes
     rows in proportion to their squared distance from the candidates so far, so rare far groups
-    are found whatever the size of the table. A last pass counts the rows of each candidate.
-    Draws are hashes of the id, so they do not depend on the layout. One pass serves all seeds.
+    are found whatever the size of the table. A round draws and sums the distances in one scan:
+    its chances are taken against the sum of the round before, which is no smaller, so it draws
+    ``DRAWS`` rows at most in the mean. A last pass counts the rows of each candidate. Draws are
+    hashes of the id, so they do not depend on the layout. One pass serves all seeds.
     """
     columns, places = list(columns), range(len(seeds))
-    rows = points.count()
-    if not rows:
+    stats = points.agg(
+        F.count("*").alias("rows"),
+        sum((F.var_pop(c) for c in columns), F.lit(0.0)).alias("spread"),
+        F.first(F.struct(*columns)).alias("one"),
+    ).first()
+    if not stats.rows:
         return [(np.zeros((0, len(columns))), np.zeros(0)) for _ in seeds]
     even = [f"_draw{i}" for i in places]
-    schema = "pool int, " + ", ".join(f"`{c}` double" for c in columns)
+    schema = "pool int, cost double, " + ", ".join(f"`{c}` double" for c in columns)
+    context = points.sparkSession.sparkContext
 
-    def draw(round_: int, chances) -> list[np.ndarray]:
-        """The rows of each pool whose draw falls below their chance."""
+    def draw(round_: int, sent, wanted: list[float]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Each pool's rows whose draw falls below their chance, and its sum of distances."""
         def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            costs = np.zeros(len(wanted))
             for batch in batches:
                 data = batch[columns].to_numpy(dtype=float)
                 for i in places:
-                    taken = batch[columns][batch[even[i]].to_numpy() < chances(i, data)]
-                    yield taken.assign(pool=i)[["pool", *columns]]
+                    gap = _nearest(data, sent.value[i])[1] if sent else np.ones(len(data))
+                    costs[i] += gap.sum()
+                    taken = batch[columns][batch[even[i]].to_numpy() < gap * wanted[i]]
+                    yield taken.assign(pool=i, cost=np.nan)[["pool", "cost", *columns]]
+            yield pd.DataFrame({"pool": list(places), "cost": costs}).reindex(
+                columns=["pool", "cost", *columns]
+            )
 
         ids = F.col(id_col).cast("string")
         draws = [
@@ -88,47 +109,42 @@ def seed_pools(
             .alias(name) for name, seed in zip(even, seeds)
         ]
         found = points.select(*columns, *draws).mapInPandas(pick, schema).toPandas()
-        return [found[found["pool"] == i][columns].to_numpy(dtype=float) for i in places]
-
-    def summed(per_batch) -> pd.DataFrame:
-        """Sums of (pool, candidate, n, cost) over all batches, as ``per_batch`` gives them."""
-        def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                data = batch[columns].to_numpy(dtype=float)
-                for i in places:
-                    yield per_batch(i, *_nearest(data, sent.value[i]))
-
-        added = points.select(*columns).mapInPandas(
-            add_up, "pool int, candidate long, n double, cost double"
+        sums = found["cost"].notna()
+        costs = found[sums].groupby("pool")["cost"].sum().reindex(places, fill_value=0.0)
+        rows = found[~sums]
+        return (
+            [rows[rows["pool"] == i][columns].to_numpy(dtype=float) for i in places],
+            costs.to_numpy(),
         )
-        return added.groupBy("pool", "candidate").agg(
-            F.sum("n").alias("n"), F.sum("cost").alias("cost")
-        ).toPandas()
-
-    def costs(i: int, label: np.ndarray, gap: np.ndarray) -> pd.DataFrame:
-        return pd.DataFrame({"pool": [i], "candidate": [0], "n": [0.0], "cost": [gap.sum()]})
 
-    def counts(i: int, label: np.ndarray, gap: np.ndarray) -> pd.DataFrame:
-        found, n = np.unique(label, return_counts=True)
-        return pd.DataFrame({"pool": i, "candidate": found, "n": n.astype(float), "cost": 0.0})
-
-    context = points.sparkSession.sparkContext
-    drawn = draw(-1, lambda i, data: np.full(len(data), FIRST_DRAW / rows))
-    one = points.select(*columns).first()
-    pools = [np.unique(d if len(d) else np.array([one], dtype=float), axis=0) for d in drawn]
+    drawn, _ = draw(-1, None, [FIRST_DRAW / stats.rows] * len(seeds))
+    one = np.array([stats.one], dtype=float)
+    pools = [np.unique(d if len(d) else one, axis=0) for d in drawn]
+    total = np.full(len(seeds), stats.rows * stats.spread)
     for round_ in range(ROUNDS):
-        sent = context.broadcast(pools)
-        table = summed(costs)
-        total = table.set_index("pool")["cost"].reindex(places, fill_value=0.0).to_numpy()
         if not total.any():
-            sent.destroy()
             break
-        drawn = draw(round_, lambda i, data, sent=sent, total=total: _nearest(
-            data, sent.value[i])[1] * DRAWS / max(total[i], np.finfo(float).tiny))
+        sent = context.broadcast(pools)
+        wanted = [DRAWS / t if t > 0 else 0.0 for t in total]
+        drawn, total = draw(round_, sent, wanted)
         sent.destroy()
         pools = [np.unique(np.vstack([p, d]), axis=0) for p, d in zip(pools, drawn)]
+
     sent = context.broadcast(pools)
-    table = summed(counts)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = [np.zeros(len(pool)) for pool in sent.value]
+        for batch in batches:
+            data = batch[columns].to_numpy(dtype=float)
+            for i in places:
+                found[i] += np.bincount(_nearest(data, sent.value[i])[0], minlength=len(found[i]))
+        for i in places:
+            some = np.flatnonzero(found[i])
+            yield pd.DataFrame({"pool": i, "candidate": some, "n": found[i][some]})
+
+    table = points.select(*columns).mapInPandas(
+        count, "pool int, candidate long, n double"
+    ).groupBy("pool", "candidate").agg(F.sum("n").alias("n")).toPandas()
     sent.destroy()
     weights = [np.zeros(len(p)) for p in pools]
     for i, own in table.groupby("pool"):
@@ -203,83 +219,104 @@ def starting_models(
 ) -> list[Model]:
     """``starts`` models for each wanted (part, k, seed), begun on the part's pool.
 
-    Starting points refined on a bounded pool (Bradley and Fayyad, 1998) save most of the
-    passes over the whole table. The starts are independent and run as tasks of their own.
+    One sequence of far candidates serves every k: its first k begin the model of k clusters.
+    Starting points refined on a bounded pool (Bradley and Fayyad, 1998) save most of the passes
+    over the whole table, and starts that end at the same points there are one model. The
+    sequences are independent and run as tasks of their own.
     """
-    for part, k, _ in wanted:
+    sizes: dict[tuple[int, int], dict[int, int]] = {}
+    for i, (part, k, seed) in enumerate(wanted):
         if len(pools[part][0]) < k:
             raise ValueError(f"{len(pools[part][0])} distinct rows cannot form {k} clusters")
-    sent = spark.sparkContext.broadcast(pools)
+        sizes.setdefault((part, seed), {})[i] = k
+    sent = spark.sparkContext.broadcast((pools, sizes))
     width = next(iter(pools.values()))[0].shape[1]
 
     def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples():
-                rows, weights = sent.value[r.part]
-                rng = np.random.default_rng([r.seed, r.k, r.start])
-                centers = refined_on_pool(
-                    rows, weights, spread_out_centers(rows, weights, r.k, rng)
-                )
-                out = pd.DataFrame(centers, columns=[f"c{j}" for j in range(width)])
-                out.insert(0, "model", r.model)
-                out.insert(1, "cluster", np.arange(r.k))
-                yield out
+                rows, weights = sent.value[0][r.part]
+                models = sent.value[1][r.part, r.seed]
+                rng = np.random.default_rng([r.seed, r.start])
+                far = spread_out_centers(rows, weights, max(models.values()), rng)
+                for i, k in models.items():
+                    centers = refined_on_pool(rows, weights, far[:k])
+                    out = pd.DataFrame(centers, columns=[f"c{j}" for j in range(width)])
+                    out.insert(0, "model", i)
+                    out.insert(1, "start", r.start)
+                    out.insert(2, "cluster", np.arange(k))
+                    yield out
 
-    every = [(part, k, seed, start) for part, k, seed in wanted for start in range(starts)]
     tasks = spark.createDataFrame(
-        [(i, *spec) for i, spec in enumerate(every)],
-        "model int, part int, k int, seed long, start int",
-    ).repartition(min(len(every), spark.sparkContext.defaultParallelism), "model")
-    schema = "model int, cluster int, " + ", ".join(f"c{j} double" for j in range(width))
+        [(*key, start) for key in sizes for start in range(starts)],
+        "part int, seed long, start int",
+    )
+    cores = spark.sparkContext.defaultParallelism
+    tasks = tasks.repartition(min(len(sizes) * starts, cores), "part", "seed", "start")
+    schema = "model int, start int, cluster int, " + ", ".join(f"c{j} double" for j in range(width))
     centers = tasks.mapInPandas(begin, schema).toPandas()
     sent.destroy()
-    return [
-        Model(c.sort_values("cluster").iloc[:, 2:].to_numpy(), every[i][0])
-        for i, c in centers.groupby("model")
-    ]
+    models, seen = [], set()
+    for (i, _), c in centers.sort_values(["model", "start", "cluster"]).groupby(["model", "start"]):
+        found = c.iloc[:, 3:].to_numpy()
+        key = i, np.unique(np.round(found, 9), axis=0).tobytes()
+        if key not in seen:
+            seen.add(key)
+            models.append(Model(found, wanted[i][0], int(i)))
+    return models
 
 
-def one_pass(
-    points: DataFrame, columns: Sequence[str], models: dict[int, Model], part_col: str | None
-) -> pd.DataFrame:
-    """Rows, cost and column sums of each cluster of each model."""
+#: A table and what turns its batches into pairs (part, rows as an array).
+Source = tuple[DataFrame, Callable[[pd.DataFrame], Iterator[tuple[int, np.ndarray]]]]
+
+
+def table_source(points: DataFrame, columns: Sequence[str], part: int = 0) -> Source:
     columns = list(columns)
+
+    def read(batch: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+        yield part, batch[columns].to_numpy(dtype=float)
+
+    return points.select(*columns), read
+
+
+def one_pass(sources: Sequence[Source], models: dict[int, Model]) -> pd.DataFrame:
+    """Rows, cost and column sums of each cluster of each model."""
     plan = {}
     for part in {m.part for m in models.values()}:
         own = {i: m for i, m in models.items() if m.part == part}
         plan[part] = (list(own), *stacked(list(own.values())))
-    sent = points.sparkSession.sparkContext.broadcast(plan)
-    sums = [f"s{j}" for j in range(len(columns))]
+    width = next(iter(models.values())).centers.shape[1]
+    sums = [f"s{j}" for j in range(width)]
+    names = ["n", "cost", *sums]
+    sent = sources[0][0].sparkSession.sparkContext.broadcast(plan)
+
+    def add_up(read):
+        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for part, rows in read(batch):
+                    if part not in sent.value or not len(rows):
+                        continue
+                    ids, centers, groups = sent.value[part]
+                    found = nearest_centers(rows, centers, groups)
+                    for i, group, (label, gap) in zip(ids, groups, found):
+                        k = group.stop - group.start
+                        own = (label == np.arange(k)[:, None]).astype(float)
+                        totals = np.column_stack([own.sum(axis=1), own @ gap, own @ rows])
+                        held[i] = held[i] + totals if i in held else totals
+            for i, totals in held.items():
+                out = pd.DataFrame(totals, columns=names)
+                out.insert(0, "model", i)
+                out.insert(1, "cluster", np.arange(len(totals)))
+                yield out
 
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            parts = batch[part_col].to_numpy() if part_col else np.zeros(len(batch), dtype=int)
-            data = batch[columns].to_numpy(dtype=float)
-            for part in np.unique(parts):
-                if part not in sent.value:
-                    continue
-                ids, centers, groups = sent.value[part]
-                rows = data[parts == part]
-                out = []
-                found = nearest_centers(rows, centers, groups)
-                for i, group, (label, gap) in zip(ids, groups, found):
-                    k = group.stop - group.start
-                    own = (label == np.arange(k)[:, None]).astype(float)
-                    totals = np.column_stack([own.sum(axis=1), own @ gap, own @ rows])
-                    out.append(np.column_stack([np.full(k, i), np.arange(k), totals]))
-                yield pd.DataFrame(
-                    np.vstack(out), columns=["model", "cluster", "n", "cost", *sums]
-                ).astype({"model": "int64", "cluster": "int64"})
-
-    schema = "model long, cluster long, n double, cost double, " + ", ".join(
-        f"{s} double" for s in sums
-    )
-    kept = points.select(*columns, *([part_col] if part_col else []))
+        return work
+
+    schema = "model long, cluster long, " + ", ".join(f"{n} double" for n in names)
+    added = [table.mapInPandas(add_up(read), schema) for table, read in sources]
     totals = (
-        kept.mapInPandas(add_up, schema)
-        .groupBy("model", "cluster")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "cost", *sums)])
-        .toPandas()
+        reduce(DataFrame.union, added).groupBy("model", "cluster")
+        .agg(*[F.sum(n).alias(n) for n in names]).toPandas()
     )
     sent.destroy()
     return totals
@@ -289,54 +326,55 @@ def fit_models(
     points: DataFrame,
     columns: Sequence[str],
     models: Sequence[Model],
-    part_col: str | None = None,
+    others: Sequence[Source] = (),
+    spreads: dict[int, float] | None = None,
     max_passes: int = MAX_PASSES,
 ) -> list[Model]:
-    """Lloyd's iteration on all models together, until each one's centres stand still.
+    """The best start of each wanted model, after Lloyd's iteration on all of them together.
 
-    A model whose centres moved less than the tolerance takes one more pass, which measures the
-    cost at its final centres, and then drops out.
+    ``points`` are part 0; ``others`` are sources of further parts, whose variances per column
+    ``spreads`` has. Part 0 ends with centres that do not move any more.
     """
     columns = list(columns)
-    keep = points.select(*columns, *([part_col] if part_col else [])).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
+    keep = points.select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _lloyd(keep, columns, list(models), part_col, max_passes)
+        own = keep.agg(sum((F.var_pop(c) for c in columns), F.lit(0.0)).alias("s")).first().s
+        spreads = {0: (own or 0.0) / len(columns), **(spreads or {})}
+        sources = [table_source(keep, columns), *others]
+        _lloyd(sources, models, {p: TOLERANCE * v for p, v in spreads.items()}, max_passes)
+        best: dict[int, Model] = {}
+        for model in models:
+            if model.wanted not in best or model.cost < best[model.wanted].cost:
+                best[model.wanted] = model
+        last = [m for m in best.values() if m.part == 0]
+        for model in last:
+            model.settled = False
+        _lloyd(sources[:1], last, {0: STILL * spreads[0]}, max_passes)
+        return [best[i] for i in sorted(best)]
     finally:
         keep.unpersist()
 
 
-def _lloyd(keep, columns, models, part_col, max_passes) -> list[Model]:
-    part = F.col(part_col) if part_col else F.lit(0)
-    spreads = keep.groupBy(part.alias("part")).agg(
-        *[F.var_pop(c).alias(c) for c in columns]
-    ).toPandas()
-    limits = {
-        int(r["part"]): TOLERANCE * float(np.mean([r[c] for c in columns]))
-        for _, r in spreads.iterrows()
-    }
-    while not all(m.finished for m in models):
-        active = {i: m for i, m in enumerate(models) if not m.finished}
-        totals = one_pass(keep, columns, active, part_col)
-        for i, rows in totals.groupby("model"):
+def _lloyd(sources, models, limits, max_passes) -> None:
+    """Passes until each model's centres moved no more than its part's limit."""
+    begun = {id(m): m.passes for m in models}
+    while not all(m.settled for m in models):
+        active = {i: m for i, m in enumerate(models) if not m.settled}
+        parts = {m.part for m in active.values()}
+        used = sources if parts - {0} else sources[:1]
+        for i, rows in one_pass(used, active).groupby("model"):
             model = models[i]
             model.passes += 1
             model.cost = float(rows["cost"].sum())
-            if model.settled or model.passes >= max_passes:
-                model.finished = True
-                continue
             filled = rows[rows["n"] > 0]
             moved = model.centers.copy()
             at = filled["cluster"].to_numpy()
             moved[at] = filled.filter(regex=r"^s\d+$").to_numpy() / filled[["n"]].to_numpy()
-            model.settled = float(((moved - model.centers) ** 2).sum()) <= limits[model.part]
+            step = float(((moved - model.centers) ** 2).sum())
+            model.settled = step <= limits[model.part] or (
+                model.passes - begun[id(model)] >= max_passes
+            )
             model.centers = moved
-    return models
-
-
-def best_of(models: Sequence[Model]) -> Model:
-    return min(models, key=lambda m: m.cost)
 
 
 def assign(
@@ -365,4 +403,4 @@ def fit_kmeans(
 ) -> Model:
     pools = {0: seed_pools(points, columns, [seed])[0]}
     models = starting_models(points.sparkSession, pools, [(0, k, seed)], starts)
-    return best_of(fit_models(points, columns, models))
+    return fit_models(points, columns, models)[0]

@@ -12,7 +12,8 @@ work is quadratic by definition and runs in blocks of bounded size. The caller c
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -20,13 +21,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from clientele.functions.blocks import distance_tiles, meet_in_blocks
+from clientele.functions.agglomerate import SPLIT_SAMPLES, Splits
+from clientele.functions.blocks import (
+    FEWEST_ROWS,
+    MOST_PARTITIONS,
+    TILE_CELLS,
+    distance_tiles,
+    meet_in_blocks,
+)
 from clientele.storage import materialize
 
-#: Square blocks: each side is copied once for every block of the other.
-LEFT_ROWS = RIGHT_ROWS = 20_000
-#: Rows that meet all clusters of a labeling at once.
-SQUARED_ROWS = 1_000
+#: Rows of a block of the triangular schedule: every two blocks meet once.
+BLOCK_ROWS = 20_000
+#: The same where all distances of two blocks are held at once.
+PAIR_ROWS = 4_000
+#: Clusters of all labelings up to which a row's sums over all of them are one array.
+MOST_CLUSTERS = 256
+#: Centres up to which all of them are sent to every task.
+MOST_CENTERS = 4_096
+#: Clusters of a block in the search for worst partners, and guests of it in one task.
+BLOCK_CLUSTERS = 1_000
+MOST_GUESTS = 50_000
 
 
 def long_labels(points: DataFrame, columns: Sequence[str], labels: Sequence[str]) -> DataFrame:
@@ -98,30 +113,141 @@ def davies_bouldin(points: DataFrame, columns: Sequence[str], labels: Sequence[s
 def _davies_bouldin(points, columns, labels, centers) -> DataFrame:
     middle = [F.col(f"m_{c}") for c in columns]
     # The stored centres carry their size, so Spark itself decides whether to broadcast them.
-    scatter = (
+    scatter = materialize(
         long_labels(points, columns, labels)
         .join(centers, ["labeling", "cluster"])
         .withColumn("_gap", F.sqrt(_square_gap([F.col(c) for c in columns], middle)))
         .groupBy("labeling", "cluster", *[f"m_{c}" for c in columns])
-        .agg(F.avg("_gap").alias("scatter"))
+        .agg(F.avg("_gap").alias("scatter")),
+        "scatter",
     )
-    one, two = scatter.alias("a"), scatter.alias("b")
-    apart = F.sqrt(_square_gap(
-        [F.col(f"a.m_{c}") for c in columns], [F.col(f"b.m_{c}") for c in columns]
-    ))
-    overlap = F.coalesce(
-        F.try_divide(F.col("a.scatter") + F.col("b.scatter"), apart), F.lit(0.0)
+    worst = worst_partners(scatter, [f"m_{c}" for c in columns])
+    return worst.groupBy("labeling").agg(
+        F.when(F.count("*") > 1, F.avg("worst")).alias("davies_bouldin")
+    ).where(F.col("davies_bouldin").isNotNull())
+
+
+def _overlaps(rows: pd.DataFrame, others: pd.DataFrame, middle: list[str]) -> np.ndarray:
+    """The greatest (s_i + s_j) / d_ij of each row over other clusters; 0 at distance 0."""
+    out = np.zeros(len(rows))
+    own, other = rows["cluster"].to_numpy(), others["cluster"].to_numpy()
+    scatter, far = rows["scatter"].to_numpy(), others["scatter"].to_numpy()
+    tiles = distance_tiles(rows[middle].to_numpy(dtype=float), others[middle].to_numpy(dtype=float))
+    for part, gaps in tiles:
+        counted = (gaps > 0) & (own[part, None] != other)
+        ratio = np.divide(scatter[part, None] + far, gaps, where=counted, out=np.zeros_like(gaps))
+        out[part] = ratio.max(axis=1, initial=0.0)
+    return out
+
+
+def worst_partners(
+    scatter: DataFrame, middle: list[str], block_clusters: int = BLOCK_CLUSTERS
+) -> DataFrame:
+    """(labeling, cluster, worst) for stored clusters (labeling, cluster, scatter, *middle).
+
+    Clusters are cut into blocks by a tree of splits. Each finds its worst partner in its own
+    block, and then visits only blocks that could hold a worse one: with the block's greatest
+    scatter s and the distance d to its box, (s_i + s) / d bounds what is inside.
+    """
+    spark = scatter.sparkSession
+    counts = {r.labeling: r["count"] for r in scatter.groupBy("labeling").count().collect()}
+    trees = {}
+    for labeling, n in counts.items():
+        tree, wide = Splits(), np.full(len(middle), np.inf)
+        blocks = -(-n // block_clusters)
+        sample = np.zeros((0, len(middle)))
+        if blocks > 1:
+            share = min(1.0, blocks * SPLIT_SAMPLES / n)
+            drawn = F.pmod(F.xxhash64("cluster"), F.lit(1 << 30)) < share * (1 << 30)
+            sample = scatter.where((F.col("labeling") == labeling) & drawn).select(
+                *middle
+            ).toPandas().to_numpy(dtype=float)
+        tree.grow(sample, blocks, -wide, wide, np.random.default_rng(0))
+        trees[labeling] = tree
+    sent = spark.sparkContext.broadcast(trees)
+    fields = "labeling string, cluster int, scatter double, " + ", ".join(
+        f"`{c}` double" for c in middle
     )
-    other = (F.col("a.labeling") == F.col("b.labeling")) & (
-        F.col("a.cluster") != F.col("b.cluster")
+    kept = scatter.select("labeling", "cluster", "scatter", *middle)
+
+    def by_labeling(batches, what):
+        for batch in filter(len, batches):
+            for labeling, rows in batch.groupby("labeling"):
+                yield from what(sent.value[labeling], rows)
+
+    def at_home(tree, rows):
+        yield rows.assign(block=tree.locate(rows[middle].to_numpy(dtype=float)), home=True)
+
+    homes = kept.mapInPandas(
+        lambda batches: by_labeling(batches, at_home), fields + ", block bigint, home boolean"
     )
-    return (
-        one.join(two, other)
-        .groupBy("a.labeling", "a.cluster")
-        .agg(F.max(overlap).alias("worst"))
-        .groupBy("labeling")
-        .agg(F.avg("worst").alias("davies_bouldin"))
+
+    def local(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.assign(worst=_overlaps(rows, rows, middle))[
+            ["labeling", "cluster", "scatter", *middle, "block", "worst"]
+        ]
+
+    first = homes.groupBy("labeling", "block").applyInPandas(
+        local, fields + ", block bigint, worst double"
+    )
+    if all(tree.blocks == 1 for tree in trees.values()):
+        return first.select("labeling", "cluster", "worst")
+
+    first = materialize(first, "worst")
+    tops = {
+        (r.labeling, r.block): r.top
+        for r in first.groupBy("labeling", "block").agg(F.max("scatter").alias("top")).collect()
+    }
+    boxes = {}
+    for labeling, tree in trees.items():
+        leaves = [i for i, b in enumerate(tree.block) if b >= 0]
+        boxes[labeling] = (
+            np.array([tree.block[i] for i in leaves]), np.array([tree.low[i] for i in leaves]),
+            np.array([tree.high[i] for i in leaves]),
+            np.array([tops.get((labeling, tree.block[i]), -1.0) for i in leaves]),
+        )
+    sent_boxes = spark.sparkContext.broadcast(boxes)
+
+    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in filter(len, batches):
+            for labeling, rows in batch.groupby("labeling"):
+                block, low, high, top = sent_boxes.value[labeling]
+                step = max(1, TILE_CELLS // (len(block) * len(middle)))
+                for at in range(0, len(rows), step):
+                    part = rows.iloc[at:at + step]
+                    place = part[middle].to_numpy(dtype=float)[:, None, :]
+                    apart = np.sqrt((np.maximum(np.maximum(low - place, place - high), 0) ** 2).sum(2))
+                    most = part["scatter"].to_numpy()[:, None] + top
+                    worst = part["worst"].to_numpy()[:, None]
+                    # Bounds are taken up by more than their rounding.
+                    could = (most * (1 + 1e-9) >= worst * apart) & (top >= 0)
+                    could &= part["block"].to_numpy()[:, None] != block
+                    who, where = np.nonzero(could)
+                    yield part.iloc[who].assign(
+                        labeling=np.full(len(who), labeling, dtype=object),
+                        block=block[where], home=False,
+                    )[
+                        ["labeling", "cluster", "scatter", *middle, "block", "home"]
+                    ]
+
+    guests = first.mapInPandas(visit, fields + ", block bigint, home boolean")
+    parts = -(-max(counts.values()) // MOST_GUESTS)
+    spread_homes = homes.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    spread_guests = guests.withColumn("part", F.pmod(F.xxhash64("cluster"), F.lit(parts)).cast("int"))
+
+    def meet(rows: pd.DataFrame) -> pd.DataFrame:
+        here, there = rows[rows["home"]], rows[~rows["home"]]
+        return pd.DataFrame({
+            "labeling": there["labeling"].to_numpy(dtype=object), "cluster": there["cluster"].to_numpy(),
+            "worst": _overlaps(there, here, middle),
+        })
+
+    beyond = spread_homes.unionByName(spread_guests).groupBy("labeling", "block", "part").applyInPandas(
+        meet, "labeling string, cluster int, worst double"
     )
+    return first.select("labeling", "cluster", "worst").union(beyond).groupBy(
+        "labeling", "cluster"
+    ).agg(F.max("worst").alias("worst"))
 
 
 def silhouette_samples(
@@ -140,77 +266,241 @@ def silhouette_samples(
         return _squared_samples(points, list(columns), list(labels), id_col)
     if distance != "euclidean":
         raise ValueError(f"distance must be euclidean or squared, not {distance!r}")
-    means = _euclidean_means(points, list(columns), list(labels), id_col)
-    scored = means.groupBy(id_col, "labeling").agg(
-        F.max(F.when(F.col("other") == F.col("cluster"), F.col("cluster"))).alias("cluster"),
-        F.max(F.when(F.col("other") == F.col("cluster"), F.col("n"))).alias("own_rows"),
-        F.max(F.when(F.col("other") == F.col("cluster"), F.col("total"))).alias("own_total"),
-        F.min(F.when(
-            F.col("other") != F.col("cluster"), F.col("total") / F.col("n")
-        )).alias("b"),
+    columns, labels = list(columns), list(labels)
+    sizes = materialize(
+        long_labels(points, columns, labels).groupBy("labeling", "cluster")
+        .agg(F.count("*").alias("n")),
+        "sizes",
     )
-    a = F.try_divide(F.col("own_total"), F.col("own_rows") - 1)
-    value = F.try_divide(F.col("b") - a, F.greatest(a, F.col("b")))
-    alone = F.col("own_rows") == 1
-    return scored.select(
-        id_col,
-        "labeling",
-        "cluster",
-        F.when(alone, F.lit(0.0)).otherwise(F.coalesce(value, F.lit(0.0))).alias("silhouette"),
-        F.lit(distance).alias("distance"),
+    if sizes.count() <= MOST_CLUSTERS:
+        return _by_sums(points, columns, labels, id_col, sizes)
+    parts = [
+        _by_blocks(points, columns, name, id_col, sizes.where(F.col("labeling") == name))
+        for name in labels
+    ]
+    return reduce(DataFrame.union, parts)
+
+
+def _in_pairs(rows: DataFrame, block: Column, blocks: int, work, schema: str) -> DataFrame:
+    """``work(one, other)`` for every unordered pair of blocks; a block meets itself as (one, None).
+
+    Each row is sent once for every block, and every pair of rows is met once.
+    """
+    dealt = rows.withColumn("_block", block.cast("int")).withColumn(
+        "_with", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    ).withColumns({
+        "_low": F.least("_block", "_with"), "_high": F.greatest("_block", "_with"),
+    }).drop("_with")
+    dealt = dealt.repartition(min(blocks * (blocks + 1) // 2, MOST_PARTITIONS), "_low", "_high")
+
+    def pair(rows: pd.DataFrame) -> pd.DataFrame:
+        low = rows["_low"].iloc[0]
+        first = rows["_block"].to_numpy() == low
+        if low == rows["_high"].iloc[0]:
+            return work(rows, None)
+        one, other = rows[first], rows[~first]
+        return work(one, other) if len(one) and len(other) else work(None, None)
+
+    return dealt.groupBy("_low", "_high").applyInPandas(pair, schema)
+
+
+def _block_number(rows: int, cores: int, size: int) -> int:
+    """Blocks of bounded size; for a small table enough that each core has a pair of them."""
+    least = min(2 * int(np.ceil(np.sqrt(cores))), -(-rows // FEWEST_ROWS))
+    return max(1, least, -(-rows // size))
+
+
+def _by_sums(points, columns, labels, id_col, sizes) -> DataFrame:
+    """With few clusters: one array of sums over all clusters for each row and block."""
+    found = sizes.toPandas().sort_values(["labeling", "cluster"])
+    clusters = {
+        name: (own["cluster"].to_numpy(), own["n"].to_numpy(dtype=float))
+        for name, own in found.groupby("labeling")
+    }
+    starts, width = {}, 0
+    for name in labels:
+        if name in clusters:
+            starts[name] = width
+            width += len(clusters[name][0])
+
+    def members(rows: pd.DataFrame) -> np.ndarray:
+        """Which of all clusters each row is in, as columns of zeros and ones."""
+        out = np.zeros((len(rows), width))
+        for name, start in starts.items():
+            own = rows[name].to_numpy()
+            counted = np.flatnonzero(own != -1)
+            at = np.searchsorted(clusters[name][0], own[counted])
+            out[counted, start + at] = 1.0
+        return out
+
+    def work(one, other) -> pd.DataFrame:
+        sides = [] if one is None else [one] if other is None else [one, other]
+        sums = [np.zeros((len(side), width)) for side in sides]
+        if sides:
+            last = sides[-1]
+            belongs = [members(side) for side in sides]
+            tiles = distance_tiles(
+                one[columns].to_numpy(dtype=float), last[columns].to_numpy(dtype=float)
+            )
+            for rows, gaps in tiles:
+                sums[0][rows] = gaps @ belongs[-1]
+                if len(sides) == 2:
+                    sums[1] += gaps.T @ belongs[0][rows]
+        out = pd.concat([side[[id_col, *labels]] for side in sides]) if sides else pd.DataFrame(
+            columns=[id_col, *labels]
+        )
+        found = np.concatenate(sums) if sums else np.zeros((0, width))
+        return pd.DataFrame({
+            **{c: _plain(out[c]) for c in out.columns},
+            "sums": pd.Series(list(found), dtype=object),
+        })
+
+    rows = points.select(id_col, *columns, *[F.col(c).cast("int").alias(c) for c in labels])
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    blocks = _block_number(rows.count(), cores, BLOCK_ROWS)
+    kind = points.schema[id_col].dataType.simpleString()
+    named = f"`{id_col}` {kind}, " + ", ".join(f"`{c}` int" for c in labels)
+    partial = _in_pairs(
+        rows, F.pmod(F.xxhash64(id_col), F.lit(blocks)), blocks, work, named + ", sums array<double>"
     )
+    totals = partial.groupBy(id_col, *labels).agg(
+        F.array(*[F.sum(F.get("sums", F.lit(i))) for i in range(width)]).alias("sums")
+    )
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            sums = np.stack(batch["sums"].to_numpy())
+            for name, start in starts.items():
+                known, n = clusters[name]
+                label = batch[name].to_numpy()
+                counted = np.flatnonzero(label != -1)
+                at = np.searchsorted(known, label[counted])
+                total = sums[counted, start:start + len(known)]
+                yield pd.DataFrame({
+                    id_col: _plain(batch[id_col])[counted], "labeling": name, "cluster": label[counted].astype("int32"),
+                    "silhouette": _widths(total, n, at), "distance": "euclidean",
+                })
 
+    return totals.mapInPandas(score, _SAMPLES.format(id_col, kind))
 
-def _euclidean_means(points, columns, labels, id_col) -> DataFrame:
-    """For each row, labeling and cluster the sum of distances, and the cluster's size."""
-    sides = points.select(id_col, *columns, *labels)
 
-    def distances(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        members = {}
-        for name in labels:
-            cluster = right[name].to_numpy()
-            order = np.argsort(cluster, kind="stable")
-            order = order[cluster[order] != -1]
-            members[name] = (order, *np.unique(cluster[order], return_index=True))
-        ids = left[id_col].to_numpy()
-        out = []
-        tiles = distance_tiles(
-            left[columns].to_numpy(dtype=float), right[columns].to_numpy(dtype=float)
+_SAMPLES = "`{}` {}, labeling string, cluster int, silhouette double, distance string"
+
+
+def _widths(total: np.ndarray, n: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Silhouettes from sums of distances to each cluster, its size, and the own cluster."""
+    here = np.arange(len(own))
+    a = total[here, own] / np.maximum(n[own] - 1, 1)
+    means = total / n
+    means[here, own] = np.inf
+    b = means.min(axis=1, initial=np.inf)
+    top = np.maximum(a, b)
+    out = np.zeros(len(own))
+    fit = (n[own] > 1) & np.isfinite(b) & (top > 0)
+    out[fit] = (b - a)[fit] / top[fit]
+    return out
+
+
+def _by_blocks(points, columns, name, id_col, sizes) -> DataFrame:
+    """With many clusters: a block holds whole clusters, or a part of one large cluster.
+
+    For each row and block one row comes back: the sum over the own cluster, the least mean of
+    whole other clusters, or the sum over the part of a large one.
+    """
+    kind = points.schema[id_col].dataType.simpleString()
+    large = {
+        r.cluster: -(-r.n // PAIR_ROWS) for r in sizes.where(F.col("n") > PAIR_ROWS).collect()
+    }
+    rest = sizes.where(F.col("n") <= PAIR_ROWS).agg(F.sum("n")).first()[0] or 0
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    small = _block_number(rest, cores, PAIR_ROWS)
+    blocks, block = small, F.pmod(F.xxhash64("cluster"), F.lit(small))
+    for cluster, parts in large.items():
+        part = F.pmod(F.xxhash64(id_col), F.lit(parts)) + F.lit(blocks)
+        block = F.when(F.col("cluster") == cluster, part).otherwise(block)
+        blocks += parts
+    rows = points.select(
+        id_col, *columns, F.col(name).cast("int").alias("cluster")
+    ).where(F.col("cluster") != -1).join(sizes.select("cluster", "n"), "cluster")
+
+    def toward(gaps: np.ndarray, rows: pd.DataFrame, others: pd.DataFrame) -> dict:
+        """What each of ``rows`` learns of the clusters of ``others``, sorted by cluster."""
+        known, first, held = np.unique(
+            others["cluster"].to_numpy(), return_index=True, return_counts=True
         )
-        for rows, gaps in tiles:
-            for name, (order, found, starts) in members.items():
-                own = left[name].to_numpy()[rows]
-                counted = own != -1
-                if not len(found) or not counted.any():
-                    continue
-                sums = np.add.reduceat(gaps[counted][:, order], starts, axis=1)
+        own = rows["cluster"].to_numpy()
+        sums = np.add.reduceat(gaps, first, axis=1)
+        whole = others["n"].to_numpy()[first] == held
+        at = np.searchsorted(known, own)
+        at[at == len(known)] = 0
+        mine = known[at] == own
+        here = np.arange(len(own))
+        means = np.where(whole, sums / held, np.inf)
+        means[here[mine], at[mine]] = np.inf
+        part = np.flatnonzero(~whole)
+        none = np.full(len(own), np.nan)
+        # At most one cluster of a block is a part of a larger one, and then the only one.
+        split = len(part) > 0
+        return {
+            "own": np.where(mine, sums[here, at], 0.0), "best": means.min(axis=1),
+            "other": known[part[0]] if split else -1,
+            "toward": np.where(mine, np.nan, sums[:, part[0]]) if split else none,
+        }
+
+    def work(one, other) -> pd.DataFrame:
+        out = []
+        if one is not None:
+            one = one.sort_values("cluster")
+            last = one if other is None else other.sort_values("cluster")
+            tiles = distance_tiles(
+                one[columns].to_numpy(dtype=float), last[columns].to_numpy(dtype=float)
+            )
+            pieces = list(tiles) if other is not None else tiles
+            for rows, gaps in pieces:
+                part = one.iloc[rows]
+                out.append(pd.DataFrame({
+                    id_col: _plain(part[id_col]), "cluster": part["cluster"].to_numpy(),
+                    **toward(gaps, part, last),
+                }))
+            if other is not None:
+                whole = np.concatenate([gaps for _, gaps in pieces]).T
                 out.append(pd.DataFrame({
-                    id_col: np.repeat(ids[rows][counted], len(found)),
-                    "labeling": name,
-                    "cluster": np.repeat(own[counted], len(found)),
-                    "other": np.tile(found, counted.sum()),
-                    "total": sums.ravel(),
+                    id_col: _plain(last[id_col]), "cluster": last["cluster"].to_numpy(),
+                    **toward(whole, last, one),
                 }))
+        names = [id_col, "cluster", "own", "best", "other", "toward"]
         if not out:
-            return pd.DataFrame(columns=[id_col, "labeling", "cluster", "other", "total"])
-        return pd.concat(out, ignore_index=True)
-
-    kind = points.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, labeling string, cluster int, other int, total double"
-    partial = meet_in_blocks(
-        sides, sides, [], id_col, distances, schema, left_rows=LEFT_ROWS, right_rows=RIGHT_ROWS
+            return pd.DataFrame(columns=names)
+        return pd.DataFrame({
+            c: np.concatenate([_plain(part[c]) for part in out]) for c in names
+        })
+
+    schema = f"`{id_col}` {kind}, cluster int, own double, best double, other int, toward double"
+    met = materialize(_in_pairs(rows, block, blocks, work, schema), "met")
+    sized = sizes.select("cluster", "n")
+    parts = met.where(F.col("toward").isNotNull() & ~F.isnan("toward")).groupBy(id_col, "other").agg(
+        F.sum("toward").alias("toward")
+    ).join(sized.withColumnRenamed("cluster", "other"), "other").groupBy(id_col).agg(
+        F.min(F.col("toward") / F.col("n")).alias("apart")
     )
-    totals = partial.groupBy(id_col, "labeling", "cluster", "other").agg(
-        F.sum("total").alias("total")
+    scored = met.groupBy(id_col, "cluster").agg(
+        F.sum("own").alias("own"), F.min("best").alias("best")
+    ).join(parts, id_col, "left").join(sized, "cluster")
+    a = F.try_divide(F.col("own"), F.col("n") - 1)
+    b = F.least("best", F.coalesce("apart", F.lit(float("inf"))))
+    value = F.when(
+        (F.col("n") > 1) & (b < float("inf")), F.try_divide(b - a, F.greatest(a, b))
     )
-    # Few clusters, many rows each: stored, so that the join need not shuffle by cluster.
-    sizes = materialize(
-        long_labels(points, columns, labels)
-        .groupBy("labeling", F.col("cluster").alias("other"))
-        .agg(F.count("*").alias("n")),
-        "sizes",
+    return scored.select(
+        id_col, F.lit(name).alias("labeling"), "cluster",
+        F.coalesce(value, F.lit(0.0)).alias("silhouette"), F.lit("euclidean").alias("distance"),
     )
-    return totals.join(sizes, ["labeling", "other"])
+
+
+def _plain(column: pd.Series) -> np.ndarray:
+    return column.to_numpy(dtype=None if column.dtype.kind in "iuf" else object)
 
 
 def _squared_samples(points, columns, labels, id_col) -> DataFrame:
@@ -219,14 +509,17 @@ def _squared_samples(points, columns, labels, id_col) -> DataFrame:
     The labels lie on the row and the clusters of one labeling fit into a task, so each row is
     finished in the scan: nothing is shuffled and no row is copied per cluster.
     """
-    centers = cluster_centers(points, columns, labels).toPandas()
+    centers = materialize(cluster_centers(points, columns, labels), "centers")
+    kind = points.schema[id_col].dataType.simpleString()
+    if centers.count() > MOST_CENTERS:
+        return _squared_in_blocks(points, columns, labels, id_col, centers)
     plan = {
         name: (
             own["cluster"].to_numpy(), own["n"].to_numpy(dtype=float),
             own[[f"m_{c}" for c in columns]].to_numpy(dtype=float),
             own["within"].to_numpy(dtype=float),
         )
-        for name, own in centers.sort_values("cluster").groupby("labeling")
+        for name, own in centers.toPandas().sort_values("cluster").groupby("labeling")
     }
     sent = points.sparkSession.sparkContext.broadcast(plan)
 
@@ -240,26 +533,65 @@ def _squared_samples(points, columns, labels, id_col) -> DataFrame:
                     continue
                 clusters, n, means, within = sent.value[name]
                 value = np.zeros(len(counted))
-                for at in range(0, len(counted), SQUARED_ROWS):
-                    rows = counted[at:at + SQUARED_ROWS]
-                    own = np.searchsorted(clusters, label[rows])
-                    total = ((data[rows][:, None, :] - means) ** 2).sum(axis=2) * n + within
-                    here = np.arange(len(rows))
-                    a = total[here, own] / np.maximum(n[own] - 1, 1)
-                    total[here, own] = np.inf
-                    b = (total / n).min(axis=1)
-                    top = np.maximum(a, b)
-                    fit = (n[own] > 1) & np.isfinite(b) & (top > 0)
-                    value[at:at + SQUARED_ROWS][fit] = (b - a)[fit] / top[fit]
+                for at, squares in _square_tiles(data[counted], means):
+                    own = np.searchsorted(clusters, label[counted[at]])
+                    value[at] = _widths(squares * n + within, n, own)
                 yield pd.DataFrame({
-                    id_col: batch[id_col].to_numpy()[counted], "labeling": name,
+                    id_col: _plain(batch[id_col])[counted], "labeling": name,
                     "cluster": label[counted].astype("int32"), "silhouette": value,
                     "distance": "squared",
                 })
 
+    return points.select(id_col, *columns, *labels).mapInPandas(
+        finish, _SAMPLES.format(id_col, kind)
+    )
+
+
+def _square_tiles(data: np.ndarray, means: np.ndarray):
+    for at, gaps in distance_tiles(data, means):
+        yield at, gaps * gaps
+
+
+def _squared_in_blocks(points, columns, labels, id_col, centers) -> DataFrame:
+    """The same when the centres are too many to send to every task: blocks of both meet."""
+    middle = [f"m_{c}" for c in columns]
+    rows = long_labels(points, columns, labels).select(id_col, "labeling", "cluster", *columns)
+    others = centers.select("labeling", F.col("cluster").alias("other"), "n", "within", *middle)
     kind = points.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, labeling string, cluster int, silhouette double, distance string"
-    return points.select(id_col, *columns, *labels).mapInPandas(finish, schema)
+
+    def work(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        own, best = np.full(len(left), np.nan), np.empty(len(left))
+        n, within = right["n"].to_numpy(dtype=float), right["within"].to_numpy(dtype=float)
+        label, other = left["cluster"].to_numpy(), right["other"].to_numpy()
+        for at, squares in _square_tiles(
+            left[columns].to_numpy(dtype=float), right[middle].to_numpy(dtype=float)
+        ):
+            total = squares * n + within
+            row, col = np.nonzero(label[at, None] == other)
+            own[np.arange(len(left))[at][row]] = total[row, col]
+            total[row, col] = np.inf
+            best[at] = (total / n).min(axis=1)
+        return pd.DataFrame({
+            id_col: _plain(left[id_col]), "labeling": left["labeling"].to_numpy(dtype=object),
+            "cluster": label, "own": own, "best": best,
+        })
+
+    met = meet_in_blocks(
+        rows.withColumn("_row", F.col(id_col)), others.withColumn("_row", F.col("other")),
+        ["labeling"], "_row", work,
+        f"`{id_col}` {kind}, labeling string, cluster int, own double, best double",
+    )
+    scored = met.groupBy(id_col, "labeling", "cluster").agg(
+        F.max(F.nanvl("own", F.lit(None))).alias("own"), F.min("best").alias("best")
+    ).join(centers.select("labeling", "cluster", "n"), ["labeling", "cluster"])
+    a, b = F.try_divide(F.col("own"), F.col("n") - 1), F.col("best")
+    value = F.when(
+        (F.col("n") > 1) & (b < float("inf")), F.try_divide(b - a, F.greatest(a, b))
+    )
+    return scored.select(
+        id_col, "labeling", "cluster", F.coalesce(value, F.lit(0.0)).alias("silhouette"),
+        F.lit("squared").alias("distance"),
+    )
 
 
 def silhouette_score(samples: DataFrame) -> DataFrame:

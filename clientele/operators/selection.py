@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from clientele.constants import GAP_SETS, K_DEFAULT, K_RANGE_OK, K_WEIGHTS, MAX_CLUSTERS, SEED
 from clientele.operators.kmeans import (
     Model,
+    Source,
     assign,
-    best_of,
     fit_models,
     seed_pools,
     spread,
@@ -22,41 +24,93 @@ from clientele.operators.kmeans import (
 from clientele.operators.metrics import all_metrics
 from clientele.storage import materialize
 
-#: Rows of a uniform set that its starting centres are drawn from.
-UNIFORM_ROWS = 16_384
+#: Rows of a block of a uniform set, and expected rows of the draw its centres start from.
+UNIFORM_BLOCK = 8_192
+UNIFORM_POOL = 4_096
 METRICS = ["silhouette", "calinski_harabasz", "davies_bouldin", "wcss"]
 
 
-def reference_sets(
-    points: DataFrame,
-    columns: Sequence[str],
-    sets: int = GAP_SETS,
-    seed: int = SEED,
-    per_column: bool = False,
-) -> DataFrame:
-    """``sets`` uniform tables as large as ``points``, numbered from 1 in ``part``.
+@dataclass(frozen=True)
+class Uniform:
+    """Uniform tables as large as the points; each block of rows is drawn where it is used.
 
-    The box runs from the least to the largest value of all columns together, or of each column
-    with ``per_column``. Values are hashes of the row number, so any task that is run again
-    draws the same ones.
+    A block's values follow from the seed, the set and the block's number, so any task that runs
+    again draws the same ones, and no copy of the table is stored.
     """
+
+    rows: int
+    sets: int
+    seed: int
+    low: tuple[float, ...]
+    high: tuple[float, ...]
+
+    def blocks(self, spark: SparkSession) -> DataFrame:
+        """(part, block): parts from 1."""
+        each = -(-self.rows // UNIFORM_BLOCK)
+        cores = spark.sparkContext.defaultParallelism
+        total = each * self.sets
+        return spark.range(0, total, 1, max(1, min(total, max(cores, total // 16)))).select(
+            (F.col("id") % self.sets + 1).cast("int").alias("part"),
+            F.floor(F.col("id") / self.sets).alias("block"),
+        )
+
+    def draw(self, part: int, block: int) -> np.ndarray:
+        n = min(UNIFORM_BLOCK, self.rows - block * UNIFORM_BLOCK)
+        even = np.random.default_rng([self.seed, part, block]).random((n, len(self.low)))
+        low, high = np.array(self.low), np.array(self.high)
+        return low + (high - low) * even
+
+    def source(self, spark: SparkSession) -> Source:
+        def read(batch: pd.DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+            for part, block in zip(batch["part"].tolist(), batch["block"].tolist()):
+                yield part, self.draw(part, block)
+
+        return self.blocks(spark), read
+
+    def table(self, spark: SparkSession, columns: Sequence[str], share: float = 1.0) -> DataFrame:
+        """(part, row, *columns): all rows, or a draw of about a share of all of them."""
+        def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for part, block in zip(batch["part"].tolist(), batch["block"].tolist()):
+                    data = self.draw(part, block)
+                    rng = np.random.default_rng([self.seed, part, block, 1])
+                    kept = np.flatnonzero(rng.random(len(data)) < share)
+                    out = pd.DataFrame(data[kept], columns=list(columns))
+                    out.insert(0, "part", part)
+                    out.insert(1, "row", block * UNIFORM_BLOCK + kept)
+                    yield out
+
+        fields = ", ".join(f"`{c}` double" for c in columns)
+        return self.blocks(spark).mapInPandas(rows, f"part int, row bigint, {fields}")
+
+    def spread(self) -> float:
+        """Mean variance of a column."""
+        return float(np.mean((np.array(self.high) - np.array(self.low)) ** 2 / 12))
+
+
+def uniform_like(
+    points: DataFrame, columns: Sequence[str], sets: int = GAP_SETS, seed: int = SEED,
+    per_column: bool = False,
+) -> Uniform:
+    """The box runs from the least to the largest value of all columns together, or of each
+    column with ``per_column``."""
     ranges = points.agg(
         F.count("*").alias("n"),
         *[F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in columns],
     ).first()
-    low = min(ranges[c].lo for c in columns)
-    high = max(ranges[c].hi for c in columns)
+    low, high = [ranges[c].lo for c in columns], [ranges[c].hi for c in columns]
+    if not per_column:
+        low, high = [min(low)] * len(low), [max(high)] * len(high)
+    return Uniform(ranges.n, sets, seed, tuple(low), tuple(high))
 
-    def draw(place: int, name: str) -> Column:
-        lo, hi = (ranges[name].lo, ranges[name].hi) if per_column else (low, high)
-        bits = F.xxhash64(F.lit(seed), "part", "row", F.lit(place)).bitwiseAND(F.lit(2**53 - 1))
-        return F.lit(lo) + F.lit(hi - lo) * (bits / F.lit(float(2**53)))
 
-    rows = points.sparkSession.range(ranges.n * sets).select(
-        (F.col("id") % sets + 1).cast("int").alias("part"),
-        F.floor(F.col("id") / sets).alias("row"),
-    )
-    return rows.select("part", "row", *[draw(j, c).alias(c) for j, c in enumerate(columns)])
+def reference_sets(
+    points: DataFrame, columns: Sequence[str], sets: int = GAP_SETS, seed: int = SEED,
+    per_column: bool = False,
+) -> DataFrame:
+    """``sets`` uniform tables as large as ``points``, numbered from 1 in ``part``."""
+    uniform = uniform_like(points, columns, sets, seed, per_column)
+    return uniform.table(points.sparkSession, columns)
 
 
 def fit_every_k(
@@ -71,32 +125,25 @@ def fit_every_k(
 
     All of them are fitted by the same scans.
     """
-    columns = list(columns)
-    data = points.select(F.lit(0).alias("part"), *columns)
+    columns, spark = list(columns), points.sparkSession
     pools = {0: seed_pools(points, columns, [seed])[0]}
+    others, spreads = [], {}
     if gap_sets:
-        uniform = materialize(
-            reference_sets(points, columns, gap_sets, seed, per_column), "uniform"
-        )
-        data = data.union(uniform.select("part", *columns))
-        # The rows of a uniform set are independent and have no rare groups, so its first ones
-        # are as good a pool as any.
-        first = uniform.where(F.col("row") < UNIFORM_ROWS).toPandas()
+        uniform = uniform_like(points, columns, gap_sets, seed, per_column)
+        drawn = uniform.table(spark, columns, min(1.0, UNIFORM_POOL / uniform.rows)).toPandas()
+        # Rows of a uniform set are independent: each drawn one stands for equally many.
         pools |= {
             int(part): (rows.sort_values("row")[columns].to_numpy(), np.ones(len(rows)))
-            for part, rows in first.groupby("part")
+            for part, rows in drawn.groupby("part")
         }
+        others = [uniform.source(spark)]
+        spreads = {part: uniform.spread() for part in range(1, gap_sets + 1)}
     wanted = [
         (part, k, seed + max(part - 1, 0)) for part in pools for k in range(2, max_k + 1)
     ]
-    models = starting_models(points.sparkSession, pools, wanted)
-    fitted = fit_models(data, columns, models, "part")
-    best: dict[tuple[int, int], Model] = {}
-    for part, k, _ in wanted:
-        best[part, k] = best_of([
-            m for m in fitted if m.part == part and len(m.centers) == k
-        ])
-    return best
+    models = starting_models(spark, pools, wanted)
+    fitted = fit_models(points, columns, models, others, spreads)
+    return {(part, k): model for (part, k, _), model in zip(wanted, fitted, strict=True)}
 
 
 def _gaps(best: dict[tuple[int, int], Model]) -> dict[int, float]:

@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from clientele.functions.agglomerate import agglomerate, coassociation_gap, ward_gap
+from clientele.functions.agglomerate import CoAssociation, Ward, agglomerate_table, merge_block, merges_of
 from clientele.functions.components import connected_components
 from clientele.functions.labels import renumber
 from clientele.operators import (
@@ -62,7 +62,7 @@ def brute_silhouette(gaps, label):
     lambda p: clustering.kmeans(p, COLUMNS, 3),
     lambda p: clustering.hierarchical(p, COLUMNS, 3),
     lambda p: clustering.hierarchical(p, COLUMNS, 3, small_clusters=20),
-    lambda p: clustering.hierarchical(p, COLUMNS, 3, driver_units=20),
+    lambda p: clustering.hierarchical(p, COLUMNS, 3, block_units=20),
     lambda p: clustering.gaussian_mixture(p, COLUMNS, 3),
     lambda p: clustering.consensus_clustering(p, COLUMNS, 3, runs=4),
     lambda p: density.dbscan(p, COLUMNS, 1.5),
@@ -103,71 +103,124 @@ def test_pools_cover_all_rows_and_do_not_depend_on_the_layout(spark):
     assert np.array_equal(first[0], again[0]) and np.array_equal(first[1], again[1])
 
 
-def merge_by_force(data, k, linkage):
-    """Agglomeration over all pairs of clusters, one merge at a time."""
-    groups = [[i] for i in range(len(data))]
-    while len(groups) > k:
-        pairs = [
-            (linkage(a, b), i, j)
-            for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j
-        ]
-        _, i, j = min(pairs)
-        groups[i] += groups.pop(j)
-    label = np.empty(len(data), dtype=int)
-    for c, group in enumerate(groups):
-        label[group] = c
-    return label
+def merge_by_force(weights, states, linkage):
+    """Agglomeration over all pairs of clusters, one merge at a time: (unit, near, gap).
+
+    A cluster has the place of its greatest member; ties go by (greater place, lesser place).
+    """
+    clusters = {i: (float(w), np.array(x, dtype=float)) for i, (w, x) in enumerate(zip(weights, states))}
+    merges = []
+    while len(clusters) > 1:
+        places = sorted(clusters)
+        w = np.array([clusters[i][0] for i in places])
+        x = np.array([clusters[i][1] for i in places])
+        gaps = linkage.gap(w, x, w, x)
+        gap, high, low = min(
+            (gaps[a, b], places[b], places[a])
+            for a in range(len(places)) for b in range(a + 1, len(places))
+        )
+        one, two = clusters.pop(low), clusters[high]
+        state = linkage.join(np.array([one[0]]), one[1][None], np.array([two[0]]), two[1][None])[0]
+        clusters[high] = (one[0] + two[0], state)
+        merges.append((low, high, float(gap)))
+    return merges
+
+
+def signed_units(seed, units, runs, k):
+    """Distinct random signatures as label counts, with weights."""
+    rng = np.random.default_rng(seed)
+    signed = np.unique(rng.integers(0, k, (units, runs)), axis=0)
+    weights = rng.integers(1, 5, len(signed)).astype(float)
+    return weights, (signed[:, :, None] == np.arange(k)).reshape(len(signed), -1).astype(float)
+
 
+def ward_units(seed, units, lattice):
+    rng = np.random.default_rng(seed)
+    data = rng.integers(0, 5, (units, 2)).astype(float) if lattice else rng.normal(size=(units, 2))
+    data = np.unique(data, axis=0)
+    return rng.integers(1, 4, len(data)).astype(float), data
 
-def test_ward_by_force():
-    data, _ = blobs(rows=12, gap=1.5, seed=4)
 
-    def ward(a, b):
-        gap = data[a].mean(axis=0) - data[b].mean(axis=0)
-        return len(a) * len(b) / (len(a) + len(b)) * (gap @ gap)
+CASES = [
+    (Ward(), *ward_units(1, 60, False)), (Ward(), *ward_units(2, 60, True)),
+    (CoAssociation(5), *signed_units(3, 60, 5, 3)), (CoAssociation(10), *signed_units(4, 50, 10, 2)),
+]
 
-    for k in (2, 4, 7):
-        found = agglomerate(data, np.ones(len(data)), k, ward_gap)
-        assert same_partition(found, merge_by_force(data, k, ward))
 
+def test_ward_gap_is_the_growth_of_the_inner_squares():
+    weights, data = ward_units(5, 6, False)
+    rows = np.repeat(np.arange(len(data)), weights.astype(int))
+    gaps = Ward().gap(weights, data, weights, data)
 
-def test_average_linkage_of_signatures_by_force():
-    rng = np.random.default_rng(5)
-    runs, k = 10, 3
-    base = rng.integers(0, k, 9)
-    signed = np.where(rng.random((9, runs)) < 0.25, rng.integers(0, k, (9, runs)), base[:, None])
-    weights = rng.integers(1, 5, 9)
-    rows = np.repeat(np.arange(9), weights)
-    apart = 1 - (signed[rows][:, None] == signed[rows][None]).mean(-1)
-    # Distinct fractions keep ties out of the comparison.
-    found = agglomerate(
-        (signed[:, :, None] == np.arange(k)).reshape(9, -1), weights, 4, coassociation_gap(runs)
+    def inner(units):
+        own = data[rows[np.isin(rows, units)]]
+        return ((own - own.mean(axis=0)) ** 2).sum()
+
+    assert np.isclose(gaps[0, 1], inner([0, 1]) - inner([0]) - inner([1]))
+
+
+def test_coassociation_is_the_mean_share_of_runs_that_differ():
+    weights, shares = signed_units(6, 8, 4, 3)
+    states = shares * weights[:, None]
+    one, two = states[[0]] + states[[1]], states[[2]]
+    gap = CoAssociation(4).gap(weights[[0]] + weights[[1]], one, weights[[2]], two)[0, 0]
+    apart = 1 - shares @ shares.T / 4
+    assert np.isclose(gap, (weights[0] * apart[0, 2] + weights[1] * apart[1, 2]) / (weights[0] + weights[1]))
+
+
+@pytest.mark.parametrize("linkage, weights, values", CASES)
+@pytest.mark.parametrize("block_units", [1_000, 25, 7])
+def test_the_tree_does_not_depend_on_the_blocks(spark, linkage, weights, values, block_units):
+    """Heights, members and ties as one merge at a time gives them."""
+    columns = [f"c{j}" for j in range(values.shape[1])]
+    table = pd.DataFrame(values, columns=columns).assign(
+        unit=[f"u{i:04d}" for i in range(len(values))], weight=weights
     )
-    forced = merge_by_force(rows, 4, lambda a, b: round(apart[np.ix_(a, b)].mean(), 12))
-    cost = [
-        sum(apart[np.ix_(g, g)].sum() for g in [np.flatnonzero(lab == c) for c in set(lab)])
-        for lab in (found[rows], forced)
-    ]
-    assert len(set(found)) == 4
-    assert math.isclose(*cost, rel_tol=0.05)
+    states = values if isinstance(linkage, Ward) else values * weights[:, None]
+    want = {(f"u{a:04d}", f"u{b:04d}", g) for a, b, g in merge_by_force(weights, states, linkage)}
+    merges = merges_of(spark.createDataFrame(table).repartition(3), columns, linkage, block_units)
+    assert {(r.unit, r.near, r.gap) for r in merges.collect()} == want
 
 
-@pytest.mark.parametrize("k", [2, 5, 9])
-def test_rounds_give_the_same_tree(spark, k):
+@pytest.mark.parametrize("k", [1, 2, 5, 9])
+def test_cutting_the_tree(spark, k):
+    """A pair that merges inside a block and is cut again, and rows that are equal."""
     data, _ = blobs(rows=40, gap=1.5, seed=7)
-    data = np.vstack([data, [[40.0, 40.0], [40.5, 40.5]]])
-    whole = agglomerate(data, np.ones(len(data)), k, ward_gap)
-    points = points_of(spark, data)
-    assert same_partition(
-        labels_of(clustering.hierarchical(points, COLUMNS, k, driver_units=4)), whole
+    data = np.vstack([data, [[40.0, 40.0], [45.0, 45.0]], data[:30], data[:1]])
+    distinct, weights = np.unique(data, axis=0, return_counts=True)
+    merges = merge_by_force(weights, distinct, Ward())
+    label = np.arange(len(distinct))
+    for low, high, _ in merges[:len(merges) - k + 1]:
+        label[label == label[low]] = label[high]
+    rows = [int(np.flatnonzero((distinct == row).all(axis=1))[0]) for row in data]
+    found = labels_of(clustering.hierarchical(points_of(spark, data), COLUMNS, k, block_units=12))
+    assert len(set(found)) == k and same_partition(found, label[rows])
+
+
+def test_one_unit_and_equal_units(spark):
+    one = spark.createDataFrame([("a", 1.0, 0.5)], "unit string, weight double, x double")
+    assert [tuple(r) for r in agglomerate_table(one, ["x"], 3, Ward()).collect()] == [("a", "a")]
+    far = spark.createDataFrame(
+        [(f"{i}", 1.0, 1e12 * (i % 2) + i) for i in range(40)], "unit string, weight double, x double"
     )
+    labels = {r.unit: r.label for r in agglomerate_table(far, ["x"], 2, Ward(), 5).collect()}
+    assert len({labels[str(i)] for i in range(0, 40, 2)}) == 1 and len(set(labels.values())) == 2
+
+
+def test_safe_merges_only():
+    """A unit whose nearest one lies outside does not merge inside."""
+    data = np.array([[0.0], [1.0], [1.5], [9.0], [9.1]])
+    outs = np.array([0.1, 5.0, 5.0, 0.002, np.inf])
+    alive, _, _, _, merges = merge_block(np.ones(5), data, Ward(), outs, np.zeros(5, dtype=int))
+    assert [(a.tolist(), b.tolist()) for a, b, _ in merges] == [([1], [2])]
+    assert alive.tolist() == [True, False, True, True, True]
 
 
 def test_consensus_in_rounds(spark):
     data, true = blobs(gap=4.0)
     points = points_of(spark, data)
     one, other = (
-        labels_of(clustering.consensus_clustering(points, COLUMNS, 3, runs=3, driver_units=n))
+        labels_of(clustering.consensus_clustering(points, COLUMNS, 3, runs=3, block_units=n))
         for n in (3, 1000)
     )
     assert same_partition(one, other)
@@ -235,13 +288,19 @@ def test_renumber(spark):
     assert labels_of(renumber(df, "l")) == [2, 1, 1, -1, 3]
 
 
-def test_silhouettes_by_force(spark, monkeypatch):
+@pytest.mark.parametrize("limits", [
+    {}, {"BLOCK_ROWS": 50}, {"MOST_CLUSTERS": 1, "MOST_CENTERS": 1},
+    {"MOST_CLUSTERS": 1, "PAIR_ROWS": 25},
+], ids=["sums", "small blocks", "many clusters", "clusters larger than a block"])
+def test_silhouettes_by_force(spark, monkeypatch, limits):
     data, true = blobs(gap=2.0)
     label = true.copy()
     label[0], label[5:9] = 7, -1
+    label[20:60] = 100 + np.arange(40) // 3
     points = points_of(spark, data, one=label, two=true)
     kept = label != -1
-    monkeypatch.setattr(metrics, "RIGHT_ROWS", 50)
+    for name, value in limits.items():
+        monkeypatch.setattr(metrics, name, value)
     for distance, power in (("euclidean", 1), ("squared", 2)):
         rows = metrics.silhouette_samples(points, COLUMNS, ["one", "two"], distance=distance)
         table = rows.orderBy("CustomerID").toPandas()
@@ -255,6 +314,40 @@ def test_silhouettes_by_force(spark, monkeypatch):
         metrics.silhouette_samples(points, COLUMNS, ["two"], distance="city")
 
 
+def brute_davies_bouldin(data, label):
+    found = sorted(set(label) - {-1})
+    centers = np.array([data[label == c].mean(axis=0) for c in found])
+    scatter = np.array([
+        np.sqrt(((data[label == c] - m) ** 2).sum(axis=1)).mean() for c, m in zip(found, centers)
+    ])
+    apart = distances(centers)
+    ratio = np.divide(
+        scatter[:, None] + scatter, apart, out=np.zeros_like(apart), where=apart > 0
+    )
+    np.fill_diagonal(ratio, 0)
+    return ratio.max(axis=1).mean()
+
+
+@pytest.mark.parametrize("block_clusters", [1_000, 16, 3])
+def test_davies_bouldin_of_many_clusters_by_force(spark, monkeypatch, block_clusters):
+    """Far clusters with a large scatter are the worst partners of many blocks."""
+    rng = np.random.default_rng(8)
+    data = np.vstack([rng.normal(size=(400, 2)) * 20, rng.normal(size=(30, 2)) * 40 + 300])
+    label = np.concatenate([np.arange(400) // 4, np.full(30, 777)])
+    label[4:8] = label[:4] + 500
+    data[8:12], data[12:16] = data[8], data[8]
+    monkeypatch.setattr(metrics, "worst_partners", lambda s, m, f=metrics.worst_partners: f(
+        s, m, block_clusters
+    ))
+    points = points_of(spark, data, many=label, few=np.arange(len(data)) % 3 - 1)
+    found = {r.labeling: r.davies_bouldin for r in metrics.davies_bouldin(
+        points, COLUMNS, ["many", "few"]
+    ).collect()}
+    assert math.isclose(found["many"], brute_davies_bouldin(data, label), rel_tol=1e-9)
+    few = np.arange(len(data)) % 3 - 1
+    assert math.isclose(found["few"], brute_davies_bouldin(data, few), rel_tol=1e-9)
+
+
 def test_one_label_has_no_silhouette(spark):
     data, _ = blobs()
     points = points_of(spark, data)
