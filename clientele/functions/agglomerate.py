@@ -31,13 +31,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.functions.blocks import TILE_CELLS
+from clientele.functions.blocks import MOST_PARTITIONS, TILE_CELLS
 from clientele.storage import materialize
 
-#: Clusters of a block, and sampled ones for each block that the splits are taken from.
-BLOCK_UNITS = 1_000
+#: Clusters of a block; a table of more than a few hundred is cut in two at least.
+BLOCK_UNITS = 2_000
+LAST_UNITS = 500
 SPLIT_SAMPLES = 8
-#: Visitors of a block that one task compares.
+#: Visitors of a block that one task compares. So few clusters may all visit every block.
 MOST_VISITORS = 50_000
 #: Bounds are taken down by more than their rounding.
 _SLACK = 1 - 1e-9
@@ -100,7 +101,7 @@ class CoAssociation:
 
     def gap(self, weights, states, other_weights, other_states):
         pairs = self.runs * weights[:, None] * other_weights[None, :]
-        return _steady((pairs - states @ other_states.T) / pairs)
+        return (pairs - states @ other_states.T) / pairs
 
     def join(self, weights, states, other_weights, other_states):
         return states + other_states
@@ -126,6 +127,11 @@ class CoAssociation:
 Linkage = Ward | CoAssociation
 
 
+def _tiles(rows: int, columns: int) -> Iterator[slice]:
+    step = max(1, TILE_CELLS // max(columns, 1))
+    return (slice(at, at + step) for at in range(0, rows, step))
+
+
 def merge_block(
     weights: np.ndarray, states: np.ndarray, linkage: Linkage,
     outs: np.ndarray | None = None, out_names: np.ndarray | None = None, least: float = 1.0,
@@ -142,7 +148,9 @@ def merge_block(
     out_names = np.zeros(n, dtype=np.int64) if out_names is None else out_names.copy()
     alive = np.ones(n, dtype=bool)
     merges: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    gaps = linkage.gap(weights, states, weights, states)
+    gaps = np.empty((n, n))
+    for rows in _tiles(n, n):
+        gaps[rows] = linkage.gap(weights[rows], states[rows], weights, states)
     np.fill_diagonal(gaps, np.inf)
     near = gaps.argmin(axis=1) if n else np.zeros(0, dtype=np.int64)
     reach = gaps[np.arange(n), near]
@@ -299,6 +307,7 @@ class _Round:
                  columns: Sequence[str], linkage: Linkage):
         self.current, self.number, self.linkage = current, number, linkage
         self.units = units
+        self.cores = current.sparkSession.sparkContext.defaultParallelism
         self.columns = list(columns)
         tree = Splits()
         sample = np.zeros((0, len(self.columns)))
@@ -310,6 +319,8 @@ class _Round:
         wide = np.full(len(self.columns), np.inf)
         tree.grow(sample, blocks, -wide, wide, np.random.default_rng(number))
         self.blocks = tree.blocks
+        #: Nothing is known yet of how near others are, and the clusters are too many to ask all.
+        self.opening = number == 0 and self.blocks > 1 and units > MOST_VISITORS
         self.placing = _Placing(
             current.sparkSession.sparkContext.broadcast(tree), self.columns, linkage
         )
@@ -333,18 +344,20 @@ class _Round:
     def search(self) -> DataFrame:
         """(block, unit, out, out_unit): nearest clusters of visited blocks, by home block."""
         columns, linkage, placing = self.columns, self.linkage, self.placing
-        parts = F.lit(1)
+        # Few blocks are cut so that every core has a part.
+        least = max(1, -(-self.cores // self.blocks))
+        parts = F.lit(least)
         if self.units > MOST_VISITORS:
             counts = {
                 r.block: -(-r["count"] // MOST_VISITORS)
                 for r in self.visitors().select("block").groupBy("block").count().collect()
             }
-            crowded = {b: n for b, n in counts.items() if n > 1}
+            crowded = {b: n for b, n in counts.items() if n > least}
             if crowded:
                 table = F.create_map(*[
                     F.lit(x).cast(t) for pair in crowded.items() for x, t in zip(pair, ("long", "int"))
                 ])
-                parts = F.coalesce(table[F.col("block")], F.lit(1))
+                parts = F.coalesce(table[F.col("block")], parts)
 
         def at_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for rows in filter(len, batches):
@@ -363,9 +376,7 @@ class _Round:
                 guests = guests.iloc[:0]
             weights, states = _arrays(here, columns)
             own_weights, own_states = _arrays(guests, columns)
-            step = max(1, TILE_CELLS // max(len(here), 1))
-            for start in range(0, len(guests), step):
-                part = slice(start, start + step)
+            for part in _tiles(len(guests), len(here)):
                 gaps = linkage.gap(own_weights[part], own_states[part], weights, states)
                 at[part] = gaps.argmin(axis=1)
                 out[part] = gaps.min(axis=1)
@@ -375,7 +386,11 @@ class _Round:
                 "out_unit": _names(here["unit"])[at[:len(guests)]],
             })
 
-        return homes.unionByName(guests).groupBy("block", "part").applyInPandas(
+        # The rows are few and the work is not: partitions of their own number are not merged.
+        met = homes.unionByName(guests).repartition(
+            min(2 * least * self.blocks, MOST_PARTITIONS), "block", "part"
+        )
+        return met.groupBy("block", "part").applyInPandas(
             nearest, "block bigint, unit string, out double, out_unit string"
         )
 
@@ -385,7 +400,7 @@ class _Round:
         Without any reach yet, nothing is known of the outside, and only the reach is found.
         """
         columns, linkage, placing = self.columns, self.linkage, self.placing
-        opening = self.number == 0 and self.blocks > 1
+        opening = self.opening
 
         def at_home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for rows in filter(len, batches):
@@ -424,6 +439,7 @@ class _Round:
             })
 
         schema = self.fields + ", near string, gap double, block bigint"
+        rows = rows.repartition(min(2 * self.blocks, MOST_PARTITIONS), "block")
         return materialize(rows.groupBy("block").applyInPandas(work, schema), "merged")
 
 
@@ -444,7 +460,7 @@ def merges_of(
     done, number, size = [], 0, block_units
     left = current.count()
     while left > 1:
-        blocks = max(1, -(-left // size))
+        blocks = max(-(-left // size), min(2, -(-left // LAST_UNITS)))
         step = _Round(current, left, blocks, number, columns, linkage).merge()
         merges = step.where(F.col("near").isNotNull())
         current = step.where(F.col("near").isNull()).select("unit", "weight", "reach", *columns)
@@ -454,7 +470,7 @@ def merges_of(
             size = block_units
         elif number:
             # Nothing was safe in any block: the next ones are larger.
-            size *= 2
+            size = max(2 * size, LAST_UNITS)
         left, number = now, number + 1
     if not done:
         return units.sparkSession.createDataFrame(

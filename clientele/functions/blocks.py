@@ -20,7 +20,8 @@ from clientele.storage import materialize
 LEFT_ROWS = 2_000
 RIGHT_ROWS = 20_000
 FEWEST_ROWS = 100
-TILE_CELLS = 1_000_000
+#: Distances computed at a time: they and their parts fit into a core's cache.
+TILE_CELLS = 1 << 16
 MOST_PARTITIONS = 4_000
 
 

@@ -6,9 +6,13 @@ once per model and iteration. Here one scan per iteration serves every model: a
 centres in one matrix product, and a partition passes on one row of sums per model and cluster,
 which Spark adds up. Centres (models x k x columns) are all that reaches the driver.
 
-Starts of one model that come to the same centres on the pool count once. All starts run until
-their centres move no more than the tolerance; the best of each model then runs on until they do
-not move at all, which is when no row changes its cluster any more.
+Starts of one model that come to the same centres on the pool count once. All starts run a few
+passes, or until their centres move no more than the tolerance, and the best of each model runs on
+until its centres do not move at all, which is when no row changes its cluster any more. Those
+last iterations are many and small, so a scan serves several of them: rows whose second nearest
+centre is farther than the nearest one by more than twice a radius keep their cluster while no
+centre leaves that radius (the bound of Hamerly, 2010). They come back as sums, the few others as
+rows, and the iteration goes on with both as long as the radius holds.
 """
 
 from __future__ import annotations
@@ -31,6 +35,11 @@ DRAWS = 1_024
 ROUNDS = 4
 MAX_PASSES = 300
 POOL_PASSES = 50
+#: Passes of all starts, and further ones of the best on each uniform set.
+START_PASSES = 8
+UNIFORM_PASSES = 12
+#: Rows of a model that may come back as rows.
+LOOSE_ROWS = 2_000
 TOLERANCE = 1e-4
 #: Share of the variance below which centres stand still but for rounding.
 STILL = 1e-18
@@ -45,6 +54,8 @@ class Model:
     #: Starts of one wanted model share its number.
     wanted: int = 0
     cost: float = float("inf")
+    #: Squared movement of the centres in the last pass.
+    step: float = 0.0
     settled: bool = False
     passes: int = 0
 
@@ -180,14 +191,25 @@ def spread_out_centers(
     return np.array(centers)
 
 
-def nearest_centers(data: np.ndarray, centers: np.ndarray, groups: list[slice]):
-    """For each group of centres the nearest one and the squared distance to it."""
+def nearest_centers(
+    data: np.ndarray, centers: np.ndarray, groups: list[slice], second: bool = False
+):
+    """For each group of centres the nearest one and the squared distance to it.
+
+    With ``second`` also the squared distance to the second nearest one.
+    """
     base = np.einsum("ij,ij->i", data, data)
     gaps = base[:, None] - 2.0 * data @ centers.T + np.einsum("ij,ij->i", centers, centers)
     for group in groups:
         block = gaps[:, group]
         label = block.argmin(axis=1)
-        yield label, np.maximum(block[np.arange(len(data)), label], 0.0)
+        here = np.arange(len(data))
+        nearest = np.maximum(block[here, label], 0.0)
+        if second:
+            block[here, label] = np.inf
+            yield label, nearest, np.maximum(block.min(axis=1), 0.0)
+        else:
+            yield label, nearest
 
 
 def stacked(models: Sequence[Model]) -> tuple[np.ndarray, list[slice]]:
@@ -341,20 +363,122 @@ def fit_models(
         own = keep.agg(sum((F.var_pop(c) for c in columns), F.lit(0.0)).alias("s")).first().s
         spreads = {0: (own or 0.0) / len(columns), **(spreads or {})}
         sources = [table_source(keep, columns), *others]
-        _lloyd(sources, models, {p: TOLERANCE * v for p, v in spreads.items()}, max_passes)
+        limits = {p: TOLERANCE * v for p, v in spreads.items()}
+        _lloyd(sources, models, limits, START_PASSES)
         best: dict[int, Model] = {}
         for model in models:
             if model.wanted not in best or model.cost < best[model.wanted].cost:
                 best[model.wanted] = model
-        last = [m for m in best.values() if m.part == 0]
-        for model in last:
+        for model in best.values():
             model.settled = False
-        _lloyd(sources[:1], last, {0: STILL * spreads[0]}, max_passes)
+        _lloyd(sources, [m for m in best.values() if m.part], limits, UNIFORM_PASSES)
+        _to_the_end(keep, columns, [m for m in best.values() if not m.part],
+                    STILL * spreads[0], max_passes)
         return [best[i] for i in sorted(best)]
     finally:
         keep.unpersist()
 
 
+def _loose_pass(points: DataFrame, columns: list[str], models: dict[int, Model], radii):
+    """Sums (kind, model, cluster, n, cost, s...) of the rows at these centres.
+
+    Kind 0 are rows that cannot change their cluster within the radius, kind 1 the others, which
+    also come one by one as kind 2, unless a partition has too many of them: kind 3.
+    """
+    centers, groups = stacked(list(models.values()))
+    spark = points.sparkSession
+    sent = spark.sparkContext.broadcast((list(models), centers, groups, radii))
+    cap = 16 + 2 * LOOSE_ROWS // points.rdd.getNumPartitions()
+    names = ["n", "cost", *[f"s{j}" for j in range(len(columns))]]
+
+    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, centers, groups, radii = sent.value
+        held: dict[tuple[int, int], np.ndarray] = {}
+        loose: dict[int, int] = dict.fromkeys(ids, 0)
+        for batch in batches:
+            data = batch.to_numpy(dtype=float)
+            if not len(data):
+                continue
+            found = nearest_centers(data, centers, groups, second=True)
+            for i, group, (label, gap, other) in zip(ids, groups, found):
+                k = group.stop - group.start
+                near = np.sqrt(other) - np.sqrt(gap) <= 2 * radii[i] * (1 + 1e-9) + 1e-12
+                for kind, rows in ((0, ~near), (1, near)):
+                    own = (label[rows] == np.arange(k)[:, None]).astype(float)
+                    sums = np.column_stack([own.sum(axis=1), own @ gap[rows], own @ data[rows]])
+                    held[kind, i] = held.get((kind, i), 0.0) + sums
+                loose[i] += int(near.sum())
+                if loose[i] <= cap:
+                    out = pd.DataFrame(data[near], columns=names[2:])
+                    yield out.assign(kind=2, model=i, cluster=label[near], n=1.0, cost=gap[near])
+        for (kind, i), sums in held.items():
+            out = pd.DataFrame(sums, columns=names)
+            yield out.assign(kind=kind, model=i, cluster=np.arange(len(sums)))
+        for i, rows in loose.items():
+            if rows > cap:
+                out = pd.DataFrame(np.zeros((1, len(names))), columns=names)
+                yield out.assign(kind=3, model=i, cluster=0)
+
+    schema = "kind int, model long, cluster long, " + ", ".join(f"{n} double" for n in names)
+    single = F.when(F.col("kind") == 2, F.monotonically_increasing_id())
+    found = points.select(*columns).mapInPandas(add_up, schema).groupBy(
+        "kind", "model", "cluster", single.alias("row")
+    ).agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+    sent.destroy()
+    return found, names
+
+
+def _to_the_end(points, columns, models, still: float, max_passes: int) -> None:
+    """Lloyd's iteration until no centre moves any more."""
+    radii = {i: float(np.sqrt(m.step)) * 8 for i, m in enumerate(models)}
+    for _ in range(max_passes):
+        active = {i: m for i, m in enumerate(models) if not m.settled}
+        if not active:
+            return
+        found, names = _loose_pass(points, columns, active, radii)
+        for i, rows in found.groupby("model"):
+            model, k = models[i], len(models[i].centers)
+            model.passes += 1
+
+            def summed(kind, rows=rows, k=k):
+                own = rows[rows["kind"] == kind].set_index("cluster")[names]
+                return own.reindex(range(k), fill_value=0.0).to_numpy()
+
+            fixed, total = summed(0), summed(0) + summed(1)
+            model.cost = float(total[:, 1].sum())
+            start = model.centers
+            model.centers = _means(total, start)
+            if ((model.centers - start) ** 2).sum() <= still:
+                model.settled = True
+                continue
+            if (rows["kind"] == 3).any():
+                radii[i] /= 4
+                continue
+            loose = rows[rows["kind"] == 2][names[2:]].to_numpy()
+            for _ in range(MAX_PASSES):
+                away = np.sqrt(((model.centers - start) ** 2).sum(axis=1).max())
+                if away > radii[i]:
+                    # Centres went farther than the rows were settled for: scan from here.
+                    radii[i] *= 2
+                    break
+                (label, _), = nearest_centers(loose, model.centers, [slice(0, k)])
+                own = (label == np.arange(k)[:, None]).astype(float)
+                sums = fixed.copy()
+                sums[:, 0] += own.sum(axis=1)
+                sums[:, 2:] += own @ loose
+                moved = _means(sums, model.centers)
+                step = ((moved - model.centers) ** 2).sum()
+                model.centers = moved
+                if step <= still:
+                    break
+
+
+def _means(sums: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Centres of rows (n, cost, sums...); an empty cluster keeps its own."""
+    filled = sums[:, :1] > 0
+    return np.where(filled, sums[:, 2:] / np.where(filled, sums[:, :1], 1.0), centers)
+
+
 def _lloyd(sources, models, limits, max_passes) -> None:
     """Passes until each model's centres moved no more than its part's limit."""
     begun = {id(m): m.passes for m in models}
@@ -370,11 +494,13 @@ def _lloyd(sources, models, limits, max_passes) -> None:
             moved = model.centers.copy()
             at = filled["cluster"].to_numpy()
             moved[at] = filled.filter(regex=r"^s\d+$").to_numpy() / filled[["n"]].to_numpy()
-            step = float(((moved - model.centers) ** 2).sum())
-            model.settled = step <= limits[model.part] or (
+            model.step = float(((moved - model.centers) ** 2).sum())
+            model.settled = model.step <= limits[model.part] or (
                 model.passes - begun[id(model)] >= max_passes
             )
-            model.centers = moved
+            # The cost belongs to the centres that were measured.
+            if not model.settled:
+                model.centers = moved
 
 
 def assign(
