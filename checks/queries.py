@@ -24,7 +24,7 @@ from clientele.constants import (
     SEGMENTS,
     SKEWED_FEATURES,
 )
-from clientele.functions import columns as cols
+from clientele.functions import agglomerate, columns as cols
 from clientele.operators import (
     anomaly,
     cleaning,
@@ -754,6 +754,100 @@ def _(spark, folder):
     return density.neighbor_counts(i.scaled(spark, folder), CLUSTER_FEATURES)
 
 
+def linked_sql(units: str, gap: str, state: str, k: int) -> str:
+    """Agglomeration one merge at a time: ``units`` has (id, w, v), ``gap`` is between a and b.
+
+    A cluster takes the greater name, ties go by the names; ``state`` joins v of x and y.
+    """
+    return f"""{units},
+tree(step, id, w, v, members) AS (
+  SELECT 0, id, w, v, [id] FROM units
+  UNION ALL
+  SELECT step + 1, max(id), sum(w), CASE WHEN count(*) = 1 THEN any_value(v) ELSE
+      list_transform(list_zip(min_by(v, id), max_by(v, id)), lambda p: {state}) END,
+    flatten(list(members))
+  FROM (
+    SELECT tree.*, CASE WHEN id = best.lo THEN best.hi ELSE id END AS target,
+           best.w1 AS w1, best.w2 AS w2
+    FROM tree, (
+      SELECT min(struct_pack(gap := {gap}, hi := b.id, lo := a.id, w1 := a.w, w2 := b.w)) AS best
+      FROM tree AS a JOIN tree AS b ON a.id < b.id) AS m
+    WHERE (SELECT count(*) FROM tree) > {k})
+  GROUP BY step, target, w1, w2),
+linked AS (
+  SELECT unnest(members) AS unit, id AS label FROM tree
+  WHERE step = (SELECT max(step) FROM tree))"""
+
+
+def recursive(*parts: str) -> str:
+    return W(*parts).replace("WITH", "WITH RECURSIVE", 1)
+
+
+NATIONS = recursive(*i.TO_FEATURES, i.SCALED) + """,
+units AS MATERIALIZED (
+  SELECT lpad(CAST(c_nationkey * 2 + c_custkey % 2 AS VARCHAR), 2, '0') AS id,
+         CAST(count(*) AS DOUBLE) AS w, [""" + ", ".join(f'avg("{c}")' for c in CLUSTER_FEATURES) + """] AS v
+  FROM scaled JOIN customer ON "CustomerID" = CAST(c_custkey AS VARCHAR) GROUP BY 1)"""
+
+
+@check(
+    "hierarchical_units",
+    linked_sql(
+        NATIONS,
+        "list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+        " / (1 / a.w + 1 / b.w)",
+        "(p[1] * w1 + p[2] * w2) / (w1 + w2)", 6,
+    ) + " SELECT unit, label FROM linked",
+)
+def _(spark, folder):
+    """Ward linkage of weighted units: customers of each nation, odd and even ones apart."""
+    half = (F.col("c_nationkey") * 2 + F.col("c_custkey") % 2).cast("string")
+    customers = table(spark, folder, "customer").select(
+        F.col("c_custkey").cast("string").alias("CustomerID"), F.lpad(half, 2, "0").alias("unit")
+    )
+    units = i.scaled(spark, folder).join(customers, "CustomerID").groupBy("unit").agg(
+        F.count("*").cast("double").alias("weight"), *[F.avg(c).alias(c) for c in CLUSTER_FEATURES]
+    )
+    # Blocks of a few units each: the tree is that of the whole table.
+    return agglomerate.agglomerate_table(
+        materialize(units, "nations"), CLUSTER_FEATURES, 6, agglomerate.Ward(), 30
+    )
+
+
+SIGNED = ["Frequency", "Unique_Products", "Recency", "Total_Items"]
+SIGNATURES = recursive(*i.TO_FEATURES) + """,
+signed AS MATERIALIZED (
+  SELECT "CustomerID", [""" + ", ".join(f'CAST(floor("{c}") AS BIGINT) % 3' for c in SIGNED) + """] AS s
+  FROM features),
+units AS MATERIALIZED (
+  SELECT array_to_string(s, '-') AS id, w,
+    list_transform(flatten(list_transform(s, lambda x:
+      [CAST(x = 0 AS BIGINT), CAST(x = 1 AS BIGINT), CAST(x = 2 AS BIGINT)])),
+      lambda x: x * w) AS v
+  FROM (SELECT s, count(*) AS w FROM signed GROUP BY s))"""
+
+
+@check(
+    "consensus_of_signatures",
+    linked_sql(
+        SIGNATURES,
+        "CAST(4 * a.w * b.w - list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2]))"
+        " AS DOUBLE) / CAST(4 * a.w * b.w AS DOUBLE)",
+        "p[1] + p[2]", 5,
+    ) + """,
+labels AS (SELECT "CustomerID", label FROM signed JOIN linked ON array_to_string(s, '-') = unit),
+numbers AS (
+  SELECT label, row_number() OVER (ORDER BY count(*) DESC, min("CustomerID")) AS cluster
+  FROM labels GROUP BY 1)
+SELECT "CustomerID", CAST(cluster AS INTEGER) AS cluster FROM labels JOIN numbers USING (label)""",
+)
+def _(spark, folder):
+    """Average linkage on the share of runs that differ; equal gaps are the normal case."""
+    signature = F.array(*[(F.floor(c).cast("bigint") % 3).cast("int") for c in SIGNED])
+    signed = i.stored_features(spark, folder).select("CustomerID", signature.alias("signature"))
+    return clustering.link_signatures(signed, 5, len(SIGNED), 3, block_units=20)
+
+
 GIVEN_METHODS = ["KMeans", "Agglomerative", "DBSCAN"]
 COMPARISON = W(
     *i.TO_FEATURES, i.SCALED, i.level_rows(GIVEN_METHODS), i.CLUSTER_QUALITY,
@@ -1015,9 +1109,9 @@ def with_gaps(points: DataFrame, labeled: DataFrame) -> DataFrame:
 def _(spark, folder):
     points = analysis.robust_points(i.features(spark, folder), CLUSTER_FEATURES)
     rows = with_gaps(points, clustering.kmeans(points, CLUSTER_FEATURES, 5))
-    # The last step may still move a centre by the tolerance.
+    # At the end every row is nearest to the mean of its own cluster.
     return breaches(
-        rows, labels=F.col("cluster").between(1, 5), nearest=F.col("own") <= F.col("least") + 0.05
+        rows, labels=F.col("cluster").between(1, 5), nearest=F.col("own") <= F.col("least") + 1e-9
     )
 
 
@@ -1091,7 +1185,52 @@ def _(spark, folder):
     )
 
 
-@check("run_analysis_checks", none_broken("kept_or_outlier", "one_segment_each"))
+@check(
+    "gap_statistic_checks",
+    """SELECT rule, CASE rule WHEN 'gaps' THEN 7 ELSE 3 END AS examined, 0 AS breaches
+       FROM (SELECT unnest(['rows', 'box', 'gaps']) AS rule)""",
+)
+def _(spark, folder):
+    points = analysis.robust_points(i.features(spark, folder), CLUSTER_FEATURES)
+    fitted = selection.fit_every_k(points, CLUSTER_FEATURES)
+    gaps = {r.k: r.gap_statistic for r in selection.gap_statistic(points, CLUSTER_FEATURES).collect()}
+    sets = selection.reference_sets(points, CLUSTER_FEATURES)
+    low, high, rows = points.agg(
+        F.min(F.least(*CLUSTER_FEATURES)), F.max(F.greatest(*CLUSTER_FEATURES)), F.count("*")
+    ).first()
+
+    def cost(centers):
+        squares = [
+            sum(((F.col(c) - F.lit(float(x))) * (F.col(c) - F.lit(float(x)))
+                 for c, x in zip(CLUSTER_FEATURES, center)), F.lit(0.0))
+            for center in centers
+        ]
+        return F.sum(F.least(*squares))
+
+    # The costs are summed up anew, by expressions, at the centres of the fits.
+    costs = {}
+    for part in range(4):
+        data = points if part == 0 else sets.where(F.col("part") == part)
+        found = data.agg(*[cost(fitted[part, k].centers).alias(f"k{k}") for k in gaps]).first()
+        costs |= {(part, k): found[f"k{k}"] for k in gaps}
+    right = [
+        abs(np.log(np.mean([costs[p, k] for p in (1, 2, 3)])) - np.log(costs[0, k]) - gap) < 1e-6
+        for k, gap in gaps.items()
+    ]
+    shapes = sets.groupBy("part").agg(
+        F.count("*").alias("n"), F.min(F.least(*CLUSTER_FEATURES)).alias("low"),
+        F.max(F.greatest(*CLUSTER_FEATURES)).alias("high"),
+    )
+    by_set = breaches(
+        shapes, rows=F.col("n") == rows, box=(F.col("low") >= low) & (F.col("high") <= high)
+    )
+    table_ = spark.createDataFrame([(bool(r),) for r in right], "ok boolean")
+    return by_set.union(breaches(table_, gaps=F.col("ok")))
+
+
+@check(
+    "run_analysis_checks", none_broken("kept_or_outlier", "one_segment_each", "named_by_the_rules")
+)
 def _(spark, folder):
     done = analysis.run_analysis(order_lines(spark, folder))
     outliers = done.scored.where("is_outlier").select("CustomerID", F.lit(1).alias("out"))
@@ -1103,20 +1242,68 @@ def _(spark, folder):
     )
     out, times = F.coalesce("out", F.lit(0)), F.coalesce("times", F.lit(0))
     noise = F.coalesce("cluster", F.lit(-1)) == -1
+    # The rules once more, on means taken here.
+    means = done.customers.where("cluster <> -1").groupBy("cluster").agg(
+        *[F.avg(c).alias(c[0]) for c in ("Recency", "Frequency", "Monetary")], F.count("*").alias("n")
+    ).toPandas()
+    total = {c: float((means[c] * means["n"]).sum() / means["n"].sum()) for c in "RFM"}
+    names = {key: texts[1] for key, texts in SEGMENTS.items()}
+    expected = {}
+    for r in means.itertuples():
+        score = 0.4 * (1 - min(r.R / 365, 1)) + 0.3 * min(r.F / means["F"].max(), 1) + (
+            0.3 * min(r.M / means["M"].max(), 1)
+        )
+        expected[int(r.cluster)] = names[
+            "champions" if score > 0.7
+            else "potential" if r.R < total["R"] and r.M > total["M"]
+            else "loyal" if r.F > total["F"]
+            else "new" if r.R < total["R"]
+            else "risk" if r.R > 365 else "standard"
+        ]
+    wanted = F.create_map(*[F.lit(x) for pair in expected.items() for x in pair])
     return breaches(
         rows, kept_or_outlier=out + times == 1,
         one_segment_each=(times == 0) | (noise == F.col("segment").isNull()),
+        named_by_the_rules=(times == 0) | noise | (F.col("segment") == wanted[F.col("cluster")]),
     )
 
 
-@check("isolation_forest_checks", none_broken("scores", "cut"))
+@check("isolation_forest_checks", none_broken("scores", "cut", "walked", "samples"))
 def _(spark, folder):
     customers = i.stored_features(spark, folder)
     scored = materialize(anomaly.isolation_forest(customers, CLUSTER_FEATURES), "scored")
     cut = scored.agg(F.percentile("anomaly_score", F.lit(0.95))).first()[0]
     score = F.col("anomaly_score")
+    # Every twentieth row is walked down the trees node by node.
+    rows = customers.count()
+    size = min(anomaly.FOREST_SAMPLE, rows)
+    samples = materialize(
+        anomaly.draw_samples(customers, CLUSTER_FEATURES, rows, anomaly.FOREST_TREES, size, SEED),
+        "samples",
+    )
+    drawn = [r["count"] for r in samples.groupBy("tree").count().collect()]
+    enough = len(drawn) == anomaly.FOREST_TREES and min(drawn) >= size
+    trees = {}
+    for n in anomaly.grow_forest(samples, CLUSTER_FEATURES, size, SEED).to_dict("records"):
+        trees.setdefault(n["tree"], {})[n["node"]] = n
+    harmonic = np.log(size - 1) + 0.5772156649015329
+    mean_path = 2 * harmonic - 2 * (size - 1) / size
+    walked = []
+    for row in scored.where(F.pmod(F.xxhash64("CustomerID"), F.lit(20)) == 0).collect():
+        lengths = []
+        for nodes in trees.values():
+            node = nodes[0]
+            while node["feature"] >= 0:
+                side = row[CLUSTER_FEATURES[node["feature"]]] <= node["threshold"]
+                node = nodes[node["left"] if side else node["right"]]
+            lengths.append(node["length"])
+        walked.append((row["CustomerID"], float(2 ** (-np.mean(lengths) / mean_path))))
+    again = spark.createDataFrame(walked, "CustomerID string, walked double")
     return breaches(
-        scored, scores=(score > 0) & (score < 1), cut=F.col("is_outlier") == (score > cut)
+        scored.join(again, "CustomerID", "left"), scores=(score > 0) & (score < 1),
+        cut=F.col("is_outlier") == (score > cut),
+        walked=F.coalesce(F.abs(F.col("walked") - score) < 1e-9, F.lit(True)),
+        samples=F.lit(enough),
     )
 
 
@@ -1280,6 +1467,29 @@ def _(spark, folder):
     return analysis.executive_summary(analysis.run_analysis(order_lines(spark, folder)))
 
 
+@check(
+    "executive_summary_counts",
+    W(*i.TO_FEATURES) + """,
+counted AS (
+  SELECT (SELECT count(*) FROM lines) AS raw, (SELECT count(DISTINCT "CustomerID") FROM lines) AS people,
+         count(*) AS kept, count(DISTINCT "CustomerID") AS known FROM clean)
+SELECT unnest(['Total Customers', 'Total Transactions', 'Transaction Retention',
+               'Customer Retention', 'Features Used', 'Algorithms Tested']) AS item,
+       unnest([format('{:,}', known), format('{:,}', kept),
+               format('{:.1f}%', kept * 100.0 / raw), format('{:.1f}%', known * 100.0 / people),
+               '""" + str(len(CLUSTER_FEATURES)) + """', '1']) AS value
+FROM counted""",
+)
+def _(spark, folder):
+    """The figures of the summary that do not hang on a fitted model, of a short analysis."""
+    done = analysis.run_analysis(
+        order_lines(spark, folder), max_clusters=4, methods=["KMeans"], distance="squared"
+    )
+    items = ["Total Customers", "Total Transactions", "Transaction Retention", "Customer Retention",
+             "Features Used", "Algorithms Tested"]
+    return analysis.executive_summary(done).where(F.col("item").isin(items))
+
+
 @check("algorithm_comparison_fitted")
 def _(spark, folder):
     points = analysis.robust_points(i.features(spark, folder), CLUSTER_FEATURES)
