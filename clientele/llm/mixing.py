@@ -220,11 +220,12 @@ def word_count(text: str):
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The documents as the mix takes them: a document taken twice is two rows, some are none.
 
-    Rows that share id, size and source take their copies in turn.
+    Rows that share id, size and source take their copies in turn, in the order of a hash of all
+    their columns, so reruns agree.
     """
     own = fresh(docs)
     key = [own + name for name in ("id", "size", "source", "turn")]
-    turn = F.row_number().over(Window.partitionBy(*key[:3]).orderBy(F.lit(0)))
+    alike = Window.partitionBy(*key[:3])
 
     def keyed(ids: str, size, source: str):
         return [
@@ -236,8 +237,10 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     taken = mix(docs, **settings)
     chosen = taken.select(
         *keyed("id", F.col("size"), "source"), F.col("copies").alias(copies)
-    ).withColumn(key[3], turn)
-    rows = docs.select("*", *keyed("doc_id", word_count("text"), "source")).withColumn(key[3], turn)
+    ).withColumn(key[3], F.row_number().over(alike.orderBy(F.desc(copies))))
+    rows = docs.select("*", *keyed("doc_id", word_count("text"), "source")).withColumn(
+        key[3], F.row_number().over(alike.orderBy(F.xxhash64(*own_columns(docs))))
+    )
     return (
         rows.join(chosen.where(F.col(copies) > 0), key)
         .withColumn(own + "copy", F.explode(F.sequence(F.lit(1).cast("bigint"), copies)))

@@ -15,7 +15,8 @@ nothing can use that space better. What is left is packed best fit in falling le
 
 Nulls and ties: a null text is an empty one, whose one token is the end token. Pieces of equal
 length are numbered by a hash of their place, so which sequence each goes to is arbitrary but
-repeats. Rows that share an id are pieces of their own. Other columns are not read.
+repeats. Rows that share an id are pieces of their own. A very long text becomes pieces of the
+capacity, whatever its length; an empty table has no pieces. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,6 +39,8 @@ TOKENIZER = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 #: Pieces of one length are numbered in chunks of about this many.
 CHUNK_ROWS = 256
+#: Bytes of text that a task tokenizes before it passes on the pieces.
+TEXT_BYTES = 1 << 20
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, spread bigint"
 #: Characters other than Latin letters, ASCII and general punctuation.
@@ -45,21 +48,40 @@ _OTHERS = re.compile("[^\x00-\x7f\xa1-\u02ff\u2010-\u2027]")
 
 
 @kept_in_worker
-def _encoders():
-    """The tokenizer of the .json file, and the same vocabulary in the faster library."""
+def _fast():
+    """The vocabulary of the tokenizer in the faster library."""
     import base64
 
     import public_tokenizers
     import tiktoken
-    from tokenizers import Tokenizer
 
     with open(public_tokenizers.path(RANKS), "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
-    fast = tiktoken.Encoding(
+    return tiktoken.Encoding(
         "ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
     )
-    exact = Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
-    return exact, fast, {t.content for t in exact.get_added_tokens_decoder().values()}
+
+
+@kept_in_worker
+def _exact():
+    """The tokenizer of the .json file, which a worker loads when a text needs it."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
+
+
+@kept_in_worker
+def _special() -> set[str]:
+    """The strings of the added tokens, read from the file's list of them."""
+    import json
+
+    import public_tokenizers
+
+    with open(public_tokenizers.path(TOKENIZER), encoding="utf-8") as file:
+        text = file.read()
+    start = text.index("[", text.index('"added_tokens"'))
+    return {token["content"] for token in json.JSONDecoder().raw_decode(text, start)[0]}
 
 
 def token_ids(text: str) -> np.ndarray:
@@ -69,10 +91,9 @@ def token_ids(text: str) -> np.ndarray:
     vocabulary, where both libraries split and merge alike; special strings and other scripts go
     through the tokenizer itself.
     """
-    exact, fast, special = _encoders()
-    if not _OTHERS.search(text) and not any(s in text for s in special):
-        return np.array(fast.encode_ordinary(text), dtype="<u4")
-    return np.array(exact.encode(text, add_special_tokens=False).ids, dtype="<u4")
+    if not _OTHERS.search(text) and not any(s in text for s in _special()):
+        return np.array(_fast().encode_ordinary(text), dtype="<u4")
+    return np.array(_exact().encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
 def cut_points(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -84,7 +105,7 @@ def cut_points(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def _pieces(batches, capacity: int, end: int):
-    for block in text_blocks(batches, "text"):
+    for block in text_blocks(batches, "text", TEXT_BYTES):
         rows: list[tuple] = []
         for ids, spread, data in zip(block["doc_id"], block["spread"], block["text"], strict=True):
             tokens = np.append(token_ids(data.decode()), np.uint32(end))
@@ -299,16 +320,15 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     Ranks within a length come from chunks: a piece's chunk is a hash of its place, chunks are
     counted, and a piece ranks after all earlier chunks of its length.
     """
+    spark = pieces.sparkSession
     counts = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    chunks = {s: -(-n // CHUNK_ROWS) for s, n in counts.items()}
-    places = pieces.sparkSession.sparkContext.broadcast(
-        _places(pack_lengths(counts, capacity))
+    places = spark.sparkContext.broadcast(_places(pack_lengths(counts, capacity)))
+    # A row for each length up to the capacity.
+    chunks = spark.createDataFrame(
+        [(s, -(-n // CHUNK_ROWS)) for s, n in counts.items()], "length bigint, chunks bigint"
     )
-    number = F.element_at(
-        F.create_map(*[F.lit(x).cast("bigint") for pair in chunks.items() for x in pair]),
-        F.col("length"),
-    ) if chunks else F.lit(1).cast("bigint")
-    dealt = pieces.withColumn("chunk", F.pmod(F.xxhash64("spread", "doc_id", "piece"), number))
+    number = F.pmod(F.xxhash64("spread", "doc_id", "piece"), F.col("chunks"))
+    dealt = pieces.join(F.broadcast(chunks), "length").withColumn("chunk", number).drop("chunks")
     key = ["length", "chunk"]
     before = Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     first = dealt.groupBy(*key).agg(F.count("*").alias("n")).select(
@@ -318,7 +338,8 @@ def place_pieces(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = dealt.withColumn("row", F.row_number().over(within)).join(first, key).withColumn(
         "rank", F.col("first") + F.col("row") - 1
     )
-    return ranked.mapInArrow(
+    # Stored, so that no task sorts while a Python worker runs beside it.
+    return store(ranked.drop("spread", "chunk", "first", "row"), "ranked").mapInArrow(
         lambda b: _place_rows(b, places),
         "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
         "sequence_id bigint, offset bigint",

@@ -4,8 +4,12 @@ Base counts come from the whole text. Four measures of a document, as integers i
 go into a mergeable sketch of its group: values are rounded down to seven significant bits, as in
 HDR histograms, and counted per rounded value. Sketches of groups merge by adding counts, so the
 sketch of a language is the sum over its sources. A quantile is exact up to 1/64 of its value.
-A measure's limits are its median and ``spread`` times the distance from there to the quartile
-beyond it, plus a fixed slack. A group of fewer than ``least`` documents takes the limits of its
+Word length has limits on both sides: the median and ``spread`` times the distance from there to
+the quartile beyond it, plus a slack. The other measures are zero in most texts of most groups, so
+their quartiles say nothing; their limit is the median and ``TAIL_SPREAD`` times the distance from
+there to a high percentile (``TAILS``), plus a slack below which a value is never odd. So a source
+in which one text in ten has symbols, or one in twenty repeated lines or words, sets the limit
+itself, and fewer odd texts do not move it. A group of fewer than ``least`` documents takes the limits of its
 language, and a language of fewer those of all documents. Documents that fail the base rules
 take no part in the sketches.
 
@@ -31,6 +35,8 @@ SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\f\r"
 #: Spread of the quartile distance that a measure may have around its median.
 SPREAD = 6
+#: The same for measures that are mostly zero, whose distance goes to a percentile of TAILS.
+TAIL_SPREAD = 3
 #: Documents of a group that has limits of its own.
 LEAST_ROWS = 50
 #: Measures in thousandths with the slack of their lower and upper limit; None: no limit there.
@@ -40,6 +46,11 @@ MEASURES = {
     "dup_lines": (None, 300),
     "repeats": (None, 100),
 }
+#: The percentile that the limit of a mostly zero measure is taken from.
+TAILS = {"symbols": 90, "dup_lines": 95, "repeats": 95}
+
+
+QUANTILES = {"q1": 25, "q2": 50, "q3": 75, **{f"p{p}": p for p in sorted(set(TAILS.values()))}}
 
 
 def _words(text: Column) -> Column:
@@ -131,17 +142,21 @@ def _limits(sketch: DataFrame, keys: list[str], spread: int, least: int) -> Data
         "all", F.sum("n").over(Window.partitionBy(*group))
     ).where(F.col("all") >= least)
 
-    def quantile(part: int) -> Column:
-        return F.min(F.when(F.col("upto") * 4 >= F.col("all") * part, F.col("value")))
+    def quantile(percent: int) -> Column:
+        return F.min(F.when(F.col("upto") * 100 >= F.col("all") * percent, F.col("value")))
 
-    quarters = placed.groupBy(*group).agg(*[quantile(i).alias(f"q{i}") for i in (1, 2, 3)])
+    quarters = placed.groupBy(*group).agg(
+        *[quantile(p).alias(q) for q, p in QUANTILES.items()]
+    )
     low = F.col("q2") - spread * (F.col("q2") - F.col("q1"))
-    high = F.col("q2") + spread * (F.col("q3") - F.col("q2"))
     columns = []
     for name, (down, up) in MEASURES.items():
         own = F.col("measure") == name
         if down is not None:
             columns.append(F.max(F.when(own, low - down)).alias(f"least_{name}"))
+            high = F.col("q2") + spread * (F.col("q3") - F.col("q2"))
+        else:
+            high = F.col("q2") + TAIL_SPREAD * (F.col(f"p{TAILS[name]}") - F.col("q2"))
         columns.append(F.max(F.when(own, high + up)).alias(f"most_{name}"))
     if keys:
         return quarters.groupBy(*keys).agg(*columns)
@@ -217,9 +232,13 @@ def _sql_limits(name: str, keys: str, least: int) -> str:
         own = f"CASE WHEN measure = '{measure}' THEN"
         if down is not None:
             columns.append(f"max({own} q2 - {SPREAD} * (q2 - q1) - {down} END) AS least_{measure}")
-        columns.append(f"max({own} q2 + {SPREAD} * (q3 - q2) + {up} END) AS most_{measure}")
+            high = f"{SPREAD} * (q3 - q2)"
+        else:
+            high = f"{TAIL_SPREAD} * (p{TAILS[measure]} - q2)"
+        columns.append(f"max({own} q2 + {high} + {up} END) AS most_{measure}")
     quarters = ", ".join(
-        f"min(CASE WHEN upto * 4 >= total * {i} THEN value END) AS q{i}" for i in (1, 2, 3)
+        f"min(CASE WHEN upto * 100 >= total * {p} THEN value END) AS {q}"
+        for q, p in QUANTILES.items()
     )
     return f"""
 {name} AS (

@@ -63,6 +63,23 @@ def test_limits_follow_the_group(make_docs):
     assert kept == {r[0] for r in plain + marked} | {201}
 
 
+def test_sources_with_other_symbol_habits_have_other_limits(spark, make_docs):
+    """Symbols in a seventh of the texts: the quartiles are zero, the limits differ all the same."""
+    def text(i, marks):
+        words = [f"word{(i * 31 + k * 7) % 997}" for k in range(40)]
+        return " ".join([*words[:40 - marks], *(f"#{w}" for w in words[40 - marks:])])
+
+    rows = [(i, text(i, 8 if i % 7 == 0 else 0), "en", "code") for i in range(140)]
+    rows += [(1000 + i, text(i, 0), "en", "news") for i in range(140)]
+    rows += [(2000, text(3, 9), "en", "code"), (2001, text(3, 9), "en", "news")]
+    docs = make_docs(rows)
+    counts = quality.base_counts(docs, "doc_id", "text", "lang", "source")
+    limits = {r.source: r.most_symbols for r in quality.adaptive_limits(counts).collect()}
+    assert limits == {"code": 700, "news": 100}
+    kept = {r.doc_id for r in quality.quality_rules(docs).collect() if r.kept}
+    assert kept == {r[0] for r in rows} - {2001}
+
+
 def test_sketches_round_to_seven_bits(spark):
     from pyspark.sql import functions as F
 
