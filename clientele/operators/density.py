@@ -1,33 +1,40 @@
-"""DBSCAN (Ester et al., 1996), exact, on a grid.
+"""DBSCAN (Ester et al., 1996), exact, in blocks.
 
 Equal points are merged first and carry their number as weight, so a heap of copies is one point.
-Cells as wide as the radius, over the few columns with the widest spread, decide who can be a
-neighbour: a point looks into its own and the adjacent cells. A crowded cell is cut into blocks
-of bounded size. Neighbours are only counted or merged inside a task: what leaves it are counts
-per point and, for the core points, one edge per point to the least member of its local group,
-never the pairs themselves.
+A tree of splits, taken from a sample of the points and not from the range of their values, cuts
+them into blocks of bounded size. A point visits the blocks whose box is within the radius.
+
+Inside its block, points that lie within half the radius of their mean are a tight group: any two
+of them are neighbours. A group of ``min_samples`` or more needs no counting, all its points are
+core and belong together, so a heap of distinct points within the radius is a few groups. Only the
+other, open points are counted. Two tight groups are linked if one of a few points of the one is
+near a point of the other; only where none is, all points of the two meet.
+
+Neighbours are only counted or merged inside a task: what leaves it are counts per point and links
+between groups and open points, never the pairs of points.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import product
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.constants import DBSCAN_EPS, DBSCAN_MIN_SAMPLES
-from clientele.functions.blocks import distance_tiles, meet_in_blocks
+from clientele.functions.agglomerate import SPLIT_SAMPLES, Splits
+from clientele.functions.blocks import MOST_PARTITIONS, distance_tiles
 from clientele.functions.components import connected_components
 from clientele.functions.labels import renumber
-from clientele.functions.unions import unite
 from clientele.storage import materialize
 
-MAX_GRID_COLUMNS = 4
-#: Expected candidates of a point below which no further column is added to the grid.
-CANDIDATES = 500
+#: Points of a block, and points for which one task compares a block with all its visitors.
+BLOCK_POINTS = 1_000
+PART_POINTS = 100_000
+#: Points of a tight group that stand for it when it visits.
+ENVOYS = 8
 
 
 def merged_points(points: DataFrame, columns: Sequence[str], id_col: str) -> DataFrame:
@@ -40,37 +47,230 @@ def merged_points(points: DataFrame, columns: Sequence[str], id_col: str) -> Dat
     )
 
 
-def in_cells(points: DataFrame, columns: Sequence[str], eps: float) -> tuple[DataFrame, list[str]]:
-    """``points`` with the cell of each, on the columns that spread the points best.
+class _ToBox:
+    """Squared distance to a box, as the tree of splits asks for it."""
 
-    Every further column divides the candidates of a point but triples the copies made of it, so
-    columns are added only until a point has few enough candidates to look at.
-    """
-    stats = points.agg(
-        F.count("*").alias("_rows"), *[(F.max(c) - F.min(c)).alias(c) for c in columns]
-    ).first()
-    cells: dict[str, Column] = {}
-    candidates = stats["_rows"]
-    for c in sorted(columns, key=lambda c: -(stats[c] or 0.0))[:MAX_GRID_COLUMNS]:
-        if candidates <= CANDIDATES or not stats[c] or stats[c] <= 3 * eps:
-            break
-        cells[f"_cell{len(cells)}"] = F.floor(F.col(c) / eps).cast("bigint")
-        candidates *= 3 * eps / stats[c]
-    return points.withColumns(cells), list(cells)
-
-
-def to_adjacent(points: DataFrame, cells: Sequence[str]) -> DataFrame:
-    """A copy of each point for its own and every adjacent cell."""
-    if not cells:
-        return points
-    steps = F.array(*[
-        F.struct(*[F.lit(s).cast("bigint").alias(f"s{i}") for i, s in enumerate(step)])
-        for step in product((-1, 0, 1), repeat=len(cells))
-    ])
-    moved = points.withColumn("_step", F.explode(steps))
-    return moved.withColumns(
-        {c: F.col(c) + F.col(f"_step.s{i}") for i, c in enumerate(cells)}
-    ).drop("_step")
+    @staticmethod
+    def box_gap(weights, places, low, high, least):
+        apart = np.maximum(np.maximum(low - places, places - high), 0.0)
+        return (apart * apart).sum(axis=1)
+
+
+def _visited(tree: Splits, places: np.ndarray, reach: np.ndarray):
+    """(rows, blocks): the blocks within ``reach`` of each place, its own too."""
+    rows, blocks, _ = tree.visits(
+        places, np.ones(len(places)), reach * reach, np.full(len(places), -1), _ToBox, 1.0
+    )
+    return rows, blocks
+
+
+def tight_groups(data: np.ndarray, radius: float) -> np.ndarray:
+    """Group numbers: halves of halves, until all points of one lie within ``radius`` of its mean."""
+    group = np.empty(len(data), dtype=np.int64)
+    stack, found = [np.arange(len(data))], 0
+    while stack:
+        rows = stack.pop()
+        part = data[rows]
+        apart = part - part.mean(axis=0)
+        # Taken down by more than its rounding, so that members are surely neighbours.
+        if len(rows) < 2 or np.sqrt((apart * apart).sum(axis=1).max()) <= radius * (1 - 1e-9):
+            group[rows] = found
+            found += 1
+            continue
+        order = np.argsort(part[:, np.ptp(part, axis=0).argmax()], kind="stable")
+        half = len(rows) // 2
+        stack += [rows[order[:half]], rows[order[half:]]]
+    return group
+
+
+class _Density:
+    """Merged points in blocks (_rep, _weight, *columns, _block, _group), stored."""
+
+    def __init__(self, merged: DataFrame, columns: Sequence[str], eps: float, min_samples: int,
+                 id_type, block_points: int):
+        self.columns, self.eps = list(columns), float(eps)
+        self.kind = id_type.simpleString()
+        rows = merged.count()
+        blocks = max(1, -(-rows // block_points))
+        tree, wide = Splits(), np.full(len(self.columns), np.inf)
+        sample = np.zeros((0, len(self.columns)))
+        if blocks > 1:
+            share = min(1.0, blocks * SPLIT_SAMPLES / rows)
+            drawn = F.pmod(F.xxhash64("_rep"), F.lit(1 << 30)) < share * (1 << 30)
+            sample = merged.where(drawn).select(*self.columns).toPandas().to_numpy(dtype=float)
+        tree.grow(sample, blocks, -wide, wide, np.random.default_rng(0))
+        self.blocks, self.parts = tree.blocks, max(1, -(-rows // PART_POINTS))
+        self.sent = merged.sparkSession.sparkContext.broadcast(tree)
+        fields = f"_rep {self.kind}, _weight double, " + ", ".join(
+            f"`{c}` double" for c in self.columns
+        )
+        self.fields = fields + f", _block bigint, _group {self.kind}"
+        columns, sent, radius = self.columns, self.sent, self.eps / 2
+
+        def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in filter(len, batches):
+                yield batch.assign(_block=sent.value.locate(batch[columns].to_numpy(dtype=float)))
+
+        def group(rows: pd.DataFrame) -> pd.DataFrame:
+            number = tight_groups(rows[columns].to_numpy(dtype=float), radius)
+            heavy = np.bincount(number, rows["_weight"].to_numpy()) >= min_samples
+            least = rows["_rep"].groupby(number).min()
+            name = np.full(len(rows), None, dtype=object)
+            inside = heavy[number]
+            name[inside] = least.to_numpy(dtype=object)[number[inside]]
+            return rows.assign(_group=pd.Series(name, index=rows.index, dtype=object))
+
+        placed = merged.select("_rep", "_weight", *columns).mapInPandas(
+            place, fields + ", _block bigint"
+        ).repartition(min(2 * blocks, MOST_PARTITIONS), "_block")
+        self.points = materialize(
+            placed.groupBy("_block").applyInPandas(group, self.fields), "placed"
+        )
+
+    def met(self, guests: DataFrame, homes: DataFrame, work, schema: str) -> DataFrame:
+        """``work(guests, homes)`` for each block; ``guests`` have ``_reach``, both the same rest."""
+        columns, sent = self.columns, self.sent
+
+        def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in filter(len, batches):
+                rows, blocks = _visited(
+                    sent.value, batch[columns].to_numpy(dtype=float), batch["_reach"].to_numpy()
+                )
+                if len(rows):
+                    yield batch.iloc[rows].assign(_block=blocks)
+
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in guests.schema)
+        moved = guests.mapInPandas(visit, fields).withColumn(
+            "_part", F.pmod(F.xxhash64("_rep"), F.lit(self.parts)).cast("int")
+        )
+        stay = homes.withColumn("_reach", F.lit(-1.0)).withColumn(
+            "_part", F.explode(F.sequence(F.lit(0), F.lit(self.parts - 1)))
+        )
+
+        def meet(rows: pd.DataFrame) -> pd.DataFrame:
+            own = rows["_reach"].to_numpy() < 0
+            return work(rows[~own], rows[own])
+
+        every = stay.unionByName(moved, allowMissingColumns=True).repartition(
+            min(2 * self.blocks * self.parts, MOST_PARTITIONS), "_block", "_part"
+        )
+        return every.groupBy("_block", "_part").applyInPandas(meet, schema)
+
+    def counts(self, guests: DataFrame) -> DataFrame:
+        """(_rep, neighbors) of ``guests``, the weights within the radius."""
+        columns, eps = self.columns, self.eps
+
+        def count(guests: pd.DataFrame, homes: pd.DataFrame) -> pd.DataFrame:
+            near = np.zeros(len(guests))
+            weights = homes["_weight"].to_numpy()
+            for rows, gaps in distance_tiles(_values(guests, columns), _values(homes, columns)):
+                near[rows] = (gaps <= eps) @ weights
+            return pd.DataFrame({"_rep": _reps(guests), "near": near})
+
+        partial = self.met(
+            guests.withColumn("_reach", F.lit(eps)), self.points, count, f"_rep {self.kind}, near double"
+        )
+        return partial.groupBy("_rep").agg(F.sum("near").cast("bigint").alias("neighbors"))
+
+    def links(self, flagged: DataFrame) -> DataFrame:
+        """(_rep, _node): open points and the nodes of core points near them.
+
+        A node is a tight group, by its name, or an open core point. ``flagged`` has is_core.
+        """
+        columns, eps = self.columns, self.eps
+
+        def link(guests: pd.DataFrame, homes: pd.DataFrame) -> pd.DataFrame:
+            nodes, at = np.unique(_reps(homes, "_node"), return_inverse=True)
+            names, found = _reps(guests), []
+            for rows, gaps in distance_tiles(_values(guests, columns), _values(homes, columns)):
+                i, j = np.nonzero(gaps <= eps)
+                pairs = np.unique(np.column_stack([i + rows.start, at[j]]), axis=0)
+                found.append(pairs)
+            pairs = np.concatenate(found) if found else np.zeros((0, 2), dtype=np.int64)
+            return pd.DataFrame({"_rep": names[pairs[:, 0]], "_node": nodes[pairs[:, 1]]})
+
+        core = flagged.where("is_core").withColumn("_node", F.coalesce("_group", "_rep"))
+        guests = flagged.where(F.col("_group").isNull()).withColumn("_reach", F.lit(eps))
+        return self.met(
+            guests.withColumn("_node", F.lit(None).cast(self.kind)), core, link,
+            f"_rep {self.kind}, _node {self.kind}",
+        )
+
+    def group_links(self) -> DataFrame:
+        """(_rep, _node): pairs of tight groups with points within the radius of each other."""
+        columns, eps, kind = self.columns, self.eps, self.kind
+        members = self.points.where(F.col("_group").isNotNull())
+
+        def gather(rows: pd.DataFrame) -> pd.DataFrame:
+            """A few points of each group of a block, with the reach of all of them."""
+            out = []
+            for name, own in rows.groupby("_group", sort=False):
+                data = _values(own, columns)
+                apart = np.sqrt(((data - data.mean(axis=0)) ** 2).sum(axis=1))
+                # The members farthest out look to different sides; the reach is theirs to all.
+                few = own.iloc[np.argsort(-apart, kind="stable")[:ENVOYS]]
+                places = _values(few, columns)
+                reach = [np.sqrt(((data - x) ** 2).sum(axis=1).max()) + eps for x in places]
+                out.append(few.assign(_reach=np.array(reach) * (1 + 1e-9)))
+            return pd.concat(out)
+
+        envoys = members.repartition(min(2 * self.blocks, MOST_PARTITIONS), "_block").groupBy(
+            "_block"
+        ).applyInPandas(gather, self.fields + ", _reach double")
+
+        def decide(guests: pd.DataFrame, homes: pd.DataFrame) -> pd.DataFrame:
+            one, a = np.unique(_reps(guests, "_group"), return_inverse=True)
+            two, b = np.unique(_reps(homes, "_group"), return_inverse=True)
+            near = np.zeros((len(one), len(two)), dtype=bool)
+            could = np.ones((len(one), len(two)), dtype=bool)
+            reach = guests["_reach"].to_numpy()
+            for rows, gaps in distance_tiles(_values(guests, columns), _values(homes, columns)):
+                for i in range(len(gaps)):
+                    who = a[rows.start + i]
+                    least = np.full(len(two), np.inf)
+                    np.minimum.at(least, b, gaps[i])
+                    near[who] |= least <= eps
+                    # Beyond an envoy's reach no member of its group is within the radius.
+                    could[who] &= least <= reach[rows.start + i]
+            i, j = np.nonzero(near | could)
+            apart = one[i] != two[j]
+            i, j = i[apart], j[apart]
+            return pd.DataFrame({"_rep": one[i], "_node": two[j], "linked": near[i, j]})
+
+        found = materialize(self.met(
+            envoys, members, decide, f"_rep {kind}, _node {kind}, linked boolean"
+        ).groupBy(
+            F.least("_rep", "_node").alias("_rep"), F.greatest("_rep", "_node").alias("_node")
+        ).agg(F.max("linked").alias("linked")), "groups")
+
+        # Groups that no envoy could tell apart or link: all their points meet.
+        open_ = found.where(~F.col("linked")).select("_rep", "_node")
+        named = members.select(F.col("_group").alias("_name"), *columns)
+        sides = [
+            open_.join(named, open_[side] == named["_name"]).select(
+                "_rep", "_node", *columns, F.lit(side == "_rep").alias("_first")
+            ) for side in ("_rep", "_node")
+        ]
+
+        def close(rows: pd.DataFrame) -> pd.DataFrame:
+            first = rows["_first"].to_numpy()
+            one, other = _values(rows[first], columns), _values(rows[~first], columns)
+            near = any((gaps <= eps).any() for _, gaps in distance_tiles(one, other))
+            return rows[["_rep", "_node"]].iloc[:int(near)]
+
+        closed = sides[0].union(sides[1]).groupBy("_rep", "_node").applyInPandas(
+            close, f"_rep {kind}, _node {kind}"
+        )
+        return found.where("linked").select("_rep", "_node").union(closed)
+
+
+def _values(rows: pd.DataFrame, columns: list[str]) -> np.ndarray:
+    return rows[columns].to_numpy(dtype=float)
+
+
+def _reps(rows: pd.DataFrame, name: str = "_rep") -> np.ndarray:
+    column = rows[name]
+    return column.to_numpy(dtype="int64" if column.dtype.kind in "iuf" else object)
 
 
 def neighbor_counts(
@@ -79,82 +279,15 @@ def neighbor_counts(
     eps: float = DBSCAN_EPS,
     min_samples: int = DBSCAN_MIN_SAMPLES,
     id_col: str = "CustomerID",
+    block_points: int = BLOCK_POINTS,
 ) -> DataFrame:
     """Every row's number of rows within ``eps``, itself included, and whether it is core."""
     merged = merged_points(points, columns, id_col)
-    counted = _count(merged, columns, eps, min_samples, points.schema[id_col].dataType)
+    density = _Density(merged, columns, eps, min_samples, points.schema[id_col].dataType, block_points)
+    counted = materialize(density.counts(density.points), "neighbors")
     flagged = merged.join(counted, "_rep").drop("_rep", "_weight")
     return points.select(id_col, *columns).join(flagged, list(columns)).select(
-        id_col, "neighbors", "is_core"
-    )
-
-
-def _count(merged, columns, eps, min_samples, id_type) -> DataFrame:
-    columns = list(columns)
-    placed, cells = in_cells(merged, columns, eps)
-
-    def count(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        near = np.zeros(len(left))
-        tiles = distance_tiles(left[columns].to_numpy(), right[columns].to_numpy())
-        weights = right["_weight"].to_numpy()
-        for rows, gaps in tiles:
-            near[rows] = (gaps <= eps) @ weights
-        return pd.DataFrame({"_rep": left["_rep"], "near": near})
-
-    partial = meet_in_blocks(
-        placed, to_adjacent(placed, cells), cells, "_rep", count,
-        f"_rep {id_type.simpleString()}, near double",
-    )
-    total = F.sum("near").cast("bigint")
-    return materialize(
-        partial.groupBy("_rep").agg(
-            total.alias("neighbors"), (total >= min_samples).alias("is_core")
-        ),
-        "neighbors",
-    )
-
-
-def _links(merged, columns, eps, id_type) -> DataFrame:
-    """Edges (point, core point, is_core) that connect what the pairs within eps connect."""
-    columns = list(columns)
-    placed, cells = in_cells(merged, columns, eps)
-    core = to_adjacent(placed.where(F.col("is_core")), cells)
-
-    def link(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        reps = right["_rep"].to_numpy()
-        order = np.argsort(reps)
-        right, reps = right.iloc[order], reps[order]
-        group = np.arange(len(right))
-        others = right[columns].to_numpy()
-
-        def tiles(side: pd.DataFrame):
-            names = side["_rep"].to_numpy()
-            for rows, gaps in distance_tiles(side[columns].to_numpy(), others):
-                yield names[rows], gaps <= eps
-
-        heads = []
-        for names, near in tiles(left[left["is_core"]]):
-            # A core point joins all the core points it reaches.
-            i, j = np.nonzero(near)
-            first = near.argmax(axis=1)
-            unite(group, first[i], j)
-            some = near.any(axis=1)
-            heads.append((names[some], first[some]))
-        parts = [(names, reps[group[first]], True) for names, first in heads]
-        for names, near in tiles(left[~left["is_core"]]):
-            i, j = np.nonzero(near)
-            met = np.unique(np.column_stack([i, group[j]]), axis=0)
-            parts.append((names[met[:, 0]], reps[met[:, 1]], False))
-        joined = np.flatnonzero(group != np.arange(len(right)))
-        parts.append((reps[joined], reps[group[joined]], True))
-        return pd.concat([
-            pd.DataFrame({"_rep": one, "_core": other, "_linked": linked})
-            for one, other, linked in parts
-        ])
-
-    kind = id_type.simpleString()
-    return meet_in_blocks(
-        placed, core, cells, "_rep", link, f"_rep {kind}, _core {kind}, _linked boolean"
+        id_col, "neighbors", (F.col("neighbors") >= min_samples).alias("is_core")
     )
 
 
@@ -164,25 +297,39 @@ def dbscan(
     eps: float = DBSCAN_EPS,
     min_samples: int = DBSCAN_MIN_SAMPLES,
     id_col: str = "CustomerID",
+    block_points: int = BLOCK_POINTS,
 ) -> DataFrame:
     """(id, cluster) with clusters from 0, the largest first, and -1 for noise.
 
     A border point that several clusters reach goes to the one with the least core point.
     """
     merged = merged_points(points, columns, id_col)
-    id_type = points.schema[id_col].dataType
-    counted = merged.join(_count(merged, columns, eps, min_samples, id_type), "_rep")
-    links = materialize(_links(counted, columns, eps, id_type), "links")
-    components = connected_components(links.where("_linked"), "_rep", "_core")
-    core = counted.where("is_core").select("_rep").join(
-        components.withColumnRenamed("vertex", "_rep"), "_rep", "left"
-    ).select("_rep", F.coalesce("component", "_rep").alias("component"))
-    core = materialize(core, "core")
+    density = _Density(merged, columns, eps, min_samples, points.schema[id_col].dataType, block_points)
+    counted = density.counts(density.points.where(F.col("_group").isNull()))
+    flagged = materialize(
+        density.points.join(counted, "_rep", "left").withColumn(
+            "is_core",
+            F.col("_group").isNotNull() | F.coalesce(F.col("neighbors") >= min_samples, F.lit(False)),
+        ).drop("neighbors"), "flagged",
+    )
+    links = materialize(density.links(flagged), "links")
+    core = flagged.where("is_core").select("_rep", F.coalesce("_group", "_rep").alias("_node"))
+    between = links.join(flagged.where("is_core").select("_rep"), "_rep", "left_semi")
+    edges = between.select("_rep", "_node").union(density.group_links())
+    parts = connected_components(edges, "_rep", "_node").withColumnRenamed("vertex", "_node")
+    # The least core point names a component; a group is named by its least one.
+    named = materialize(
+        core.join(parts, "_node", "left").select(
+            "_rep", "_node", F.coalesce("component", "_node").alias("component")
+        ), "core",
+    )
     border = (
-        links.where(~F.col("_linked"))
-        .join(core.withColumnRenamed("_rep", "_core"), "_core")
+        links.join(core.select("_rep"), "_rep", "left_anti")
+        .join(named.select("_node", "component").distinct(), "_node")
         .groupBy("_rep").agg(F.min("component").alias("component"))
     )
-    labeled = merged.join(core.union(border), "_rep", "left").drop("_rep", "_weight")
+    labeled = merged.join(
+        named.select("_rep", "component").union(border), "_rep", "left"
+    ).drop("_rep", "_weight")
     rows = points.select(id_col, *columns).join(labeled, list(columns))
     return renumber(rows.select(id_col, "component"), "component", id_col, first=0)

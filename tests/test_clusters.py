@@ -249,27 +249,58 @@ def brute_dbscan(data, eps, min_samples):
     return label, core
 
 
-@pytest.mark.parametrize("block", [7, 1000])
-def test_dbscan_by_force(spark, monkeypatch, block):
+def crowds(kind):
     rng = np.random.default_rng(6)
-    data = rng.uniform(0, 6, size=(250, 2))
-    data[100:180] = data[100]  # a heap of copies
-    if block < 100:
-        # Tiny blocks force the grid, split cells and components across tasks.
-        monkeypatch.setattr(density, "CANDIDATES", block)
-        monkeypatch.setattr(density.meet_in_blocks, "__defaults__", (block, block))
+    if kind == "even":
+        data = rng.uniform(0, 6, size=(250, 2))
+        data[100:180] = data[100]  # a heap of copies
+        return data
+    # Heaps of distinct points that touch, nearly touch, and a thin bridge between two of them.
+    heaps = [rng.normal(size=(60, 2)) * 0.08 + at for at in ([0, 0], [0.7, 0], [3, 3], [3.9, 3.9])]
+    bridge = np.column_stack([np.linspace(0.8, 2.9, 9), np.linspace(0.1, 2.9, 9)])
+    far = np.array([[1e7, -1e7], [1e7, -1e7 + 0.3], [-3e6, 0]])
+    return np.vstack([*heaps, bridge, far, rng.uniform(-1, 5, size=(30, 2))])
+
+
+@pytest.mark.parametrize("kind", ["even", "heaps"])
+@pytest.mark.parametrize("block_points, part_points", [(1_000, 100_000), (20, 60), (5, 1_000)])
+def test_dbscan_by_force(spark, monkeypatch, kind, block_points, part_points):
+    """Tiny blocks and parts split heaps, visits and components across tasks."""
+    monkeypatch.setattr(density, "PART_POINTS", part_points)
+    data = crowds(kind)
     points = points_of(spark, data)
     label, core = brute_dbscan(data, 0.5, 5)
-    flags = density.neighbor_counts(points, COLUMNS).orderBy("CustomerID").collect()
+    flags = density.neighbor_counts(points, COLUMNS, block_points=block_points)
+    flags = flags.orderBy("CustomerID").collect()
     assert [r.is_core for r in flags] == core.tolist()
     assert [r.neighbors for r in flags] == (distances(data) <= 0.5).sum(axis=1).tolist()
-    found = np.array(labels_of(density.dbscan(points, COLUMNS)))
+    found = np.array(labels_of(density.dbscan(points, COLUMNS, block_points=block_points)))
     assert (found == -1).tolist() == (label == -1).tolist()
-    assert same_partition(found[core], label[core])
-    border = ~core & (label != -1)
-    for i in np.flatnonzero(border):
-        reached = found[(distances(data)[i] <= 0.5) & core]
-        assert found[i] in reached
+    assert same_partition(found[label != -1], label[label != -1])
+
+
+def test_tight_groups_hold_neighbours_only():
+    data = np.random.default_rng(3).normal(size=(500, 3))
+    group = density.tight_groups(data, 0.4)
+    gaps = distances(data)
+    assert all(gaps[np.ix_(group == g, group == g)].max() <= 0.8 for g in set(group))
+    assert (density.tight_groups(np.zeros((50, 2)), 0.1) == 0).all()
+
+
+def test_dbscan_of_a_heap_and_a_far_value_ends_soon(spark):
+    """20,000 distinct points within the radius are few links; a far value changes nothing."""
+    rng = np.random.default_rng(4)
+    turn = rng.uniform(0, 2 * np.pi, 20_000)
+    heap = np.column_stack([np.cos(turn), np.sin(turn)]) * np.sqrt(rng.uniform(0, 0.06, (20_000, 1)))
+    data = np.vstack([heap, [[1e6, 0.0]]])
+    points = points_of(spark, data)
+    merged = density.merged_points(points, COLUMNS, "CustomerID")
+    parts = density._Density(merged, COLUMNS, 0.5, 5, points.schema["CustomerID"].dataType, 1_000)
+    assert parts.points.groupBy("_block").count().agg(F.max("count")).first()[0] < 4_000
+    assert parts.points.where("_group IS NULL").count() < 50
+    assert parts.group_links().count() < 5_000
+    found = labels_of(density.dbscan(points, COLUMNS))
+    assert found == [0] * 20_000 + [-1]
 
 
 def test_components_of_a_long_chain(spark):
