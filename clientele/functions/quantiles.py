@@ -1,11 +1,13 @@
 """Exact quantiles that stay distributed.
 
-The built-in ``percentile`` keeps every distinct value in one task. Here each wanted rank is
-closed in on by counting: doubles are mapped to 64-bit integers that order alike, a pass counts
-256 bins of an interval of integers, the bin that holds the rank becomes the next interval, and
-its own minimum and maximum tighten it. Every pass divides the interval by 256, so eight passes
-end any search, whatever the range or skew and with infinite values too. A pass returns at most
-``BINS`` rows per open interval; ties end a search at once.
+The built-in ``percentile`` keeps every distinct value in one task. Here a first scan makes the
+mergeable rank sketches of ``percentile_approx``, which bracket each wanted rank, and a second one
+counts: the rows below the bracket, which prove that it holds the rank, and those in bins inside
+it, most often one value each. Doubles are mapped to 64-bit integers that order alike; where a bin
+holds several values around a rank, it becomes the next interval, tightened to its own minimum and
+maximum, and one more scan divides it by ``BINS``. A rank whose bracket fails the proof is searched
+for from the whole range, which six scans end whatever the skew, with infinite values too. A scan
+returns at most ``BINS`` rows per open interval; ties end a search at once.
 """
 
 from __future__ import annotations
@@ -18,7 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BINS = 256
+#: Bins of an interval: a power of two.
+BITS = 12
+BINS = 1 << BITS
+#: Error of the sketches, as a share of the rows, and the distance of a bracket's ends.
+ACCURACY = 10_000
+BRACKET = 1e-3
+_LEAST, _GREATEST = -(2**63), 2**63 - 1
 _SIGN = np.int64(0x7FFFFFFFFFFFFFFF)
 
 
@@ -41,15 +49,31 @@ def exact_quantiles(
     ``df`` is scanned several times, so it should be a stored table.
     """
     columns = list(columns)
-    whole = (-(2**63), 2**63 - 1)
-    first = _count_bins(df, [(c, *whole) for c in columns])
-    sizes = {c: sum(n for _, n, _, _ in first.get(i, [])) for i, c in enumerate(columns)}
+    ends = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-BRACKET, BRACKET)]
+    sketched = df.agg(*[
+        F.struct(
+            F.count(c).alias("n"),
+            F.percentile_approx(F.col(c).cast("double"), ends, ACCURACY).alias("ends"),
+        ).alias(f"c{i}") for i, c in enumerate(columns)
+    ]).first()
+    sizes = {c: sketched[i].n for i, c in enumerate(columns)}
     places = {c: [(sizes[c] - 1) * p for p in probs] for c in columns}
     ranks = {
         c: sorted({r for h in places[c] for r in (math.floor(h), math.ceil(h))})
         for c in columns if sizes[c]
     }
-    found = _values_at_ranks(df, columns, ranks, first)
+    brackets = []
+    for i, c in enumerate(columns):
+        for j, h in enumerate(places[c] if sizes[c] else ()):
+            lo, hi = ordered_integers(np.array(sketched[i].ends[2 * j:2 * j + 2])).tolist()
+            brackets.append((c, lo, hi, {math.floor(h), math.ceil(h)}))
+    found = _values_in_brackets(df, brackets)
+    missing = {c: [r for r in own if r not in found.get(c, {})] for c, own in ranks.items()}
+    missing = {c: own for c, own in missing.items() if own}
+    if missing:
+        first = _count_bins(df, [(c, _LEAST, _GREATEST) for c in missing])
+        for c, values in _close_in(df, [(c, 0, own) for c, own in missing.items()], first).items():
+            found.setdefault(c, {}).update(values)
     result: dict[str, list[float | None]] = {}
     for c in columns:
         if c not in ranks:
@@ -66,9 +90,24 @@ def _between(low: float, high: float, share: float) -> float:
     return low + (high - low) * share
 
 
-def _values_at_ranks(df, columns, ranks, first) -> dict[str, dict[int, float]]:
-    found: dict[str, dict[int, float]] = {c: {} for c in ranks}
-    bins, open_ = first, [(c, 0, ranks.get(c, [])) for c in columns]
+def _values_in_brackets(df, brackets) -> dict[str, dict[int, float]]:
+    """Values at the ranks that the counted brackets prove to hold."""
+    if not brackets:
+        return {}
+    inside = [(c, lo, hi) for c, lo, hi, _ in brackets]
+    under = [(c, _LEAST, max(lo - 1, _LEAST)) for c, lo, _, _ in brackets]
+    bins = _count_bins(df, inside + under, whole=len(inside))
+    open_ = []
+    for slot, (c, lo, _, wanted) in enumerate(brackets):
+        below = sum(n for _, n, _, _ in bins.pop(len(inside) + slot, [])) if lo > _LEAST else 0
+        rows = sum(n for _, n, _, _ in bins.get(slot, []))
+        open_.append((c, below, sorted(r for r in wanted if below <= r < below + rows)))
+    return _close_in(df, open_, bins)
+
+
+def _close_in(df, open_, bins) -> dict[str, dict[int, float]]:
+    """Values at ranks from intervals (column, rows below, ranks) and their counted bins."""
+    found: dict[str, dict[int, float]] = {c: {} for c, _, _ in open_}
     while open_:
         following = []
         for slot, (c, below, wanted) in enumerate(open_):
@@ -92,12 +131,17 @@ def _values_at_ranks(df, columns, ranks, first) -> dict[str, dict[int, float]]:
     return found
 
 
-def _count_bins(df, intervals) -> dict[int, list[tuple]]:
-    """For each interval (column, least, largest integer) its bins: number, rows, least, largest."""
+def _count_bins(df, intervals, whole: int | None = None) -> dict[int, list[tuple]]:
+    """For each interval (column, least, largest integer) its bins: number, rows, least, largest.
+
+    Intervals from the number ``whole`` on are two bins at most.
+    """
     names = sorted({c for c, _, _ in intervals})
     place = {c: f"c{i}" for i, c in enumerate(names)}
     plan = [
-        (place[c], lo, hi, max(0, (hi - lo).bit_length() - 8)) for c, lo, hi in intervals
+        (place[c], lo, hi, max(0, min((hi - lo).bit_length() - BITS, 63)) if (
+            whole is None or slot < whole) else 63)
+        for slot, (c, lo, hi) in enumerate(intervals)
     ]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

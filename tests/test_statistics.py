@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from clientele.functions import quantiles
 from clientele.functions.fdist import incomplete_beta
 from clientele.functions.quantiles import exact_quantiles
 from clientele.operators import anomaly, explore, scaling, validation
@@ -122,3 +123,27 @@ def test_anova_edges(spark):
     assert math.isclose(rows["z"].p_value, 0.15485, abs_tol=1e-5)
     empty = validation.anova_summary(validation.anova(df.limit(0), "cluster", ANALYSIS_FEATURES[:0] or ["x"]))
     assert empty.isEmpty()
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 10, 900, 20_000])
+def test_quantiles_in_two_scans(spark, monkeypatch, rows):
+    """A sketch brackets each rank and one counting scan finds it; small tables search on."""
+    rng = np.random.default_rng(rows)
+    data = pd.DataFrame({"a": rng.normal(size=rows), "b": np.round(rng.exponential(size=rows), 1)})
+    data.loc[0, "b"] = np.inf if rows > 10 else data.loc[0, "b"]
+    scans = []
+    counted = quantiles._count_bins
+    monkeypatch.setattr(quantiles, "_count_bins", lambda *a, **k: scans.append(a) or counted(*a, **k))
+    probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.95, 1.0]
+    found = quantiles.exact_quantiles(spark.createDataFrame(data).repartition(3), ["a", "b"], probs)
+    for name in ("a", "b"):
+        with np.errstate(invalid="ignore"):
+            wanted = np.quantile(data[name].to_numpy()[np.isfinite(data[name])], probs) if (
+                name == "a") else np.sort(data[name])[np.floor((rows - 1) * np.array(probs)).astype(int)]
+        if name == "a":
+            assert np.allclose(found[name], wanted, rtol=1e-12)
+        else:
+            above = np.sort(data[name])[np.ceil((rows - 1) * np.array(probs)).astype(int)]
+            assert all(w <= f <= u for w, f, u in zip(wanted, found[name], above))
+    if rows == 20_000:
+        assert len(scans) == 1
