@@ -3,6 +3,12 @@
 Each stage reads what the one before wrote. A document that the toxicity score rejects goes, one
 document of each SimHash group stays, passages that an earlier document holds are cut out, the
 sources are mixed to their target weights, and the rest is packed.
+
+Nulls, ties and repeats: a null text is empty in every stage. A document without an id stays unless
+it is toxic, and counts as a document of its own; of rows that share an id one stays. Groups keep
+their smallest id, a passage stays where the smallest id has it, equal documents are mixed and
+packed in the order of a hash. Texts of any length pass whole, other columns pass unchanged, and an
+empty table passes as one.
 """
 
 from __future__ import annotations
