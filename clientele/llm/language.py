@@ -5,7 +5,7 @@ its byte trigrams, tempered so that a long text counts as at most EVIDENCE indep
 prior of a host shrinks towards that of its address suffix, which shrinks towards that of all
 rows; a declared language multiplies by how often texts of each language declare it. Priors and
 declarations are grouped sums of the text-only posteriors, without the row's own share, so a
-row is not its own witness.
+row is not its own witness there; the trigram table holds all labelled texts, its own too.
 
 Trigram counts come from all labelled texts, hashed into BINS bins. The table of bins by languages
 is broadcast in blocks of BLOCK_LANGUAGES columns, 128 KB a language; more languages take a further
@@ -15,7 +15,8 @@ of at most HELD_LANGUAGES languages at once and passes them on before it starts
 Nulls and ties: a null or empty text has a flat likelihood and takes its language from the other
 evidence; a null host, suffix or declaration is a group of its own or no evidence; without any
 labelled text the language is null. Equal posteriors go to the language first by code point.
-Repeated rows count as often as they come.
+Repeated rows count as often as they come. A text of any length is counted whole, in arrays of
+the number of bins. Other columns are not read and may have any name; an empty table gives none.
 """
 
 from __future__ import annotations

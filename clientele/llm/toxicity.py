@@ -18,8 +18,9 @@ terms and examples), ``max_terms`` kept terms. Corpus statistics cover all docum
 
 Nulls and ties: a null or empty text has no terms; labels that are null are not used; an id
 labelled more than once counts as toxic if half of its labels say so; neighbours of equal cosine
-are taken by the smaller example number. Repeated rows get equal scores. Columns other than the
-id and the text are never read.
+are taken by the smaller example number. Repeated rows get equal scores. A very long text counts
+whole, by its distinct terms. An empty table has no scores; without labels the score is the rate
+of none, 0. Columns other than the id and the text are never read.
 """
 
 from __future__ import annotations

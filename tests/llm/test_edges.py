@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from clientele.llm import (
+    embeddings,
     language,
     mixing,
     packing,
@@ -62,6 +63,36 @@ def test_pieces_scores_and_languages(spark, awkward):
     assert found.count() == rows and found.where("lang IS NULL").count() == 0
 
 
+def with_clashing(df):
+    for i, name in enumerate(CLASHING):
+        if name not in df.columns:
+            df = df.withColumn(name, F.lit(None if i % 3 else i).cast("string"))
+    return df
+
+
+def test_embeddings_beside_clashing_columns(spark):
+    rows = [(i, [1.0, 0.01 * (i % 3)], 1) for i in range(9)] + [
+        (20, None, 1), (21, [0.0, 0.0], 1), (None, [1.0, 0.0], 1), (22, [1.0, None], None), (0, [1.0, 0.0], 1),
+    ]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    clash = [c for c in CLASHING if c != "label"]
+    for name in (*clash, "vec", "leaf", "tree", "u", "v"):
+        vectors = vectors.withColumn(name, F.lit("x"))
+    found = embeddings.near_duplicates(vectors)
+    assert found.count() == len(rows)
+    assert embeddings.near_duplicates(vectors.limit(0)).count() == 0
+
+
+def test_pages_beside_clashing_columns(spark, small):
+    pages = spark.read.parquet(f"{small}/pages.parquet").limit(60)
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("lang", "text")
+    plain = language.fuse_languages(language.page_evidence(pages), docs)
+    clash = language.fuse_languages(language.page_evidence(with_clashing(pages)), docs)
+    assert plain.count() == 60
+    assert sorted(map(str, plain.collect())) == sorted(map(str, clash.collect()))
+    assert language.fuse_languages(language.page_evidence(pages.limit(0)), docs).count() == 0
+
+
 @pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES[:-1], ids=lambda x: str(x)[:12])
 def test_stages_keep_all_columns(spark, awkward, tmp_path, name, stage):
     docs, rows = awkward
