@@ -379,7 +379,8 @@ def _by_sums(points, columns, labels, id_col, sizes) -> DataFrame:
                 at = np.searchsorted(known, label[counted])
                 total = sums[counted, start:start + len(known)]
                 yield pd.DataFrame({
-                    id_col: _plain(batch[id_col])[counted], "labeling": name, "cluster": label[counted].astype("int32"),
+                    id_col: _plain(batch[id_col])[counted], "labeling": name,
+                    "cluster": label[counted].astype("int32"),
                     "silhouette": _widths(total, n, at), "distance": "euclidean",
                 })
 
