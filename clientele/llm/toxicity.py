@@ -1,30 +1,35 @@
 """Toxicity as a distance-weighted vote of the nearest labelled texts by TF-IDF cosine.
 
-Terms are the lower-cased runs of letters and digits and their stems, the first four and five
-characters, which bring inflected and compounded words together. Of the sample's terms those are kept whose presence depends on the label (log-likelihood ratio G2 of the 2 x 2 table of
-documents). A text's vector holds (1 + ln tf) * idf of its kept terms, with idf from all
-documents, scaled to length one. The nearest ``neighbours`` examples are found exactly: the
-examples' vectors lie in an inverted index cut into blocks of example numbers; each term knows
-its largest weight in each block, so the sum over a text's terms bounds every cosine in a block.
-Blocks are taken by falling bound until the bound is below the least cosine that still counts.
+Terms are the lower-cased runs of letters and digits, all those of the examples, and beside them
+stems, the first four and five characters, whose presence depends on the label (log-likelihood
+ratio G2 of the 2 x 2 table of documents); stems bring inflected and compounded words together. A
+text's vector holds (1 + ln tf) * idf * gain of these terms, scaled to length one, with idf from
+all documents. The gain is the root of G2 for a term whose presence depends on the label, either
+way, and one for every other term: no word is left out, but those that tell weigh more. The nearest
+``neighbours`` examples are found exactly: the examples' vectors lie in an inverted index cut into
+blocks of example numbers; each term knows its largest weight in each block, so the sum over a
+text's terms bounds every cosine in a block. Blocks are taken by falling bound until the bound is
+below the least cosine that still counts.
 
 The score is the weighted share of toxic neighbours, each weighted by its cosine and smoothed
-towards the rate among all examples; a text without kept terms is as near to every example
-without them, and its score is their smoothed rate. Scores thus estimate the share of toxic
-texts among such neighbours. Evidence: the nearest examples with their cosines.
+towards the rate among all examples. A text that shares no term with any example has no neighbour
+and gets the smoothed rate of the examples without a term that speaks for the label. Evidence: the ids of the nearest examples
+with their cosines.
 
-Bounds, all parameters: ``max_examples`` labelled rows (drawn by a seeded hash, the same for
-terms and examples), ``max_terms`` kept terms. Corpus statistics cover all documents.
+Bounds, all parameters: ``max_examples`` labelled rows give the gains, the first ``max_indexed`` of
+them the index (drawn by one seeded hash). Corpus statistics cover all documents.
 
 Nulls and ties: a null or empty text has no terms; labels that are null are not used; an id
-labelled more than once counts as toxic if half of its labels say so; neighbours of equal cosine
-are taken by the smaller example number. Repeated rows get equal scores. A very long text counts
-whole, by its distinct terms. An empty table has no scores; without labels the score is the rate
-of none, 0. Columns other than the id and the text are never read.
+labelled more than once counts as toxic if half of its labels say so; of an example's rows that
+share an id the least text counts; neighbours of equal cosine are taken by the smaller id. Repeated
+rows get equal scores. A very long text counts whole, by its distinct terms. An empty table has no
+scores; without labels the score is the rate of none, 0. Columns other than the id and the text
+are never read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -34,10 +39,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm.common import documents, store, text_blocks
+from clientele.llm.common import documents, run_starts, store, text_blocks
 
 MAX_EXAMPLES = 20_000
-MAX_TERMS = 5_000
+MAX_INDEXED = 4_000
 NEIGHBOURS = 15
 #: G2 of one degree of freedom; chance reaches it once in 130,000 terms.
 LEAST_G2 = 20.0
@@ -46,6 +51,8 @@ LEAST_DOCUMENTS = 5
 #: Weight of the overall rate beside the neighbours' cosines.
 SMOOTHING = 0.5
 BLOCK = 64
+#: Blocks looked at before the first comparison with their bounds.
+FIRST_BLOCKS = 4
 FOLDS = 5
 SEED = 42
 #: Lengths of the stems.
@@ -58,14 +65,14 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def labelled_sample(labels: DataFrame, id_col: str, label_col: str, most: int) -> dict[int, int]:
-    """At most ``most`` ids outside the held-out fold with their labels, drawn by a hash."""
+def labelled_sample(labels: DataFrame, id_col: str, label_col: str, most: int) -> list[tuple[int, int]]:
+    """At most ``most`` ids outside the held-out fold with their labels, in the order of a hash."""
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     known = known.where(~held_out(id_col)).groupBy(F.col(id_col).cast("bigint").alias("id")).agg(
         (F.avg(label_col) >= 0.5).cast("int").alias("label")
     )
     rows = known.orderBy(F.xxhash64("id", F.lit(SEED)), "id").limit(most).collect()
-    return {r.id: r.label for r in rows}
+    return [(r.id, r.label) for r in rows]
 
 
 def _words(text: str | None) -> Counter:
@@ -77,27 +84,22 @@ def _forms(word: str) -> tuple[str, ...]:
     return (word, *(word[:n] + "-" for n in STEMS if len(word) > n))
 
 
-def _label_counts(batches, labels):
-    """Documents with each term, by label, of the sample's rows in this partition."""
-    ids, toxic = labels.value
-    counts = Counter(), Counter()
-    seen = [0, 0]
-    for batch in batches:
-        found = batch.column("id").to_numpy(zero_copy_only=False)
-        at = np.minimum(np.searchsorted(ids, found), max(len(ids) - 1, 0))
-        texts = batch.column("text")
-        for i in np.flatnonzero(ids[at] == found) if len(ids) else ():
-            side = int(toxic[at[i]])
-            words = _words(texts[int(i)].as_py())
-            counts[side].update({form for word in words for form in _forms(word)})
-            seen[side] += 1
+def _label_counts(batches):
+    """Clean, toxic and indexed examples of this partition that hold each word or stem."""
+    counts = Counter(), Counter(), Counter()
+    seen = [0, 0, 0]
+    for block in text_blocks(batches, "text"):
+        for label, indexed, text in zip(block["label"], block["indexed"], block["text"], strict=True):
+            forms = {form for word in _words(text) for form in _forms(word)}
+            for side in (label, 2) if indexed else (label,):
+                counts[side].update(forms)
+                seen[side] += 1
     names = list(counts[0].keys() | counts[1].keys())
     # A row without a term carries the numbers of documents.
     yield pa.RecordBatch.from_arrays(
         [pa.array([*names, None], pa.string()),
-         pa.array([*(counts[0][t] for t in names), seen[0]], pa.int64()),
-         pa.array([*(counts[1][t] for t in names), seen[1]], pa.int64())],
-        ["term", "clean", "toxic"],
+         *(pa.array([*(c[t] for t in names), n], pa.int64()) for c, n in zip(counts, seen, strict=True))],
+        ["term", "clean", "toxic", "indexed"],
     )
 
 
@@ -112,28 +114,30 @@ def _g2(a: Column, b: Column, n0: int, n1: int) -> Column:
     return 2 * (parts[0] + parts[1] + parts[2] + parts[3])
 
 
-def telling_terms(docs: DataFrame, sample: dict[int, int], most: int) -> list[str]:
-    """The kept terms, at most ``most``, by falling G2."""
-    spark = docs.sparkSession
-    ids = np.array(sorted(sample), dtype=np.int64)
-    toxic = np.array([sample[i] for i in ids.tolist()], dtype=np.int8)
-    labels = spark.sparkContext.broadcast((ids, toxic))
-    counted = docs.where(F.col("id").isNotNull()).mapInArrow(
-        lambda batches: _label_counts(batches, labels), "term string, clean bigint, toxic bigint"
+def example_terms(examples: DataFrame) -> dict[str, float]:
+    """The gain of every term that an indexed example holds, below zero if it speaks for clean texts.
+
+    ``examples``: id, label, indexed, text. A stem is a term only if its presence depends on the
+    label; every word is one.
+    """
+    counted = examples.mapInArrow(
+        _label_counts, "term string, clean bigint, toxic bigint, indexed bigint"
     )
     sums = store(
-        counted.groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .where(F.col("term").isNull() | (F.col("clean") + F.col("toxic") >= LEAST_DOCUMENTS)),
-        "terms",
+        counted.groupBy("term").agg(*(F.sum(c).alias(c) for c in ("clean", "toxic", "indexed"))), "terms"
     )
     total = sums.where(F.col("term").isNull()).first()
-    if total is None or not total.clean or not total.toxic:
-        return []
+    if total is None:
+        return {}
     a, b = F.col("clean").cast("double"), F.col("toxic").cast("double")
-    g2 = _g2(a, b, total.clean, total.toxic)
-    rows = sums.where(F.col("term").isNotNull() & (b > a)).withColumn("g2", g2)
-    rows = rows.where(F.col("g2") >= LEAST_G2)
-    return [r.term for r in rows.orderBy(F.desc("g2"), "term").limit(most).collect()]
+    g2 = _g2(a, b, total.clean, total.toxic) if total.clean and total.toxic else F.lit(0.0)
+    tells = (a + b >= LEAST_DOCUMENTS) & (g2 >= LEAST_G2)
+    side = F.when(b * total.clean > a * total.toxic, 1.0).otherwise(-1.0)
+    rows = sums.where(F.col("term").isNotNull() & (F.col("indexed") > 0)).select(
+        "term", F.when(tells, side * F.sqrt(g2)).otherwise(1.0).alias("gain"), tells.alias("tells")
+    )
+    rows = rows.where(F.col("tells") | ~F.col("term").endswith("-")).orderBy("term")
+    return {r.term: r.gain for r in rows.select("term", "gain").collect()}
 
 
 def _term_vectors(batches, terms):
@@ -146,107 +150,130 @@ def _term_vectors(batches, terms):
             for word, n in _words(text).items():
                 forms = known.get(word)
                 if forms is None:
-                    forms = known[word] = tuple(f for f in _forms(word) if f in number)
+                    forms = known[word] = tuple(number[f] for f in _forms(word) if f in number)
                 for form in forms:
                     held[form] += n
-            found.append(held)
+            found.append(sorted(held.items()))
         yield pa.RecordBatch.from_arrays(
             [pa.array(block["id"], pa.int64()),
-             pa.array([[number[t] for t in c] for c in found], pa.list_(pa.int32())),
-             pa.array([list(c.values()) for c in found], pa.list_(pa.int32()))],
+             pa.array([[t for t, _ in c] for c in found], pa.list_(pa.int32())),
+             pa.array([[n for _, n in c] for c in found], pa.list_(pa.int32()))],
             ["id", "terms", "counts"],
         )
 
 
+def _ranges(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all half-open ranges in a row, and the range that each comes from."""
+    sizes = ends - starts
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    before = np.cumsum(sizes) - sizes
+    return np.arange(len(of)) + (starts - before)[of], of
+
+
 @dataclass
 class BlockIndex:
-    """Unit vectors of the examples as postings by term, cut into blocks of example numbers."""
+    """Unit vectors of the examples as postings by term, cut into blocks of example numbers.
+
+    A cell is a term in a block; cells are in the order of terms and blocks, and the postings in
+    the order of their cells.
+    """
 
+    ids: np.ndarray
     labels: np.ndarray
-    idf: np.ndarray
-    first: np.ndarray      # per term and block: where its postings start
+    scale: np.ndarray      # idf and gain, per term
+    cells: np.ndarray      # per term: its first cell
+    block: np.ndarray      # per cell
+    largest: np.ndarray    # per cell: the block maximum
+    first: np.ndarray      # per cell: where its postings start
     example: np.ndarray
     weight: np.ndarray
-    largest: np.ndarray    # per term and block: the block maximum
-    blank: float           # score of a text without kept terms
+    blank: float           # score of a text without a neighbour: that of unmarked examples
     rate: float
 
-    def vector(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        weights = (1 + np.log(counts)) * self.idf[terms]
-        length = np.sqrt((weights * weights).sum())
-        return weights / length if length else weights
-
     def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int):
         """Numbers and cosines of the k nearest examples with a positive cosine, exactly."""
-        weights = self.vector(terms, counts)
-        bound = weights @ self.largest[terms]
+        weights = _unit(terms, counts, self.scale)
+        cells, of = _ranges(self.cells[terms], self.cells[terms + 1])
+        block = self.block[cells]
+        bound = np.bincount(block, weights[of] * self.largest[cells])
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
         best_n, best_c = np.zeros(0, dtype=np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(best_c) >= k and bound[b] < best_c[-1] - 1e-12):
-                break
-            cosine = np.zeros(BLOCK)
-            for t, w in zip(terms, weights, strict=True):
-                at = slice(self.first[t, b], self.first[t, b + 1])
-                cosine[self.example[at] - b * BLOCK] += w * self.weight[at]
+        step = FIRST_BLOCKS
+        while len(order):
+            now = np.zeros(len(bound), dtype=bool)
+            now[order[:step]] = True
+            taken = now[block]
+            at, cell = _ranges(self.first[cells[taken]], self.first[cells[taken] + 1])
+            cosine = np.bincount(self.example[at], weights[of[taken]][cell] * self.weight[at])
             some = np.flatnonzero(cosine > 0)
-            numbers = np.concatenate([best_n, some + b * BLOCK])
+            numbers = np.concatenate([best_n, some])
             cosines = np.concatenate([best_c, cosine[some]])
-            order = np.lexsort((numbers, -np.round(cosines, 12)))[:k]
-            best_n, best_c = numbers[order], cosines[order]
+            first = np.lexsort((self.ids[numbers], -np.round(cosines, 12)))[:k]
+            best_n, best_c = numbers[first], cosines[first]
+            order, step = order[step:], 2 * step
+            if len(best_c) >= k:
+                order = order[bound[order] >= best_c[-1] - 1e-12]
         return best_n, best_c
 
     def score(self, terms: np.ndarray, counts: np.ndarray, k: int):
         numbers, cosines = self.nearest(terms, counts, k)
         if not len(numbers):
-            return self.blank, numbers, cosines
+            return self.blank, self.ids[numbers], cosines
         votes = (cosines * self.labels[numbers]).sum() + SMOOTHING * self.rate
-        return float(votes / (cosines.sum() + SMOOTHING)), numbers, cosines
+        return float(votes / (cosines.sum() + SMOOTHING)), self.ids[numbers], cosines
+
+
+def _unit(terms: np.ndarray, counts: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    weights = (1 + np.log(counts)) * scale[terms]
+    length = np.sqrt((weights * weights).sum())
+    return weights / length if length else weights
 
 
-def build_index(examples, idf: np.ndarray) -> BlockIndex:
-    """``examples``: (label, term numbers, counts) of every sampled row."""
-    blank = [label for label, terms, _ in examples if not len(terms)]
-    rate = sum(label for label, *_ in examples) / len(examples) if examples else 0.0
-    rows = [r for r in examples if len(r[1])]
+def build_index(examples, scale: np.ndarray, marks: np.ndarray) -> BlockIndex:
+    """``examples``: (id, label, term numbers, counts) of every indexed row.
+
+    ``marks``: whether a term speaks for the label.
+    """
+    blank = [label for _, label, terms, _ in examples if not marks[np.asarray(terms, dtype=np.int64)].any()]
+    rate = sum(label for _, label, *_ in examples) / len(examples) if examples else 0.0
+    rows = [(i, label, np.asarray(terms, dtype=np.int64), np.asarray(counts, dtype=float))
+            for i, label, terms, counts in examples if len(terms)]
     # Examples with the same leading term share a block, which keeps the block maxima apart.
-    lead = [min(terms, key=lambda t: (-idf[t], t)) for _, terms, _ in rows]
-    order = sorted(range(len(rows)), key=lambda i: (lead[i], rows[i][0], i))
-    blocks = max(1, -(-len(rows) // BLOCK))
-    term, example, weight = [], [], []
-    for number, i in enumerate(order):
-        _, terms, counts = rows[i]
-        w = (1 + np.log(np.asarray(counts))) * idf[np.asarray(terms)]
-        term.extend(terms)
-        example.extend([number] * len(terms))
-        weight.extend(w / np.sqrt((w * w).sum()))
-    term, example = np.array(term, dtype=np.int64), np.array(example, dtype=np.int64)
-    weight = np.array(weight)
+    vectors = [_unit(terms, counts, scale) for *_, terms, counts in rows]
+    lead = [(terms[v == v.max()].min(), label) for (_, label, terms, _), v in zip(rows, vectors, strict=True)]
+    order = sorted(range(len(rows)), key=lambda n: (*lead[n], rows[n][0]))
+    joined = lambda parts, kind: np.concatenate([np.zeros(0, dtype=kind), *parts])
+    term = joined([rows[n][2] for n in order], np.int64)
+    example = np.repeat(np.arange(len(order)), [len(rows[n][2]) for n in order])
+    weight = joined([vectors[n] for n in order], float)
     sort = np.lexsort((example, term))
-    term, example, weight = term[sort], example[sort], weight[sort]
-    cell = term * blocks + example // BLOCK
-    first = np.searchsorted(cell, np.arange(len(idf) * blocks + 1))
-    largest = np.zeros(len(idf) * blocks)
-    np.maximum.at(largest, cell, weight)
-    starts = first[:-1].reshape(len(idf), blocks)
+    term, example, weight = term[sort], example[sort].astype(np.int64), weight[sort]
+    first = run_starts(term, example // BLOCK)
     return BlockIndex(
-        np.array([rows[i][0] for i in order], dtype=float), idf,
-        np.column_stack([starts, first[1:].reshape(len(idf), blocks)[:, -1:]]),
-        example, weight, largest.reshape(len(idf), blocks),
+        np.array([rows[n][0] for n in order], dtype=np.int64),
+        np.array([rows[n][1] for n in order], dtype=float), scale,
+        np.searchsorted(term[first], np.arange(len(scale) + 1)), example[first] // BLOCK,
+        np.maximum.reduceat(weight, first) if len(first) else weight,
+        np.append(first, len(term)), example, weight,
         (sum(blank) + SMOOTHING * rate) / (len(blank) + SMOOTHING), rate,
     )
 
 
+def _lists(column: pa.ListArray) -> list[np.ndarray]:
+    values = column.values.to_numpy(zero_copy_only=False)
+    ends = column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def _scores(batches, index, k: int):
     for batch in batches:
-        terms, counts = batch.column("terms"), batch.column("counts")
         known: dict = {}
         out = []
-        for i in range(batch.num_rows):
-            key = tuple(terms[i].as_py()), tuple(counts[i].as_py())
+        for terms, counts in zip(_lists(batch.column("terms")), _lists(batch.column("counts")), strict=True):
+            key = hashlib.blake2b(terms.tobytes() + counts.tobytes(), digest_size=16).digest()
             if key not in known:
-                known[key] = index.value.score(
-                    np.array(key[0], dtype=np.int64), np.array(key[1], dtype=float), k
-                )
+                known[key] = index.value.score(terms.astype(np.int64), counts.astype(float), k)
             out.append(known[key])
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array([s for s, *_ in out], pa.float64()),
@@ -259,36 +286,43 @@ def _scores(batches, index, k: int):
 def toxicity_scores(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     label_col: str = "toxic", neighbours: int = NEIGHBOURS, max_examples: int = MAX_EXAMPLES,
-    max_terms: int = MAX_TERMS, learn_from: DataFrame | None = None,
+    max_indexed: int = MAX_INDEXED, learn_from: DataFrame | None = None,
 ) -> DataFrame:
-    """id, score, neighbours (example numbers) and cosines of every row of ``docs``.
+    """id, score, neighbours (ids of examples) and cosines of every row of ``docs``.
 
     ``learn_from`` holds the labelled documents, by default ``docs`` itself; the documents that
     are scored give the corpus statistics.
     """
     spark = docs.sparkSession
     rows = lambda df: df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    known = rows(docs if learn_from is None else learn_from)
     sample = labelled_sample(labels, id_col, label_col, max_examples)
-    names = telling_terms(known, sample, max_terms)
-    terms = spark.sparkContext.broadcast({t: i for i, t in enumerate(names)})
-    schema = "id bigint, terms array<int>, counts array<int>"
+    wanted = spark.createDataFrame(
+        [(i, label, n < max_indexed) for n, (i, label) in enumerate(sample)],
+        "id bigint, label int, indexed boolean",
+    )
+    known = rows(docs if learn_from is None else learn_from).join(F.broadcast(wanted), "id")
+    examples = store(known.groupBy("id", "label", "indexed").agg(F.min("text").alias("text")), "examples")
+    gains = example_terms(examples)
+    terms = spark.sparkContext.broadcast({t: i for i, t in enumerate(gains)})
 
     def vectors(df):
-        return store(df.mapInArrow(lambda batches: _term_vectors(batches, terms), schema), "vectors")
+        found = df.select("id", "text").mapInArrow(
+            lambda batches: _term_vectors(batches, terms), "id bigint, terms array<int>, counts array<int>"
+        )
+        return store(found, "vectors")
 
     scored = vectors(rows(docs))
-    learned = scored if learn_from is None else vectors(known)
     total = scored.count()
-    holds = scored.select(F.explode(F.col("terms")).alias("term")).groupBy("term").count().collect()
-    idf = np.full(len(names), np.log((1 + total) / 1) + 1)
+    holds = scored.select(F.explode("terms").alias("term")).groupBy("term").count().collect()
+    scale = np.full(len(gains), np.log(1 + total) + 1)
     for r in holds:
-        idf[r["term"]] = np.log((1 + total) / (1 + r["count"])) + 1
-    wanted = spark.createDataFrame([(i,) for i in sample], "id bigint")
-    examples = learned.join(F.broadcast(wanted), "id").dropDuplicates(["id"]).collect()
-    examples = sorted(examples, key=lambda r: r.id)
+        scale[r["term"]] = np.log((1 + total) / (1 + r["count"])) + 1
+    gain = np.array(list(gains.values()))
+    scale *= np.abs(gain)
+    label_of = dict(sample)
+    learned = vectors(examples.where("indexed")).orderBy("id").collect()
     index = spark.sparkContext.broadcast(
-        build_index([(sample[r.id], r.terms, r.counts) for r in examples], idf)
+        build_index([(r.id, label_of[r.id], r.terms, r.counts) for r in learned], scale, gain > 1)
     )
     return scored.mapInArrow(
         lambda batches: _scores(batches, index, neighbours),

@@ -1,6 +1,8 @@
 import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -25,27 +27,26 @@ def test_held_out_documents_are_told_apart(tables):
     judged = [(truth[r.doc_id], r.predicted) for r in rows if r.held_out and r.doc_id in truth]
     toxic = [p for t, p in judged if t]
     clean = [p for t, p in judged if not t]
-    # About a third of the few toxic labels here are on texts without a telling word.
     assert toxic and sum(toxic) >= 0.6 * len(toxic)
     assert sum(clean) <= 0.02 * len(clean)
 
 
 def test_the_block_index_finds_the_nearest_of_all():
     rng = random.Random(4)
-    idf = np.array([1 + rng.random() * 4 for _ in range(60)])
+    scale = np.array([1 + rng.random() * 4 for _ in range(60)])
     examples = []
-    for _ in range(700):
+    for i in range(700):
         terms = sorted(rng.sample(range(60), rng.randint(0, 6)))
-        examples.append((rng.random() < 0.3, terms, [rng.randint(1, 5) for _ in terms]))
-    index = toxicity.build_index([(int(a), b, c) for a, b, c in examples], idf)
+        examples.append((i, int(rng.random() < 0.3), terms, [rng.randint(1, 5) for _ in terms]))
+    index = toxicity.build_index(examples, scale, np.zeros(60, dtype=bool))
 
     def unit(terms, counts):
         v = np.zeros(60)
         for t, c in zip(terms, counts):
-            v[t] = (1 + math.log(c)) * idf[t]
+            v[t] = (1 + math.log(c)) * scale[t]
         return v / np.linalg.norm(v) if v.any() else v
 
-    vectors = np.array([unit(t, c) for _, t, c in examples if t])
+    vectors = np.array([unit(t, c) for *_, t, c in examples if t])
     for _ in range(60):
         terms = np.array(sorted(rng.sample(range(60), rng.randint(1, 8))))
         counts = np.array([float(rng.randint(1, 4)) for _ in terms])
@@ -55,6 +56,74 @@ def test_the_block_index_finds_the_nearest_of_all():
         assert np.allclose(got, want)
 
 
+def _by_brute_force(docs, labels):
+    """Scores of all (id, text) by comparing each text with every example."""
+    bags = {i: Counter(re.findall(r"\w+", (t or "").lower())) for i, t in docs}
+    stems = {i: Counter() for i in bags}
+    for i, bag in bags.items():
+        for word, n in bag.items():
+            for size in (4, 5):
+                if len(word) > size:
+                    stems[i][word[:size] + "-"] += n
+    train = {i: y for i, y in labels.items() if i in bags and zlib.crc32(str(i).encode()) % 5}
+    sides = [sum(y == s for y in train.values()) for s in (0, 1)]
+    held = [Counter(), Counter()]
+    for i, y in train.items():
+        held[y].update((bags[i] | stems[i]).keys())
+
+    def gain(term):
+        a, b = held[0][term], held[1][term]
+        n = sum(sides)
+        g2 = sum(2 * o * math.log(o * n / (r * c)) for o, r, c in (
+            (a, sides[0], a + b), (b, sides[1], a + b),
+            (sides[0] - a, sides[0], n - a - b), (sides[1] - b, sides[1], n - a - b)) if o)
+        return math.sqrt(g2) if a + b >= 5 and g2 >= 20 else 1.0
+
+    gains = {t: gain(t) for t in held[0].keys() | held[1].keys()}
+    terms = {t: g for t, g in gains.items() if g > 1 or not t.endswith("-")}
+    both = {i: {t: n for t, n in (bags[i] + stems[i]).items() if t in terms} for i in bags}
+    count = Counter(t for bag in both.values() for t in bag)
+    idf = {t: math.log((1 + len(docs)) / (1 + count[t])) + 1 for t in terms}
+
+    def unit(i):
+        v = {t: (1 + math.log(n)) * idf[t] * terms[t] for t, n in both[i].items()}
+        length = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / length for t, x in v.items()}
+
+    vectors = {i: unit(i) for i in bags}
+    rate = sum(train.values()) / len(train)
+    marks = {t for t in terms if terms[t] > 1 and held[1][t] * sides[0] > held[0][t] * sides[1]}
+    blank = [y for i, y in train.items() if not marks & both[i].keys()]
+    found = {}
+    for i in bags:
+        near = [(sum(x * vectors[j].get(t, 0) for t, x in vectors[i].items()), j) for j in train]
+        near = sorted((-round(c, 12), j) for c, j in near if c > 0)[:15]
+        votes = sum(-c * train[j] for c, j in near) + 0.5 * rate
+        found[i] = votes / (sum(-c for c, _ in near) + 0.5) if near else (
+            (sum(blank) + 0.5 * rate) / (len(blank) + 0.5))
+    return found
+
+
+def test_scores_are_the_vote_of_the_nearest_of_all_examples(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    labels = spark.read.parquet(f"{small}/labels.parquet")
+    truth = {r.doc_id: r.toxic for r in labels.collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    want = _by_brute_force(list(texts.items()), truth)
+    rows = toxicity.toxicity_scores(docs, labels).collect()
+    assert {r.id for r in rows} == set(want)
+    for r in rows:
+        assert r.score == pytest.approx(want[r.id], abs=1e-6)
+        assert all(zlib.crc32(str(i).encode()) % 5 and i in truth for i in r.neighbours)
+
+
+def test_nearly_every_text_has_neighbours(tables):
+    docs, labels = tables
+    rows = toxicity.toxicity_scores(docs, labels).collect()
+    empty = {r.doc_id for r in docs.collect() if not re.search(r"\w", r.text or "")}
+    assert sum(not r.neighbours for r in rows if r.id not in empty) < 0.01 * len(rows)
+
+
 def test_nulls_repeats_and_missing_labels(spark, make_docs):
     rows = [(i, "you idiot number " + "ab"[i % 2] if i % 3 == 0 else "a fine day") for i in range(120)]
     rows += [(200, None), (201, ""), (None, "an idiot"), (None, None), (202, "idiot"), (202, "idiot")]
