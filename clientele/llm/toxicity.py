@@ -8,13 +8,15 @@ all documents. The gain is the root of G2 for a term whose presence depends on t
 way, and one for every other term: no word is left out, but those that tell weigh more. The nearest
 ``neighbours`` examples are found exactly: the examples' vectors lie in an inverted index cut into
 blocks of example numbers; each term knows its largest weight in each block, so the sum over a
-text's terms bounds every cosine in a block. Blocks are taken by falling bound until the bound is
-below the least cosine that still counts.
+text's terms bounds every cosine in a block. Terms that a twentieth of the examples hold lie in
+nearly every block and bound nothing; their weights are dense rows instead, and one product for a group of
+texts gives their exact part of every cosine. Blocks are taken by falling bound, that part and the
+block maxima of all other terms, until the bound is below the least cosine that still counts.
 
 The score is the weighted share of toxic neighbours, each weighted by its cosine and smoothed
 towards the rate among all examples. A text that shares no term with any example has no neighbour
-and gets the smoothed rate of the examples without a term that speaks for the label. Evidence: the ids of the nearest examples
-with their cosines.
+and gets the smoothed rate of the examples without a term that speaks for the label. Evidence: the
+ids of the nearest examples with their cosines.
 
 Bounds, all parameters: ``max_examples`` labelled rows give the gains, the first ``max_indexed`` of
 them the index (drawn by one seeded hash). Corpus statistics cover all documents.
@@ -53,6 +55,10 @@ SMOOTHING = 0.5
 BLOCK = 64
 #: Blocks looked at before the first comparison with their bounds.
 FIRST_BLOCKS = 4
+#: Share of the examples that hold a term whose weights are a dense row.
+DENSE_SHARE = 0.05
+#: Texts whose dense parts are one product.
+GROUP = 64
 FOLDS = 5
 SEED = 42
 #: Lengths of the stems.
@@ -144,20 +150,23 @@ def _term_vectors(batches, terms):
     number = terms.value
     for block in text_blocks(batches, "text"):
         known: dict[str, tuple] = {}
-        found = []
+        numbers, counts, ends = [], [], [0]
         for text in block["text"]:
-            held: Counter = Counter()
+            held: dict[int, int] = {}
             for word, n in _words(text).items():
                 forms = known.get(word)
                 if forms is None:
                     forms = known[word] = tuple(number[f] for f in _forms(word) if f in number)
                 for form in forms:
-                    held[form] += n
-            found.append(sorted(held.items()))
+                    held[form] = held.get(form, 0) + n
+            numbers.extend(held.keys())
+            counts.extend(held.values())
+            ends.append(len(numbers))
+        ends = pa.array(ends, pa.int32())
         yield pa.RecordBatch.from_arrays(
             [pa.array(block["id"], pa.int64()),
-             pa.array([[t for t, _ in c] for c in found], pa.list_(pa.int32())),
-             pa.array([[n for _, n in c] for c in found], pa.list_(pa.int32()))],
+             pa.ListArray.from_arrays(ends, pa.array(numbers, pa.int32())),
+             pa.ListArray.from_arrays(ends, pa.array(counts, pa.int32()))],
             ["id", "terms", "counts"],
         )
 
@@ -187,42 +196,73 @@ class BlockIndex:
     first: np.ndarray      # per cell: where its postings start
     example: np.ndarray
     weight: np.ndarray
+    row: np.ndarray        # per term: its dense row, or -1
+    dense: np.ndarray      # weights by dense row and example, blocks filled up
     blank: float           # score of a text without a neighbour: that of unmarked examples
     rate: float
 
-    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int):
+    def dense_parts(self, texts) -> np.ndarray:
+        """The dense terms' part of every cosine, by text and example."""
+        of_terms = np.zeros((len(texts), len(self.dense)))
+        for n, (terms, counts) in enumerate(texts):
+            row = self.row[terms]
+            of_terms[n, row[row >= 0]] = _unit(terms, counts, self.scale)[row >= 0]
+        return of_terms @ self.dense
+
+    def nearest(self, terms: np.ndarray, counts: np.ndarray, k: int, part: np.ndarray | None = None):
         """Numbers and cosines of the k nearest examples with a positive cosine, exactly."""
-        weights = _unit(terms, counts, self.scale)
+        if part is None:
+            part = self.dense_parts([(terms, counts)])[0]
+        sparse = self.row[terms] < 0
+        weights, terms = _unit(terms, counts, self.scale)[sparse], terms[sparse]
         cells, of = _ranges(self.cells[terms], self.cells[terms + 1])
-        block = self.block[cells]
-        bound = np.bincount(block, weights[of] * self.largest[cells])
+        block, weights = self.block[cells], weights[of]
+        blocks = len(part) // BLOCK
+        bound = part.reshape(blocks, BLOCK).max(axis=1)
+        bound = bound + np.bincount(block, weights * self.largest[cells], minlength=blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         best_n, best_c = np.zeros(0, dtype=np.int64), np.zeros(0)
         step = FIRST_BLOCKS
         while len(order):
-            now = np.zeros(len(bound), dtype=bool)
+            now = np.zeros(blocks, dtype=bool)
             now[order[:step]] = True
             taken = now[block]
-            at, cell = _ranges(self.first[cells[taken]], self.first[cells[taken] + 1])
-            cosine = np.bincount(self.example[at], weights[of[taken]][cell] * self.weight[at])
-            some = np.flatnonzero(cosine > 0)
+            chosen = cells[taken]
+            at, cell = _ranges(self.first[chosen], self.first[chosen + 1])
+            cosine = part + np.bincount(
+                self.example[at], weights[taken][cell] * self.weight[at], minlength=len(part)
+            )
+            least = best_c[-1] - 1e-11 if len(best_c) >= k else 0.0
+            some = np.flatnonzero(cosine > least)
+            some = some[now[some // BLOCK]]
             numbers = np.concatenate([best_n, some])
             cosines = np.concatenate([best_c, cosine[some]])
+            if len(cosines) > k:
+                near = cosines >= np.partition(cosines, -k)[-k] - 1e-11
+                numbers, cosines = numbers[near], cosines[near]
             first = np.lexsort((self.ids[numbers], -np.round(cosines, 12)))[:k]
             best_n, best_c = numbers[first], cosines[first]
-            order, step = order[step:], 2 * step
+            order, step = order[step:], blocks
             if len(best_c) >= k:
-                order = order[bound[order] >= best_c[-1] - 1e-12]
+                order = order[bound[order] >= best_c[-1] - 1e-11]
         return best_n, best_c
 
-    def score(self, terms: np.ndarray, counts: np.ndarray, k: int):
-        numbers, cosines = self.nearest(terms, counts, k)
+    def score(self, terms: np.ndarray, counts: np.ndarray, k: int, part: np.ndarray | None = None):
+        numbers, cosines = self.nearest(terms, counts, k, part)
         if not len(numbers):
             return self.blank, self.ids[numbers], cosines
         votes = (cosines * self.labels[numbers]).sum() + SMOOTHING * self.rate
         return float(votes / (cosines.sum() + SMOOTHING)), self.ids[numbers], cosines
 
+    def scores(self, texts, k: int) -> list:
+        found = []
+        for start in range(0, len(texts), GROUP):
+            some = texts[start:start + GROUP]
+            parts = self.dense_parts(some)
+            found.extend(self.score(*text, k, part) for text, part in zip(some, parts, strict=True))
+        return found
+
 
 def _unit(terms: np.ndarray, counts: np.ndarray, scale: np.ndarray) -> np.ndarray:
     weights = (1 + np.log(counts)) * scale[terms]
@@ -249,13 +289,20 @@ def build_index(examples, scale: np.ndarray, marks: np.ndarray) -> BlockIndex:
     weight = joined([vectors[n] for n in order], float)
     sort = np.lexsort((example, term))
     term, example, weight = term[sort], example[sort].astype(np.int64), weight[sort]
+    common = np.flatnonzero(np.bincount(term, minlength=len(scale)) >= max(1, DENSE_SHARE * len(rows)))
+    row = np.full(len(scale), -1)
+    row[common] = np.arange(len(common))
+    dense = np.zeros((len(common), -(-len(rows) // BLOCK) * BLOCK))
+    often = row[term] >= 0
+    dense[row[term[often]], example[often]] = weight[often]
+    term, example, weight = term[~often], example[~often], weight[~often]
     first = run_starts(term, example // BLOCK)
     return BlockIndex(
         np.array([rows[n][0] for n in order], dtype=np.int64),
         np.array([rows[n][1] for n in order], dtype=float), scale,
         np.searchsorted(term[first], np.arange(len(scale) + 1)), example[first] // BLOCK,
         np.maximum.reduceat(weight, first) if len(first) else weight,
-        np.append(first, len(term)), example, weight,
+        np.append(first, len(term)), example, weight, row, dense,
         (sum(blank) + SMOOTHING * rate) / (len(blank) + SMOOTHING), rate,
     )
 
@@ -268,13 +315,17 @@ def _lists(column: pa.ListArray) -> list[np.ndarray]:
 
 def _scores(batches, index, k: int):
     for batch in batches:
-        known: dict = {}
-        out = []
+        at: dict[bytes, int] = {}
+        texts, place = [], []
         for terms, counts in zip(_lists(batch.column("terms")), _lists(batch.column("counts")), strict=True):
+            # Equal texts are scored once.
             key = hashlib.blake2b(terms.tobytes() + counts.tobytes(), digest_size=16).digest()
-            if key not in known:
-                known[key] = index.value.score(terms.astype(np.int64), counts.astype(float), k)
-            out.append(known[key])
+            if key not in at:
+                at[key] = len(texts)
+                texts.append((terms, counts))
+            place.append(at[key])
+        found = index.value.scores(texts, k)
+        out = [found[n] for n in place]
         yield pa.RecordBatch.from_arrays(
             [batch.column("id"), pa.array([s for s, *_ in out], pa.float64()),
              pa.array([n for _, n, _ in out], pa.list_(pa.int64())),
