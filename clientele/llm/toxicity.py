@@ -1,11 +1,9 @@
 """Toxicity as a distance-weighted vote of the nearest labelled texts by TF-IDF cosine.
 
-Terms are the lower-cased runs of letters and digits, all those of the examples, and beside them
-stems, the first four and five characters, whose presence depends on the label (log-likelihood
-ratio G2 of the 2 x 2 table of documents); stems bring inflected and compounded words together. A
+Terms are the lower-cased runs of letters and digits, all those of the examples. A
 text's vector holds (1 + ln tf) * idf * gain of these terms, scaled to length one, with idf from
-all documents. The gain is the root of G2 for a term whose presence depends on the label, either
-way, and one for every other term: no word is left out, but those that tell weigh more. The nearest
+all documents. The gain is the root of G2, the log-likelihood ratio of the 2 x 2 table of documents,
+for a term whose presence depends on the label, either way, and one for every other term: no word is left out, but those that tell weigh more. The nearest
 ``neighbours`` examples are found exactly: the examples' vectors lie in an inverted index cut into
 blocks of example numbers; each term knows its largest weight in each block, so the sum over a
 text's terms bounds every cosine in a block. Terms that a twentieth of the examples hold lie in
@@ -61,8 +59,6 @@ DENSE_SHARE = 0.05
 GROUP = 64
 FOLDS = 5
 SEED = 42
-#: Lengths of the stems.
-STEMS = (4, 5)
 _TERM = re.compile(r"\w+")
 
 
@@ -85,20 +81,15 @@ def _words(text: str | None) -> Counter:
     return Counter(_TERM.findall(text.lower())) if text else Counter()
 
 
-def _forms(word: str) -> tuple[str, ...]:
-    """A word and its stems, which end in a dash."""
-    return (word, *(word[:n] + "-" for n in STEMS if len(word) > n))
-
-
 def _label_counts(batches):
-    """Clean, toxic and indexed examples of this partition that hold each word or stem."""
+    """Clean, toxic and indexed examples of this partition that hold each word."""
     counts = Counter(), Counter(), Counter()
     seen = [0, 0, 0]
     for block in text_blocks(batches, "text"):
         for label, indexed, text in zip(block["label"], block["indexed"], block["text"], strict=True):
-            forms = {form for word in _words(text) for form in _forms(word)}
+            words = _words(text).keys()
             for side in (label, 2) if indexed else (label,):
-                counts[side].update(forms)
+                counts[side].update(words)
                 seen[side] += 1
     names = list(counts[0].keys() | counts[1].keys())
     # A row without a term carries the numbers of documents.
@@ -123,8 +114,7 @@ def _g2(a: Column, b: Column, n0: int, n1: int) -> Column:
 def example_terms(examples: DataFrame) -> dict[str, float]:
     """The gain of every term that an indexed example holds, below zero if it speaks for clean texts.
 
-    ``examples``: id, label, indexed, text. A stem is a term only if its presence depends on the
-    label; every word is one.
+    ``examples``: id, label, indexed, text.
     """
     counted = examples.mapInArrow(
         _label_counts, "term string, clean bigint, toxic bigint, indexed bigint"
@@ -140,25 +130,18 @@ def example_terms(examples: DataFrame) -> dict[str, float]:
     tells = (a + b >= LEAST_DOCUMENTS) & (g2 >= LEAST_G2)
     side = F.when(b * total.clean > a * total.toxic, 1.0).otherwise(-1.0)
     rows = sums.where(F.col("term").isNotNull() & (F.col("indexed") > 0)).select(
-        "term", F.when(tells, side * F.sqrt(g2)).otherwise(1.0).alias("gain"), tells.alias("tells")
+        "term", F.when(tells, side * F.sqrt(g2)).otherwise(1.0).alias("gain")
     )
-    rows = rows.where(F.col("tells") | ~F.col("term").endswith("-")).orderBy("term")
-    return {r.term: r.gain for r in rows.select("term", "gain").collect()}
+    return {r.term: r.gain for r in rows.orderBy("term").collect()}
 
 
 def _term_vectors(batches, terms):
     number = terms.value
     for block in text_blocks(batches, "text"):
-        known: dict[str, tuple] = {}
         numbers, counts, ends = [], [], [0]
         for text in block["text"]:
-            held: dict[int, int] = {}
-            for word, n in _words(text).items():
-                forms = known.get(word)
-                if forms is None:
-                    forms = known[word] = tuple(number[f] for f in _forms(word) if f in number)
-                for form in forms:
-                    held[form] = held.get(form, 0) + n
+            words = _words(text)
+            held = {number[word]: n for word, n in words.items() if word in number}
             numbers.extend(held.keys())
             counts.extend(held.values())
             ends.append(len(numbers))

@@ -59,17 +59,11 @@ def test_the_block_index_finds_the_nearest_of_all():
 def _by_brute_force(docs, labels):
     """Scores of all (id, text) by comparing each text with every example."""
     bags = {i: Counter(re.findall(r"\w+", (t or "").lower())) for i, t in docs}
-    stems = {i: Counter() for i in bags}
-    for i, bag in bags.items():
-        for word, n in bag.items():
-            for size in (4, 5):
-                if len(word) > size:
-                    stems[i][word[:size] + "-"] += n
     train = {i: y for i, y in labels.items() if i in bags and zlib.crc32(str(i).encode()) % 5}
     sides = [sum(y == s for y in train.values()) for s in (0, 1)]
     held = [Counter(), Counter()]
     for i, y in train.items():
-        held[y].update((bags[i] | stems[i]).keys())
+        held[y].update(bags[i].keys())
 
     def gain(term):
         a, b = held[0][term], held[1][term]
@@ -79,9 +73,8 @@ def _by_brute_force(docs, labels):
             (sides[0] - a, sides[0], n - a - b), (sides[1] - b, sides[1], n - a - b)) if o)
         return math.sqrt(g2) if a + b >= 5 and g2 >= 20 else 1.0
 
-    gains = {t: gain(t) for t in held[0].keys() | held[1].keys()}
-    terms = {t: g for t, g in gains.items() if g > 1 or not t.endswith("-")}
-    both = {i: {t: n for t, n in (bags[i] + stems[i]).items() if t in terms} for i in bags}
+    terms = {t: gain(t) for t in held[0].keys() | held[1].keys()}
+    both = {i: {t: n for t, n in bags[i].items() if t in terms} for i in bags}
     count = Counter(t for bag in both.values() for t in bag)
     idf = {t: math.log((1 + len(docs)) / (1 + count[t])) + 1 for t in terms}
 
