@@ -3,9 +3,11 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from clientele.functions.agglomerate import CoAssociation, Ward, agglomerate_table, merge_block, merges_of
+from clientele.functions.blocks import plane_tiles
 from clientele.functions.components import connected_components
 from clientele.functions.labels import renumber
 from clientele.operators import (
@@ -455,3 +457,61 @@ def test_pca_by_force(spark):
     found = profiles.pca_projection(points, COLUMNS).orderBy("CustomerID").toPandas()
     first = (data - data.mean(axis=0)) @ vectors[:, -1]
     assert np.allclose(np.abs(found["pc1"]), np.abs(first))
+
+
+def test_plane_tiles_keep_the_digits_of_close_rows():
+    """Products lose the digits of near rows far from the middle; those and odd rows count."""
+    rng = np.random.default_rng(6)
+    one = rng.lognormal(size=(700, 10)) * 3
+    other = np.vstack([
+        one[:90], one[:200] * (1 + 1e-9), rng.lognormal(size=(300, 10)),
+        1e6 + rng.normal(size=(40, 10)), np.full((1, 10), np.inf), np.full((1, 10), np.nan),
+    ])
+    other[:90][::2] += 1e-7
+    for left, right in ((one, other), (other, other)):
+        found = np.full((len(left), len(right)), -1.0)
+        for rows, cols, gaps in plane_tiles(left, right):
+            found[rows, cols] = gaps
+        with np.errstate(invalid="ignore"):
+            wanted = np.sqrt(((left[:, None] - right) ** 2).sum(axis=2))
+        assert np.allclose(found, wanted, rtol=1e-10, atol=0, equal_nan=True)
+
+
+@pytest.mark.parametrize("most_runs", [8, 0])
+def test_few_clusters_share_one_pass(spark, monkeypatch, most_runs):
+    """A labeling with many clusters takes a pass of its own; the others still share theirs."""
+    data, true = blobs(gap=2.0)
+    many = np.arange(len(data)) // 4
+    few = true.copy()
+    few[::9] = -1
+    true[::18] = -1
+    monkeypatch.setattr(metrics, "MOST_CLUSTERS", 20)
+    monkeypatch.setattr(metrics, "MOST_RUNS", most_runs)
+    shared = []
+    by_sums = metrics._by_sums
+    monkeypatch.setattr(
+        metrics, "_by_sums", lambda p, c, names, *rest: shared.append(names) or by_sums(p, c, names, *rest)
+    )
+    points = points_of(spark, data, true=true, many=many, few=few)
+    table = metrics.silhouette_samples(points, COLUMNS, ["true", "many", "few"]).orderBy(
+        "CustomerID"
+    ).toPandas()
+    assert shared == [["true", "few"]]
+    gaps = distances(data)
+    for name, lab in (("true", true), ("many", many), ("few", few)):
+        at = lab != -1
+        found = table[table["labeling"] == name]["silhouette"].to_numpy()
+        assert np.allclose(found, brute_silhouette(gaps[np.ix_(at, at)], lab[at]), atol=1e-9)
+
+
+def test_each_pair_of_blocks_has_a_partition(spark):
+    """Hashed pairs share partitions, and one task then does the work of several."""
+    rows = spark.range(600).withColumn("at", F.col("id") % 6)
+
+    def work(one, other):
+        here = TaskContext.get().partitionId()
+        return pd.DataFrame({"partition": [here], "n": [len(one) + len(one if other is None else other)]})
+
+    found = metrics._in_pairs(rows, F.col("at"), 6, work, "partition int, n bigint").collect()
+    assert sorted(r.partition for r in found) == list(range(21))
+    assert {r.n for r in found} == {200}
