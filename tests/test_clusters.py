@@ -515,3 +515,23 @@ def test_each_pair_of_blocks_has_a_partition(spark):
     found = metrics._in_pairs(rows, F.col("at"), 6, work, "partition int, n bigint").collect()
     assert sorted(r.partition for r in found) == list(range(21))
     assert {r.n for r in found} == {200}
+
+
+def test_dbscan_compares_no_groups_that_are_joined_already(spark, monkeypatch):
+    """A dense band of tight groups is joined by its envoys; only two that may lie apart meet."""
+    rng = np.random.default_rng(11)
+    data = np.vstack([rng.uniform(0, 1, (3_000, 2)) * [6, 2], rng.uniform(0, 1, (60, 2)) * 0.2 + [9, 9]])
+    points = points_of(spark, data)
+    stored = {}
+    write = density.materialize
+
+    def keep(df, label):
+        stored[label] = write(df, label)
+        return stored[label]
+
+    monkeypatch.setattr(density, "materialize", keep)
+    found = labels_of(density.dbscan(points, COLUMNS, block_points=200))
+    assert found == [0] * 3_000 + [1] * 60
+    groups = stored["groups"]
+    assert groups.where("not linked").count() > 0
+    assert stored["open"].count() == 0
