@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -535,3 +536,40 @@ def test_dbscan_compares_no_groups_that_are_joined_already(spark, monkeypatch):
     groups = stored["groups"]
     assert groups.where("not linked").count() > 0
     assert stored["open"].count() == 0
+
+
+def test_centers_meet_rows_in_tiles_of_bounded_size():
+    rng = np.random.default_rng(5)
+    data = rng.integers(-3, 4, size=(60_000, 3)).astype(float)
+    centers = rng.integers(-3, 4, size=(120, 3)).astype(float)
+    centers[1] = centers[0]  # Equal centres: the first one has the rows.
+    groups = [slice(0, 3), slice(3, 50), slice(50, 120)]
+    tracemalloc.start()
+    found = list(kmeans.nearest_centers(data, centers, groups, second=True))
+    sums = kmeans.cluster_sums(data, centers, groups)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    # All distances at once are 58 MB.
+    assert peak < 24 << 20
+    for group, (label, gap, other) in zip(groups, found):
+        apart = ((data[:, None, :] - centers[None, group, :]) ** 2).sum(axis=2)
+        assert (label == apart.argmin(axis=1)).all()
+        ranked = np.sort(apart, axis=1)
+        assert np.allclose(gap, ranked[:, 0], atol=1e-9)
+        assert np.allclose(other, ranked[:, 1], atol=1e-9)
+        own = (label == np.arange(group.stop - group.start)[:, None]).astype(float)
+        expected = np.column_stack([own.sum(axis=1), own @ gap, own @ data])
+        assert np.allclose(sums[group], expected, atol=1e-6)
+
+
+def test_candidates_meet_rows_in_tiles_of_bounded_size():
+    rng = np.random.default_rng(6)
+    data, pool = rng.normal(size=(2_000, 4)), rng.normal(size=(3_000, 4))
+    tracemalloc.start()
+    label, gap = kmeans._nearest(data, pool)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    # All distances at once are 48 MB.
+    assert peak < 12 << 20
+    apart = ((data[:100, None, :] - pool) ** 2).sum(axis=2)
+    assert (label[:100] == apart.argmin(axis=1)).all() and np.allclose(gap[:100], apart.min(axis=1))
