@@ -111,8 +111,8 @@ def _g2(a: Column, b: Column, n0: int, n1: int) -> Column:
     return 2 * (parts[0] + parts[1] + parts[2] + parts[3])
 
 
-def example_terms(examples: DataFrame) -> dict[str, float]:
-    """The gain of every term that an indexed example holds, below zero if it speaks for clean texts.
+def example_terms(examples: DataFrame) -> tuple[pa.Array, np.ndarray]:
+    """Every term that an indexed example holds, and its gain, below zero if it speaks for clean texts.
 
     ``examples``: id, label, indexed, text.
     """
@@ -124,7 +124,7 @@ def example_terms(examples: DataFrame) -> dict[str, float]:
     )
     total = sums.where(F.col("term").isNull()).first()
     if total is None:
-        return {}
+        return pa.array([], pa.string()), np.zeros(0)
     a, b = F.col("clean").cast("double"), F.col("toxic").cast("double")
     g2 = _g2(a, b, total.clean, total.toxic) if total.clean and total.toxic else F.lit(0.0)
     tells = (a + b >= LEAST_DOCUMENTS) & (g2 >= LEAST_G2)
@@ -132,11 +132,17 @@ def example_terms(examples: DataFrame) -> dict[str, float]:
     rows = sums.where(F.col("term").isNotNull() & (F.col("indexed") > 0)).select(
         "term", F.when(tells, side * F.sqrt(g2)).otherwise(1.0).alias("gain")
     )
-    return {r.term: r.gain for r in rows.orderBy("term").collect()}
+    found = rows.orderBy("term").toArrow()
+    return found["term"].combine_chunks(), _numbers(found["gain"])
+
+
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    """A column without nulls as one array that owns its values."""
+    return np.array(column.to_numpy())
 
 
 def _term_vectors(batches, terms):
-    number = terms.value
+    number = {term: n for n, term in enumerate(terms.value.to_pylist())}
     for block in text_blocks(batches, "text"):
         numbers, counts, ends = [], [], [0]
         for text in block["text"]:
@@ -260,18 +266,21 @@ def build_index(examples, scale: np.ndarray, marks: np.ndarray) -> BlockIndex:
     """
     blank = [label for _, label, terms, _ in examples if not marks[np.asarray(terms, dtype=np.int64)].any()]
     rate = sum(label for _, label, *_ in examples) / len(examples) if examples else 0.0
-    rows = [(i, label, np.asarray(terms, dtype=np.int64), np.asarray(counts, dtype=float))
+    rows = [(i, label, np.asarray(terms, dtype=np.int32), np.asarray(counts))
             for i, label, terms, counts in examples if len(terms)]
     # Examples with the same leading term share a block, which keeps the block maxima apart.
     vectors = [_unit(terms, counts, scale) for *_, terms, counts in rows]
     lead = [(terms[v == v.max()].min(), label) for (_, label, terms, _), v in zip(rows, vectors, strict=True)]
     order = sorted(range(len(rows)), key=lambda n: (*lead[n], rows[n][0]))
     joined = lambda parts, kind: np.concatenate([np.zeros(0, dtype=kind), *parts])
-    term = joined([rows[n][2] for n in order], np.int64)
-    example = np.repeat(np.arange(len(order)), [len(rows[n][2]) for n in order])
+    term = joined([rows[n][2] for n in order], np.int32)
+    example = np.repeat(np.arange(len(order), dtype=np.int32), [len(rows[n][2]) for n in order])
     weight = joined([vectors[n] for n in order], float)
-    sort = np.lexsort((example, term))
-    term, example, weight = term[sort], example[sort].astype(np.int64), weight[sort]
+    del vectors
+    # Examples come in order already, so a stable sort by term is one by both.
+    sort = np.argsort(term, kind="stable")
+    term, example, weight = term[sort], example[sort], weight[sort]
+    del sort
     common = np.flatnonzero(np.bincount(term, minlength=len(scale)) >= max(1, DENSE_SHARE * len(rows)))
     row = np.full(len(scale), -1)
     row[common] = np.arange(len(common))
@@ -296,6 +305,10 @@ def _lists(column: pa.ListArray) -> list[np.ndarray]:
     return [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
+def _chunked_lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    return [own for chunk in column.chunks for own in _lists(chunk)]
+
+
 def _scores(batches, index, k: int):
     for batch in batches:
         at: dict[bytes, int] = {}
@@ -336,8 +349,9 @@ def toxicity_scores(
     )
     known = rows(docs if learn_from is None else learn_from).join(F.broadcast(wanted), "id")
     examples = store(known.groupBy("id", "label", "indexed").agg(F.min("text").alias("text")), "examples")
-    gains = example_terms(examples)
-    terms = spark.sparkContext.broadcast({t: i for i, t in enumerate(gains)})
+    # What comes to the driver comes as Arrow columns, a few bytes a number instead of an object.
+    names, gain = example_terms(examples)
+    terms = spark.sparkContext.broadcast(names)
 
     def vectors(df):
         found = df.select("id", "text").mapInArrow(
@@ -347,17 +361,19 @@ def toxicity_scores(
 
     scored = vectors(rows(docs))
     total = scored.count()
-    holds = scored.select(F.explode("terms").alias("term")).groupBy("term").count().collect()
-    scale = np.full(len(gains), np.log(1 + total) + 1)
-    for r in holds:
-        scale[r["term"]] = np.log((1 + total) / (1 + r["count"])) + 1
-    gain = np.array(list(gains.values()))
+    holds = scored.select(F.explode("terms").alias("term")).groupBy("term").count().toArrow()
+    scale = np.full(len(gain), np.log(1 + total) + 1)
+    scale[_numbers(holds["term"])] = np.log((1 + total) / (1 + _numbers(holds["count"]))) + 1
     scale *= np.abs(gain)
+    learned = vectors(examples.where("indexed")).orderBy("id").toArrow().combine_chunks()
+    terms.destroy()
     label_of = dict(sample)
-    learned = vectors(examples.where("indexed")).orderBy("id").collect()
-    index = spark.sparkContext.broadcast(
-        build_index([(r.id, label_of[r.id], r.terms, r.counts) for r in learned], scale, gain > 1)
-    )
+    found = [
+        (i, label_of[i], *lists) for i, *lists in zip(
+            learned["id"].to_pylist(), *(_chunked_lists(learned[c]) for c in ("terms", "counts")), strict=True
+        )
+    ]
+    index = spark.sparkContext.broadcast(build_index(found, scale, gain > 1))
     return scored.mapInArrow(
         lambda batches: _scores(batches, index, neighbours),
         "id bigint, score double, neighbours array<bigint>, cosines array<double>",

@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -138,3 +139,16 @@ def test_nulls_repeats_and_missing_labels(spark, make_docs):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(
         str(i) for i, t in rows if t is None or "idiot" not in t)
     assert left.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_terms_and_examples_come_to_the_driver_as_columns(spark):
+    texts = [" ".join(f"w{n}x{i}" for i in range(1_000)) for n in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(n, n % 2) for n in range(40)], "doc_id bigint, toxic int")
+    tracemalloc.start()
+    rows = toxicity.toxicity_scores(docs, labels).collect()
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(rows) == 40
+    # As objects, the terms, their counts and the postings of the examples take some 15 MB.
+    assert peak < 8 << 20
