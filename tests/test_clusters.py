@@ -8,7 +8,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from clientele.functions.agglomerate import CoAssociation, Ward, agglomerate_table, merge_block, merges_of
-from clientele.functions.blocks import plane_tiles
+from clientele.functions.blocks import distance_tiles, plane_tiles, within_tiles
 from clientele.functions.components import connected_components
 from clientele.functions.labels import renumber
 from clientele.operators import (
@@ -282,6 +282,19 @@ def test_dbscan_by_force(spark, monkeypatch, kind, block_points, part_points):
     assert same_partition(found[label != -1], label[label != -1])
 
 
+@pytest.mark.parametrize("scale, shift", [(1.0, 0.0), (1e-3, 1e5), (1.0, np.inf)])
+def test_rows_within_a_radius_are_those_of_the_differences(scale, shift):
+    rng = np.random.default_rng(4)
+    # Many distances are the radius itself, where a product's rounding would decide.
+    data = rng.integers(0, 5, (300, 4)) * 0.25 * scale
+    data[0] += shift
+    data[1:] += shift if np.isfinite(shift) else 0.0
+    one, other = data[:120], data[120:]
+    found = [near for _, near in within_tiles(one, other, 0.5 * scale)]
+    wanted = [gaps <= 0.5 * scale for _, gaps in distance_tiles(one, other)]
+    assert np.array_equal(np.vstack(found), np.vstack(wanted))
+
+
 def test_tight_groups_hold_neighbours_only():
     data = np.random.default_rng(3).normal(size=(500, 3))
     group = density.tight_groups(data, 0.4)
