@@ -7,7 +7,15 @@ import pytest
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
-from clientele.functions.agglomerate import CoAssociation, Ward, agglomerate_table, merge_block, merges_of
+from clientele.functions.agglomerate import (
+    CoAssociation,
+    Splits,
+    Ward,
+    agglomerate_table,
+    merge_block,
+    merges_of,
+    nearest_units,
+)
 from clientele.functions.blocks import distance_tiles, plane_tiles, within_tiles
 from clientele.functions.components import connected_components
 from clientele.functions.labels import renumber
@@ -219,6 +227,26 @@ def test_safe_merges_only():
     assert alive.tolist() == [True, False, True, True, True]
 
 
+@pytest.mark.parametrize("scale, shift", [(1.0, 0.0), (1e-3, 1e5), (1e200, 0.0)])
+def test_nearest_units_are_those_of_the_differences(scale, shift):
+    """Products only choose who is compared: gaps and ties are as from differences."""
+    rng = np.random.default_rng(7)
+    data = rng.integers(0, 4, (200, 3)) * 0.1 * scale + shift
+    weights = rng.integers(1, 4, 200).astype(float)
+    with np.errstate(over="ignore", invalid="ignore"):
+        wanted = Ward().gap(weights[:80], data[:80], weights[80:], data[80:])
+        at, gap = nearest_units(weights[:80], data[:80], weights[80:], data[80:], Ward())
+    assert np.array_equal(at, wanted.argmin(axis=1)) and np.array_equal(gap, wanted.min(axis=1))
+
+
+def test_blocks_of_a_tree_of_splits_are_even():
+    rng, wide = np.random.default_rng(3), np.full(2, np.inf)
+    data, tree = rng.random((4_500, 2)), Splits()
+    tree.grow(data, 45, -wide, wide, rng)
+    sizes = np.bincount(tree.locate(data), minlength=45)
+    assert tree.blocks == 45 and sizes.min() > 80 and sizes.max() < 120
+
+
 def test_consensus_in_rounds(spark):
     data, true = blobs(gap=4.0)
     points = points_of(spark, data)
