@@ -546,6 +546,26 @@ def test_few_clusters_share_one_pass(spark, monkeypatch, most_runs):
         assert np.allclose(found, brute_silhouette(gaps[np.ix_(at, at)], lab[at]), atol=1e-9)
 
 
+def test_tiles_end_where_the_labels_change():
+    """A tile of a long run has one kind of rows on each side; short runs share tiles."""
+    rng = np.random.default_rng(8)
+    label = np.repeat([0, 1, 2, 3, 4, 5], [700, 3, 5, 130, 2, 300])[:, None]
+    data = rng.normal(size=(len(label), 3))
+    kinds = metrics._Kinds(label, 6)
+    cuts = kinds.cuts()
+    assert np.concatenate([np.arange(len(label))[cut] for cut in cuts]).tolist() == list(range(len(label)))
+    assert [len(set(label[cut, 0])) for cut in cuts] == [1, 1, 1, 2, 1, 1, 1, 1]
+    gaps = distances(data)
+    wanted = np.stack([gaps[:, label[:, 0] == c].sum(axis=1) for c in range(6)])
+    for mirrored in (False, True):
+        sums = np.zeros((6, len(label)))
+        for rows, cols, tile in plane_tiles(data, data, mirrored, cuts, cuts):
+            kinds.add(sums[:, rows], cols, tile.T)
+            if mirrored and rows != cols:
+                kinds.add(sums[:, cols], rows, tile)
+        assert np.allclose(sums, wanted, rtol=1e-12)
+
+
 def test_each_pair_of_blocks_has_a_partition(spark):
     """Hashed pairs share partitions, and one task then does the work of several."""
     rows = spark.range(600).withColumn("at", F.col("id") % 6)
