@@ -147,3 +147,32 @@ def test_quantiles_in_two_scans(spark, monkeypatch, rows):
             assert all(w <= f <= u for w, f, u in zip(wanted, found[name], above))
     if rows == 20_000:
         assert len(scans) == 1
+
+
+def test_quantiles_count_only_the_rows_of_brackets(spark, monkeypatch):
+    """Rows outside every bracket stay in the scan, and odd values still have their place."""
+    rng = np.random.default_rng(5)
+    one = rng.lognormal(size=40_000)
+    two = np.concatenate([
+        rng.normal(size=20_000), [np.inf] * 300, [-np.inf] * 300, [0.0, -0.0] * 500, [np.nan] * 200,
+    ])
+    rows = [(float(a), None if i % 7 == 0 else float(b)) for i, (a, b) in enumerate(zip(one, two))]
+    df = spark.createDataFrame(rows, "a double, b double")
+    counted, count_bins = [], quantiles._count_bins
+
+    def watched(*args):
+        bins = count_bins(*args)
+        counted.append(sum(n for found in bins.values() for _, n, _, _ in found))
+        return bins
+
+    monkeypatch.setattr(quantiles, "_count_bins", watched)
+    probs = [0.0, 0.01, 0.4, 0.5, 0.97, 1.0]
+    found = quantiles.exact_quantiles(df, ["a", "b"], probs)
+    assert max(counted) < 0.25 * len(rows)
+    for i, c in enumerate("ab"):
+        held = np.sort([r[i] for r in rows if r[i] is not None])
+        places = [(len(held) - 1) * p for p in probs]
+        for h, value in zip(places, found[c]):
+            low, high = held[int(np.floor(h))], held[int(np.ceil(h))]
+            wanted = low if low == high or not h % 1 else low + (high - low) * (h % 1)
+            assert value == wanted or (np.isnan(value) and np.isnan(wanted))
