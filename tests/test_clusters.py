@@ -28,6 +28,7 @@ from clientele.operators import (
     profiles,
     selection,
 )
+from clientele.plans import analysis
 
 COLUMNS = ["x", "y"]
 
@@ -634,3 +635,15 @@ def test_candidates_meet_rows_in_tiles_of_bounded_size():
     assert peak < 12 << 20
     apart = ((data[:100, None, :] - pool) ** 2).sum(axis=2)
     assert (label[:100] == apart.argmin(axis=1)).all() and np.allclose(gap[:100], apart.min(axis=1))
+
+
+@pytest.mark.parametrize("broken", ["hierarchical", "gaussian_mixture"])
+def test_a_method_that_fails_is_no_result(spark, monkeypatch, broken):
+    def fails(*_, **__):
+        raise ArithmeticError("no such fit")
+
+    monkeypatch.setattr(clustering, broken, fails)
+    with pytest.raises(ArithmeticError, match="no such fit"):
+        analysis.fit_all(
+            points_of(spark, blobs(rows=20)[0]), COLUMNS, 3, methods=["Agglomerative", "GaussianMixture"]
+        )
