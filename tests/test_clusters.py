@@ -647,3 +647,56 @@ def test_a_method_that_fails_is_no_result(spark, monkeypatch, broken):
         analysis.fit_all(
             points_of(spark, blobs(rows=20)[0]), COLUMNS, 3, methods=["Agglomerative", "GaussianMixture"]
         )
+
+
+@pytest.mark.parametrize("limits", [
+    {"PACK_ROWS": 16, "BLOCK_ROWS": 50}, {"PACK_ROWS": 7, "BLOCK_SUMS": 200}, {"PACK_ROWS": 1},
+])
+def test_silhouettes_copy_no_row_for_each_block(spark, monkeypatch, limits):
+    """Blocks meet as partitions of packed rows; what is shuffled does not hold the rows again."""
+    for name, value in limits.items():
+        monkeypatch.setattr(metrics, name, value)
+    data, true = blobs(rows=70, gap=2.0)
+    few = np.where(np.arange(len(data)) % 9 == 0, -1, true % 2)
+    other = np.arange(len(data)) * 7 % 5
+    points = points_of(spark, data, true=true, few=few, other=other)
+    rows = metrics.silhouette_samples(points, COLUMNS, ["true", "few", "other"])
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "explode" not in plan
+    table, gaps = rows.orderBy("CustomerID").toPandas(), distances(data)
+    for name, lab in (("true", true), ("few", few), ("other", other)):
+        at = lab != -1
+        found = table[table["labeling"] == name]
+        assert (found["cluster"].to_numpy() == lab[at]).all()
+        wanted = brute_silhouette(gaps[np.ix_(at, at)], lab[at])
+        assert np.allclose(found["silhouette"].to_numpy(), wanted, atol=1e-9)
+
+
+def test_silhouettes_of_numbers_and_missing_ids(spark):
+    """Ids of any type come back as they were, a missing one too."""
+    data, true = blobs(rows=30, gap=2.0)
+    points = points_of(spark, data, true=true).withColumn(
+        "CustomerID", F.expr("CASE WHEN CustomerID <> '00003' THEN CAST(CustomerID AS BIGINT) END")
+    )
+    rows = metrics.silhouette_samples(points, COLUMNS, ["true"])
+    assert rows.schema["CustomerID"].dataType.simpleString() == "bigint"
+    found = {r.CustomerID: r.silhouette for r in rows.collect()}
+    wanted = brute_silhouette(distances(data), true)
+    assert set(found) == ({*range(90)} - {3}) | {None}
+    assert all(math.isclose(found[None if i == 3 else i], w, abs_tol=1e-9) for i, w in enumerate(wanted))
+
+
+def test_runs_are_summed_by_any_plan(monkeypatch):
+    rng = np.random.default_rng(4)
+    label = np.sort(rng.integers(0, 40, size=(300, 1)), axis=0)
+    gaps = rng.random((300, 300))
+    for most in (100, 24, 1, 0):
+        monkeypatch.setattr(metrics, "MOST_RUNS", most)
+        monkeypatch.setattr(metrics, "RUN_ROWS", 1_000)
+        kinds = metrics._Kinds(label, 40)
+        for tile in (gaps, np.asfortranarray(gaps)):
+            sums = np.zeros((40, 300))
+            for cut in kinds.cuts():
+                kinds.add(sums, cut, tile[cut])
+            wanted = np.stack([gaps[label[:, 0] == c].sum(axis=0) for c in range(40)])
+            assert np.allclose(sums, wanted, rtol=1e-12)
