@@ -1,4 +1,6 @@
 import math
+import threading
+import time
 import tracemalloc
 
 import numpy as np
@@ -700,3 +702,52 @@ def test_runs_are_summed_by_any_plan(monkeypatch):
                 kinds.add(sums, cut, tile[cut])
             wanted = np.stack([gaps[label[:, 0] == c].sum(axis=0) for c in range(40)])
             assert np.allclose(sums, wanted, rtol=1e-12)
+
+
+def test_only_crowded_blocks_are_copied(spark, monkeypatch):
+    """Points of blocks that few others visit are sent once, whatever the size of the table."""
+    monkeypatch.setattr(density, "PART_POINTS", 200)
+    rng = np.random.default_rng(3)
+    data = rng.normal(size=(1_000, 2)) * 0.1 + 50 * np.repeat(rng.permutation(40), 25)[:, None]
+    data[:300] = rng.normal(size=(300, 2)) * 0.1 - 1_000
+    merged = density.merged_points(points_of(spark, data), COLUMNS, "CustomerID")
+    placed = density._Density(merged, COLUMNS, 1.0, 5, merged.schema["_rep"].dataType, 100)
+
+    def work(guests, homes):
+        return pd.DataFrame({"far": homes["x"][homes["x"] > -500].count(), "n": len(homes)}, index=[0])
+
+    met = placed.met(
+        placed.points.withColumn("_reach", F.lit(1.0)), placed.points, work, "far bigint, n bigint"
+    ).agg(F.sum("far").alias("far"), F.sum("n").alias("n")).first()
+    # Blocks of the heap, and a few larger ones, meet in parts; five of all before.
+    assert 700 <= met.far < 1_400 and met.n < 2 * len(data), met
+
+
+@pytest.mark.parametrize("joint, part_points", [(1, 100_000), (3, 100_000), (16, 60)])
+def test_neighbours_in_tasks_of_several_blocks(spark, monkeypatch, joint, part_points):
+    monkeypatch.setattr(density, "PART_POINTS", part_points)
+    data = np.random.default_rng(3).normal(size=(600, 2)) * 3
+    merged = density.merged_points(points_of(spark, data), COLUMNS, "CustomerID")
+    placed = density._Density(merged, COLUMNS, 1.0, 5, merged.schema["_rep"].dataType, 20)
+    placed.joint = joint
+    found = [r.neighbors for r in placed.counts(placed.points).orderBy("_rep").collect()]
+    assert found == (distances(data) <= 1.0).sum(axis=1).tolist()
+
+
+def test_methods_run_side_by_side(spark):
+    """All of them begin before one ends, and the first error ends the others' jobs."""
+    together = threading.Barrier(3, timeout=60)
+    found = analysis.side_by_side(
+        spark, {n: lambda n=n: (together.wait(), spark.range(n).count())[1] for n in (1, 2, 3)}
+    )
+    assert found == {1: 1, 2: 2, 3: 3}
+    assert analysis.side_by_side(spark, {}) == {}
+    slow = spark.range(8).repartition(8).select(F.expr("reflect('java.lang.Thread', 'sleep', 60000L)"))
+
+    def fails():
+        raise ArithmeticError("no such fit")
+
+    begun = time.monotonic()
+    with pytest.raises(ArithmeticError):
+        analysis.side_by_side(spark, {"slow": slow.collect, "broken": fails})
+    assert time.monotonic() - begun < 40
